@@ -49,14 +49,16 @@ def mail_trail(lk: DataFrame, where: Column) -> DataFrame:
     """Where does each focus home's tax bill go?  (class, n, share)."""
     gw = _focus(lk, where, False)
     sites = (lk.filter((F.col("site_norm") != "") & F.col("is_home"))
-             .groupBy("site_norm", "site_zip5").agg(F.bool_or("has_pre").alias("site_has_pre")))
-    j = gw.join(sites, (gw.mail_norm == sites.site_norm) & (gw.mail_zip5 == sites.site_zip5), "left")
-    cls = (F.when(~gw.mail_norm.rlike("^[0-9]"),
-                  F.when(gw.mail_zip5 == "99587", "PO box in Girdwood").otherwise("PO box / other non-street"))
+             .groupBy(F.col("site_norm").alias("s_norm"), F.col("site_zip5").alias("s_zip5"))
+             .agg(F.bool_or("has_pre").alias("site_has_pre")))
+    g = gw.select("mail_norm", "mail_zip5", "ostate", "ocity")
+    j = g.join(sites, (F.col("mail_norm") == F.col("s_norm")) & (F.col("mail_zip5") == F.col("s_zip5")), "left")
+    cls = (F.when(~F.col("mail_norm").rlike("^[0-9]"),
+                  F.when(F.col("mail_zip5") == "99587", "PO box in Girdwood").otherwise("PO box / other non-street"))
            .when(F.col("site_has_pre"), "An exempt muni home")
-           .when(sites.site_norm.isNotNull(), "A muni home without the exemption")
-           .when(gw.ostate != "AK", "A street address outside Alaska")
-           .when(~gw.ocity.isin(*MUNI_CITIES), "A street address in AK, outside the muni")
+           .when(F.col("s_norm").isNotNull(), "A muni home without the exemption")
+           .when(F.col("ostate") != "AK", "A street address outside Alaska")
+           .when(~F.col("ocity").isin(*MUNI_CITIES), "A street address in AK, outside the muni")
            .otherwise("In the muni, but no home matched"))
     g = j.groupBy(cls.alias("mail_goes_to")).agg(F.count(F.lit(1)).alias("n"))
     tot = gw.agg(F.count(F.lit(1)).alias("_t"))
@@ -84,7 +86,9 @@ def portfolio(lk: DataFrame, where: Column) -> DataFrame:
         F.col("parcel_id").alias("gw_parcel"), "oname", "mail_norm", "mail_zip5")
     owners = lk.filter(~F.col("unlinkable"))
     a = _group_stats(owners, ["oname", "mail_norm", "mail_zip5"], "a_")
-    homes = lk.filter(F.col("is_home")).withColumnsRenamed({"site_norm": "mail_norm", "site_zip5": "mail_zip5"})
+    homes = lk.filter(F.col("is_home")).select(
+        F.col("site_norm").alias("mail_norm"), F.col("site_zip5").alias("mail_zip5"),
+        "appraised_total_value", "is_home", "has_pre")
     b = _group_stats(homes, ["mail_norm", "mail_zip5"], "b_")
     # parcels in both: linkable, a home, and standing at its own mailing address
     both = owners.filter(F.col("is_home") & (F.col("site_norm") == F.col("mail_norm"))

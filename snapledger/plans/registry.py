@@ -126,3 +126,11 @@ _unions = " UNION ALL ".join(
 @register("scd2_changes", f"{HIST} {_unions}")
 def q_scd2_changes(spark, d):
     return scd2.changes_between(ob.history(spark, d), ob.KEY, _CHANGE_COLS, since=CHANGES_SINCE)
+
+
+def _load_all() -> None:
+    """Import the query modules so they register themselves."""
+    from snapledger.plans import queries_parcels  # noqa: F401
+
+
+_load_all()
