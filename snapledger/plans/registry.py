@@ -130,7 +130,8 @@ def q_scd2_changes(spark, d):
 
 def _load_all() -> None:
     """Import the query modules so they register themselves."""
-    from snapledger.plans import queries_analytics, queries_checks, queries_geo, queries_parcels  # noqa: F401
+    from snapledger.plans import (queries_analytics, queries_checks, queries_geo, queries_parcels,  # noqa: F401
+                                  queries_stream)
 
 
 _load_all()

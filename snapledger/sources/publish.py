@@ -93,7 +93,7 @@ def _write(df: DataFrame, root: str, key: str | None) -> str:
 
 
 def commit_version(spark: SparkSession, root: str, open_rows: DataFrame, closed_rows: DataFrame | None,
-                   baseline: int | None, key: str | None = None) -> int:
+                   baseline: int | None, key: str | None = None, run_ts: str | None = None) -> int:
     """Write the new open part (+ newly closed rows) and publish version baseline+1 atomically."""
     prev = read_pointer(spark, root, baseline) if baseline is not None else {"closed": []}
     latest = latest_version(spark, root)
@@ -104,7 +104,8 @@ def commit_version(spark: SparkSession, root: str, open_rows: DataFrame, closed_
     if closed_rows is not None:
         closed.append(_write(closed_rows, root, key))
     version = 0 if baseline is None else baseline + 1
-    ptr = json.dumps({"open": open_dir, "closed": closed, "parent": baseline})
+    ptr = json.dumps({"open": open_dir, "closed": closed, "parent": baseline,
+                      "run_ts": run_ts if run_ts is not None else prev.get("run_ts")})
     if not _create_exclusive(spark, f"{root.rstrip('/')}/commits/{version}.json", ptr):
         raise StaleBaseline(f"version {version} was committed by another writer")
     return version
@@ -131,14 +132,17 @@ def merge_and_commit(spark: SparkSession, root: str, snapshot: DataFrame, ts: st
         if not create:
             raise FileNotFoundError(root)
         open_rows, _ = scd2.merge_parts(scd2.empty_history(snapshot), snapshot, ts, key)
-        return commit_version(spark, root, open_rows, None, None, key), True
+        return commit_version(spark, root, open_rows, None, None, key, ts), True
+    last = read_pointer(spark, root, v).get("run_ts")
+    if last is not None and ts <= last:
+        return v, False          # this run is already in the table: a replay is a no-op
     open_hist = read_version(spark, root, v, "open")
     gates.assert_ts_after(open_hist, ts)
     counts = scd2.merge_counts(scd2.classify(scd2.current(open_hist), snapshot, key)).first()
     if counts.new == 0 and counts.changed == 0 and counts.retired == 0:
         return v, False
     open_rows, closed_now = scd2.merge_parts(open_hist, snapshot, ts, key)
-    return commit_version(spark, root, open_rows, closed_now, v, key), True
+    return commit_version(spark, root, open_rows, closed_now, v, key, ts), True
 
 
 def build_current_artifact(current: DataFrame, key: str, geom: str | None = "geom",
