@@ -264,6 +264,8 @@ def run_all(tables: Tables, checks: Sequence[Check], error_only: bool = False) -
     """Evaluate the suite (or only error-severity checks): name, severity, violations, allowance, status."""
     sel = [c for c in checks if c.severity == "error"] if error_only else list(checks)
     spark: SparkSession = next(iter(tables.values())).sparkSession
+    if not sel:
+        return spark.createDataFrame([], "ord int, " + RESULT_SCHEMA)
     meta = spark.createDataFrame(
         [(i, c.name, c.severity, int(c.allowance)) for i, c in enumerate(sel)],
         "ord int, name string, severity string, allowance bigint")

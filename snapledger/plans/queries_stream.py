@@ -12,14 +12,13 @@ from snapledger.streaming import scd2_sink
 
 @register("stream_scd2", f"{HIST} SELECT * FROM hist")
 def q_stream_scd2(spark, d):
-    """Write each snapshot as its own file set, stream them into a fresh table, read the result back."""
+    """Write each snapshot, announce it with a manifest, stream the manifests into a fresh table."""
     base = scratch_path(spark, "stream-scd2")
-    src, root, cp = f"{base}/incoming", f"{base}/table", f"{base}/_checkpoint"
-    stacked = ob.stacked(spark, d)
-    for i in range(1, len(ob.RUN_TIMES) + 1):
-        # one directory write per run: snapshots arrive one after the other
-        stacked.filter(f"seq = {i}").write.mode("errorifexists").parquet(f"{src}/run={i}")
-    schema = spark.read.parquet(f"{src}/run=1").schema
-    scd2_sink.run(spark, f"{src}/*", schema, root, ob.KEY, cp)
+    manifests, root, cp = f"{base}/manifests", f"{base}/table", f"{base}/_checkpoint"
+    for i, (snap, ts) in enumerate(zip(ob.snapshots(spark, d), ob.RUN_TIMES), start=1):
+        path = f"{base}/incoming/run={i}"
+        snap.write.mode("errorifexists").parquet(path)
+        scd2_sink.announce(spark, manifests, ts, path)
+    scd2_sink.run(spark, manifests, root, ob.KEY, cp, max_files_per_trigger=1)
     hist, _ = publish.checkout(spark, root)
     return hist.select(*ob.COLUMNS, "valid_from", "valid_to", "is_current")

@@ -1,53 +1,68 @@
-"""Snapshots arriving as files, merged into the versioned history by a streaming query.
-
-``readStream`` picks up new snapshot files; ``foreachBatch`` merges every run
-in the micro-batch in run-time order through ``publish.merge_and_commit``.  The
-table pointer records the last applied run, so a micro-batch replayed after a
-failure (same epoch, same files) commits nothing: the sink is idempotent and the
-stream is exactly-once in effect.  ``trigger(availableNow=True)`` drains what is
-there and stops, which suits a daily batch cadence; a processing-time trigger
-makes it continuous.
+"""Snapshots announced by manifests, merged into the versioned history by a streaming query.
+
+A snapshot is many files and must be merged whole, so the stream does not read
+snapshot rows directly: writers first write a complete snapshot directory, then
+drop a small JSON *manifest* ``{"run_ts": ..., "path": ...}`` into a watched
+folder.  ``readStream.json`` picks manifests up; ``foreachBatch`` merges every
+announced snapshot of the micro-batch in run-time order through
+``publish.merge_and_commit`` (a distributed read + merge per snapshot).
+
+The table pointer records the last applied run, so a micro-batch replayed after
+a failure commits nothing: the sink is idempotent and exactly-once in effect.
+``trigger(availableNow=True)`` drains what is there and stops (daily cadence);
+a processing-time trigger makes it continuous.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from snapledger.sources import publish
 
+MANIFEST_SCHEMA = "run_ts string, path string"
+
+
+def announce(spark: SparkSession, manifest_dir: str, run_ts: str, snapshot_path: str) -> None:
+    """Publish a manifest for a snapshot directory that is already completely written."""
+    jvm = spark._jvm
+    name = run_ts.replace(" ", "T").replace(":", "")
+    p = jvm.org.apache.hadoop.fs.Path(f"{manifest_dir.rstrip('/')}/{name}.json")
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(p, False)
+    try:
+        out.write(bytearray((json.dumps({"run_ts": run_ts, "path": snapshot_path}) + "\n").encode()))
+    finally:
+        out.close()
+
 
-def snapshot_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(schema)
+def manifest_stream(spark: SparkSession, manifest_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    r = spark.readStream.schema(MANIFEST_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(source_dir)
+    return r.json(manifest_dir)
 
 
-def merge_batch(table_root: str, key: str, run_col: str = "run_ts", drop: tuple[str, ...] = ("seq",)):
-    """foreachBatch function: merge each run of the micro-batch, oldest first."""
+def merge_batch(table_root: str, key: str, drop: tuple[str, ...] = ()):
+    """foreachBatch function: merge each announced snapshot of the micro-batch, oldest first."""
     def fn(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            # one row per run in the batch: a handful of timestamps, never data rows
-            runs = [r[0] for r in batch.select(F.col(run_col).cast("string")).distinct().orderBy(1).collect()]
-            for ts in runs:
-                snap = batch.filter(F.col(run_col).cast("string") == ts).drop(run_col, *drop)
-                publish.merge_and_commit(spark, table_root, snap, ts, key)
-        finally:
-            batch.unpersist()
+        # manifests are one tiny row per snapshot, never data rows
+        for m in batch.orderBy("run_ts").collect():
+            snap = spark.read.parquet(m.path)
+            if drop:
+                snap = snap.drop(*drop)
+            publish.merge_and_commit(spark, table_root, snap, m.run_ts, key)
     return fn
 
 
-def run(spark: SparkSession, source_dir: str, schema: T.StructType, table_root: str, key: str,
-        checkpoint_location: str, run_col: str = "run_ts", drop: tuple[str, ...] = ("seq",),
-        available_now: bool = True, max_files_per_trigger: int | None = 1):
+def run(spark: SparkSession, manifest_dir: str, table_root: str, key: str, checkpoint_location: str,
+        drop: tuple[str, ...] = (), available_now: bool = True, max_files_per_trigger: int | None = None):
     """Start (and with ``available_now`` wait for) the streaming merge; returns the query."""
-    stream = snapshot_stream(spark, source_dir, schema, max_files_per_trigger)
-    w = (stream.writeStream.foreachBatch(merge_batch(table_root, key, run_col, drop))
+    w = (manifest_stream(spark, manifest_dir, max_files_per_trigger).writeStream
+         .foreachBatch(merge_batch(table_root, key, drop))
          .option("checkpointLocation", checkpoint_location))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     q = w.start()
