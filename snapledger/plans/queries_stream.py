@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from snapledger.plans import orderbook as ob
-from snapledger.plans.queries_checks import HIST
+
 from snapledger.plans.registry import register
 from snapledger.session import scratch_path
 from snapledger.sources import publish
 from snapledger.streaming import scd2_sink
 
 
-@register("stream_scd2", f"{HIST} SELECT * FROM hist")
+@register("stream_scd2", f"{ob.history_ctes()} SELECT * FROM hist")
 def q_stream_scd2(spark, d):
     """Write each snapshot, announce it with a manifest, stream the manifests into a fresh table."""
     base = scratch_path(spark, "stream-scd2")

@@ -57,9 +57,7 @@ FROM b2 FULL OUTER JOIN b3 ON b2.order_key = b3.order_key"""
 @register("scd2_classify", _CLASSIFY_SQL)
 def q_scd2_classify(spark, d):
     s = ob.snapshots(spark, d)
-    h = scd2.empty_history(s[0])
-    for snap, t in zip(s[:2], ob.RUN_TIMES[:2]):
-        h = scd2.merge(h, snap, t, ob.KEY)
+    h = ob.history(spark, d, ob.RUN_TIMES[:2])
     return scd2.classify(scd2.current(h), s[2], ob.KEY)
 
 

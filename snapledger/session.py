@@ -56,10 +56,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never a local one)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Materialise ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage (iterative merges, audits that scan a table many times) like
+    ``checkpoint()``, but the result stays columnar, so later scans keep column
+    pruning and predicate pushdown.  The folder is the cluster's shared
+    ``spark.checkpoint.dir``: a lost executor's work is recomputed, never lost.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
