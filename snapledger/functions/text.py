@@ -65,16 +65,36 @@ def clean_owner_name(col: Column) -> Column:
     return F.trim(F.regexp_replace(no_agent, re2(r"\s{2,}"), " "))
 
 
+def _replace_first_word(s: Column, word: Column, repl: Column) -> Column:
+    """Replace the leftmost ' WORD ' or a trailing ' WORD' by ``repl`` -- without a regex.
+
+    Same result as a first-match replace of `` WORD$| WORD `` (both alternatives
+    start with the blank, so the leftmost match is the smaller start position).
+    """
+    inner = F.instr(s, F.concat(F.lit(" "), word, F.lit(" ")))
+    n = F.length(word) + 1
+    at_end = F.when(s.endswith(F.concat(F.lit(" "), word)), F.length(s) - n + 1).otherwise(F.lit(0))
+    pos = F.when((inner > 0) & ((at_end == 0) | (inner < at_end)), inner).otherwise(at_end)
+    width = F.when((inner > 0) & (pos == inner), n + 1).otherwise(n)
+    head = F.substr(s, F.lit(1), pos - 1)
+    tail = F.substr(s, pos + width, F.length(s) + 1)
+    return F.when(pos > 0, F.concat(head, repl, tail)).otherwise(s)
+
+
 def norm_address(col: Column) -> Column:
     """Upper/trim, strip ``.,``, squeeze blanks, drop a trailing unit, abbreviate street words.
 
-    Each street word is replaced at its *first* occurrence only.
+    Each street word is replaced at its *first* occurrence only, in list order.
+    The twelve replacements are one ``aggregate`` over the word pairs: the
+    accumulator is a lambda variable, so the expression stays linear in size
+    (an unrolled chain would reference each step several times).
     """
     e = F.regexp_replace(F.upper(F.trim(F.coalesce(col, F.lit("")))), "[.,]", "")
     e = F.regexp_replace(e, re2(r"\s+"), " ")
     e = F.regexp_replace(e, re2(UNIT_SUFFIX_PATTERN), "")
-    for long, short in STREET_ABBREVIATIONS:
-        e = first_match_replace(e, f" {long}$| {long} ", f" {short} ")
+    pairs = F.array(*[F.struct(F.lit(long).alias("w"), F.lit(f" {short} ").alias("r"))
+                      for long, short in STREET_ABBREVIATIONS])
+    e = F.aggregate(pairs, e, lambda acc, p: _replace_first_word(acc, p["w"], p["r"]))
     return F.trim(e)
 
 

@@ -196,11 +196,19 @@ def quantise(geom: Column, tol: float = 1e-5) -> Column:
 
     def ring_fn(r):
         snapped = F.transform(r, lambda p: F.array(snap(p[0]), snap(p[1])))
-        kept = F.filter(snapped, lambda p, i: (i == 0) | (p[0] != snapped[i - 1][0]) | (p[1] != snapped[i - 1][1]))
-        return F.when(F.size(kept) >= 4, kept).otherwise(r)
+
+        def dedupe(sn):      # ``sn`` is a bound variable: the snapped ring is computed once
+            kept = F.filter(sn, lambda p, i: (i == 0) | (p[0] != sn[i - 1][0]) | (p[1] != sn[i - 1][1]))
+            return F.transform(F.array(kept), lambda k: F.when(F.size(k) >= 4, k).otherwise(r))[0]
+        return _let(snapped, dedupe)
     return F.transform(geom, lambda poly: F.transform(poly, ring_fn))
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and bind it to a lambda variable for ``body`` (a one-element transform)."""
+    return F.transform(F.array(value), body)[0]
+
+
 def near_centroid(lon: Column, lat: Column, lon0: float, lat0: float, radius_m: float) -> Column:
     """Cheap radius test on centroids (metres per degree, cos of the query latitude), strict <."""
     cos_lat = math.cos(math.radians(lat0))

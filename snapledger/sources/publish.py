@@ -150,9 +150,11 @@ def build_current_artifact(current: DataFrame, key: str, geom: str | None = "geo
     """Current rows without the change hash, geometry snapped to the tolerance grid, centroids added."""
     df = current.drop("attr_hash")
     if geom:
-        c = geo.centroid(F.col(geom))
-        df = (df.withColumn(geom, geo.quantise(F.col(geom), tolerance))
-              .withColumn("centroid_lon", c["lon"]).withColumn("centroid_lat", c["lat"]))
+        # the centroid struct is one column, split afterwards: evaluated once per row
+        df = (df.withColumn("_centroid", geo.centroid(F.col(geom)))
+              .withColumn(geom, geo.quantise(F.col(geom), tolerance))
+              .withColumn("centroid_lon", F.col("_centroid.lon"))
+              .withColumn("centroid_lat", F.col("_centroid.lat")).drop("_centroid"))
     return df
 
 

@@ -13,7 +13,8 @@ def spark():
     from snapledger.session import get_session
 
     s = get_session("local[*]", shuffle_partitions=8,
-                    conf={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="snapledger-test-ckpt-")})
+                    conf={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="snapledger-test-ckpt-"),
+                          "spark.driver.memory": "6g"})
     yield s
 
 
