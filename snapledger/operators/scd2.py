@@ -106,12 +106,13 @@ def merge_counts(classified: DataFrame) -> DataFrame:
         *[F.count_if(st == s).alias(s) for s in STATUSES])
 
 
-def merge_parts(history: DataFrame, snapshot: DataFrame, ts, key: str | Sequence[str],
-                hash_col: str = "attr_hash") -> tuple[DataFrame, DataFrame]:
-    """(rows of the open part after the merge, rows closed by this merge).
+def merge_versions(history: DataFrame, snapshot: DataFrame, ts, key: str | Sequence[str],
+                   hash_col: str = "attr_hash") -> DataFrame:
+    """The rows one merge produces: every open row after the merge plus the rows it closed.
 
-    Closed rows already in ``history`` are not read.  The open part holds the
-    untouched open rows and the inserted new/changed versions.
+    Reads only the open rows of ``history`` (one full-outer join with the
+    snapshot, shuffled on the key).  Each join row emits at most two versions
+    (``inline``), so the join runs once for both outputs.
     """
     keys = _keys(key)
     data_cols = [c for c in history.columns if c not in VALIDITY]
@@ -132,9 +133,18 @@ def merge_parts(history: DataFrame, snapshot: DataFrame, ts, key: str | Sequence
         F.lit(None).cast("timestamp_ntz").alias("valid_to"),
         F.lit(True).alias("is_current")))
     versions = j.select(F.inline(F.array_compact(F.array(old, new))))
-    order = data_cols + list(VALIDITY)
-    versions = versions.select(*order)
-    return versions.filter(F.col("is_current")), versions.filter(~F.col("is_current"))
+    return versions.select(*data_cols, *VALIDITY)
+
+
+def merge_parts(history: DataFrame, snapshot: DataFrame, ts, key: str | Sequence[str],
+                hash_col: str = "attr_hash") -> tuple[DataFrame, DataFrame]:
+    """(open rows after the merge, rows closed by this merge) as two filters of ``merge_versions``.
+
+    Acting on both re-runs the join; a store writes ``merge_versions`` once instead
+    (see ``publish.merge_and_commit``).
+    """
+    v = merge_versions(history, snapshot, ts, key, hash_col)
+    return v.filter(F.col("is_current")), v.filter(~F.col("is_current"))
 
 
 def merge(history: DataFrame, snapshot: DataFrame, ts, key: str | Sequence[str],
@@ -142,12 +152,12 @@ def merge(history: DataFrame, snapshot: DataFrame, ts, key: str | Sequence[str],
     """SCD2 merge of one snapshot at ``ts``: close changed and missing keys, insert new versions.
 
     A key that vanished and returns is *new* (it has no open row), leaving a gap.
-    Merging the same snapshot again changes nothing (idempotent).
+    Merging the same snapshot again changes nothing (idempotent).  Closed rows
+    already in ``history`` pass through without a shuffle.
     """
-    open_part, closed_now = merge_parts(history, snapshot, ts, key, hash_col)
-    order = open_part.columns
-    old_closed = history.filter(~F.col("is_current")).select(*order)
-    return old_closed.unionByName(closed_now).unionByName(open_part)
+    versions = merge_versions(history, snapshot, ts, key, hash_col)
+    old_closed = history.filter(~F.col("is_current")).select(*versions.columns)
+    return old_closed.unionByName(versions)
 
 
 def history_from_snapshots(snapshots: DataFrame, key: str | Sequence[str], seq_col: str,

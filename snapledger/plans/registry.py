@@ -127,9 +127,16 @@ def q_scd2_changes(spark, d):
 
 
 def _load_all() -> None:
-    """Import the query modules so they register themselves."""
+    """Import the query modules so they register themselves (idempotent)."""
     from snapledger.plans import (queries_analytics, queries_checks, queries_geo, queries_parcels,  # noqa: F401
                                   queries_stream)
 
 
-_load_all()
+def all_queries() -> dict[str, Builder]:
+    _load_all()
+    return dict(QUERIES)
+
+
+def all_oracles() -> dict[str, str]:
+    _load_all()
+    return dict(ORACLES)

@@ -111,6 +111,32 @@ def commit_version(spark: SparkSession, root: str, open_rows: DataFrame, closed_
     return version
 
 
+def commit_versions(spark: SparkSession, root: str, versions: DataFrame, baseline: int | None,
+                    key: str | None = None, run_ts: str | None = None) -> int:
+    """One write job for a merge's output: open and newly closed rows land in two
+    sub-directories of a fresh data directory (partitioned on a copy of ``is_current``)."""
+    prev = read_pointer(spark, root, baseline) if baseline is not None else {"closed": []}
+    if latest_version(spark, root) != baseline:
+        raise StaleBaseline(f"baseline {baseline} is stale")
+    rel = f"data/{uuid.uuid4().hex}"
+    base = f"{root.rstrip('/')}/{rel}"
+    out = versions.withColumn("_open", F.col("is_current"))
+    if key:
+        out = out.repartitionByRange(F.col("_open"), F.col(key)).sortWithinPartitions(key)
+    out.write.mode("errorifexists").partitionBy("_open").parquet(base)
+    if not _exists(spark, f"{base}/_open=true"):       # every key retired: an empty open part
+        versions.limit(0).write.parquet(f"{base}/_open=true")
+    closed = list(prev["closed"])
+    if _exists(spark, f"{base}/_open=false"):
+        closed.append(f"{rel}/_open=false")
+    version = 0 if baseline is None else baseline + 1
+    ptr = json.dumps({"open": f"{rel}/_open=true", "closed": closed, "parent": baseline,
+                      "run_ts": run_ts if run_ts is not None else prev.get("run_ts")})
+    if not _create_exclusive(spark, f"{root.rstrip('/')}/commits/{version}.json", ptr):
+        raise StaleBaseline(f"version {version} was committed by another writer")
+    return version
+
+
 def checkout(spark: SparkSession, root: str) -> tuple[DataFrame | None, int | None]:
     """(history at the latest version, that version) -- the baseline for the next commit."""
     v = latest_version(spark, root)
@@ -131,8 +157,8 @@ def merge_and_commit(spark: SparkSession, root: str, snapshot: DataFrame, ts: st
     if v is None:
         if not create:
             raise FileNotFoundError(root)
-        open_rows, _ = scd2.merge_parts(scd2.empty_history(snapshot), snapshot, ts, key)
-        return commit_version(spark, root, open_rows, None, None, key, ts), True
+        versions = scd2.merge_versions(scd2.empty_history(snapshot), snapshot, ts, key)
+        return commit_versions(spark, root, versions, None, key, ts), True
     last = read_pointer(spark, root, v).get("run_ts")
     if last is not None and ts <= last:
         return v, False          # this run is already in the table: a replay is a no-op
@@ -141,8 +167,8 @@ def merge_and_commit(spark: SparkSession, root: str, snapshot: DataFrame, ts: st
     counts = scd2.merge_counts(scd2.classify(scd2.current(open_hist), snapshot, key)).first()
     if counts.new == 0 and counts.changed == 0 and counts.retired == 0:
         return v, False
-    open_rows, closed_now = scd2.merge_parts(open_hist, snapshot, ts, key)
-    return commit_version(spark, root, open_rows, closed_now, v, key, ts), True
+    versions = scd2.merge_versions(open_hist, snapshot, ts, key)
+    return commit_versions(spark, root, versions, v, key, ts), True
 
 
 def build_current_artifact(current: DataFrame, key: str, geom: str | None = "geom",
