@@ -81,29 +81,33 @@ def portfolio(lk: DataFrame, where: Column) -> DataFrame:
     strict   : parcels with the same owner name, mailing address and zip (not unlinkable)
     mail_home: homes whose site address is the owner's mailing address
     Columns: gw_parcel, n_homes, n_parcels, total_value, primary_found.
+
+    |A u B| = |A| + |B| - |A n B|: A and A n B share A's key, so ONE aggregation
+    over the owner groups carries both (the intersection as conditional
+    aggregates); B is one aggregation over site addresses.  Two key->key joins.
     """
-    gw = _focus(lk, where, True).select(
-        F.col("parcel_id").alias("gw_parcel"), "oname", "mail_norm", "mail_zip5")
-    owners = lk.filter(~F.col("unlinkable"))
-    a = _group_stats(owners, ["oname", "mail_norm", "mail_zip5"], "a_")
+    keys = ["oname", "mail_norm", "mail_zip5"]
+    gw = _focus(lk, where, True).select(F.col("parcel_id").alias("gw_parcel"), *keys)
+    v = F.col("appraised_total_value")
+    # in both links: a home standing at its own mailing address
+    both = F.col("is_home") & (F.col("site_norm") == F.col("mail_norm")) & (F.col("site_zip5") == F.col("mail_zip5"))
+    a = lk.filter(~F.col("unlinkable")).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("a_parcels"), F.count_if(F.col("is_home")).alias("a_homes"),
+        F.sum(v).alias("a_value"), F.count(v).alias("a_valued"), F.bool_or("has_pre").alias("a_pre"),
+        F.count_if(both).alias("ab_parcels"), F.sum(F.when(both, v)).alias("ab_value"),
+        F.count(F.when(both, v)).alias("ab_valued"))
     homes = lk.filter(F.col("is_home")).select(
         F.col("site_norm").alias("mail_norm"), F.col("site_zip5").alias("mail_zip5"),
         "appraised_total_value", "is_home", "has_pre")
     b = _group_stats(homes, ["mail_norm", "mail_zip5"], "b_")
-    # parcels in both: linkable, a home, and standing at its own mailing address
-    both = owners.filter(F.col("is_home") & (F.col("site_norm") == F.col("mail_norm"))
-                         & (F.col("site_zip5") == F.col("mail_zip5")))
-    ab = _group_stats(both, ["oname", "mail_norm", "mail_zip5"], "ab_")
-    j = (gw.join(a, ["oname", "mail_norm", "mail_zip5"], "left")
-         .join(b, ["mail_norm", "mail_zip5"], "left")
-         .join(ab, ["oname", "mail_norm", "mail_zip5"], "left"))
+    j = gw.join(a, keys, "left").join(b, ["mail_norm", "mail_zip5"], "left")
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     valued = z("a_valued") + z("b_valued") - z("ab_valued")
     total = F.coalesce(F.col("a_value"), F.lit(0.0)) + F.coalesce(F.col("b_value"), F.lit(0.0)) \
         - F.coalesce(F.col("ab_value"), F.lit(0.0))
     return j.select(
         "gw_parcel",
-        (z("a_homes") + z("b_homes") - z("ab_homes")).alias("n_homes"),
+        (z("a_homes") + z("b_homes") - z("ab_parcels")).alias("n_homes"),
         (z("a_parcels") + z("b_parcels") - z("ab_parcels")).alias("n_parcels"),
         F.when(valued > 0, total).alias("total_value"),
         (F.coalesce(F.col("a_pre"), F.lit(False)) | F.coalesce(F.col("b_pre"), F.lit(False))).alias("primary_found"))
