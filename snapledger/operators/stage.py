@@ -54,7 +54,7 @@ def order_key(part_col: str | None, geom_col: str | None) -> Column:
 
 def collapse(df: DataFrame, key: str, fields: list[FieldSpec], part_col: str | None = None,
              geom_col: str | None = None, key_dst: str | None = None,
-             typed: bool = False) -> DataFrame:
+             typed: bool = False, collect_geometry: bool = True) -> DataFrame:
     """One row per key.  Per field: the first non-NULL value in part order; volatile -> max.
 
     ``typed`` says the inputs already carry the spec types (otherwise they are
@@ -75,11 +75,37 @@ def collapse(df: DataFrame, key: str, fields: list[FieldSpec], part_col: str | N
                 v = cast_expr(f, v)
         aggs.append(v.alias(f.dst))
     aggs.append(F.count(F.lit(1)).cast("int").alias("feature_count"))
-    if geom_col:
+    if geom_col and collect_geometry:
+        # stored geometry needs the parts themselves (few per key in the property source);
+        # use ``geometry_metrics`` when only measures are needed
         aggs.append(F.array_sort(F.collect_set(geom_col)).alias("geom_parts"))
     return d.groupBy(F.col(key).alias(key_dst or key)).agg(*aggs)
 
 
+def geometry_metrics(df: DataFrame, key: str, geom_col: str, key_dst: str | None = None) -> DataFrame:
+    """Per key, from its distinct parts and without collecting them: part count, equal-area m2
+    (sum over distinct parts: exact for interior-disjoint parts), bbox and an order-free hash.
+
+    The distinct step groups by (key, part text), so a key holding a large share
+    of all parts is spread over many tasks; the per-key step is a partial
+    aggregation of a few numbers per part.
+    """
+    from snapledger.operators import geo
+
+    k = key_dst or key
+    parts = (df.select(F.col(key).alias(k), F.col(geom_col).alias("_g")).filter(F.col("_g").isNotNull())
+             .groupBy(k, "_g").agg(F.count(F.lit(1)).alias("_copies")))
+    g = geo.parse_geojson(F.col("_g"))
+    per = parts.select(k, geo.area_m2(g).alias("_area"), geo.bbox(g).alias("_b"),
+                       F.xxhash64("_g").alias("_h"))
+    return per.groupBy(k).agg(
+        F.count(F.lit(1)).cast("int").alias("n_parts"), F.sum("_area").alias("area_m2"),
+        F.min("_b.xmin").alias("xmin"), F.min("_b.ymin").alias("ymin"),
+        F.max("_b.xmax").alias("xmax"), F.max("_b.ymax").alias("ymax"),
+        # sum of per-part hashes (wrapping): independent of part order, no collection
+        F.sum("_h").alias("geom_hash"))
+
+
 def cast_columns(df: DataFrame, fields: list[FieldSpec], keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw text columns -> typed ``dst`` columns (no collapse)."""
     return df.select(*keep, *[cast_expr(f).alias(f.dst) for f in fields])
