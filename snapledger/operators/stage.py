@@ -86,24 +86,32 @@ def geometry_metrics(df: DataFrame, key: str, geom_col: str, key_dst: str | None
     """Per key, from its distinct parts and without collecting them: part count, equal-area m2
     (sum over distinct parts: exact for interior-disjoint parts), bbox and an order-free hash.
 
-    The distinct step groups by (key, part text), so a key holding a large share
-    of all parts is spread over many tasks; the per-key step is a partial
-    aggregation of a few numbers per part.
+    Part measures are computed map-side (parallel with the scan), then parts are
+    de-duplicated on (key, md5 of the part text) carrying only numbers -- a key
+    holding a large share of all parts is spread over many tasks -- and the
+    per-key step is a partial aggregation.
     """
     from snapledger.operators import geo
 
     k = key_dst or key
-    parts = (df.select(F.col(key).alias(k), F.col(geom_col).alias("_g")).filter(F.col("_g").isNotNull())
-             .groupBy(k, "_g").agg(F.count(F.lit(1)).alias("_copies")))
-    g = geo.parse_geojson(F.col("_g"))
-    per = parts.select(k, geo.area_m2(g).alias("_area"), geo.bbox(g).alias("_b"),
-                       F.xxhash64("_g").alias("_h"))
-    return per.groupBy(k).agg(
+    text = F.col(geom_col)
+    # parse once into a column: the measures below reference the geometry several times
+    parsed = df.filter(text.isNotNull()).select(
+        F.col(key).alias(k), F.md5(text).alias("_id"), F.xxhash64(text).alias("_h"),
+        geo.parse_geojson(text).alias("_geom"))
+    g = F.col("_geom")
+    per = parsed.select(k, "_id", "_h", geo.area_m2(g).alias("_area"), geo.bbox(g).alias("_b")).select(
+        k, "_id", "_h", "_area", "_b.xmin", "_b.ymin", "_b.xmax", "_b.ymax")
+    # copies of one part carry equal measures: any aggregate picks them (numeric -> hash aggregation)
+    parts = per.groupBy(k, "_id").agg(
+        F.max("_area").alias("_area"), F.max("_h").alias("_h"), F.min("xmin").alias("xmin"),
+        F.min("ymin").alias("ymin"), F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax"))
+    return parts.groupBy(k).agg(
         F.count(F.lit(1)).cast("int").alias("n_parts"), F.sum("_area").alias("area_m2"),
-        F.min("_b.xmin").alias("xmin"), F.min("_b.ymin").alias("ymin"),
-        F.max("_b.xmax").alias("xmax"), F.max("_b.ymax").alias("ymax"),
-        # sum of per-part hashes (wrapping): independent of part order, no collection
-        F.sum("_h").alias("geom_hash"))
+        F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"),
+        F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax"),
+        # XOR of the distinct parts' hashes: independent of part order, no collection, no overflow
+        F.bit_xor("_h").alias("geom_hash"))
 
 
 def cast_columns(df: DataFrame, fields: list[FieldSpec], keep: tuple[str, ...] = ()) -> DataFrame:

@@ -8,6 +8,7 @@ from snapledger.operators import explore, geo, stage
 from snapledger.plans import parcelish
 from snapledger.plans.registry import register
 from snapledger.plans.tables import table
+from snapledger.session import spread
 from snapledger.sources.fields import FieldSpec
 
 P = f"WITH p AS ({parcelish.duck_sql()})"
@@ -100,7 +101,7 @@ FROM l"""
 
 
 def line_parts(spark, d):
-    return spark.sql(LINE_PARTS_SQL, lineitem=table(spark, d, "lineitem"))
+    return spark.sql(LINE_PARTS_SQL, lineitem=spread(table(spark, d, "lineitem")))
 
 
 _ORD = "lpad(CAST(l_linenumber AS VARCHAR), 6, '0') || md5(coalesce(geom_text, ''))"

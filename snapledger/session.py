@@ -69,6 +69,17 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin repartition only when ``df`` has fewer partitions than the cluster has cores.
+
+    For CPU-heavy per-row work (geometry, regex) on a skinny input, e.g. a
+    single-row-group file read as one task.  On large inputs (thousands of splits)
+    it returns ``df`` unchanged, so it never adds a shuffle at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/snapledger/{name}-{os.getpid()}-{next(_counter)}"
