@@ -141,3 +141,13 @@ def category_index(df: DataFrame, col: str, palette: int = PALETTE_SIZE) -> Data
     d = df.select(col).filter(F.col(col).isNotNull()).distinct()
     rn = F.row_number().over(Window.orderBy(col)) - 1
     return d.select(col, rn.alias("idx"), F.pmod(rn, F.lit(palette)).alias("palette_slot"))
+
+
+def sample_rows(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
+    """A repeatable pseudo-random sample of ``n`` rows (the limit *is* the feature).
+
+    Rows are ranked by md5(seed || key) and the n smallest kept: a distributed
+    top-k (per-partition top n, then a merge of n-row lists), no global sort.
+    """
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    return df.withColumn("_sample_rank", h).orderBy("_sample_rank", key).limit(n).drop("_sample_rank")

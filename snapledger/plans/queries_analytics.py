@@ -221,3 +221,11 @@ def q_normalise_fmt(spark, d):
                     explore.normalise(F.col("appraised_total_value"), 0, 2000000).alias("color_value"),
                     explore.normalise(F.col("year_built_min"), 1950, 2026).alias("color_year"),
                     explore.fmt_dollars(F.col("taxable_value")).alias("taxable_text"))
+
+
+@register("sample_seeded", """
+SELECT doc_id, lang, source, n_chars FROM documents
+ORDER BY md5('7:' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 25""")
+def q_sample_seeded(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
+    return explore.sample_rows(docs, "doc_id", 25, seed=7)
