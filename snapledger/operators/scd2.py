@@ -199,10 +199,24 @@ def as_of(history: DataFrame, t) -> DataFrame:
 
 
 def as_of_join(facts: DataFrame, history: DataFrame, fact_key: str, fact_ts: str,
-               key: str, how: str = "left", prefix: str = "") -> DataFrame:
-    """Attach to every fact the version of its key that was valid at the fact's time."""
+               key: str, how: str = "left", prefix: str = "", salt: int = 1) -> DataFrame:
+    """Attach to every fact the version of its key that was valid at the fact's time.
+
+    An equi-join on the key with a range residual (sort-merge, AQE skew splits
+    apply).  With ``salt`` > 1 a hot fact key is spread over ``salt`` tasks
+    explicitly: facts get a salt from a hash of the row, and each version is
+    replicated ``salt`` times -- bounded, since a key has one version per run at
+    most, never per fact.
+    """
     h = history.select([F.col(c).alias(prefix + c) for c in history.columns])
     k, vf, vt = prefix + key, prefix + "valid_from", prefix + "valid_to"
+    if salt > 1:
+        sc = "_salt"
+        facts = facts.withColumn(sc, F.pmod(F.xxhash64(*facts.columns), F.lit(salt)))
+        h = h.withColumn("_hsalt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
+        cond = ((facts[fact_key] == h[k]) & (facts[sc] == h["_hsalt"]) & (h[vf] <= facts[fact_ts])
+                & (h[vt].isNull() | (h[vt] > facts[fact_ts])))
+        return facts.join(h, cond, how).drop(sc, "_hsalt")
     cond = ((facts[fact_key] == h[k]) & (h[vf] <= facts[fact_ts])
             & (h[vt].isNull() | (h[vt] > facts[fact_ts])))
     return facts.join(h, cond, how)
