@@ -161,18 +161,23 @@ def merge(history: DataFrame, snapshot: DataFrame, ts, key: str | Sequence[str],
 
 
 def history_from_snapshots(snapshots: DataFrame, key: str | Sequence[str], seq_col: str,
-                           ts_col: str, last_seq: int, hash_col: str = "attr_hash") -> DataFrame:
+                           run_times: Sequence[str], hash_col: str = "attr_hash",
+                           ts_col: str | None = None) -> DataFrame:
     """Backfill: the history that sequential merges of numbered snapshots produce, in one pass.
 
-    ``snapshots`` stacks every snapshot with a dense sequence number (1..last_seq)
-    and its run time.  A version starts where a key appears after a gap or its
-    hash differs from the previous snapshot; it ends at the run time of the
-    snapshot after its last one.  Rows per key are bounded by the number of
-    snapshots, so the per-key window stays small whatever the data size.
+    ``snapshots`` stacks every snapshot with its sequence number ``seq_col``
+    (1..len(run_times)); ``run_times[i-1]`` is the run time of snapshot i.  The
+    run times are passed explicitly because a snapshot may be empty.  A version
+    starts where a key appears after a gap or its hash differs from the previous
+    snapshot; it ends at the run time of the snapshot after its last one.  Rows
+    per key are bounded by the number of snapshots, so the per-key window stays
+    small whatever the data size.
     """
     from pyspark.sql import Window
 
     keys = _keys(key)
+    spark = snapshots.sparkSession
+    n = len(run_times)
     w = Window.partitionBy(*keys).orderBy(seq_col)
     prev_seq = F.lag(seq_col).over(w)
     prev_hash = F.lag(hash_col).over(w)
@@ -182,14 +187,17 @@ def history_from_snapshots(snapshots: DataFrame, key: str | Sequence[str], seq_c
     wr = Window.partitionBy(*keys, "_run")
     runs = (runs.withColumn("_end_seq", F.max(seq_col).over(wr))
             .filter(F.col("_start") == 1))
-    # one row per snapshot: the run time that closes a version ending at seq - 1
-    seq_ts = snapshots.groupBy(seq_col).agg(F.min(ts_col).alias("_next_ts")) \
-        .select((F.col(seq_col) - 1).alias("_closing_seq"), "_next_ts")
-    out = runs.join(F.broadcast(seq_ts), F.col("_closing_seq") == F.col("_end_seq"), "left")
-    data_cols = [c for c in snapshots.columns if c not in (seq_col, ts_col)]
-    return out.select(*data_cols, F.col(ts_col).alias("valid_from"),
-                      F.col("_next_ts").alias("valid_to"),
-                      (F.col("_end_seq") == F.lit(last_seq)).alias("is_current"))
+    # one row per run: (seq, time); broadcast is bounded by the number of runs
+    times = spark.createDataFrame([(i, t) for i, t in enumerate(run_times, start=1)], "_seq int, _t string") \
+        .select("_seq", F.col("_t").cast("timestamp_ntz").alias("_t"))
+    starts = F.broadcast(times.select(F.col("_seq").alias("_s_seq"), F.col("_t").alias("_from")))
+    ends = F.broadcast(times.select((F.col("_seq") - 1).alias("_e_seq"), F.col("_t").alias("_to")))
+    out = (runs.join(starts, F.col(seq_col) == F.col("_s_seq"), "left")
+           .join(ends, F.col("_end_seq") == F.col("_e_seq"), "left"))
+    drop = {seq_col} | ({ts_col} if ts_col else set())
+    data_cols = [c for c in snapshots.columns if c not in drop]
+    return out.select(*data_cols, F.col("_from").alias("valid_from"), F.col("_to").alias("valid_to"),
+                      (F.col("_end_seq") == F.lit(n)).alias("is_current"))
 
 
 def as_of(history: DataFrame, t) -> DataFrame:

@@ -43,8 +43,7 @@ def q_scd2_merge(spark, d):
 
 @register("scd2_backfill", f"{HIST} SELECT * FROM hist")
 def q_scd2_backfill(spark, d):
-    return scd2.history_from_snapshots(ob.stacked(spark, d), ob.KEY, "seq", "run_ts",
-                                       last_seq=len(ob.RUN_TIMES))
+    return scd2.history_from_snapshots(ob.stacked(spark, d), ob.KEY, "seq", ob.RUN_TIMES, ts_col="run_ts")
 
 
 _CLASSIFY_SQL = f"""{HIST}

@@ -130,7 +130,8 @@ def test_repeated_run_time_rejected(runs):
 def test_backfill_equals_sequential_merges(runs):
     s1 = runs["s1"].withColumn("seq", F.lit(1)).withColumn("run_ts", F.lit("2024-07-01 00:00:00").cast("timestamp_ntz"))
     s2 = runs["s2"].withColumn("seq", F.lit(2)).withColumn("run_ts", F.lit("2026-07-01 00:00:00").cast("timestamp_ntz"))
-    b = scd2.history_from_snapshots(s1.unionByName(s2), "parcel_id", "seq", "run_ts", last_seq=2)
+    b = scd2.history_from_snapshots(s1.unionByName(s2), "parcel_id", "seq",
+                                    ["2024-07-01 00:00:00", "2026-07-01 00:00:00"], ts_col="run_ts")
     cols = ["parcel_id", "attr_hash", "valid_from", "valid_to", "is_current"]
     assert sorted(map(tuple, b.select(cols).collect())) == sorted(map(tuple, runs["h2"].select(cols).collect()))
 
