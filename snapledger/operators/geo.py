@@ -84,9 +84,18 @@ def collect_parts(parts: Column) -> Column:
     return F.flatten(F.array_sort(F.collect_set(parts)))
 
 
+def _albers_point(p: Column) -> Column:
+    """[x, y] for one [lon, lat] point; sin(lat) and rho are bound once (same arithmetic as ``albers``)."""
+    def with_s(s):
+        q = (1 - _E2) * (s / (1 - _E2 * s * s) - (1 / (2 * _E)) * F.ln((1 - _E * s) / (1 + _E * s)))
+        rho = GRS80_A * F.sqrt(_C - _N * q) / _N
+        theta = _N * F.radians(p[0] - ALBERS_LON_0)
+        return _let(rho, lambda r: F.array(r * F.sin(theta), _RHO0 - r * F.cos(theta)))
+    return _let(F.sin(F.radians(p[1])), with_s)
+
+
 def project(geom: Column) -> Column:
-    return F.transform(geom, lambda poly: F.transform(poly, lambda ring: F.transform(
-        ring, lambda p: F.array(*albers(p[0], p[1])))))
+    return F.transform(geom, lambda poly: F.transform(poly, lambda ring: F.transform(ring, _albers_point)))
 
 
 def _ring_moments(ring: Column) -> Column:
