@@ -121,6 +121,19 @@ def profile(df: DataFrame, cols: Sequence[str], exact: bool = False) -> DataFram
     return wide.select(F.inline(rows))
 
 
+def top_values(df: DataFrame, cols: Sequence[str], k: int = 5) -> DataFrame:
+    """Per column, the k most frequent non-NULL values (as text), ties broken by value.
+
+    One scan: rows are unpivoted to (column, value), counted with partial
+    aggregation, then ranked per column over the aggregated rows only.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
+    counts = (df.select(F.inline(pairs)).filter(F.col("value").isNotNull())
+              .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+    rank = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), "value"))
+    return counts.withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
 def page(df: DataFrame, order: Sequence[str], page_no: int, size: int = PAGE_SIZE) -> DataFrame:
     """Rows [page_no * size, (page_no + 1) * size) in key order (the page *is* the feature)."""
     return df.orderBy(*order).offset(page_no * size).limit(size)

@@ -229,3 +229,15 @@ ORDER BY md5('7:' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 25""")
 def q_sample_seeded(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
     return explore.sample_rows(docs, "doc_id", 25, seed=7)
+
+
+_TOP_COLS = ("land_use", "owner_state", "tax_district", "exemption_6_type")
+
+
+@register("profile_top_values", f"""{P}, u AS (
+  {" UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value FROM p" for c in _TOP_COLS)}),
+c AS (SELECT "column", value, count(*) AS n FROM u WHERE value IS NOT NULL GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) AS rank FROM c)
+SELECT * FROM r WHERE rank <= 5""")
+def q_profile_top_values(spark, d):
+    return explore.top_values(_p(spark, d), _TOP_COLS, 5)
