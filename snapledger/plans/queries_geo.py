@@ -209,3 +209,26 @@ def q_map_feed(spark, d):
     p = p.withColumn("centroid_lon", c["lon"]).withColumn("centroid_lat", c["lat"])
     sel = explore.radius(F.col("centroid_lon"), F.col("centroid_lat"), POINT[0], POINT[1], RADIUS)
     return explore.map_feed(p, ["parcel_id", "owner_name"], "appraised_total_value", "geom", sel).drop("geom")
+
+
+@register("current_artifact", f"""{P}
+SELECT parcel_id, owner_name, appraised_total_value,
+       round(sw_lon + {SIDE / 2!r}, 6) AS centroid_lon, round(sw_lat + {SIDE / 2!r}, 6) AS centroid_lat,
+       round(sw_lon, 5) AS q_xmin, round(sw_lat, 5) AS q_ymin,
+       round(sw_lon + {SIDE!r}, 5) AS q_xmax, round(sw_lat + {SIDE!r}, 5) AS q_ymax,
+       FALSE AS has_attr_hash
+FROM p""")
+def q_current_artifact(spark, d):
+    """Published current rows: no change hash, geometry snapped to the 1e-5 grid, centroids added."""
+    from snapledger.operators import scd2
+    from snapledger.sources import publish
+
+    p = _parcels(spark, d).select("parcel_id", "owner_name", "appraised_total_value", "geom")
+    cur = scd2.with_hash(p, key="parcel_id")
+    art = publish.build_current_artifact(cur, "parcel_id")
+    b = geo.bbox(F.col("geom"))
+    return art.select(
+        "parcel_id", "owner_name", "appraised_total_value",
+        F.round("centroid_lon", 6).alias("centroid_lon"), F.round("centroid_lat", 6).alias("centroid_lat"),
+        b["xmin"].alias("q_xmin"), b["ymin"].alias("q_ymin"), b["xmax"].alias("q_xmax"), b["ymax"].alias("q_ymax"),
+        F.lit("attr_hash" in art.columns).alias("has_attr_hash"))
