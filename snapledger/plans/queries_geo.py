@@ -122,13 +122,12 @@ areas AS (SELECT l_orderkey, round(sum({_AREA}), 3) AS area_m2
           FROM (SELECT DISTINCT l_orderkey, geom_text, x6, y6 FROM raw) GROUP BY l_orderkey)
 SELECT agg.*, areas.area_m2 FROM agg JOIN areas ON areas.l_orderkey = agg.order_key""")
 def q_stage_collapse(spark, d):
-    parts = line_parts(spark, d)
-    # attributes: first non-NULL value in part order; geometry: aggregated part metrics, never a
-    # collected list (a key may hold a large share of all parts)
-    c = stage.collapse(parts, "l_orderkey", LINE_FIELDS, part_col="l_linenumber",
-                       geom_col="geom_text", key_dst="order_key", typed=True, collect_geometry=False)
-    m = stage.geometry_metrics(parts, "l_orderkey", "geom_text", key_dst="order_key")
-    return c.join(m.select("order_key", F.round("area_m2", 3).alias("area_m2")), "order_key", "left")
+    # attributes: first non-NULL value in part order; geometry: measures of the distinct parts,
+    # never a collected list -- one scan, two aggregation levels (hot keys spread at level 1)
+    c = stage.collapse_two_level(line_parts(spark, d), "l_orderkey", LINE_FIELDS, "l_linenumber",
+                                 "geom_text", key_dst="order_key")
+    return c.select("order_key", *[f.dst for f in LINE_FIELDS], "feature_count",
+                    F.round("area_m2", 3).alias("area_m2"))
 
 
 def _year_fixture(spark, d):
