@@ -118,16 +118,33 @@ def commit_versions(spark: SparkSession, root: str, versions: DataFrame, baselin
     prev = read_pointer(spark, root, baseline) if baseline is not None else {"closed": []}
     if latest_version(spark, root) != baseline:
         raise StaleBaseline(f"baseline {baseline} is stale")
+    rel = _write_versions(versions, root, key)
+    return _publish_pointer(spark, root, rel, prev, baseline, run_ts)
+
+
+def _write_versions(versions: DataFrame, root: str, key: str | None) -> str:
+    """One write job: open and newly closed rows in two sub-directories of a fresh data directory.
+
+    The merge output is already hash-partitioned on the key (full-outer join), so
+    sorting within partitions gives key-sorted row groups without another shuffle
+    or a range-sampling pass (which would recompute the join).
+    """
+    spark = versions.sparkSession
     rel = f"data/{uuid.uuid4().hex}"
     base = f"{root.rstrip('/')}/{rel}"
     out = versions.withColumn("_open", F.col("is_current"))
     if key:
-        out = out.repartitionByRange(F.col("_open"), F.col(key)).sortWithinPartitions(key)
+        out = out.sortWithinPartitions("_open", key)     # the partitioned writer needs _open first
     out.write.mode("errorifexists").partitionBy("_open").parquet(base)
     if not _exists(spark, f"{base}/_open=true"):       # every key retired: an empty open part
         versions.limit(0).write.parquet(f"{base}/_open=true")
+    return rel
+
+
+def _publish_pointer(spark: SparkSession, root: str, rel: str, prev: dict, baseline: int | None,
+                     run_ts: str | None) -> int:
     closed = list(prev["closed"])
-    if _exists(spark, f"{base}/_open=false"):
+    if _exists(spark, f"{root.rstrip('/')}/{rel}/_open=false"):
         closed.append(f"{rel}/_open=false")
     version = 0 if baseline is None else baseline + 1
     ptr = json.dumps({"open": f"{rel}/_open=true", "closed": closed, "parent": baseline,
@@ -164,11 +181,19 @@ def merge_and_commit(spark: SparkSession, root: str, snapshot: DataFrame, ts: st
         return v, False          # this run is already in the table: a replay is a no-op
     open_hist = read_version(spark, root, v, "open")
     gates.assert_ts_after(open_hist, ts)
-    counts = scd2.merge_counts(scd2.classify(scd2.current(open_hist), snapshot, key)).first()
-    if counts.new == 0 and counts.changed == 0 and counts.retired == 0:
-        return v, False
+    prev = read_pointer(spark, root, v)
+    if latest_version(spark, root) != v:
+        raise StaleBaseline(f"baseline {v} is stale")
     versions = scd2.merge_versions(open_hist, snapshot, ts, key)
-    return commit_versions(spark, root, versions, v, key, ts), True
+    rel = _write_versions(versions, root, key)
+    # no-op detection from what was written (no extra join): nothing closed, nothing started at ts
+    base = f"{root.rstrip('/')}/{rel}"
+    closed_any = _exists(spark, f"{base}/_open=false")
+    started_any = spark.read.parquet(f"{base}/_open=true").filter(
+        F.col("valid_from") == F.lit(ts).cast("timestamp_ntz")).limit(1).count() > 0
+    if not closed_any and not started_any:
+        return v, False          # unchanged snapshot: the written directory stays an unreferenced orphan
+    return _publish_pointer(spark, root, rel, prev, v, ts), True
 
 
 def build_current_artifact(current: DataFrame, key: str, geom: str | None = "geom",
