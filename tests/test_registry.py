@@ -23,3 +23,15 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, key):
     res = compare(spark, SF, [key], verbose=True)[key]
     assert res[0] == "match", res
+
+
+def test_no_python_evaluation_in_any_plan(spark):
+    """Every registered query stays in the JVM: no (Arrow/batch) Python UDF nodes in its physical plan."""
+    offenders = []
+    for key, build in entry.queries().items():
+        if key == "stream_scd2":          # runs a stream while building; its result is a Parquet read
+            continue
+        plan = build(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        if "EvalPython" in plan or "PythonUDF" in plan:
+            offenders.append(key)
+    assert offenders == []
