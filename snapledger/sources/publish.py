@@ -160,10 +160,30 @@ def checkout(spark: SparkSession, root: str) -> tuple[DataFrame | None, int | No
     return (None, None) if v is None else (read_version(spark, root, v), v)
 
 
+def retire_raw(spark: SparkSession, raw_path: str | None, keep_raw: bool) -> None:
+    """Delete a run's raw input directory -- only ever called after its commit succeeded."""
+    if raw_path and not keep_raw:
+        fs, p, _ = _fs(spark, raw_path)
+        if fs.exists(p):
+            fs.delete(p, True)
+
+
 def merge_and_commit(spark: SparkSession, root: str, snapshot: DataFrame, ts: str, key: str,
-                     create: bool = True) -> tuple[int, bool]:
+                     create: bool = True, raw_path: str | None = None,
+                     keep_raw: bool = True) -> tuple[int, bool]:
+    """SCD2-merge ``snapshot`` at run time ``ts`` into the table at ``root``: (version, changed)."""
+    result = _merge_and_commit(spark, root, snapshot, ts, key, create)
+    retire_raw(spark, raw_path, keep_raw)
+    return result
+
+
+def _merge_and_commit(spark: SparkSession, root: str, snapshot: DataFrame, ts: str, key: str,
+                      create: bool) -> tuple[int, bool]:
     """SCD2-merge a snapshot into the table at ``root``; returns (version, changed).
 
+    With ``keep_raw=False`` the raw input directory ``raw_path`` is deleted after the
+    run is safely in the table (committed, or found to be a no-op); never before.
+
     Reads only the open rows of the baseline.  An all-unchanged snapshot commits
     nothing (idempotent re-runs).  A failure before the pointer leaves the
     previous version as the visible one (rollback by construction).

@@ -80,3 +80,19 @@ def test_artifact_sorted_and_slim(spark, tmp_path):
     publish.write_artifact(art, path, "k")
     assert sorted(r.k for r in spark.read.parquet(path).collect()) == list(range(20))
     assert os.path.isdir(path)
+
+
+def test_raw_directory_retired_only_after_commit(spark, tmp_path):
+    raw = tmp_path / "raw" / "run1"
+    raw.mkdir(parents=True)
+    (raw / "page-00000.ndjson").write_text("{}\n")
+    root = str(tmp_path / "tbl_raw")
+    publish.merge_and_commit(spark, root, snap(spark, [("a", 1)]), "2024-01-01 00:00:00", "key",
+                             raw_path=str(raw), keep_raw=False)
+    assert not raw.exists()
+    kept = tmp_path / "raw" / "run2"
+    kept.mkdir()
+    bad = snap(spark, [("a", 2)]).withColumn("v", F.when(F.col("v") == 2, F.raise_error("boom")).cast("long"))
+    with pytest.raises(Exception):
+        publish.merge_and_commit(spark, root, bad, "2024-02-01 00:00:00", "key", raw_path=str(kept), keep_raw=False)
+    assert kept.exists()        # a failed run keeps its raw input
