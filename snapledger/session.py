@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -84,15 +84,6 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
+    """A folder nobody else uses: drivers may share the checkpoint folder and even their process ids."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/snapledger/{name}-{os.getpid()}-{next(_counter)}"
-
-
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_counter = _count()
+    return f"{root}/snapledger/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
