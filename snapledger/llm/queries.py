@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from snapledger.llm import minhash
+from snapledger.llm import minhash, suffix_dedup
 from snapledger.plans.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +27,10 @@ def register(name: str, oracle: str | None = None):
 def op1_minhash(spark: SparkSession, d: str) -> DataFrame:
     """2-word shingles, similarity 0.8 or more, over all documents."""
     return minhash.near_duplicates(table(spark, d, "documents"), words=2, percent=80)
+
+
+@register("op10_suffix_array")
+def op10_suffix_array(spark: SparkSession, d: str) -> DataFrame:
+    """50-byte strings that also start in a document with a smaller id, cut from all documents."""
+    return suffix_dedup.cut_repeats(table(spark, d, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
