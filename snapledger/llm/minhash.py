@@ -6,9 +6,10 @@ buckets, and star-shaped candidate edges (a bucket of n texts makes n - 1 candid
 its smallest member).  Every candidate is confirmed on the full shingle sets.
 
 Stars alone could miss a link between two members that are both unlike the centre.  Such members
-become centres themselves in further rounds, a bounded number per bucket and round, until none is
-left; members already connected to their bucket's centre are settled.  So every pair that shares a
-bucket is either compared or already connected.
+become centres themselves in further rounds, a bounded number per star and round, until none is
+left; members already connected to their star's centre are settled.  So every pair that shares a
+bucket is compared, already connected, or ruled out by size or by the triangle inequality of the
+Jaccard distance.
 """
 
 from __future__ import annotations
@@ -17,13 +18,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.llm.common import hot_rows, join_groups, materialise, mix, shingle_set
 
-BANDS, ROWS = 20, 4            # a pair at 0.8 shares a bucket with probability 1 - (1 - 0.8^4)^20 > 0.99997
-STARS = 16                     # further centres per bucket and round
+# A pair at 0.8 shares a bucket with probability 1 - (1 - 0.8^8)^56 > 0.99996, one at 0.05 (chance
+# similarity of unrelated texts, of which pairs grow with the square of the corpus) with 2e-9.
+BANDS, ROWS = 56, 8
+STARS = 8                      # further centres per star in the first round after the first; then 8 times as many
 
 
 def _probe_order(k: int) -> np.ndarray:
@@ -85,14 +88,13 @@ def _sets(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
         run, "doc long, shingles binary")
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * |A & B| >= percent * |A | B|, compared on full sets.
+def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, both, either): sizes of intersection and union of the full sets of each pair.
 
     Pairs are gathered by ``a``; one with very many partners is split over several tasks, each of
     which reads that set once and streams the partners past it, so memory holds two sets.
     """
-    n = pairs.count()
-    least = hot_rows(n)
+    least = hot_rows(pairs.count())
     hot = pairs.groupBy("a").count().where(F.col("count") >= least)
     cut = (pairs.join(F.broadcast(hot), "a", "left")
            .withColumn("chunk", F.when(F.col("count").isNull(), F.lit(0)).otherwise(
@@ -113,42 +115,42 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 small, large = (own, s) if len(own) < len(s) else (s, own)
                 at = np.minimum(np.searchsorted(large, small), len(large) - 1)
                 both = int(np.count_nonzero(large[at] == small))
-                if 100 * both >= percent * (len(own) + len(s) - both):
-                    found.append((a, doc))
-            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+                found.append((a, doc, both, len(own) + len(s) - both))
+            yield pd.DataFrame(found, columns=["a", "b", "both", "either"], dtype="int64")
 
     return (roles.join(sets, "doc").repartition("a", "chunk").sortWithinPartitions("a", "chunk", "role")
-            .mapInPandas(run, "a long, b long"))
+            .mapInPandas(run, "a long, b long, both long, either long"))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(doc, label): the smallest document reachable, for every document with an edge (a, b).
 
-    Labels spread along edges and jump to their label's label; each round is a written table.
-    Nothing is gathered: the driver sees one count per round.
+    Labels spread along edges and jump to their label's label; each round is a written table and
+    nothing is gathered.  Documents with very many edges meet their label in a join of two shuffled
+    tables, which adaptive execution splits.
     """
-    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
-        edges.select(F.col("b").alias("u"), F.col("a").alias("v"))).distinct()
-    both = materialise(both, "edges")
-    total = both.count()
-    degree = materialise(both.groupBy("u").agg(F.count("*").alias("deg"), F.min("v").alias("m")), "degree")
-    labels = degree.select(F.col("u").alias("doc"), F.least("u", "m").alias("label"), "deg")
+    both = materialise(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
+        edges.select(F.col("b").alias("u"), F.col("a").alias("v"))).distinct(), "edges")
+    labels = materialise(both.groupBy(F.col("u").alias("doc")).agg(F.min("v").alias("m"))
+                         .select("doc", F.least("doc", "m").alias("label")), "labels")
     while True:
-        known = labels.select(F.col("doc").alias("u"), F.col("label").alias("l"), "deg")
-        near = (join_groups(both, known, ["u"], "deg", total, "inner")
+        near = (both.join(labels.select(F.col("doc").alias("u"), F.col("label").alias("l")), "u")
                 .groupBy(F.col("v").alias("doc")).agg(F.min("l").alias("near")))
-        step = labels.join(near, "doc").select("doc", "deg", "label", F.least("label", "near").alias("next"))
-        step = materialise(step, "labels")
-        # jump: the label of my label.  Labels may be hot, so count them first.
-        size = step.groupBy("next").agg(F.count("*").alias("n_same"))
-        target = step.select(F.col("doc").alias("next"), F.col("next").alias("jump")).join(size, "next")
-        jumped = join_groups(step, target, ["next"], "n_same", step.count(), "left")
-        labels = materialise(jumped.select("doc", "deg", F.col("label").alias("old"),
-                                           F.coalesce("jump", "next").alias("label")), "labels")
+        jump = labels.select(F.col("doc").alias("near"), F.col("label").alias("jump"))
+        step = (labels.join(near, "doc").withColumn("near", F.least("label", "near")).join(jump, "near", "left")
+                .select("doc", F.least("near", "jump").alias("label"), F.col("label").alias("old")))
+        labels = materialise(step, "labels")
         if labels.where("old <> label").isEmpty():
             return labels.select("doc", "label")
 
 
+def _labelled(rows: DataFrame, labels: DataFrame | None, doc: str, name: str) -> DataFrame:
+    if labels is None:
+        return rows.withColumn(name, F.col(doc))
+    known = labels.select(F.col("doc").alias(doc), F.col("label").alias(name))
+    return rows.join(known, doc, "left").withColumn(name, F.coalesce(name, doc))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
@@ -167,73 +169,60 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     groups = materialise(live.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_rows"),
                                                       F.first("n_shingles").alias("n"), F.first("bands").alias("bands")),
                          "groups")
-    member = groups.select("rep", "n", F.explode("bands").alias("bucket"))
-    n_member = groups.count() * bands
+    member = groups.select("rep", F.explode("bands").alias("bucket"))
     bucket = member.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("n_in")).where("n_in > 1")
-    shared = materialise(join_groups(member, bucket, ["bucket"], "n_in", n_member, "inner"), "buckets")
+    star = join_groups(member, bucket, ["bucket"], "n_in", groups.count() * bands, "inner").select("centre", "rep").distinct()
+    size = groups.select("rep", "n")
+    # Buckets with the same centre are one star from here on: members of a bucket share its centre.
+    star = materialise(star.join(size, "rep"), "stars")
 
     # Sets only of texts that have a partner; no list of partners is capped.
-    asked = shared.select(F.col("rep").alias("doc")).distinct()
+    asked = star.select(F.col("rep").alias("doc")).distinct()
     texts = docs.withColumn("_doc", F.col(id_col).cast("long")).join(asked, F.col("_doc") == F.col("doc"), "left_semi")
+    ids = live.agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("m")).first()
     sets = _sets(texts, words, id_col, text_col)
-    sets = materialise(sets.dropDuplicates(["doc", "shingles"]) if _repeats(live) else sets, "sets")
-
-    def possible(p: DataFrame) -> DataFrame:
-        """Sizes alone rule out many pairs: |A & B| <= smaller, |A | B| >= larger."""
-        return p.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b").distinct()
-
-    size = groups.select(F.col("rep").alias("centre"), F.col("n").alias("na"))
-    first = shared.where("rep <> centre").select("centre", F.col("rep").alias("b"), F.col("n").alias("nb")).distinct()
-    n_first = first.groupBy("centre").agg(F.count("*").alias("n_star"))
-    first = materialise(join_groups(first, size.join(n_first, "centre"), ["centre"], "n_star", n_member, "inner")
-                        .withColumnRenamed("centre", "a"), "stars")
-    tried = materialise(possible(first), "pairs")
-    links = materialise(confirm(tried, sets, percent), "links")
-
-    # Members of larger buckets that their star left unconnected become centres in turn.
-    done = None
-    while True:
-        label = components(links) if not links.isEmpty() else None
-        rest = shared.where("n_in > 2")
-        if label is None:
-            named = rest.withColumn("own", F.col("rep")).withColumn("main", F.col("centre"))
-        else:
-            one = label.select(F.col("doc").alias("rep"), F.col("label").alias("own"))
-            two = label.select(F.col("doc").alias("centre"), F.col("label").alias("main"))
-            named = (rest.join(one, "rep", "left").join(two, "centre", "left")
-                     .withColumn("own", F.coalesce("own", "rep")).withColumn("main", F.coalesce("main", "centre")))
-        loose = named.where("own <> main")
-        if done is not None:
-            loose = loose.join(done, ["bucket", "rep"], "left_anti")
-        loose = materialise(loose, "loose")
-        if loose.isEmpty():
+    sets = materialise(sets if ids["n"] == ids["m"] else sets.dropDuplicates(["doc"]), "sets")
+
+    linked = F.expr(f"100 * both >= {percent} * either")
+    pairs = star.where("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b"))
+    tried = materialise(compare(pairs, sets), "pairs")
+
+    # What a star leaves unlinked: centres in turn, more of them each round, until all of a star is
+    # connected or every member was a centre.
+    seen = star.join(tried.select(F.col("a").alias("centre"), F.col("b").alias("rep"), "both", "either"), ["centre", "rep"], "left")
+    seen = seen.withColumn("far", F.when(F.col("rep") == F.col("centre"), 0.0).otherwise(1 - F.col("both") / F.col("either")))
+    seen = materialise(seen.withColumn("loose", (F.col("rep") != F.col("centre")) & ~linked), "seen")
+    n_loose = seen.groupBy("centre").agg(F.count_if("loose").alias("n_loose"), F.count("*").alias("n_star")).where("n_loose > 0 and n_star > 2")
+    more = materialise(seen.join(n_loose, "centre"), "loose")
+    most = more.agg(F.max("n_loose")).first()[0] or 0
+    labels, stars, before = None, STARS, 0
+    while before < most:
+        labels = components(tried.where(linked))
+        named = _labelled(_labelled(more, labels, "rep", "own"), labels, "centre", "main")
+        place = F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) / F.lit(float(1 << 20)) * F.col("n_loose")
+        named = materialise(named.withColumn("place", place), "named")
+        centres = named.where("loose and own <> main").where((F.col("place") >= before) | F.lit(before == 0)).where(
+            (F.col("place") < stars) | (F.col("n_loose") <= stars))
+        if named.where("loose and own <> main").isEmpty():
             break
-        order = Window.partitionBy("bucket").orderBy("rep")
-        star = materialise(loose.withColumn("k", F.row_number().over(order)).where(F.col("k") <= STARS)
-                           .select("bucket", F.col("rep").alias("r"), F.col("n").alias("nr"), F.col("own").alias("r_own")),
-                           "more-stars")
-        done_now = star.select("bucket", F.col("r").alias("rep"))
-        done = materialise(done_now if done is None else done.unionByName(done_now), "centres")
-        pairs = named.join(star, "bucket").where("rep <> r and own <> r_own").select(
-            F.least("rep", "r").alias("a"), F.greatest("rep", "r").alias("b"), F.col("n").alias("na"), F.col("nr").alias("nb"))
-        new = materialise(possible(pairs).join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = tried.unionByName(new)
+        again = centres.select("centre", F.col("rep").alias("r"), F.col("n").alias("nr"), F.col("own").alias("r_own"), F.col("far").alias("r_far"))
+        # Jaccard distance is a metric: what differs by more than the bound from one centre is not linked
+        reach = 1 - percent / 100 + 1e-9
+        pairs = (named.join(again, "centre").where("rep <> r and own <> r_own")
+                 .where(100 * F.least("n", "nr") >= percent * F.greatest("n", "nr")).where(F.abs(F.col("far") - F.col("r_far")) <= reach)
+                 .select(F.least("rep", "r").alias("a"), F.greatest("rep", "r").alias("b")).distinct())
+        new = materialise(pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        labels = None
         if not new.isEmpty():
-            links = materialise(links.unionByName(confirm(new, sets, percent)), "links")
+            tried = materialise(tried.unionByName(compare(new, sets)), "pairs")
+        before, stars = stars, 8 * stars
 
-    if label is not None:
-        groups = groups.join(label.withColumnRenamed("doc", "rep"), "rep", "left")
-    else:
-        groups = groups.withColumn("label", F.lit(None).cast("long"))
-    found = groups.select("d1", "d2", F.coalesce("label", "rep").alias("component"), "n_rows")
+    links = tried.where(linked)
+    if labels is None and not links.isEmpty():
+        labels = components(links)
+    found = _labelled(groups, labels, "rep", "component").select("d1", "d2", "component", "n_rows")
     rows_out = join_groups(live.select("doc_id", "n_shingles", "d1", "d2"), found, ["d1", "d2"], "n_rows", live.count(), "left")
     none = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component"))
     out = rows_out.select("doc_id", "n_shingles", "component").unionByName(none)
     return out.select("doc_id", "n_shingles", F.col("component").alias("component_id"),
                       F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
-
-
-def _repeats(live: DataFrame) -> bool:
-    """Whether an id occurs twice (then a set may be read twice)."""
-    n = live.agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("m")).first()
-    return n["n"] != n["m"]
