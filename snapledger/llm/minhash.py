@@ -6,10 +6,9 @@ buckets, and star-shaped candidate edges (a bucket of n texts makes n - 1 candid
 its smallest member).  Every candidate is confirmed on the full shingle sets.
 
 Stars alone could miss a link between two members that are both unlike the centre.  Such members
-become centres themselves in further rounds, a bounded number per star and round, until none is
-left; members already connected to their star's centre are settled.  So every pair that shares a
-bucket is compared, already connected, or ruled out by size or by the triangle inequality of the
-Jaccard distance.
+become centres themselves in further rounds, a bounded number per bucket and round, until none is
+left; members already connected to their bucket's centre are settled.  So every pair that shares a
+bucket is compared, already connected, or ruled out by its sizes.
 """
 
 from __future__ import annotations
@@ -26,7 +25,8 @@ from snapledger.llm.common import hot_rows, join_groups, materialise, mix, shing
 # A pair at 0.8 shares a bucket with probability 1 - (1 - 0.8^8)^56 > 0.99996, one at 0.05 (chance
 # similarity of unrelated texts, of which pairs grow with the square of the corpus) with 2e-9.
 BANDS, ROWS = 56, 8
-STARS = 8                      # further centres per star in the first round after the first; then 8 times as many
+STARS = 8                      # further centres per bucket in the second round; then 8 times as many each round
+BESIDE = 1_000_000             # rows of two or three numbers that a join broadcasts at most, counted first
 
 
 def _probe_order(k: int) -> np.ndarray:
@@ -44,8 +44,14 @@ def signature(shingles: np.ndarray, k: int, probes: np.ndarray) -> np.ndarray:
     full[full] = bins[first[full]] == np.flatnonzero(full)
     source = np.arange(k)
     empty = np.flatnonzero(~full)
-    if len(empty):
-        source[empty] = probes[empty, np.argmax(full[probes[empty]], axis=1)]
+    for low, high in ((0, 12), (12, k)):                   # most bins find one within a few probes
+        if not len(empty):
+            break
+        there = full[probes[empty, low:high]]
+        at = np.argmax(there, axis=1)
+        found = there[np.arange(len(empty)), at]
+        source[empty[found]] = probes[empty[found], low + at[found]]
+        empty = empty[~found]
     return shingles[first[source]]
 
 
@@ -88,8 +94,8 @@ def _sets(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
         run, "doc long, shingles binary")
 
 
-def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, both, either): sizes of intersection and union of the full sets of each pair.
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) with 100 * |A & B| >= percent * |A | B|, compared on full sets.
 
     Pairs are gathered by ``a``; one with very many partners is split over several tasks, each of
     which reads that set once and streams the partners past it, so memory holds two sets.
@@ -103,52 +109,61 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
              .unionByName(cut.select(F.col("a").alias("doc"), "a", "chunk", F.lit(0).alias("role")).distinct()))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        centre, own = None, None
+        centre, owns = None, []
         for b in batches:
             found = []
             for doc, a, chunk, role, raw in zip(b["doc"], b["a"], b["chunk"], b["role"], b["shingles"]):
                 s = np.frombuffer(raw, dtype=np.uint64)
                 if role == 0:
-                    centre, own = (a, chunk), s
+                    if centre != (a, chunk):
+                        centre, owns = (a, chunk), []
+                    owns.append(s)                         # several only where an id has several texts
                     continue
-                assert centre == (a, chunk)
-                small, large = (own, s) if len(own) < len(s) else (s, own)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                both = int(np.count_nonzero(large[at] == small))
-                found.append((a, doc, both, len(own) + len(s) - both))
-            yield pd.DataFrame(found, columns=["a", "b", "both", "either"], dtype="int64")
+                for own in owns:
+                    small, large = (own, s) if len(own) < len(s) else (s, own)
+                    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+                    both = int(np.count_nonzero(large[at] == small))
+                    if 100 * both >= percent * (len(own) + len(s) - both):
+                        found.append((a, doc))
+            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return (roles.join(sets, "doc").repartition("a", "chunk").sortWithinPartitions("a", "chunk", "role")
-            .mapInPandas(run, "a long, b long, both long, either long"))
+            .mapInPandas(run, "a long, b long"))
+
 
+def _beside(rows: DataFrame, n: int, most: int = BESIDE) -> DataFrame:
+    """``rows`` for a join: broadcast if its counted ``n`` rows are few, else left to a shuffle."""
+    return F.broadcast(rows) if n <= most else rows
 
-def components(edges: DataFrame) -> DataFrame:
-    """(doc, label): the smallest document reachable, for every document with an edge (a, b).
+
+def components(edges: DataFrame) -> tuple[DataFrame, int]:
+    """(doc, label) and its number of rows: the smallest document reachable, for every document with an edge (a, b).
 
     Labels spread along edges and jump to their label's label; each round is a written table and
-    nothing is gathered.  Documents with very many edges meet their label in a join of two shuffled
-    tables, which adaptive execution splits.
+    nothing is gathered.  Many labels meet the edges in joins of shuffled tables, which adaptive
+    execution splits where a document has very many edges.
     """
     both = materialise(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
         edges.select(F.col("b").alias("u"), F.col("a").alias("v"))).distinct(), "edges")
     labels = materialise(both.groupBy(F.col("u").alias("doc")).agg(F.min("v").alias("m"))
                          .select("doc", F.least("doc", "m").alias("label")), "labels")
+    n = labels.count()
     while True:
-        near = (both.join(labels.select(F.col("doc").alias("u"), F.col("label").alias("l")), "u")
+        near = (both.join(_beside(labels.select(F.col("doc").alias("u"), F.col("label").alias("l")), n), "u")
                 .groupBy(F.col("v").alias("doc")).agg(F.min("l").alias("near")))
         jump = labels.select(F.col("doc").alias("near"), F.col("label").alias("jump"))
-        step = (labels.join(near, "doc").withColumn("near", F.least("label", "near")).join(jump, "near", "left")
+        step = (near.join(_beside(labels, n), "doc").withColumn("near", F.least("label", "near")).join(_beside(jump, n), "near")
                 .select("doc", F.least("near", "jump").alias("label"), F.col("label").alias("old")))
         labels = materialise(step, "labels")
         if labels.where("old <> label").isEmpty():
-            return labels.select("doc", "label")
+            return labels.select("doc", "label"), n
 
 
-def _labelled(rows: DataFrame, labels: DataFrame | None, doc: str, name: str) -> DataFrame:
+def _labelled(rows: DataFrame, labels: tuple[DataFrame, int] | None, doc: str, name: str) -> DataFrame:
     if labels is None:
         return rows.withColumn(name, F.col(doc))
-    known = labels.select(F.col("doc").alias(doc), F.col("label").alias(name))
-    return rows.join(known, doc, "left").withColumn(name, F.coalesce(name, doc))
+    known = labels[0].select(F.col("doc").alias(doc), F.col("label").alias(name))
+    return rows.join(_beside(known, labels[1]), doc, "left").withColumn(name, F.coalesce(name, doc))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
@@ -169,57 +184,55 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     groups = materialise(live.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_rows"),
                                                       F.first("n_shingles").alias("n"), F.first("bands").alias("bands")),
                          "groups")
-    member = groups.select("rep", F.explode("bands").alias("bucket"))
-    bucket = member.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("n_in")).where("n_in > 1")
-    star = join_groups(member, bucket, ["bucket"], "n_in", groups.count() * bands, "inner").select("centre", "rep").distinct()
-    size = groups.select("rep", "n")
-    # Buckets with the same centre are one star from here on: members of a bucket share its centre.
-    star = materialise(star.join(size, "rep"), "stars")
-
-    # Sets only of texts that have a partner; no list of partners is capped.
-    asked = star.select(F.col("rep").alias("doc")).distinct()
-    texts = docs.withColumn("_doc", F.col(id_col).cast("long")).join(asked, F.col("_doc") == F.col("doc"), "left_semi")
-    ids = live.agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("m")).first()
-    sets = _sets(texts, words, id_col, text_col)
-    sets = materialise(sets if ids["n"] == ids["m"] else sets.dropDuplicates(["doc"]), "sets")
-
-    linked = F.expr(f"100 * both >= {percent} * either")
-    pairs = star.where("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b"))
-    tried = materialise(compare(pairs, sets), "pairs")
-
-    # What a star leaves unlinked: centres in turn, more of them each round, until all of a star is
-    # connected or every member was a centre.
-    seen = star.join(tried.select(F.col("a").alias("centre"), F.col("b").alias("rep"), "both", "either"), ["centre", "rep"], "left")
-    seen = seen.withColumn("far", F.when(F.col("rep") == F.col("centre"), 0.0).otherwise(1 - F.col("both") / F.col("either")))
-    seen = materialise(seen.withColumn("loose", (F.col("rep") != F.col("centre")) & ~linked), "seen")
-    n_loose = seen.groupBy("centre").agg(F.count_if("loose").alias("n_loose"), F.count("*").alias("n_star")).where("n_loose > 0 and n_star > 2")
-    more = materialise(seen.join(n_loose, "centre"), "loose")
-    most = more.agg(F.max("n_loose")).first()[0] or 0
-    labels, stars, before = None, STARS, 0
-    while before < most:
-        labels = components(tried.where(linked))
-        named = _labelled(_labelled(more, labels, "rep", "own"), labels, "centre", "main")
-        place = F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) / F.lit(float(1 << 20)) * F.col("n_loose")
-        named = materialise(named.withColumn("place", place), "named")
-        centres = named.where("loose and own <> main").where((F.col("place") >= before) | F.lit(before == 0)).where(
-            (F.col("place") < stars) | (F.col("n_loose") <= stars))
-        if named.where("loose and own <> main").isEmpty():
+    member = groups.select("rep", "n", F.explode("bands").alias("bucket"))
+    bucket = materialise(member.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("n_in")).where("n_in > 1"), "buckets")
+    shared = join_groups(member, bucket, ["bucket"], "n_in", groups.count() * bands, "inner")
+    size = bucket.select("centre").distinct().join(groups.select(F.col("rep").alias("centre"), F.col("n").alias("n_centre")), "centre")
+    shared = materialise(shared.join(_beside(size, bucket.count()), "centre"), "shared")
+    fits = F.expr(f"100 * least(n, n_centre) >= {percent} * greatest(n, n_centre)")     # sizes alone rule out many pairs
+
+    # Sets only of texts that may have a partner; no list of partners is capped.
+    asked = materialise(shared.where(fits | (F.col("n_in") > 2)).select(F.col("rep").alias("doc"))
+                        .unionByName(shared.where(fits & (F.col("rep") != F.col("centre"))).select(F.col("centre").alias("doc")))
+                        .distinct(), "asked")
+    texts = docs.withColumn("_doc", F.col(id_col).cast("long")).join(
+        _beside(asked, asked.count()), F.col("_doc") == F.col("doc"), "left_semi")
+    sets = materialise(_sets(texts, words, id_col, text_col), "sets")
+
+    tried = materialise(shared.where(fits & (F.col("rep") != F.col("centre"))).select(
+        F.col("centre").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
+    links = materialise(confirm(tried, sets, percent), "links")
+
+    # What the stars of larger buckets leave unconnected: centres in turn, more of them each round,
+    # until all of a bucket is connected or every such member was a centre.
+    labels = components(links) if not links.isEmpty() else None
+    stars = STARS
+    while True:
+        named = _labelled(_labelled(shared.where("n_in > 2"), labels, "rep", "own"), labels, "centre", "main")
+        named = materialise(named.select("bucket", "rep", "n", "own", (F.col("own") != F.col("main")).alias("loose")), "named")
+        loose = named.where("loose").groupBy("bucket").agg(F.count("*").alias("n_loose"))
+        loose = materialise(loose, "loose")
+        most = loose.agg(F.max("n_loose")).first()[0] or 0
+        if not most:
             break
-        again = centres.select("centre", F.col("rep").alias("r"), F.col("n").alias("nr"), F.col("own").alias("r_own"), F.col("far").alias("r_far"))
-        # Jaccard distance is a metric: what differs by more than the bound from one centre is not linked
-        reach = 1 - percent / 100 + 1e-9
-        pairs = (named.join(again, "centre").where("rep <> r and own <> r_own")
-                 .where(100 * F.least("n", "nr") >= percent * F.greatest("n", "nr")).where(F.abs(F.col("far") - F.col("r_far")) <= reach)
+        place = F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) / F.lit(float(1 << 20)) * F.col("n_loose")
+        turn = (place < stars) | (F.col("n_loose") <= stars)
+        centres = (named.where("loose").join(_beside(loose, loose.count()), "bucket").where(turn)
+                   .select("bucket", F.col("rep").alias("r"), F.col("n").alias("nr"), F.col("own").alias("r_own")))
+        pairs = (named.join(centres, "bucket").where("rep <> r and own <> r_own")
+                 .where(100 * F.least("n", "nr") >= percent * F.greatest("n", "nr"))
                  .select(F.least("rep", "r").alias("a"), F.greatest("rep", "r").alias("b")).distinct())
-        new = materialise(pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        labels = None
+        new = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         if not new.isEmpty():
-            tried = materialise(tried.unionByName(compare(new, sets)), "pairs")
-        before, stars = stars, 8 * stars
+            tried = tried.unionByName(new)
+            more = materialise(confirm(new, sets, percent), "links")
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                labels = components(links)
+        if most <= stars:                                  # every loose member was a centre
+            break
+        stars *= 8
 
-    links = tried.where(linked)
-    if labels is None and not links.isEmpty():
-        labels = components(links)
     found = _labelled(groups, labels, "rep", "component").select("d1", "d2", "component", "n_rows")
     rows_out = join_groups(live.select("doc_id", "n_shingles", "d1", "d2"), found, ["d1", "d2"], "n_rows", live.count(), "left")
     none = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component"))
