@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from snapledger.llm.common import join_groups, materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
-BUCKET_ROWS = 20_000           # rows per sampling bucket: what one window partition holds
 
 
 def n_words(text: Column) -> Column:
@@ -21,14 +20,14 @@ def n_words(text: Column) -> Column:
 
 
 def water_fill(sources: DataFrame, cap: float = 3.0) -> DataFrame:
-    """``target`` per source of (source, size, weight): shares of the whole size by weight, at most cap * size.
+    """``target`` per source of (nth, size, weight): shares of the whole size by weight, at most cap * size.
 
     Sources whose share exceeds their cap are clamped to it and the excess is shared by weight among
     the others, until none is above.  The fixed point follows in one pass: with sources in order of
     cap / weight, the clamped ones come first, and source i is clamped if what remains after those
     before it, shared by the weights from i on, reaches its cap.  Sources without size get 0.
     """
-    order = Window.orderBy("fill", F.col("source").asc_nulls_last())
+    order = Window.orderBy("fill", "nth")                               # one row per source
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     total = sources.agg(F.sum("size").cast("double").alias("total"))
@@ -39,16 +38,14 @@ def water_fill(sources: DataFrame, cap: float = 3.0) -> DataFrame:
                          / F.sum("weight").over(after)))
     # the level of the first source that is not clamped, the highest of these, holds for it and all after it
     free = level.where("fill > level").agg(F.max("level").alias("water"))
-    told = level.crossJoin(free).select("source", F.least(
+    told = level.crossJoin(free).select("nth", F.least(
         F.col("top"), F.coalesce(F.col("water"), F.lit(float("inf"))) * F.col("weight")).alias("target"))
-    told = told.withColumnRenamed("source", "_source")
-    return sources.join(told, F.col("source").eqNullSafe(F.col("_source")), "left").select(
-        "source", "size", "weight", F.coalesce("target", F.lit(0.0)).alias("target"))
+    return sources.join(told, "nth", "left").withColumn("target", F.coalesce("target", F.lit(0.0)))
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), cap: float = 3.0, seed: int = 42, id_col: str = "doc_id",
-        text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, size, source_size, target, taken, source) per row of ``docs``.
+        text_col: str = "text", source_col: str = "source", carry: bool = False) -> DataFrame:
+    """(doc_id, size, source_size, target, taken) per row of ``docs``, with ``carry`` also its ``row`` as a struct.
 
     Sources in order of code points, null last, get ``weights`` in turn.  A source is repeated
     floor(target / source_size) times whole; for the rest its documents are taken in a seeded order
@@ -58,52 +55,54 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), cap: floa
     Null or blank texts have size 0 and are taken 0 times; rows with equal ids and texts take
     neighbouring places in the order; a source without words has target 0.  Reruns agree.
     """
-    sized = materialise(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                                    n_words(F.col(text_col)).alias("size")), "sizes")
-    by_source = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n_rows"))
-    nth = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
+    def sized(*more: Column) -> DataFrame:
+        source = F.col(source_col).cast("string")
+        return docs.select(F.col(id_col).cast("long").alias("doc_id"), n_words(F.col(text_col)).alias("size"),
+                           F.xxhash64(text_col).alias("tie"), F.coalesce(source, F.lit("")).alias("key"), source.isNull().alias("no"), *more)
+
+    narrow = materialise(sized(), "sizes")
+    by_source = narrow.groupBy("key", "no").agg(F.sum("size").alias("size"), F.count("*").alias("n_rows"))
+    nth = F.row_number().over(Window.orderBy("no", "key")) - 1          # one row per source
     listed = by_source.withColumn("nth", nth).withColumn("weight", F.element_at(
         F.array(*[F.lit(float(w)) for w in weights]), (F.col("nth") % len(weights) + 1).cast("int")))
     listed = materialise(listed, "sources")
-    filled = water_fill(listed.select("source", "size", "weight"), cap).select(F.col("source").alias("_source"), "target")
-    plan = materialise(listed.join(filled, F.col("source").eqNullSafe(F.col("_source"))).select(
-        "nth", "n_rows", "source", F.col("size").alias("source_size"), "target"), "plan")
-
-    # Prefix sums of sizes in seeded order, in two levels: a hot source is many buckets.
-    keyed = (sized.withColumn("key", F.coalesce("source", F.lit(""))).withColumn("no", F.col("source").isNull())
-             .withColumn("place", F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"))), 1, 8),
-                                         16, 10).cast("long")))
-    told = plan.withColumn("key", F.coalesce("source", F.lit(""))).withColumn("no", F.col("source").isNull()).drop("source")
-    total = sized.count()
-    known = join_groups(keyed, told, ["key", "no"], "n_rows", total, "inner")
-    span = F.ceil(F.lit(2.0 ** 32) / F.ceil(F.col("n_rows") / BUCKET_ROWS))
-    known = known.withColumn("bucket", F.floor(F.col("place") / span))
-    sums = known.groupBy("nth", "bucket").agg(F.sum("size").alias("words"), F.count("*").alias("n_in"))
+    filled = water_fill(listed.select("nth", "size", "weight"), cap).select("nth", "target")
+    plan = materialise(listed.withColumnRenamed("size", "source_size").join(filled, "nth").drop("weight"), "plan")
+
+    # Prefix sums of sizes in seeded order, in two levels: a source of n rows is sqrt(n) buckets.
+    total = narrow.count()
+
+    def placed(rows: DataFrame) -> DataFrame:
+        digits = F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"))), 1, 8)
+        known = join_groups(rows.withColumn("place", F.conv(digits, 16, 10).cast("long")), plan, ["key", "no"], "n_rows", total, "inner")
+        return known.withColumn("bucket", F.floor(F.col("place") / F.lit(2.0 ** 32) * F.ceil(F.sqrt("n_rows"))))
+
+    sums = placed(narrow).groupBy("nth", "bucket").agg(F.sum("size").alias("words"), F.count("*").alias("n_in"))
     up_to = Window.partitionBy("nth").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("before", F.coalesce(F.sum("words").over(up_to), F.lit(0)))
-    inside = (Window.partitionBy("nth", "bucket").orderBy("place", "doc_id", "size")
+    sums = materialise(sums.withColumn("before", F.coalesce(F.sum("words").over(up_to), F.lit(0))).drop("words"), "buckets")
+    inside = (Window.partitionBy("nth", "bucket").orderBy("place", "doc_id", "size", "tie")
               .rowsBetween(Window.unboundedPreceding, -1))
-    placed = (join_groups(known, sums.select("nth", "bucket", "before", "n_in"), ["nth", "bucket"], "n_in", total, "inner")
-              .withColumn("start", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0))))
+    rows = placed(sized(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")) if carry else narrow)
+    start = F.col("before") + F.coalesce("inner_start", F.lit(0))
+    found = (rows.withColumn("inner_start", F.sum("size").over(inside))
+             .join(sums.select("nth", "bucket", "before"), ["nth", "bucket"]).withColumn("start", start))
     goal = F.floor(F.col("target") + 1e-6)
     whole = F.when(F.col("source_size") > 0, F.floor(goal / F.col("source_size"))).otherwise(F.lit(0))
     part = goal - whole * F.col("source_size")
     taken = F.col("size") * whole + F.greatest(F.lit(0), F.least(F.col("size"), part - F.col("start")))
-    return placed.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "source")
+    return found.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), *(["row"] if carry else []))
 
 
-def repeat(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The mix itself: each document as often as taken, a last part of it cut after that many words.
+def repeat(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """The mix itself, with the columns of ``docs``: each row as often as it is taken.
 
-    Ids of ``docs`` must be distinct (rows without an id are left out).  At most one document of a
-    source is taken in part.
+    At most one document of a source is taken in part: of it, the copy that reaches the target ends
+    after that many words.
     """
-    times = mixed.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
-    joined = docs.join(times, docs[id_col].cast("long") == times["_id"])
-    n = F.when(F.col("_size") > 0, F.ceil(F.col("_taken") / F.col("_size"))).otherwise(F.lit(0)).cast("int")
-    each = joined.where("_taken > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), n)))
-    left = F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")
-    words = F.regexp_extract_all(text_col, F.lit(WORD), F.lit(0))
-    cut = F.when(left >= F.col("_size"), F.col(text_col)).otherwise(
-        F.array_join(F.slice(words, F.lit(1), F.greatest(left, F.lit(0)).cast("int")), " "))
-    return each.withColumn(text_col, cut).drop("_id", "_size", "_taken", "_copy")
+    mixed = mix(docs, text_col=text_col, carry=True, **options).where("taken > 0")
+    copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
+    each = mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+    left = F.col("taken") - (F.col("copy") - 1) * F.col("size")
+    words = F.regexp_extract_all(F.col("row")[text_col], F.lit(WORD), F.lit(0))
+    cut = F.when(left >= F.col("size"), F.col("row")[text_col]).otherwise(F.array_join(F.slice(words, F.lit(1), left.cast("int")), " "))
+    return each.withColumn("cut", cut).select(*[F.col("cut").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])

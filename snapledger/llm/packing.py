@@ -11,6 +11,7 @@ bins whenever that increases the sum of squared fills, which empties bins one af
 
 from __future__ import annotations
 
+import math
 import zlib
 from bisect import bisect_right
 from collections import Counter, defaultdict
@@ -24,7 +25,6 @@ from pyspark.sql import functions as F
 from snapledger.llm.common import materialise
 
 CAPACITY = 2048
-BUCKET_ROWS = 20_000           # rows of one numbering window
 CACHE_WORDS = 200_000          # words whose ids a task remembers
 SEARCH_STEPS = 20_000          # swaps tried at most (each handles all bins of its two patterns)
 
@@ -217,7 +217,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     slots = _slots(plan_bins(histogram, capacity))
 
     # the number of a piece among those of its length, counted in two levels: no window holds a hot length
-    n_buckets = max(1, -(-sum(histogram.values()) // BUCKET_ROWS))
+    n_buckets = math.isqrt(sum(histogram.values())) + 1         # as many buckets as rows in one, at most
     dealt = cut.withColumn("bucket", F.pmod("tie", F.lit(n_buckets)))
     sums = dealt.groupBy("length", "bucket").agg(F.count("*").alias("n_in"))
     up_to = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -86,10 +86,18 @@ SELECT doc_id, size, source_size, target,
             + greatest(0, least(size, goal % source_size - start)) END AS BIGINT) AS taken FROM o""")
 def op3_mixing(spark: SparkSession, d: str) -> DataFrame:
     """All documents, sources weighing 1, 2, 3 in turn, at most three epochs."""
-    return mixing.mix(table(spark, d, "documents")).drop("source")
-
-
-@register("op4_warc")
+    return mixing.mix(table(spark, d, "documents"))
+
+
+@register("op4_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, octet_length(encode(h)) AS n, sha1(h) AS hex, max(page_id) OVER (PARTITION BY h) AS last FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+           ((('0x' || substr(hex, CAST(5 * (k // 4) + 1 AS INTEGER), 5))::BIGINT >> CAST(5 * (3 - k % 4) AS BIGINT)) & 31) + 1 AS INTEGER), 1)), '')
+           AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to FROM q""")
 def op4_warc(spark: SparkSession, d: str) -> DataFrame:
     """All pages written as WARC records and read back."""
     return warc.round_trip(table(spark, d, "pages"))

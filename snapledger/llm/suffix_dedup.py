@@ -289,10 +289,11 @@ def _settle(key, group: pd.DataFrame, window: int, gram: int) -> pd.DataFrame:
 
 
 def cut_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
-                block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES, hot_blocks: int = HOT_BLOCKS) -> DataFrame:
+                block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES, hot_blocks: int = HOT_BLOCKS, as_text: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept, rest) per row of ``docs``.
 
-    ``kept`` are the bytes left, ``rest`` the other columns as JSON.  A null text is empty.  Rows
+    ``kept`` are the bytes left (with ``as_text`` a text, without the parts of characters that a cut
+    went through), ``rest`` the other columns as JSON.  A null text is empty.  Rows
     with equal ids are one document and don't cut one another.  Rows without an id come last: they
     are cut against all others, and cut nothing.  A document is compared with whole documents as
     they came, not with what is left of them.
@@ -362,9 +363,10 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col:
                     g = gone[s:e]
                     n = int(np.count_nonzero(g))
                     spans = int(np.count_nonzero(g[1:] & ~g[:-1]) + g[0]) if n else 0
-                    rows.append((str(i) if k else None, int(e - s), n, spans, b.data[s:e][~g].tobytes(), r))
+                    left = b.data[s:e][~g].tobytes()
+                    rows.append((str(i) if k else None, int(e - s), n, spans, left.decode("utf-8", "ignore") if as_text else left, r))
                 yield pd.DataFrame(rows, columns=["i", "n_bytes", "n_removed", "n_spans", "kept", "rest"])
 
     out = flagged.join(masks, "block", "left").mapInPandas(
-        cut, "i string, n_bytes long, n_removed long, n_spans long, kept binary, rest string")
+        cut, f"i string, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}, rest string")
     return out.select(F.col("i").cast("long").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept", "rest")

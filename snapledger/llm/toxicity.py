@@ -23,6 +23,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -254,31 +255,34 @@ def score(docs: DataFrame, crf: Field, id_col: str = "doc_id", text_col: str = "
 
     Null and empty texts score as texts without telling tokens: 0.  Whole texts are read.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    keep = keep or []
+    src = docs.select(F.col(id_col).cast("long").alias("_i"), F.col(text_col).alias("_t"),
+                      *([F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_keep")] if keep else []))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = Chain(crf)
         known: dict[str, float | None] = {}
         for b in batches:
             scores, spans = [], []
-            for t in b["_t"]:
+            for t in b.column("_t").to_pylist():
                 if len(known) > CACHE_WORDS:
                     known = {}
                 words = _TOKEN.findall(t.lower()) if t else []
                 for w in set(words) - known.keys():
                     known[w] = crf.emission(w)
                 at = [k for k, w in enumerate(words) if known[w] is not None]
-                m = chain.marginals(at, [known[words[k]] for k in at], len(words))
                 clean = 1.0
+                m = chain.marginals(at, [known[words[k]] for k in at], len(words))
                 for x in m:
                     clean *= 1.0 - x
                 scores.append(min(1.0, max(0.0, 1.0 - clean)))
                 bad = {k for k, x in zip(at, m) if x >= SPAN}
                 spans.append([list(p.span()) for k, p in enumerate(_TOKEN.finditer(t)) if k in bad] if bad else [])
-            b["score"], b["spans"] = scores, spans
-            yield b.drop(columns="_t")
+            names = [n for n in b.schema.names if n != "_t"]
+            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in names], pa.array(scores, pa.float64()),
+                                              pa.array(spans, pa.list_(pa.list_(pa.int32())))], names=[*names, "score", "spans"])
 
-    keep = keep or []
-    src = docs.select(F.col(id_col).cast("long").cast("string").alias("_i"), F.col(text_col).alias("_t"), *[F.col(f"`{c}`") for c in keep])
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name != "_t")
-    return src.mapInPandas(run, f"{kinds}, score double, spans array<array<int>>").select(
-        F.col("_i").cast("long").alias(id_col), *[F.col(f"`{c}`") for c in keep], "score",
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema if f.name != "_t")
+    return src.mapInArrow(run, f"{kinds}, score double, spans array<array<int>>").select(
+        F.col("_i").alias(id_col) if id_col not in keep else F.col("_i").alias("_i"), *[F.col("_keep")[c].alias(c) for c in keep], "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "spans")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHUNK, QUERY_BLOCK = 4096, 1024
+CELLS = 4
 PACKED = "dim int, block long, n int, ids binary, vectors binary"
 
 
@@ -55,12 +56,19 @@ def pack(rows: DataFrame, most: int) -> DataFrame:
 
 
 def grid(chunks: DataFrame, queries: DataFrame) -> DataFrame:
-    """Every chunk beside every query block of the same vector length (columns q_*)."""
+    """Every chunk beside every query block of the same vector length (columns q_*).
+
+    Cells are dealt by query block and a salt of the chunk, so a task gets about ``CELLS`` chunks
+    however many vectors there are.  What is broadcast is one number per query block, that is per
+    ``QUERY_BLOCK`` queries.
+    """
+    salts = max(1, -(-chunks.count() // CELLS))
     q = queries.select("dim", *[F.col(c).alias(f"q_{c}") for c in queries.columns if c != "dim"])
-    # the list of query blocks of a length is one short row: their numbers only
-    there = q.groupBy("dim").agg(F.collect_list("q_block").alias("q_blocks"))
-    cells = chunks.join(there, "dim").withColumn("q_block", F.explode("q_blocks")).drop("q_blocks")
-    return cells.join(q, ["dim", "q_block"])
+    there = F.broadcast(q.groupBy("dim").agg(F.collect_list("q_block").alias("q_blocks")))
+    cells = (chunks.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(salts))).join(there, "dim")
+             .withColumn("q_block", F.explode("q_blocks")).drop("q_blocks"))
+    q = q.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    return cells.join(q, ["dim", "q_block", "salt"]).drop("salt")
 
 
 def unpack(ids: bytes, vectors: bytes, dim: int) -> tuple[np.ndarray, np.ndarray]:
