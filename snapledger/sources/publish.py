@@ -3,13 +3,20 @@
 Layout under a table root::
 
     data/<uuid>/            immutable Parquet directories (written once)
-    commits/<N>.json        pointer: {"open": "data/<uuid>", "closed": ["data/<uuid>", ...], "parent": N-1}
-
-A version is visible once its pointer exists.  Pointers are created with an
-*exclusive* create (``FileSystem.create(path, overwrite=false)``): when two
-writers race from the same baseline, exactly one creates ``commits/N+1`` and the
-other gets ``StaleBaseline``.  Data directories of a losing or crashed writer
-are orphans that never block the next commit.  A merge rewrites only the open
+    commits/<N>.json        pointer: {"open": "data/<uuid>", "closed": ["data/<uuid>", ...], "parent": N-1,
+                            "run_ts": last run, "runs": {run time: digest of its snapshot}}
+
+A version is visible once its pointer exists.  A pointer is written aside, whole,
+and then renamed to its name *without overwriting*: a crash in between leaves only
+a stray temporary file, and of two writers that race from the same baseline one
+gets ``commits/N+1`` and the other ``StaleBaseline`` (and removes its data
+directory).  This needs a store whose rename refuses an existing target, as HDFS
+does; on an object store, put a commit service or conditional writes in front.
+A pointer that can't be read (left by an older writer's crash) counts as not there.
+
+Every applied run is recorded with a digest of its snapshot.  The same run again is
+a no-op; a run time that is not after the last one, or the same time with other
+rows, raises ``GateError``: no snapshot is dropped in silence.  A merge rewrites only the open
 rows and *appends* the rows it closed as a new closed directory, so no job ever
 reads and overwrites the same path.
 """
@@ -18,6 +25,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,9 +53,16 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
     fs, p, jvm = _fs(spark, f"{root.rstrip('/')}/commits")
     if not fs.exists(p):
         return None
-    versions = [int(s.getPath().getName().split(".")[0]) for s in fs.listStatus(p)
-                if s.getPath().getName().endswith(".json")]
-    return max(versions) if versions else None
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    versions = sorted((int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()), reverse=True)
+    return next((v for v in versions if _readable(spark, root, v)), None)
+
+
+def _readable(spark: SparkSession, root: str, version: int) -> bool:
+    try:
+        return "open" in read_pointer(spark, root, version)
+    except ValueError:                       # empty or cut off
+        return False
 
 
 def read_pointer(spark: SparkSession, root: str, version: int) -> dict:
@@ -61,21 +76,37 @@ def read_pointer(spark: SparkSession, root: str, version: int) -> dict:
     return json.loads(text)
 
 
-def _create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
+def create_whole(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file in one step: written aside, then renamed; False if ``path`` is there already."""
     fs, p, jvm = _fs(spark, path)
+    if fs.exists(p):
+        return False
+    aside = jvm.org.apache.hadoop.fs.Path(p.getParent(), f"_{p.getName()}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(aside, False)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
     try:
-        out = fs.create(p, False)
+        files.rename(aside, p, none)         # refuses an existing target
     except Exception as e:  # noqa: BLE001 -- FileAlreadyExistsException surfaces as Py4JJavaError
+        fs.delete(aside, False)
         if "AlreadyExists" in str(e) or fs.exists(p):
             return False
         raise
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
     return True
 
 
+def _create_pointer(spark: SparkSession, root: str, version: int, text: str) -> bool:
+    path = f"{root.rstrip('/')}/commits/{version}.json"
+    if _exists(spark, path) and not _readable(spark, root, version):
+        fs, p, _ = _fs(spark, path)
+        fs.delete(p, False)                  # what a crash left
+    return create_whole(spark, path, text)
+
+
 def read_version(spark: SparkSession, root: str, version: int, part: str = "all") -> DataFrame:
     """History at a version: open rows, closed rows, or both."""
     ptr = read_pointer(spark, root, version)
@@ -105,21 +136,29 @@ def commit_version(spark: SparkSession, root: str, open_rows: DataFrame, closed_
         closed.append(_write(closed_rows, root, key))
     version = 0 if baseline is None else baseline + 1
     ptr = json.dumps({"open": open_dir, "closed": closed, "parent": baseline,
-                      "run_ts": run_ts if run_ts is not None else prev.get("run_ts")})
-    if not _create_exclusive(spark, f"{root.rstrip('/')}/commits/{version}.json", ptr):
+                      "run_ts": run_ts if run_ts is not None else prev.get("run_ts"), "runs": prev.get("runs", {})})
+    if not _create_pointer(spark, root, version, ptr):
+        for rel in {open_dir, *closed} - set(prev["closed"]):
+            _drop(spark, root, rel)
         raise StaleBaseline(f"version {version} was committed by another writer")
     return version
 
 
+def _drop(spark: SparkSession, root: str, rel: str) -> None:
+    """Remove a data directory that this writer wrote and no pointer names."""
+    fs, p, _ = _fs(spark, f"{root.rstrip('/')}/{rel}")
+    fs.delete(p, True)
+
+
 def commit_versions(spark: SparkSession, root: str, versions: DataFrame, baseline: int | None,
-                    key: str | None = None, run_ts: str | None = None) -> int:
+                    key: str | None = None, run_ts: str | None = None, digest: str | None = None) -> int:
     """One write job for a merge's output: open and newly closed rows land in two
     sub-directories of a fresh data directory (partitioned on a copy of ``is_current``)."""
     prev = read_pointer(spark, root, baseline) if baseline is not None else {"closed": []}
     if latest_version(spark, root) != baseline:
         raise StaleBaseline(f"baseline {baseline} is stale")
     rel = _write_versions(versions, root, key)
-    return _publish_pointer(spark, root, rel, prev, baseline, run_ts)
+    return _publish_pointer(spark, root, rel, prev, baseline, run_ts, digest)
 
 
 def _write_versions(versions: DataFrame, root: str, key: str | None) -> str:
@@ -141,19 +180,47 @@ def _write_versions(versions: DataFrame, root: str, key: str | None) -> str:
     return rel
 
 
-def _publish_pointer(spark: SparkSession, root: str, rel: str, prev: dict, baseline: int | None,
-                     run_ts: str | None) -> int:
+def _publish_pointer(spark: SparkSession, root: str, rel: str | None, prev: dict, baseline: int | None,
+                     run_ts: str | None, digest: str | None = None) -> int:
+    """Publish version baseline + 1; without ``rel`` the data of the baseline stays (a run that changed nothing)."""
     closed = list(prev["closed"])
-    if _exists(spark, f"{root.rstrip('/')}/{rel}/_open=false"):
+    if rel and _exists(spark, f"{root.rstrip('/')}/{rel}/_open=false"):
         closed.append(f"{rel}/_open=false")
     version = 0 if baseline is None else baseline + 1
-    ptr = json.dumps({"open": f"{rel}/_open=true", "closed": closed, "parent": baseline,
-                      "run_ts": run_ts if run_ts is not None else prev.get("run_ts")})
-    if not _create_exclusive(spark, f"{root.rstrip('/')}/commits/{version}.json", ptr):
+    runs = dict(prev.get("runs", {}))
+    if run_ts is not None:
+        runs[run_ts] = digest
+    ptr = json.dumps({"open": f"{rel}/_open=true" if rel else prev["open"], "closed": closed, "parent": baseline,
+                      "run_ts": run_ts if run_ts is not None else prev.get("run_ts"), "runs": runs})
+    if not _create_pointer(spark, root, version, ptr):
+        if rel:
+            _drop(spark, root, rel)
         raise StaleBaseline(f"version {version} was committed by another writer")
     return version
 
 
+def canonical_ts(ts: str) -> str:
+    """'YYYY-MM-DD HH:MM:SS[.ffffff]' of a run time, so that run times compare as text."""
+    try:
+        at = datetime.fromisoformat(ts)
+    except ValueError:
+        at = datetime.strptime(ts, "%Y-%m-%d %H:%M:%S" if ":" in ts else "%Y-%m-%d")
+    return at.replace(tzinfo=None).isoformat(sep=" ")
+
+
+def snapshot_digest(snapshot: DataFrame, key: str) -> str:
+    """Order-free digest of a snapshot's keys and content hashes: one aggregate over two columns."""
+    h = F.xxhash64(F.col(key), F.col("attr_hash"))
+    r = snapshot.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(h)).alias("y")).first()
+    return f"{r.n}-{r.x}-{r.y}"
+
+
+def applied_runs(spark: SparkSession, root: str) -> dict[str, str | None]:
+    """Run time -> snapshot digest of every run in the table."""
+    v = latest_version(spark, root)
+    return {} if v is None else read_pointer(spark, root, v).get("runs", {})
+
+
 def checkout(spark: SparkSession, root: str) -> tuple[DataFrame | None, int | None]:
     """(history at the latest version, that version) -- the baseline for the next commit."""
     v = latest_version(spark, root)
@@ -184,36 +251,38 @@ def _merge_and_commit(spark: SparkSession, root: str, snapshot: DataFrame, ts: s
     With ``keep_raw=False`` the raw input directory ``raw_path`` is deleted after the
     run is safely in the table (committed, or found to be a no-op); never before.
 
-    Reads only the open rows of the baseline.  An all-unchanged snapshot commits
-    nothing (idempotent re-runs).  A failure before the pointer leaves the
-    previous version as the visible one (rollback by construction).
+    Reads only the open rows of the baseline.  An all-unchanged snapshot is found by
+    comparing keys and hashes alone: it writes no data, only a pointer that records the
+    run.  A failure before the pointer leaves the previous version as the visible one.
     """
     from snapledger.operators import gates
 
+    ts = canonical_ts(ts)
+    digest = snapshot_digest(snapshot, key)
     v = latest_version(spark, root)
     if v is None:
         if not create:
             raise FileNotFoundError(root)
         versions = scd2.merge_versions(scd2.empty_history(snapshot), snapshot, ts, key)
-        return commit_versions(spark, root, versions, None, key, ts), True
-    last = read_pointer(spark, root, v).get("run_ts")
-    if last is not None and ts <= last:
+        return commit_versions(spark, root, versions, None, key, ts, digest), True
+    prev = read_pointer(spark, root, v)
+    runs = prev.get("runs", {})
+    if ts in runs and runs[ts] in (None, digest):
         return v, False          # this run is already in the table: a replay is a no-op
+    if ts in runs:
+        raise gates.GateError(f"run {ts} is in the table with other rows")
+    last = prev.get("run_ts")
+    if last is not None and ts <= canonical_ts(last):
+        raise gates.GateError(f"run {ts} is not after the last run {last}: a late snapshot can't be merged")
     open_hist = read_version(spark, root, v, "open")
     gates.assert_ts_after(open_hist, ts)
-    prev = read_pointer(spark, root, v)
     if latest_version(spark, root) != v:
         raise StaleBaseline(f"baseline {v} is stale")
+    status = scd2.classify(open_hist.select(key, "attr_hash"), snapshot.select(key, "attr_hash"), key)
+    if status.where(F.col("status") != "unchanged").isEmpty():
+        return _publish_pointer(spark, root, None, prev, v, ts, digest), False
     versions = scd2.merge_versions(open_hist, snapshot, ts, key)
-    rel = _write_versions(versions, root, key)
-    # no-op detection from what was written (no extra join): nothing closed, nothing started at ts
-    base = f"{root.rstrip('/')}/{rel}"
-    closed_any = _exists(spark, f"{base}/_open=false")
-    started_any = spark.read.parquet(f"{base}/_open=true").filter(
-        F.col("valid_from") == F.lit(ts).cast("timestamp_ntz")).limit(1).count() > 0
-    if not closed_any and not started_any:
-        return v, False          # unchanged snapshot: the written directory stays an unreferenced orphan
-    return _publish_pointer(spark, root, rel, prev, v, ts), True
+    return _publish_pointer(spark, root, _write_versions(versions, root, key), prev, v, ts, digest), True
 
 
 def build_current_artifact(current: DataFrame, key: str, geom: str | None = "geom",

@@ -30,9 +30,12 @@ def run_id(started_at: str, salt: str = "") -> str:
     return f"{started_at[:10]}-{hashlib.md5((started_at + salt).encode()).hexdigest()[:8]}"
 
 
-def ledger_row(counts: DataFrame, run: str, started_at: str, finished_at: str, status: str = "success",
-               server_count: Column | int | None = None, source_features: Column | int | None = None) -> DataFrame:
-    """One ledger row from a ``merge_counts`` frame (distinct_keys, new, changed, retired, unchanged)."""
+def ledger_row(counts: DataFrame, run: str, started_at: str, finished_at: str, status: str = "success", *,
+               server_count: Column | int, source_features: Column | int | None = None) -> DataFrame:
+    """One ledger row from a ``merge_counts`` frame (distinct_keys, new, changed, retired, unchanged).
+
+    ``server_count`` is what the source said it holds; it must come from there, so that a shortfall shows.
+    """
     def val(v, default):
         if v is None:
             return default
@@ -40,7 +43,7 @@ def ledger_row(counts: DataFrame, run: str, started_at: str, finished_at: str, s
     return counts.select(
         F.lit(run).alias("run_id"), ts_ntz(started_at).alias("started_at"), ts_ntz(finished_at).alias("finished_at"),
         F.lit(status).alias("status"),
-        val(server_count, F.col("distinct_keys")).cast("bigint").alias("server_count"),
+        val(server_count, None).cast("bigint").alias("server_count"),
         val(source_features, F.col("distinct_keys")).cast("bigint").alias("source_features"),
         F.col("distinct_keys").cast("bigint").alias("distinct_parcels"),
         F.col("new").cast("bigint").alias("new_parcels"), F.col("changed").cast("bigint").alias("changed_parcels"),

@@ -4,11 +4,17 @@ A snapshot is many files and must be merged whole, so the stream does not read
 snapshot rows directly: writers first write a complete snapshot directory, then
 drop a small JSON *manifest* ``{"run_ts": ..., "path": ...}`` into a watched
 folder.  ``readStream.json`` picks manifests up; ``foreachBatch`` merges every
-announced snapshot of the micro-batch in run-time order through
+announced snapshot that the table lacks in run-time order through
 ``publish.merge_and_commit`` (a distributed read + merge per snapshot).
 
-The table pointer records the last applied run, so a micro-batch replayed after
-a failure commits nothing: the sink is idempotent and exactly-once in effect.
+The file source hands manifests out by modification time, which says nothing about run
+times.  So a micro-batch only wakes the sink: it looks at *all* manifests in the folder
+and merges those not in the table yet, oldest run first.  A manifest that comes after a
+later run was merged raises instead of being lost.  Manifests are written aside and
+renamed, so a running stream never sees half of one.
+
+The table pointer records the applied runs, so a micro-batch replayed after a failure
+commits nothing: the sink is idempotent and exactly-once in effect.
 ``trigger(availableNow=True)`` drains what is there and stops (daily cadence);
 a processing-time trigger makes it continuous.
 """
@@ -27,15 +33,10 @@ MANIFEST_SCHEMA = "run_ts string, path string"
 
 def announce(spark: SparkSession, manifest_dir: str, run_ts: str, snapshot_path: str) -> None:
     """Publish a manifest for a snapshot directory that is already completely written."""
-    jvm = spark._jvm
-    name = run_ts.replace(" ", "T").replace(":", "")
-    p = jvm.org.apache.hadoop.fs.Path(f"{manifest_dir.rstrip('/')}/{name}.json")
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    out = fs.create(p, False)
-    try:
-        out.write(bytearray((json.dumps({"run_ts": run_ts, "path": snapshot_path}) + "\n").encode()))
-    finally:
-        out.close()
+    name = publish.canonical_ts(run_ts).replace(" ", "T").replace(":", "")
+    text = json.dumps({"run_ts": run_ts, "path": snapshot_path}) + "\n"
+    if not publish.create_whole(spark, f"{manifest_dir.rstrip('/')}/{name}.json", text):
+        raise FileExistsError(f"run {run_ts} is announced already")
 
 
 def manifest_stream(spark: SparkSession, manifest_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -45,16 +46,17 @@ def manifest_stream(spark: SparkSession, manifest_dir: str, max_files_per_trigge
     return r.json(manifest_dir)
 
 
-def merge_batch(table_root: str, key: str, drop: tuple[str, ...] = ()):
-    """foreachBatch function: merge each announced snapshot of the micro-batch, oldest first."""
+def merge_batch(manifest_dir: str, table_root: str, key: str, drop: tuple[str, ...] = ()):
+    """foreachBatch function: merge every announced snapshot that the table lacks, oldest run first."""
     def fn(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         # manifests are one tiny row per snapshot, never data rows
-        for m in batch.orderBy("run_ts").collect():
-            snap = spark.read.parquet(m.path)
-            if drop:
-                snap = snap.drop(*drop)
-            publish.merge_and_commit(spark, table_root, snap, m.run_ts, key)
+        there = spark.read.schema(MANIFEST_SCHEMA).json(manifest_dir).unionByName(batch.select("run_ts", "path")).distinct()
+        done = publish.applied_runs(spark, table_root)
+        todo = sorted((publish.canonical_ts(m.run_ts), m.path) for m in there.collect())
+        for ts, path in todo:
+            if ts not in done:
+                publish.merge_and_commit(spark, table_root, spark.read.parquet(path).drop(*drop), ts, key)
     return fn
 
 
@@ -62,7 +64,7 @@ def run(spark: SparkSession, manifest_dir: str, table_root: str, key: str, check
         drop: tuple[str, ...] = (), available_now: bool = True, max_files_per_trigger: int | None = None):
     """Start (and with ``available_now`` wait for) the streaming merge; returns the query."""
     w = (manifest_stream(spark, manifest_dir, max_files_per_trigger).writeStream
-         .foreachBatch(merge_batch(table_root, key, drop))
+         .foreachBatch(merge_batch(manifest_dir, table_root, key, drop))
          .option("checkpointLocation", checkpoint_location))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     q = w.start()

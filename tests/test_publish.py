@@ -1,11 +1,13 @@
 """Versioned publish: exclusive pointer creation, stale baselines, idempotent merges, rollback."""
 
+import json
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from snapledger.operators import scd2
+from snapledger.operators.gates import GateError
 from snapledger.sources import publish, store
 
 
@@ -19,11 +21,20 @@ def test_merge_commit_checkout_and_noop(spark, tmp_path):
     v0, ch0 = publish.merge_and_commit(spark, root, snap(spark, [("a", 1), ("b", 2)]), "2024-01-01 00:00:00", "key")
     v1, ch1 = publish.merge_and_commit(spark, root, snap(spark, [("a", 1), ("b", 3), ("c", 4)]), "2024-02-01 00:00:00", "key")
     v2, ch2 = publish.merge_and_commit(spark, root, snap(spark, [("a", 1), ("b", 3), ("c", 4)]), "2024-03-01 00:00:00", "key")
-    assert (v0, v1, v2) == (0, 1, 1) and ch0 and ch1 and not ch2
+    assert (v0, v1, v2) == (0, 1, 2) and ch0 and ch1 and not ch2
     hist, v = publish.checkout(spark, root)
-    assert v == 1 and hist.count() == 4 and hist.filter("is_current").count() == 3
-    # replaying an already-applied run commits nothing
-    assert publish.merge_and_commit(spark, root, snap(spark, [("z", 9)]), "2024-02-01 00:00:00", "key") == (1, False)
+    assert v == 2 and hist.count() == 4 and hist.filter("is_current").count() == 3
+    # a run that changes nothing writes a pointer, no data
+    assert publish.read_pointer(spark, root, 2)["open"] == publish.read_pointer(spark, root, 1)["open"]
+    assert len(os.listdir(f"{root}/data")) == 2
+    # replaying an already-applied run commits nothing, in any spelling of its time
+    again = snap(spark, [("c", 4), ("b", 3), ("a", 1)])
+    assert publish.merge_and_commit(spark, root, again, "2024-02-01 00:00:00", "key") == (2, False)
+    assert publish.merge_and_commit(spark, root, again, "2024-2-1 00:00:00", "key") == (2, False)
+    # the same time with other rows, or a run before the last one, is never dropped in silence
+    for ts in ("2024-02-01 00:00:00", "2024-02-15 00:00:00", "2023-12-31 00:00:00"):
+        with pytest.raises(GateError):
+            publish.merge_and_commit(spark, root, snap(spark, [("z", 9)]), ts, "key")
     # only open rows were rewritten: the closed part is its own directory
     ptr = publish.read_pointer(spark, root, 1)
     assert len(ptr["closed"]) == 1 and publish.read_version(spark, root, 1, "closed").count() == 1
@@ -35,10 +46,27 @@ def test_concurrent_writers_one_wins(spark, tmp_path):
     open_rows, _ = scd2.merge_parts(scd2.empty_history(s), s, "2024-01-01 00:00:00", "key")
     assert publish.commit_version(spark, root, open_rows, None, None) == 0
     # two writers from baseline 0: both write data, only the first pointer creation succeeds
-    assert publish._create_exclusive(spark, f"{root}/commits/1.json", "{}")
-    assert not publish._create_exclusive(spark, f"{root}/commits/1.json", "{}")
+    pointer = json.dumps(publish.read_pointer(spark, root, 0))
+    assert publish.create_whole(spark, f"{root}/commits/1.json", pointer)
+    assert not publish.create_whole(spark, f"{root}/commits/1.json", pointer)
     with pytest.raises(publish.StaleBaseline):
         publish.commit_version(spark, root, open_rows, None, 0)
+    with pytest.raises(publish.StaleBaseline):       # lost at the pointer: its own data goes
+        publish._publish_pointer(spark, root, publish._write_versions(s.withColumn("is_current", F.lit(True)), root, None), json.loads(pointer), 0, None)
+    assert len(os.listdir(f"{root}/data")) == 1
+    assert [f for f in os.listdir(f"{root}/commits") if f.endswith(".tmp")] == []
+
+
+def test_truncated_pointer_does_not_brick_the_table(spark, tmp_path):
+    root = str(tmp_path / "crash")
+    publish.merge_and_commit(spark, root, snap(spark, [("a", 1)]), "2024-01-01 00:00:00", "key")
+    for text in ("", '{"open": "da'):
+        with open(f"{root}/commits/1.json", "w") as f:
+            f.write(text)
+        assert publish.latest_version(spark, root) == 0
+    (tmp_path / "crash" / "commits" / "_2.json.abc.tmp").write_text("{")
+    assert publish.merge_and_commit(spark, root, snap(spark, [("a", 2)]), "2024-02-01 00:00:00", "key") == (1, True)
+    assert publish.checkout(spark, root)[0].count() == 2
 
 
 def test_failed_write_keeps_previous_version(spark, tmp_path):
@@ -62,11 +90,12 @@ def test_open_history_bootstrap(spark, tmp_path):
 def test_ledger_roundtrip(spark, tmp_path):
     s = snap(spark, [("a", 1), ("b", 2)])
     counts = scd2.merge_counts(scd2.classify(s.limit(0), s, "key"))
-    row = store.ledger_row(counts, store.run_id("2024-01-01 00:00:00"), "2024-01-01 00:00:00", "2024-01-01 01:00:00")
+    row = store.ledger_row(counts, store.run_id("2024-01-01 00:00:00"), "2024-01-01 00:00:00", "2024-01-01 01:00:00",
+                           server_count=3)
     path = str(tmp_path / "ledger")
     store.record_run(row, path)
     r = store.read_ledger(spark, path).first()
-    assert r.new_parcels == 2 and r.run_id.startswith("2024-01-01-") and len(r.run_id) == 19
+    assert r.new_parcels == 2 and r.server_count == 3 and r.run_id.startswith("2024-01-01-") and len(r.run_id) == 19
     assert store.size_bytes(spark.read.parquet(path)) > 0
 
 
