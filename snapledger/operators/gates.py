@@ -18,6 +18,14 @@ def assert_complete(fetched: int, expected: int, ratio: float = 0.99) -> None:
         raise GateError(f"fetched {fetched} of {expected} records (< {ratio:.0%}); refusing to merge")
 
 
+def assert_parsed(broken_lines: int, bad_casts: int = 0, most_bad_casts: int = 0) -> None:
+    """Refuse a snapshot with lines that are no records, or with more unreadable values than allowed."""
+    if broken_lines:
+        raise GateError(f"{broken_lines} lines are no records; refusing to merge")
+    if bad_casts > most_bad_casts:
+        raise GateError(f"{bad_casts} values can't be read as their type (allowed: {most_bad_casts}); refusing to merge")
+
+
 def assert_not_shrunk(current_count: int, snapshot_count: int, min_ratio: float = 0.95,
                       allow_shrink: bool = False) -> None:
     """Refuse a snapshot drastically smaller than the current table (strict <), unless allowed."""

@@ -18,12 +18,19 @@ from snapledger.functions.values import plausible_year
 from snapledger.operators import scd2
 from snapledger.sources.fields import FieldSpec, cast_expr, hashed_columns, read_schema
 
+BROKEN = "_broken_line"
+
 
 def read_features(spark: SparkSession, path: str, fields: list[FieldSpec], key_src: str,
                   part_src: str | None = None, geom_src: str | None = "__geometry",
                   failfast: bool = False) -> DataFrame:
-    """NDJSON (one record per line), explicit all-STRING columns; absent -> NULL, extra ignored."""
-    return (spark.read.schema(read_schema(fields, key_src, part_src, geom_src))
+    """NDJSON (one record per line), explicit all-STRING columns; absent -> NULL, extra ignored.
+
+    A line that is no JSON record keeps its text in ``_broken_line``: it is a fault of the
+    transfer, not a record without a key, and ``drop_unkeyed`` counts it or stops at it.
+    """
+    schema = read_schema(fields, key_src, part_src, geom_src).add(BROKEN, "string")
+    return (spark.read.schema(schema).option("columnNameOfCorruptRecord", BROKEN)
             .option("mode", "FAILFAST" if failfast else "PERMISSIVE")
             .json(path))
 
@@ -36,20 +43,41 @@ def flatten_feature_collection(spark: SparkSession, path: str) -> DataFrame:
 
 
 def drop_unkeyed(df: DataFrame, key: str, observation: Observation | None = None) -> DataFrame:
-    """Drop rows whose key is NULL or ''; the count lands in ``observation`` after the first action."""
+    """Drop rows whose key is NULL or ''; the counts land in ``observation`` after the first action.
+
+    Broken lines (see ``read_features``) are counted apart as ``broken_lines``, for
+    ``gates.assert_parsed``; without an observation that could tell of them they stop the job.
+    """
     unkeyed = F.col(key).isNull() | (F.col(key).cast("string") == "")
+    broken = F.col(BROKEN).isNotNull() if BROKEN in df.columns else F.lit(False)
     if observation is not None:
-        df = df.observe(observation, F.count_if(unkeyed).alias("dropped_unkeyed"),
-                        F.count(F.lit(1)).alias("source_features"))
-    return df.filter(~unkeyed)
+        df = df.observe(observation, F.count_if(unkeyed & ~broken).alias("dropped_unkeyed"),
+                        F.count_if(broken).alias("broken_lines"), F.count(F.lit(1)).alias("source_features"))
+    elif BROKEN in df.columns:
+        stop = F.raise_error(F.concat(F.lit("broken record: "), F.substring(F.col(BROKEN), 1, 200)))
+        df = df.withColumn(BROKEN, F.when(broken, stop).otherwise(F.col(BROKEN)))
+        return df.filter(F.coalesce(F.length(BROKEN), F.lit(0)) >= 0).filter(~unkeyed).drop(BROKEN)
+    return df.filter(~unkeyed & ~broken).drop(BROKEN)
+
+
+def bad_casts(fields: list[FieldSpec]) -> Column:
+    """How many of a raw row's values are there but can't be read as their type."""
+    bad = [F.when(F.col(f.src).isNotNull() & (F.trim(f.src) != "") & cast_expr(f).isNull(), 1).otherwise(0)
+           for f in fields if f.type != "string" or f.epoch_millis]
+    return sum(bad[1:], bad[0]) if bad else F.lit(0)
+
+
+def observe_casts(df: DataFrame, fields: list[FieldSpec], observation: Observation) -> DataFrame:
+    """Count unreadable values into ``observation`` as ``bad_casts`` (for ``gates.assert_parsed``)."""
+    return df.observe(observation, F.sum(bad_casts(fields)).alias("bad_casts"))
 
 
 def order_key(part_col: str | None, geom_col: str | None) -> Column:
-    """Deterministic part order: zero-padded part number, then md5 of the raw geometry text."""
+    """Deterministic part order: part number (as a number, of any size), then md5 of the raw geometry text."""
     part = F.col(part_col) if part_col else F.lit(None)
     geom = F.col(geom_col) if geom_col else F.lit(None).cast("string")
-    return F.concat(F.lpad(F.coalesce(part.cast("int"), F.lit(0)).cast("string"), 6, "0"),
-                    F.md5(F.coalesce(geom, F.lit(""))))
+    number = F.round(part.try_cast("double")).try_cast("bigint") if part_col else F.lit(0).cast("bigint")
+    return F.struct(F.coalesce(number, F.lit(0)).alias("part"), F.md5(F.coalesce(geom, F.lit(""))).alias("id"))
 
 
 def collapse(df: DataFrame, key: str, fields: list[FieldSpec], part_col: str | None = None,
@@ -176,9 +204,15 @@ def clean_years(df: DataFrame, cols: tuple[str, ...], as_of_year: int) -> DataFr
 def stage_snapshot(raw: DataFrame, key_src: str, fields: list[FieldSpec], part_src: str | None,
                    geom_src: str | None, key_dst: str, as_of_year: int,
                    year_cols: tuple[str, ...] = (), observation: Observation | None = None,
-                   geom_text: Callable[[DataFrame], Column] | None = None) -> DataFrame:
-    """raw records -> drop unkeyed -> collapse -> clean -> attr_hash."""
+                   geom_text: Callable[[DataFrame], Column] | None = None,
+                   casts: Observation | None = None) -> DataFrame:
+    """raw records -> drop unkeyed -> collapse -> clean -> attr_hash.
+
+    ``observation`` gets the row counts, ``casts`` the number of unreadable values.
+    """
     kept = drop_unkeyed(raw, key_src, observation)
+    if casts is not None:
+        kept = observe_casts(kept, fields, casts)
     snap = collapse(kept, key_src, fields, part_src, geom_src, key_dst=key_dst)
     if year_cols:
         snap = clean_years(snap, year_cols, as_of_year)

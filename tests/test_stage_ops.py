@@ -2,9 +2,11 @@
 
 import json
 
+import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from snapledger.operators import stage
+from snapledger.operators import gates, stage
 from snapledger.sources.fields import FieldSpec
 
 FIELDS = [FieldSpec("a", "a", "string"), FieldSpec("b", "b", "bigint"), FieldSpec("t", "t", "bigint", volatile=True)]
@@ -33,3 +35,27 @@ def test_two_level_equals_one_level(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     hot = got.filter("k = 'hot'").first()
     assert hot.feature_count == 300 and hot.n_parts == 20
+
+
+def test_part_numbers_of_any_size(spark):
+    rows = [("k", 1_000_000, "late", None), ("k", 999_999, "early", None), ("j", 10**12, "late", None), ("j", 7, "early", None)]
+    df = spark.createDataFrame([(*r, None) for r in rows], "k string, part long, a string, b long, t long").withColumn("g", F.lit("x"))
+    assert {r.a for r in stage.collapse(df, "k", FIELDS, "part", "g", typed=True, collect_geometry=False).collect()} == {"early"}
+
+
+def test_broken_lines_and_bad_casts(spark, tmp_path):
+    fields = [FieldSpec("A", "a", "string"), FieldSpec("B", "b", "int"), FieldSpec("D", "d", "timestamp", epoch_millis=True)]
+    lines = ['{"K": "1", "A": "x", "B": "12.0"}', '{"K": "2", "A": "y", "B": "xx", "D": "soon"}', '{"K": "3", "A": ', '{"A": "no key"}', "{}"]
+    (tmp_path / "p.ndjson").write_text("\n".join(lines) + "\n")
+    raw = stage.read_features(spark, str(tmp_path), fields, "K", geom_src=None)
+    counts, casts = Observation("counts"), Observation("casts")
+    snap = stage.stage_snapshot(raw, "K", fields, None, None, "k", 2026, observation=counts, casts=casts)
+    assert sorted((r.k, r.b) for r in snap.collect()) == [("1", 12), ("2", None)]
+    assert counts.get == {"dropped_unkeyed": 2, "broken_lines": 1, "source_features": 5}
+    assert casts.get == {"bad_casts": 2}
+    gates.assert_parsed(0, 2, most_bad_casts=2)
+    for args in ((counts.get["broken_lines"],), (0, casts.get["bad_casts"])):
+        with pytest.raises(gates.GateError):
+            gates.assert_parsed(*args)
+    with pytest.raises(Exception, match="broken record"):       # nobody would be told: stop
+        stage.drop_unkeyed(raw, "K").collect()
