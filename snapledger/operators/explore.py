@@ -65,8 +65,9 @@ def interval_2d(x: Column, y: Column, x0, x1, y0, y1) -> Column:
 
 def radius(lon: Column, lat: Column, lon0: float, lat0: float, radius_m: float = DEFAULT_RADIUS_M) -> Column:
     """Map brush clause: box pre-filter (pushdown-able) AND the exact centroid distance test."""
-    r = min(max(radius_m, MIN_RADIUS_M), MAX_RADIUS_M)
-    return geo.radius_bbox(lon, lat, lon0, lat0, r) & geo.near_centroid(lon, lat, lon0, lat0, r)
+    if not MIN_RADIUS_M <= radius_m <= MAX_RADIUS_M:
+        raise ValueError(f"radius {radius_m} m is not within {MIN_RADIUS_M} .. {MAX_RADIUS_M}")
+    return geo.radius_bbox(lon, lat, lon0, lat0, radius_m) & geo.near_centroid(lon, lat, lon0, lat0, radius_m)
 
 
 def crossfilter_histograms(df: DataFrame, views: dict[str, Column], clauses: dict[str, Column | None]) -> DataFrame:

@@ -227,9 +227,8 @@ def near_centroid(lon: Column, lat: Column, lon0: float, lat0: float, radius_m:
 
 def radius_bbox(lon: Column, lat: Column, lon0: float, lat0: float, radius_m: float, slack: float = 1.5) -> Column:
     """Conservative degree box around the point: a pushdown-able pre-filter for radius tests."""
-    dlat = slack * radius_m / METERS_PER_DEGREE
-    dlon = slack * radius_m / (METERS_PER_DEGREE * max(math.cos(math.radians(lat0 + math.copysign(dlat, lat0))), 1e-6))
-    return lon.between(lon0 - dlon, lon0 + dlon) & lat.between(lat0 - dlat, lat0 + dlat)
+    x0, y0, x1, y1 = search_box(lon0, lat0, radius_m, slack)
+    return lon.between(x0, x1) & lat.between(y0, y1)
 
 
 def distance_m(geom: Column, lon0: float, lat0: float) -> Column:
@@ -267,9 +266,22 @@ def distance_m(geom: Column, lon0: float, lat0: float) -> Column:
     return F.when(geom.isNotNull(), F.when(inside, 0.0).otherwise(edge))
 
 
+def search_box(lon0: float, lat0: float, radius_m: float, slack: float = 1.5) -> tuple[float, float, float, float]:
+    """(xmin, ymin, xmax, ymax) in degrees, around everything within the radius."""
+    dlat = slack * radius_m / METERS_PER_DEGREE
+    dlon = slack * radius_m / (METERS_PER_DEGREE * max(math.cos(math.radians(lat0 + math.copysign(dlat, lat0))), 1e-6))
+    return lon0 - dlon, lat0 - dlat, lon0 + dlon, lat0 + dlat
+
+
 def within_distance(geom: Column, lon0: float, lat0: float, radius_m: float) -> Column:
-    """Exact distance test after projection; combine with ``radius_bbox`` on centroids/bbox first."""
-    return distance_m(geom, lon0, lat0) <= radius_m
+    """Whether a geometry of any size comes within the radius of the point, by projected distance.
+
+    The exact test runs only where the geometry's bounding box meets the search box.
+    """
+    x0, y0, x1, y1 = search_box(lon0, lat0, radius_m)
+    b = bbox(geom)
+    near = (b["xmin"] <= x1) & (b["xmax"] >= x0) & (b["ymin"] <= y1) & (b["ymax"] >= y0)
+    return near & (distance_m(geom, lon0, lat0) <= radius_m)
 
 
 def square(lon: Column, lat: Column, side: float = 0.001) -> Column:

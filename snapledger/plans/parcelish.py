@@ -16,7 +16,7 @@ from snapledger.functions.text import OWNER_NAME_PLACEHOLDER, STREET_ABBREVIATIO
 from snapledger.operators import geo
 from snapledger.operators.rules import INSTITUTIONAL_EXEMPTION_BASES, PERSONAL_EXEMPTION_TYPES
 from snapledger.plans.tables import table
-from snapledger.session import spread
+from snapledger.session import deal
 
 # Name endings that exercise each cleaning / guard branch.
 NAME_SUFFIXES = ("", " LLC", " FAMILY TRUST", " % ESKE LLC", " C/O PARAGON PROPERTIES INC",
@@ -125,8 +125,8 @@ def duck_sql() -> str:
 
 
 def parcels(spark: SparkSession, sf_dir: str, with_geometry: bool = True) -> DataFrame:
-    # the per-row string building and geometry below are CPU-heavy: spread a skinny input
-    df = spark.sql(PARCELS_SQL, orders=spread(table(spark, sf_dir, "orders")),
+    # the per-row string building and geometry below are CPU-heavy: deal the rows out evenly
+    df = spark.sql(PARCELS_SQL, orders=deal(table(spark, sf_dir, "orders")),
                    customer=table(spark, sf_dir, "customer"), nation=table(spark, sf_dir, "nation"))
     if with_geometry:
         df = df.withColumn("geom", geo.square(F.col("sw_lon"), F.col("sw_lat")))

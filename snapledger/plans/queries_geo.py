@@ -8,7 +8,7 @@ from snapledger.operators import explore, geo, stage
 from snapledger.plans import parcelish
 from snapledger.plans.registry import register
 from snapledger.plans.tables import table
-from snapledger.session import spread
+from snapledger.session import deal
 from snapledger.sources.fields import FieldSpec
 
 P = f"WITH p AS ({parcelish.duck_sql()})"
@@ -101,7 +101,7 @@ FROM l"""
 
 
 def line_parts(spark, d):
-    return spark.sql(LINE_PARTS_SQL, lineitem=spread(table(spark, d, "lineitem")))
+    return spark.sql(LINE_PARTS_SQL, lineitem=deal(table(spark, d, "lineitem")))
 
 
 _ORD = "lpad(CAST(l_linenumber AS VARCHAR), 6, '0') || md5(coalesce(geom_text, ''))"
@@ -180,12 +180,8 @@ def q_geo_valid(spark, d):
 SELECT parcel_id, round({_square_distance_sql('sw_lon', 'sw_lat', *POINT)}, 3) AS distance_m FROM p
 WHERE {_square_distance_sql('sw_lon', 'sw_lat', *POINT)} <= {WITHIN!r}""")
 def q_geo_within(spark, d):
-    p = _parcels(spark, d)
-    # cheap pushdown-able box on the south-west corner first, exact projected distance second
-    p = p.filter(geo.radius_bbox(F.col("sw_lon"), F.col("sw_lat"), POINT[0], POINT[1], WITHIN + 200))
-    dist = geo.distance_m(F.col("geom"), *POINT)
-    return p.select("parcel_id", dist.alias("d")).filter(F.col("d") <= WITHIN).select(
-        "parcel_id", F.round("d", 3).alias("distance_m"))
+    p = _parcels(spark, d).filter(geo.within_distance(F.col("geom"), *POINT, WITHIN))
+    return p.select("parcel_id", F.round(geo.distance_m(F.col("geom"), *POINT), 3).alias("distance_m"))
 
 
 @register("near_centroid", f"""{P}, c AS (SELECT parcel_id, sw_lon + {SIDE / 2!r} AS lon, sw_lat + {SIDE / 2!r} AS lat FROM p)

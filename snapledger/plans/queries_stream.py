@@ -12,10 +12,10 @@ from snapledger.streaming import scd2_sink
 
 @register("stream_scd2", f"{ob.history_ctes()} SELECT * FROM hist")
 def q_stream_scd2(spark, d):
-    """Write each snapshot, announce it with a manifest, stream the manifests into a fresh table."""
+    """Write each snapshot, announce them newest first, stream the manifests into a fresh table."""
     base = scratch_path(spark, "stream-scd2")
     manifests, root, cp = f"{base}/manifests", f"{base}/table", f"{base}/_checkpoint"
-    for i, (snap, ts) in enumerate(zip(ob.snapshots(spark, d), ob.RUN_TIMES), start=1):
+    for i, (snap, ts) in reversed(list(enumerate(zip(ob.snapshots(spark, d), ob.RUN_TIMES), start=1))):
         path = f"{base}/incoming/run={i}"
         snap.write.mode("errorifexists").parquet(path)
         scd2_sink.announce(spark, manifests, ts, path)

@@ -72,15 +72,13 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition only when ``df`` has fewer partitions than the cluster has cores.
+def deal(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly over ``spark.sql.shuffle.partitions`` tasks, at every size.
 
-    For CPU-heavy per-row work (geometry, regex) on a skinny input, e.g. a
-    single-row-group file read as one task.  On large inputs (thousands of splits)
-    it returns ``df`` unchanged, so it never adds a shuffle at scale.
+    For CPU-heavy per-row work (geometry, regex) on narrow rows, whose cost outweighs the shuffle and
+    follows neither the file layout nor the row-group size.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

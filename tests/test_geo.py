@@ -64,3 +64,22 @@ def test_quantise_keeps_small_rings(spark):
     tiny = [[0.0, 0.0], [0.000001, 0.0], [0.000001, 0.000001], [0.0, 0.0]]
     df2 = spark.createDataFrame([([[tiny]],)], f"g {geo.MULTIPOLYGON}")
     assert df2.select(geo.quantise(F.col("g"))).first()[0] == [[tiny]]
+
+
+def test_within_distance_of_shapes_of_any_size(spark):
+    """A large shape over the point is found however far its corners are."""
+    df = spark.createDataFrame([("large", -149.95, 61.15, 0.1), ("near", -149.9, 61.2, 0.001), ("huge, off", -149.0, 61.0, 0.5),
+                                ("edge", -149.9, 61.2025, 0.001)], "k string, lon double, lat double, side double")
+    x1, y1 = F.col("lon") + F.col("side"), F.col("lat") + F.col("side")
+    ring = F.array(F.array("lon", "lat"), F.array(x1, "lat"), F.array(x1, y1), F.array("lon", y1), F.array("lon", "lat"))
+    df = df.withColumn("g", F.array(F.array(ring)))
+    got = {r.k for r in df.filter(geo.within_distance(F.col("g"), -149.8995, 61.2005, 250)).collect()}
+    exact = {r.k for r in df.filter(geo.distance_m(F.col("g"), -149.8995, 61.2005) <= 250).collect()}
+    assert got == exact == {"large", "near", "edge"}
+    assert {r.k for r in df.filter(geo.within_distance(F.col("g"), -149.8995, 61.2005, 100)).collect()} == {"large", "near"}
+
+
+def test_radius_out_of_range_is_an_error(spark):
+    from snapledger.operators import explore
+    with pytest.raises(ValueError):
+        explore.radius(F.lit(0.0), F.lit(0.0), 0.0, 0.0, 50_000)
