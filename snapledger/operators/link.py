@@ -9,7 +9,7 @@ joins are key->key and a hot group costs one row, not n^2.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapledger.functions.text import OWNER_NAME_PLACEHOLDER, norm_address, zip5
@@ -51,18 +51,20 @@ def mail_trail(lk: DataFrame, where: Column) -> DataFrame:
     sites = (lk.filter((F.col("site_norm") != "") & F.col("is_home"))
              .groupBy(F.col("site_norm").alias("s_norm"), F.col("site_zip5").alias("s_zip5"))
              .agg(F.bool_or("has_pre").alias("site_has_pre")))
-    g = gw.select("mail_norm", "mail_zip5", "ostate", "ocity")
-    j = g.join(sites, (F.col("mail_norm") == F.col("s_norm")) & (F.col("mail_zip5") == F.col("s_zip5")), "left")
-    cls = (F.when(~F.col("mail_norm").rlike("^[0-9]"),
-                  F.when(F.col("mail_zip5") == "99587", "PO box in Girdwood").otherwise("PO box / other non-street"))
+    # what is no street address matches no site: such rows (a hot key) get keys of their own
+    street = F.col("mail_norm").rlike("^[0-9]")
+    g = gw.select("mail_norm", "mail_zip5", "ostate", "ocity", street.alias("street"),
+                  F.when(street, F.col("mail_norm")).otherwise(F.concat(F.lit("#"), F.xxhash64("parcel_id"))).alias("key"))
+    j = g.join(sites, (F.col("key") == F.col("s_norm")) & (F.col("mail_zip5") == F.col("s_zip5")), "left")
+    cls = (F.when(~F.col("street") & (F.col("mail_zip5") == "99587"), "PO box in Girdwood")
+           .when(~F.col("street"), "PO box / other non-street")
            .when(F.col("site_has_pre"), "An exempt muni home")
            .when(F.col("s_norm").isNotNull(), "A muni home without the exemption")
            .when(F.col("ostate") != "AK", "A street address outside Alaska")
            .when(~F.col("ocity").isin(*MUNI_CITIES), "A street address in AK, outside the muni")
            .otherwise("In the muni, but no home matched"))
     g = j.groupBy(cls.alias("mail_goes_to")).agg(F.count(F.lit(1)).alias("n"))
-    tot = gw.agg(F.count(F.lit(1)).alias("_t"))
-    return g.crossJoin(tot).select("mail_goes_to", "n", (F.col("n") / F.col("_t")).alias("share"))
+    return g.select("mail_goes_to", "n", (F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0)))).alias("share"))
 
 
 def _group_stats(d: DataFrame, keys: list[str], prefix: str) -> DataFrame:
@@ -156,8 +158,7 @@ def owner_home(df: DataFrame, area: Column, is_home: Column, has_pre: Column) ->
               .otherwise("Outside Alaska"))
     d = df.filter(is_home & ~F.coalesce(has_pre, F.lit(False))).select(area.alias("area"), bucket.alias("owner_home"))
     g = d.groupBy("area", "owner_home").agg(F.count(F.lit(1)).alias("n"))
-    tot = d.groupBy("area").agg(F.count(F.lit(1)).alias("_t"))
-    return g.join(tot, "area").select("area", "owner_home", "n", (F.col("n") / F.col("_t")).alias("share"))
+    return g.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("area")))
 
 
 def top_cities(df: DataFrame, where: Column, k: int = 15) -> DataFrame:

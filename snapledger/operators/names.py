@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapledger.functions.text import (AGENT_FRAGMENT_PATTERN, CORPORATE_NAME_PATTERN, OWNER_NAME_PLACEHOLDER,
@@ -51,8 +51,8 @@ def why_left(categorized: DataFrame) -> DataFrame:
     """Abstained rows by basis with their share (percent of the abstained)."""
     a = categorized.filter(F.col("owner_type").isNull())
     g = a.groupBy("basis").agg(F.count(F.lit(1)).alias("n"))
-    tot = a.agg(F.count(F.lit(1)).alias("_t"))
-    return g.crossJoin(tot).select("basis", "n", F.round(100.0 * F.col("n") / F.col("_t"), 1).alias("pct_of_ambiguous"))
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))        # over the few aggregated rows
+    return g.select("basis", "n", F.round(100.0 * F.col("n") / total, 1).alias("pct_of_ambiguous"))
 
 
 def truncation(df: DataFrame) -> DataFrame:
@@ -113,18 +113,19 @@ def not_names(df: DataFrame, col: str = "owner_name") -> DataFrame:
 
 
 def disposition_of(name: Column) -> Column:
-    return (F.when(name == OWNER_NAME_PLACEHOLDER, "placeholder - unclassifiable")
-            .when(name.rlike(re2(CORPORATE_NAME_PATTERN)), "corporate token - rule suffices")
-            .when(name.contains(TRUST_NAME_TOKEN), "trust token - rule suffices")
-            .when(name.rlike(re2(TRUST_ABBREVIATION_DISPOSITION_PATTERN)), "trust abbreviation - rule suffices")
-            .otherwise("residual - needs a model"))
+    # the five labels are fixed values
+    return (F.when(name == OWNER_NAME_PLACEHOLDER, "placeholder — unclassifiable")
+            .when(name.rlike(re2(CORPORATE_NAME_PATTERN)), "corporate token — rule suffices")
+            .when(name.contains(TRUST_NAME_TOKEN), "trust token — rule suffices")
+            .when(name.rlike(re2(TRUST_ABBREVIATION_DISPOSITION_PATTERN)), "trust abbreviation — rule suffices")
+            .otherwise("residual — needs a model"))
 
 
 def disposition(ambiguous: DataFrame, col: str = "owner_name") -> DataFrame:
     d = ambiguous.select(disposition_of(clean_owner_name(F.col(col))).alias("disposition"))
     g = d.groupBy("disposition").agg(F.count(F.lit(1)).alias("n"))
-    tot = d.agg(F.count(F.lit(1)).alias("_t"))
-    return g.crossJoin(tot).select("disposition", "n", F.round(100.0 * F.col("n") / F.col("_t"), 1).alias("pct"))
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))        # over at most five rows
+    return g.select("disposition", "n", F.round(100.0 * F.col("n") / total, 1).alias("pct"))
 
 
 def casualties(df: DataFrame, col: str = "owner_name") -> DataFrame:

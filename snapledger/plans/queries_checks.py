@@ -25,7 +25,7 @@ def _runs(spark, d):
     for i, (s, t) in enumerate(zip(snaps, ob.RUN_TIMES)):
         counts = scd2.merge_counts(scd2.classify(scd2.current(prev) if i else prev.drop("valid_from", "valid_to", "is_current"), s, ob.KEY))
         finished = t[:11] + "01:00:00"
-        row = store.ledger_row(counts, store.run_id(t), t, finished)
+        row = store.ledger_row(counts, store.run_id(t), t, finished, server_count=F.col("distinct_keys"))
         out = row if out is None else out.unionByName(row)
         prev = s.withColumn("valid_from", ts_ntz(t)).withColumn("valid_to", F.lit(None).cast("timestamp_ntz")) \
             .withColumn("is_current", F.lit(True))
@@ -162,9 +162,12 @@ def _book_tables(spark, d):
      "SELECT count(*) FROM cur WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = cur.cust_key)"),
     ("urgent_with_big_customers", "warn", 5, """SELECT count(*) FROM cur WHERE priority = '1-URGENT'
         AND cust_key IN (SELECT c_custkey FROM customer WHERE c_acctbal > 9000)"""),
-    ("artifact_row_count_matches", "error", 0, "SELECT 0"),
-    ("artifact_drops_hash", "error", 0, "SELECT 0"),
-    ("artifact_keeps_progress", "error", 0, "SELECT 0"),
+    ("artifact_row_count_matches", "error", 0,
+     "SELECT abs((SELECT count(*) FROM hist WHERE valid_to IS NULL) - (SELECT count(*) FROM cur))"),
+    ("artifact_drops_hash", "error", 0, "SELECT count(*) FROM (SELECT json_keys(to_json(c)) AS k FROM "
+     "(SELECT * EXCLUDE (attr_hash) FROM cur LIMIT 1) c) WHERE list_contains(k, 'attr_hash')"),
+    ("artifact_keeps_progress", "error", 0, """SELECT count(*) FROM cur JOIN hist USING (order_key)
+        WHERE hist.valid_to IS NULL AND cur.shipped_lines IS DISTINCT FROM hist.shipped_lines"""),
 ])}""")
 def q_checks_orderbook(spark, d):
     return ck.run_all(_book_tables(spark, d), orderbook_checks())
@@ -191,7 +194,8 @@ def parcel_tables(spark, d):
     hist = cut_lineage(hist, "parcel-history")
     cur = scd2.current(hist)
     counts = scd2.merge_counts(scd2.classify(cur.limit(0), snap, parcels.KEY))
-    runs = store.ledger_row(counts, store.run_id(PARCEL_RUN), PARCEL_RUN, PARCEL_RUN[:11] + "01:00:00")
+    runs = store.ledger_row(counts, store.run_id(PARCEL_RUN), PARCEL_RUN, PARCEL_RUN[:11] + "01:00:00",
+                            server_count=F.col("distinct_keys"))
     # the artifact is a published file in the real flow: build it once, audit the written copy
     artifact = cut_lineage(publish.build_current_artifact(cur, parcels.KEY), "parcel-artifact")
     return {"history": hist, "current": parcels.with_geometry_metrics(cur), "runs": runs, "artifact": artifact,
@@ -213,23 +217,14 @@ def _inlist(vs):
 
 def _parcel_suite_sql():
     from snapledger.plans.queries_geo import _square_area_sql
-    from snapledger.plans.queries_parcels import base_sql
+    from snapledger.plans.queries_parcels import base_sql, categorized_sql
     t = f"TIMESTAMP '{PARCEL_AS_OF}'"
-    owner_case = "CASE " + " ".join(f"WHEN ib = {_lit(b)} THEN {_lit(v)}" for b, v in rules.OWNER_IDENTIFYING_BASES.items()) + " END"
     ctes = f"""WITH p AS ({parcelish.duck_sql()}),
 cur AS (SELECT *, deed_date AS pubdate, {_square_area_sql('sw_lon', 'sw_lat')} AS area_m2,
           sw_lon + 0.0005 AS cx, sw_lat + 0.0005 AS cy, sw_lon AS xmin, sw_lon + 0.001 AS xmax,
           sw_lat AS ymin, sw_lat + 0.001 AS ymax FROM p),
 hist AS (SELECT *, TIMESTAMP '{PARCEL_RUN}' AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, TRUE AS is_current FROM cur),
-kn AS (SELECT *, {base_sql('coalesce(exemption_1_type, exemption_2_type)')} AS ib,
-         coalesce(exemption_5_type, exemption_6_type) IS NOT NULL AS hp,
-         contains(coalesce(owner_name, ''), 'TRUST') AS tr,
-         regexp_matches(coalesce(owner_name, ''), {_lit(CORPORATE_NAME_PATTERN)}) AS co FROM cur),
-kc AS (SELECT *, {owner_case} AS it FROM kn),
-cat AS (SELECT *, CASE WHEN it IS NOT NULL THEN it WHEN hp AND NOT tr AND NOT co THEN 'person' END AS owner_type,
-  CASE WHEN it IS NOT NULL THEN 'owner_identifying_exemption' WHEN hp AND tr THEN 'person_exemption_trust_named'
-       WHEN hp AND co THEN 'person_exemption_corporate_named' WHEN hp THEN 'person_exemption'
-       WHEN ib IS NOT NULL THEN 'use_based_exemption_only' ELSE 'no_exemption' END AS basis FROM kc)"""
+{categorized_sql('cur')}"""
     yr = lambda c: f"coalesce(TRY_CAST({c} AS INTEGER) BETWEEN 1850 AND 2027, false)"
     blank = "(owner_name IS NULL OR trim(owner_name) = '')"
     strip = lambda c: f"regexp_replace({c}, ' - LAND$', '')"
@@ -250,8 +245,8 @@ cat AS (SELECT *, CASE WHEN it IS NOT NULL THEN it WHEN hp AND NOT tr AND NOT co
             (PARTITION BY parcel_id ORDER BY valid_from) AS prev FROM (SELECT *, parcel_id AS attr_h FROM hist)) WHERE attr_h = prev"""),
         ("owner_present", "warn", 100, f"SELECT count(*) FROM cur WHERE {blank}"),
         ("ownerless_parcels_have_no_value", "error", 0, f"SELECT count(*) FROM cur WHERE {blank} AND appraised_total_value > 0"),
-        ("geometry_present", "error", 0, "SELECT 0"),
-        ("geometry_valid", "warn", 200, "SELECT 0"),
+        ("geometry_present", "error", 0, "SELECT count(*) FROM cur WHERE xmin IS NULL OR ymin IS NULL"),
+        ("geometry_valid", "warn", 200, "SELECT count(*) FROM cur WHERE NOT (xmax > xmin AND ymax > ymin AND isfinite(xmin) AND isfinite(ymin))"),
         ("min_area_1m2", "warn", 10, "SELECT count(*) FROM cur WHERE area_m2 < 1"),
         ("area_positive", "error", 0, "SELECT count(*) FROM cur WHERE area_m2 IS NULL OR area_m2 <= 0"),
         ("area_not_absurd", "error", 0, "SELECT count(*) FROM cur WHERE area_m2 > 5e9"),
@@ -270,10 +265,10 @@ cat AS (SELECT *, CASE WHEN it IS NOT NULL THEN it WHEN hp AND NOT tr AND NOT co
         ("source_freshness", "warn", 0, f"SELECT CASE WHEN max(pubdate) < {t} - INTERVAL 7 DAY THEN 1 ELSE 0 END FROM cur"),
         ("ingest_freshness", "error", 0, f"SELECT CASE WHEN TIMESTAMP '{PARCEL_RUN[:11]}01:00:00' < {t} - INTERVAL 48 HOUR THEN 1 ELSE 0 END"),
         ("no_future_valid_from", "error", 0, f"SELECT count(*) FROM hist WHERE valid_from > {t} + INTERVAL 1 HOUR"),
-        ("browser_row_count_matches_archive", "error", 0, "SELECT 0"),
-        ("browser_drops_heavy_columns", "error", 0, "SELECT 0"),
-        ("browser_carries_geometry", "error", 0, "SELECT 0"),
-        ("browser_carries_centroids", "error", 0, "SELECT 0"),
+        ("browser_row_count_matches_archive", "error", 0, "SELECT abs((SELECT count(*) FROM hist WHERE is_current) - (SELECT count(*) FROM cur))"),
+        ("browser_drops_heavy_columns", "error", 0, "SELECT count(*) FROM (SELECT json_keys(to_json(c)) AS k FROM (SELECT * FROM cur LIMIT 1) c) WHERE list_contains(k, 'attr_hash')"),
+        ("browser_carries_geometry", "error", 0, "SELECT count(*) FROM cur WHERE round(xmin, 5) IS NULL OR round(ymin, 5) IS NULL"),
+        ("browser_carries_centroids", "error", 0, "SELECT count(*) FROM cur WHERE cx IS NULL OR cy IS NULL OR cx NOT BETWEEN xmin AND xmax OR cy NOT BETWEEN ymin AND ymax"),
         ("exemption_institutional_types_known", "warn", 0, f"""SELECT count(*) FROM (SELECT DISTINCT {strip('v')} AS b FROM (
             SELECT exemption_1_type AS v FROM cur UNION ALL SELECT exemption_2_type FROM cur) WHERE v IS NOT NULL)
             WHERE b NOT IN {_inlist(rules.INSTITUTIONAL_EXEMPTION_BASES)}"""),
