@@ -12,7 +12,9 @@ bins whenever that increases the sum of squared fills, which empties bins one af
 from __future__ import annotations
 
 import math
+import re
 import zlib
+from array import array
 from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -25,34 +27,83 @@ from pyspark.sql import functions as F
 from snapledger.llm.common import materialise
 
 CAPACITY = 2048
-CACHE_WORDS = 200_000          # words whose ids a task remembers
+CACHE_WORDS = 300_000          # words, and words without marks, whose ids a worker remembers
 SEARCH_STEPS = 20_000          # swaps tried at most (each handles all bins of its two patterns)
 
 
 # ------------------------------------------------------------------------------------ tokens
+# Letters whose lower case no version of Unicode changed, and marks that begin no contraction or special token.
+_PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([-.,;:!?#%&*$@()/+=~^|_\"]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write bytes: printable ones as they are, the others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordTokens:
     """Token ids of texts by way of their words.
 
     The tokenizer's normaliser and splitter treat blanks and line breaks as separators, so the ids of
-    a text are the ids of its words one after another; each word is encoded once per task.
+    a text are the ids of its words one after another.  A word of Latin letters and trailing marks
+    splits between the two, and its lower-case letters are one unit of the model.  Other words go
+    through the whole tokenizer.  Most frequent words are met early, so tables simply stop growing.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.words: dict[str, bytes] = {}
+        self.letters: dict[str, bytes] = {}
+        self.bytes = _byte_letters()
+
+    @classmethod
+    def of(cls, path: str) -> WordTokens:
+        """The one of this worker process: its tables outlive a task."""
+        if path not in _SHARED:
+            _SHARED[path] = cls(path)
+        return _SHARED[path]
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        if m := _PLAIN.fullmatch(word):
+            core = m[1].lower()
+            if (ids := self.letters.get(core)) is None:
+                unit = core if core.isascii() else "".join(map(self.bytes.__getitem__, core.encode()))
+                ids = array("I", [t.id for t in self.model.tokenize(unit)]).tobytes()
+                if len(self.letters) < CACHE_WORDS:
+                    self.letters[core] = ids
+            if m[2]:
+                if (marks := self.letters.get(m[2])) is None:
+                    marks = self.letters[m[2]] = self._whole(m[2])
+                ids += marks
+        else:
+            ids = self._whole(word)
+        if len(self.words) < CACHE_WORDS:
+            self.words[word] = ids
+        return ids
 
     def ids(self, texts: list) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit numbers."""
-        split = [[] if t is None else t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
-        new = list({w for words in split for w in words} - self.known.keys())
-        for a in range(0, len(new), 4096):
-            for w, e in zip(new[a: a + 4096], self.tokenizer.encode_batch(new[a: a + 4096], add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        get, out = self.words.get, []
+        for t in texts:
+            words = [] if t is None else t.replace("\n", " ").replace("\t", " ").split(" ")
+            parts = list(map(get, words))
+            if None in parts:
+                for k, p in enumerate(parts):
+                    if p is None:
+                        parts[k] = get(words[k]) or self._word(words[k])
+            out.append(b"".join(parts))
+        return out
+
+
+_SHARED: dict[str, WordTokens] = {}
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id",
@@ -61,7 +112,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordTokens(path)
+        words = WordTokens.of(path)
         for b in batches:
             for a in range(0, len(b), 256):
                 part = b.iloc[a: a + 256]
