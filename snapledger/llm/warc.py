@@ -73,7 +73,9 @@ class WarcReader(DataSourceReader):
         names = sorted(f.path for f in found if f.is_file and f.size and not f.base_name.startswith(("_", ".")))
         return [OneFile(n) for n in names]
 
-    def read(self, partition: OneFile):
+    def read(self, partition: OneFile | None):
+        if partition is None:                                 # no files: Spark asks once all the same
+            return
         fs, _ = _store(self.path)
         rows: list[tuple] = []
         size = 0
