@@ -125,12 +125,12 @@ def records(stream) -> Iterator[tuple[dict, int, object]]:
         return bool(got)
 
     while True:
-        while (at := left.find(b"\r\n\r\n")) <= 0 or not left[:at].strip():
-            left = left.lstrip(b"\r\n")                       # what ends the record before
-            if left.find(b"\r\n\r\n") > 0:
-                continue
+        while True:
+            left = left.lstrip(b"\r\n")                       # what ends the record before, wherever a read cut it
+            if (at := left.find(b"\r\n\r\n")) > 0:
+                break
             if not fill(1 << 16):
-                if left.strip():
+                if left:
                     raise ValueError("truncated WARC header")
                 return
         lines = left[:at].decode("utf-8").split(END)

@@ -72,3 +72,22 @@ def test_foreign_archives(spark, tmp_path):
     assert bytes(rows["response"]["payload"]) == b"hello" and rows["response"]["content_length"] == len(body)
     assert bytes(rows["resource"]["payload"]) == b"raw\r\n\r\n" * 50_000 and bytes(rows["metadata"]["payload"]) == b""
     assert len(rows) == 4
+
+
+def test_reads_cut_anywhere():
+    """The same records however the store hands out the bytes, with blocks read or passed over."""
+    class Drip:
+        def __init__(self, data, step):
+            self.data, self.step, self.at = data, step, 0
+
+        def read(self, n):
+            got = self.data[self.at:self.at + min(n, self.step)]
+            self.at += len(got)
+            return got
+
+    data = b"".join(record("resource", b"x\r\n\r\n" * k, WARC_Target_URI=f"x:{k}") for k in range(9))
+    for step in range(1, 40):
+        got = []
+        for k, (headers, length, take) in enumerate(warc.records(Drip(data, step))):
+            got.append((headers["warc-target-uri"], length, take() if k % 2 else None))
+        assert got == [(f"x:{k}", 5 * k, b"x\r\n\r\n" * k if k % 2 else None) for k in range(9)]
