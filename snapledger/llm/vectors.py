@@ -67,7 +67,7 @@ def grid(chunks: DataFrame, queries: DataFrame) -> DataFrame:
     there = F.broadcast(q.groupBy("dim").agg(F.collect_list("q_block").alias("q_blocks")))
     cells = (chunks.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(salts))).join(there, "dim")
              .withColumn("q_block", F.explode("q_blocks")).drop("q_blocks"))
-    q = q.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    q = q.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     return cells.join(q, ["dim", "q_block", "salt"]).drop("salt")
 
 

@@ -63,7 +63,14 @@ def test_pack(spark):
             assert offset == at
             at += length
         assert at <= 2048
-    assert len(seq) <= -(-sum(r["length"] for r in got) // 2048) + 1
+    bins = []                                                           # first-fit decreasing
+    for n in sorted((r["length"] for r in got), reverse=True):
+        at = next((k for k, room in enumerate(bins) if room >= n), None)
+        if at is None:
+            bins.append(2048 - n)
+        else:
+            bins[at] -= n
+    assert len(seq) <= len(bins)
     assert packing.pack(packing.pieces(df.where("false"), PATH)).count() == 0
 
 
