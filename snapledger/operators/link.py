@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from snapledger.operators import stats
+
 from snapledger.functions.text import OWNER_NAME_PLACEHOLDER, norm_address, zip5
 
 # --- fixed values ----------------------------------------------------------------
@@ -125,8 +127,8 @@ def outcome_of(n_homes: Column, primary_found: Column) -> Column:
 def outcomes(portfolios: DataFrame) -> DataFrame:
     """Outcome label per focus home: (outcome, n, median_portfolio)."""
     d = portfolios.withColumn("outcome", outcome_of(F.col("n_homes"), F.col("primary_found")))
-    return d.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"),
-                                    F.median("total_value").alias("median_portfolio"))
+    return stats.with_medians(d.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")), d, "outcome",
+                              {"median_portfolio": "total_value"})
 
 
 def top_portfolios(lk: DataFrame, where: Column, k: int = 20) -> DataFrame:

@@ -49,10 +49,47 @@ def rate_by(df: DataFrame, groups: Sequence[Column], pred: Column) -> DataFrame:
                                    (F.count_if(pred) / F.count(F.lit(1))).alias("rate"))
 
 
+def exact_median(df: DataFrame, group: str, value: str, name: str, slices: int = 1024) -> DataFrame:
+    """(group, name): the exact median of ``value`` per group, without gathering a group in one task.
+
+    Equal values become one counted row.  Each group's range is cut into ``slices``; cumulative counts
+    of slices (a few rows) tell which slice holds the middle, and only that slice is put in order.
+    NULL values don't count; a group without values has no row.
+    """
+    x = F.col(value).cast("double")
+    counts = df.select(group, x.alias("_v")).filter(F.col("_v").isNotNull()).groupBy(group, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    ends = counts.groupBy(F.col(group).alias("_g")).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_total"))
+    at = F.when(F.col("_hi") > F.col("_lo"), F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * slices)).otherwise(0)
+    sliced = counts.join(ends, F.col(group).eqNullSafe(F.col("_g"))).withColumn("_slice", at.cast("int"))
+    low, high = F.floor((F.col("_total") + 1) / 2), F.floor((F.col("_total") + 2) / 2)
+    up_to = Window.partitionBy("_g").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sums = (sliced.groupBy("_g", "_slice").agg(F.sum("_n").alias("_in"), F.first("_total").alias("_total"))
+            .withColumn("_before", F.coalesce(F.sum("_in").over(up_to), F.lit(0))))
+    middle = sums.filter((F.col("_before") < high) & (F.col("_before") + F.col("_in") >= low)).select(
+        F.col("_g").alias("_m"), F.col("_slice").alias("_s"), "_before")
+    inside = Window.partitionBy("_g", "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (sliced.join(middle, F.col("_g").eqNullSafe(F.col("_m")) & (F.col("_slice") == F.col("_s")))
+              .withColumn("_first", F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0))))
+    holds = lambda rank: (F.col("_first") < rank) & (F.col("_first") + F.col("_n") >= rank)
+    return ranked.groupBy(F.col("_g").alias(group)).agg(
+        ((F.max(F.when(holds(low), F.col("_v"))) + F.max(F.when(holds(high), F.col("_v")))) / 2).alias(name))
+
+
+def with_medians(grouped: DataFrame, df: DataFrame, group: str, measures: dict[str, str]) -> DataFrame:
+    """``grouped`` (one row per group) with an exact median per (name, value column); NULL where there are no values."""
+    out = grouped
+    for name, value in measures.items():
+        m = exact_median(df, group, value, name).withColumnRenamed(group, "_group")
+        out = out.join(m, F.col(group).eqNullSafe(F.col("_group")), "left").drop("_group")
+    return out
+
+
 def summary(df: DataFrame, group: Column, measures: dict[str, Column], count_name: str = "parcels") -> DataFrame:
-    """Group card: row count plus exact medians of the given measures."""
-    return df.groupBy(group).agg(F.count(F.lit(1)).alias(count_name),
-                                 *[F.median(m).alias(name) for name, m in measures.items()])
+    """Group card: row count plus exact medians of the given measures.  ``group`` must carry an alias."""
+    rows = df.select(group, *[m.alias(f"_{name}") for name, m in measures.items()])
+    key = rows.columns[0]
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias(count_name))
+    return with_medians(counts, rows, key, {name: f"_{name}" for name in measures})
 
 
 def top_categories(df: DataFrame, group: Column, category: Column, k: int = 10,

@@ -91,11 +91,11 @@ FROM p WHERE {IS_HOME} GROUP BY 1""")
 def q_home_stats(spark, d):
     p = _p(spark, d).filter(domain.is_home())
     pre = domain.has_pre()
-    amt = F.when(pre, F.col("exemption_6_amount"))
-    return p.groupBy(domain.area_of().alias("area")).agg(
-        F.count(F.lit(1)).alias("homes"), F.count_if(pre).alias("exempt_homes"),
-        (F.count_if(pre) / F.count(F.lit(1))).alias("rate"),
-        F.round(F.median(amt), 2).alias("median_amount"), F.sum(amt).alias("total_amount"))
+    rows = p.select(domain.area_of().alias("area"), pre.alias("pre"), F.when(pre, F.col("exemption_6_amount")).alias("amount"))
+    g = rows.groupBy("area").agg(
+        F.count(F.lit(1)).alias("homes"), F.count_if("pre").alias("exempt_homes"),
+        (F.count_if("pre") / F.count(F.lit(1))).alias("rate"), F.sum("amount").alias("total_amount"))
+    return stats.with_medians(g, rows, "area", {"median_amount": "amount"}).withColumn("median_amount", F.round("median_amount", 2))
 
 
 @register("top_categories", f"""{P},

@@ -71,3 +71,16 @@ def test_histogram_shares_sum_to_one(spark, rows):
     for g, (s, n) in tot.items():
         assert abs(s - 1.0) < 1e-9
         assert n == sum(1 for r in rows if r[0] == g)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(-5, 5), st.floats(-1e6, 1e6))), max_size=40))
+def test_exact_median(spark, rows):
+    import statistics
+
+    from snapledger.operators import stats
+    df = spark.createDataFrame([(g, None if v is None else float(v)) for g, v in rows], "g string, v double")
+    want = {g: statistics.median([float(v) for k, v in rows if k == g and v is not None])
+            for g in {k for k, v in rows if v is not None}}
+    got = {r.g: r.m for r in stats.exact_median(df, "g", "v", "m", slices=4).collect()}
+    assert got.keys() == want.keys() and all(abs(got[g] - want[g]) <= 1e-9 * max(1, abs(want[g])) for g in want)
