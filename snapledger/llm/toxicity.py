@@ -268,8 +268,9 @@ def score(docs: DataFrame, crf: Field, id_col: str = "doc_id", text_col: str = "
                 if len(known) > CACHE_WORDS:
                     known = {}
                 words = _TOKEN.findall(t.lower()) if t else []
-                for w in set(words) - known.keys():
-                    known[w] = crf.emission(w)
+                for w in words:
+                    if w not in known:
+                        known[w] = crf.emission(w)
                 at = [k for k, w in enumerate(words) if known[w] is not None]
                 clean = 1.0
                 m = chain.marginals(at, [known[words[k]] for k in at], len(words))
