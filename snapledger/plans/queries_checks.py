@@ -53,7 +53,7 @@ def _ledger_sql():
 
 @register("ledger", _ledger_sql())
 def q_ledger(spark, d):
-    return _runs(spark, d)
+    return _runs(spark, d).drop("archive_bytes")        # the size of files is not in the tables
 
 
 def history_checks(as_of: str = AS_OF) -> list[ck.Check]:

@@ -128,8 +128,8 @@ def q_scd2_changes(spark, d):
 
 def _load_all() -> None:
     """Import the query modules so they register themselves (idempotent)."""
-    from snapledger.plans import (queries_analytics, queries_checks, queries_geo, queries_parcels,  # noqa: F401
-                                  queries_stream)
+    from snapledger.plans import (queries_analytics, queries_checks, queries_geo, queries_ingest,  # noqa: F401
+                                  queries_parcels, queries_stream)
 
 
 def all_queries() -> dict[str, Builder]:

@@ -21,7 +21,7 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("status", T.StringType()),
     *[T.StructField(c, T.LongType()) for c in (
         "server_count", "source_features", "distinct_parcels", "new_parcels", "changed_parcels",
-        "retired_parcels", "unchanged_parcels")],
+        "retired_parcels", "unchanged_parcels", "archive_bytes")],
 ])
 
 
@@ -31,7 +31,8 @@ def run_id(started_at: str, salt: str = "") -> str:
 
 
 def ledger_row(counts: DataFrame, run: str, started_at: str, finished_at: str, status: str = "success", *,
-               server_count: Column | int, source_features: Column | int | None = None) -> DataFrame:
+               server_count: Column | int, source_features: Column | int | None = None,
+               archive_bytes: int | None = None) -> DataFrame:
     """One ledger row from a ``merge_counts`` frame (distinct_keys, new, changed, retired, unchanged).
 
     ``server_count`` is what the source said it holds; it must come from there, so that a shortfall shows.
@@ -48,7 +49,7 @@ def ledger_row(counts: DataFrame, run: str, started_at: str, finished_at: str, s
         F.col("distinct_keys").cast("bigint").alias("distinct_parcels"),
         F.col("new").cast("bigint").alias("new_parcels"), F.col("changed").cast("bigint").alias("changed_parcels"),
         F.col("retired").cast("bigint").alias("retired_parcels"),
-        F.col("unchanged").cast("bigint").alias("unchanged_parcels"))
+        F.col("unchanged").cast("bigint").alias("unchanged_parcels"), F.lit(archive_bytes).cast("bigint").alias("archive_bytes"))
 
 
 def record_run(row: DataFrame, ledger_path: str) -> None:
