@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ FREQUENT = 100_000             # words in the table that every task gets, at mos
 FLUSH_WORDS = 400_000          # words a task counts before it sends them on
 ROUNDS = 2                     # of expectation maximisation
 CACHE = 0.2                    # weight of words the text used before
-MAX_PIECE = 16                 # bytes of the longest piece used
+MAX_PIECE = 10                 # bytes of the longest piece used
 LONG_WORD = 96                 # words longer than this are handled one by one
 NONE = -1e30
 _TABLE_BITS = 20
@@ -191,16 +192,19 @@ def is_held_out(doc: str | None, modulus: int = 7, rest: int = 2) -> bool:
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """(word, c, n): uses in training documents and in all; the null word is the end of a document."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(word, c, n) from (i, t): uses in training documents and in all; the null word is the end of a document."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learnt, other = Counter(), Counter()
 
         def out():
-            words = list(learnt.keys() | other.keys())
-            return pd.DataFrame({"word": words, "c": [learnt[w] for w in words], "n": [learnt[w] + other[w] for w in words]})
+            c, n = Counter(learnt), Counter(learnt)
+            n.update(other)
+            words = list(n)
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(map(c.__getitem__, words), pa.int64()),
+                                               pa.array(n.values(), pa.int64())], names=["word", "c", "n"])
 
         for b in batches:
-            for i, t in zip(b["i"], b["t"]):
+            for i, t in zip(b.column("i").to_pylist(), b.column("t").to_pylist()):
                 into = other if is_held_out(i) else learnt
                 into.update(lower_words(t))
                 into[None] += 1
@@ -210,8 +214,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         if learnt or other:
             yield out()
 
-    src = docs.select(F.col("i"), F.col("t"))
-    return (src.mapInPandas(run, "word binary, c long, n long").groupBy("word")
+    return (docs.select("i", "t").mapInArrow(run, "word binary, c long, n long").groupBy("word")
             .agg(F.sum("c").alias("c"), F.sum("n").alias("n")))
 
 
@@ -289,40 +292,56 @@ def score(docs: DataFrame, path: str, frequent: int = FREQUENT, rounds: int = RO
         total, low = total + n, b
     top = [] if low is None else words.where(step >= low).select("word", "c", "lm").collect()
     rest = 1 - CACHE
-    table = spark.sparkContext.broadcast({bytes(r["word"]): (math.log10((r["c"] + 1) / base_total), rest * 10.0 ** r["lm"], int(r["c"] > 0))
-                                          for r in top})
+    c_top = np.array([r["c"] for r in top], dtype=float)
+    table = spark.sparkContext.broadcast((
+        {bytes(r["word"]): k for k, r in enumerate(top)}, np.log10((c_top + 1) / base_total),
+        rest * 10.0 ** np.array([r["lm"] for r in top], dtype=float), c_top > 0))
 
-    def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         uid = TaskContext.get().partitionId() << 40
-        get, log10 = table.value.get, math.log10
+        place, base_of, share, learnt_of = table.value
+        get = place.get
         for b in batches:
-            for a in range(0, len(b), 512):
-                rows = []
-                for i, t in zip(b["i"][a: a + 512], b["t"][a: a + 512]):
-                    uid += 1
-                    words = lower_words(t)
-                    base, n_known = log10((c_end + 1) / base_total), int(c_end > 0)
-                    lm = lm_end      # one factor `rest` too many at the first token, one too few at the end
-                    used: dict[bytes, int] = {}
-                    rare: dict[bytes, list] = {}
-                    for j, w in enumerate(words):
-                        k = used.get(w, 0)
-                        used[w] = k + 1
-                        if (got := get(w)) is not None:
-                            base += got[0]
-                            lm += log10(got[1] + CACHE * k / j) if k else log10(got[1])
-                            n_known += got[2]
-                        elif k:
-                            rare[w].append(CACHE * k / j)
-                        else:
-                            rare[w] = []
-                    rows += [(uid, None, w, len(f) + 1, None, None, None, f or None) for w, f in rare.items()]
-                    rows.append((uid, i, None, len(words) + 1, n_known, base, lm, None))
-                yield pd.DataFrame(rows, columns=["uid", "i", "word", "n", "n_known", "base", "lm", "again"]).astype({"n_known": "Int64"})
-
-    seen = materialise(src.mapInPandas(
+            out: tuple[list, ...] = tuple([] for _ in range(8))
+
+            def add(*row):
+                for column, value in zip(out, row):
+                    column.append(value)
+
+            for i, t in zip(b.column("i").to_pylist(), b.column("t").to_pylist()):
+                uid += 1
+                words = lower_words(t)
+                ids = np.array([get(w, -1) for w in words], dtype=np.int64)
+                at = np.flatnonzero(ids >= 0)
+                own = ids[at]
+                base = math.log10((c_end + 1) / base_total) + base_of[own].sum()
+                n_known = int(c_end > 0) + int(learnt_of[own].sum())
+                lm = lm_end          # one factor `rest` too many at the first token, one too few at the end
+                if len(own):         # how often each token's word was used before it
+                    order = np.argsort(own, kind="stable")
+                    word, j = own[order], at[order]
+                    first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+                    before = np.arange(len(word)) - np.repeat(first, np.diff(np.append(first, len(word))))
+                    lm += np.log10(share[word] + CACHE * before / np.maximum(1, j)).sum()
+                rare: dict[bytes, list | None] = {}
+                for j in np.flatnonzero(ids < 0).tolist():
+                    w = words[j]
+                    if w not in rare:
+                        rare[w] = None
+                    elif (seen := rare[w]) is None:
+                        rare[w] = [CACHE / j]
+                    else:
+                        seen.append(CACHE * (len(seen) + 1) / j)
+                for w, f in rare.items():
+                    add(uid, None, w, 1 + len(f or ()), None, None, None, f)
+                add(uid, i, None, len(words) + 1, n_known, base, lm, None)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
+
+    kinds = [pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.float64())]
+    names = ["uid", "i", "word", "n", "n_known", "base", "lm", "again"]
+    seen = materialise(src.mapInArrow(
         look_up, "uid long, i string, word binary, n long, n_known long, base double, lm double, again array<double>"), "lookups")
     alone = F.lit(math.log10(rest)) + F.col("lm")
     repeated = F.coalesce(F.aggregate("again", F.lit(0.0), lambda total, f: total + F.log10(F.pow(F.lit(10.0), alone) + f)), F.lit(0.0))
