@@ -198,8 +198,10 @@ def parcel_tables(spark, d):
                             server_count=F.col("distinct_keys"))
     # the artifact is a published file in the real flow: build it once, audit the written copy
     artifact = cut_lineage(publish.build_current_artifact(cur, parcels.KEY), "parcel-artifact")
-    return {"history": hist, "current": parcels.with_geometry_metrics(cur), "runs": runs, "artifact": artifact,
-            "categorized": rules.categorize(cur)}
+    # measures and labels are derived once, not per check
+    measured = cut_lineage(parcels.with_geometry_metrics(cur), "parcel-current")
+    labelled = cut_lineage(rules.categorize(cur), "parcel-categorized")
+    return {"history": hist, "current": measured, "runs": runs, "artifact": artifact, "categorized": labelled}
 
 
 def geo_area(g):
