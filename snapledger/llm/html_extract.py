@@ -35,11 +35,17 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
             "option": {"option"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
 
-BOILERPLATE = re.compile(
-    r"(?:^|[-_\s])(?:ads?|adverts?|advertisements?|adsense|adslot|banner|sponsor(?:ed)?|promo(?:tion)?s?|cookies?|consent|gdpr|notices?|"
-    r"alerts?|popup|modal|overlay|nav|navbar|navigation|menus?|breadcrumbs?|sidebar|side|aside|rail|widgets?|footer|foot|masthead|"
-    r"header|topbar|toolbar|comments?|commentlist|disqus|replies|reply|respond|share|sharing|social|related|recommended|more-?links|"
-    r"subscribe|subscription|newsletter|signup|login|search|pagination|pager|skip|hidden|print-?only|legal|copyright)(?:$|[-_\s\d])", re.I)
+# names of containers, as authors write them
+WORDS = set("""ad ads advert adverts advertisement advertisements adsense adslot banner sponsor sponsored promo promos promotion promotions
+cookie cookies consent gdpr notice notices alert alerts popup modal overlay nav navbar navigation menu menus breadcrumb breadcrumbs sidebar
+side aside rail widget widgets footer foot masthead header head topbar toolbar comment comments commentlist disqus replies reply respond share
+sharing social related recommended recommendations subscribe subscription newsletter signup login search pagination pager skip hidden legal
+copyright form""".split())
+INSIDE = ("sidebar", "advert", "cookie", "newsletter", "breadcrumb", "comment", "navbar", "popup", "subscri", "disqus", "promo")
+HEADS = {"header", "head", "masthead", "topbar"}
+CONTENT = set("""content article post entry story main text body maincontent articlebody post-content entry-content article-content article-body
+story-body main-content page-content post-body entry-body""".split())
+NOT = {"has", "with", "no", "without", "is", "not", "non"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu", "menubar"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>?", re.S)
@@ -50,11 +56,26 @@ SMOOTH = 1                     # neighbouring paths on each side
 THRESHOLD = 0.25               # share of the best fused score that a path must reach
 
 
+def _names_boilerplate(names: list[str], inside: bool) -> bool:
+    """Whether class and id say that a container is no main text.  ``inside`` an article, a heading belongs to it."""
+    if any(n in CONTENT for n in names):
+        return False
+    for n in names:
+        parts = [p.rstrip("0123456789") for p in re.split(r"[-_:]+", n)]
+        parts = [p for p in parts if p]
+        if not parts or parts[0] in NOT or parts[-1] == "free":
+            continue
+        hit = {parts[0], parts[-1]} & WORDS
+        if hit - HEADS or (hit and not inside) or any(w in p for w in INSIDE for p in (parts[0], parts[-1])):
+            return True
+    return False
+
+
 class _Node:
-    __slots__ = ("tag", "label", "bad", "up", "path")
+    __slots__ = ("tag", "label", "bad", "up", "path", "content")
 
-    def __init__(self, tag, label, bad, up):
-        self.tag, self.label, self.bad, self.up = tag, label, bad, up
+    def __init__(self, tag, label, bad, up, content=False):
+        self.tag, self.label, self.bad, self.up, self.content = tag, label, bad, up, content
         self.path = (up.path + "/" if up else "") + label
 
 
@@ -131,13 +152,15 @@ def blocks(page: str) -> list[tuple[str, str, bool, int, str]]:
         got = {k.lower(): a or b or c or "" for k, a, b, c in _ATTR.findall(m[3])} if m[3].strip(" /") else {}
         named = " ".join(x for x in (got.get("class", ""), got.get("id", "")) if x)
         top = stack[-1]
-        inside = any(n.tag in ("article", "main") for n in stack)
+        names = named.lower().split()
+        inside = any(n.content for n in stack)
         bad = (top.bad or tag in NEVER or (tag == "header" and not inside) or "hidden" in got
                or got.get("role", "").lower() in ROLES or got.get("aria-hidden", "").lower() == "true"
                or bool(re.search(r"display\s*:\s*none", got.get("style", ""), re.I))
-               or (tag not in ("html", "body", "article", "main") and bool(named and BOILERPLATE.search(named))))
+               or (tag not in ("html", "body", "main") and bool(names) and _names_boilerplate(names, inside)))
+        content = tag in ("article", "main") or (tag not in ("html", "body") and any(n in CONTENT for n in names))
         if not (m[3].endswith("/") and tag in ("svg", "canvas", "object")):
-            stack.append(_Node(tag, tag + ("." + _SPACES.sub(".", named.strip()) if named else ""), bad, top))
+            stack.append(_Node(tag, tag + ("." + _SPACES.sub(".", named.strip()) if named else ""), bad, top, content))
             in_link[0] = 0
     flush()
     return out

@@ -25,6 +25,10 @@ FOOT = "<footer>&copy; x &middot; All rights, reserved.</footer>"
     ("main", page(f"<header><h1>Site</h1></header><main><header><h1>Real head</h1></header><p>{P}</p><aside><p>{P}</p></aside>"
                   f"<form><p>Your name, please.</p></form><section id=comments><p>{P}</p></section></main><div class='cookie-notice'><p>{P * 9}</p></div>"),
      ["Real head", P]),
+    ("wrappers", page(f"<div class='container has-sidebar'><div class='post ad-free'><div class='post-header'><h1>Title</h1></div><p>{P * 3}</p>"
+                      f"<div class='post-footer'><p>{P}</p></div></div><div class='right-sidebar'><p>{P * 2}</p></div></div>"
+                      f"<article class='comment'><p>{P}</p></article><div id='ad-12'><p>{P}</p></div><div class=cookiebar><p>{P}</p></div>"),
+     ["Title", P * 3]),
     ("table", page(f"<article><p>{P * 2}</p><table><tr><td>Cell, a<td>Cell b</table></article>"), [P * 2, "Cell, a", "Cell b"]),
     ("cut off", "<body><article><h1>H</h1><p>" + P + "</p><p>End &amp; not clos<b", ["H", P, "End & not clos"]),
     ("no markup", P, [P]),
