@@ -176,18 +176,35 @@ def bbox(geom: Column) -> Column:
 
 
 def validity(geom: Column) -> Column:
-    """struct of reasons and ``valid``: rings closed, >= 4 points, finite coordinates, non-zero area.
-
-    Self-intersection is not tested (would need a per-ring segment self-join).
-    """
+    """struct of reasons and ``valid``: rings closed, >= 4 points, finite coordinates, non-zero area, no
+    ring crossing itself (pairs of a ring's own segments, tested within the row)."""
     rings = F.flatten(geom)
+    simple = ~F.exists(rings, _crosses_itself)
     closed = F.forall(rings, lambda r: (r[0][0] == r[F.size(r) - 1][0]) & (r[0][1] == r[F.size(r) - 1][1]))
     enough = F.forall(rings, lambda r: F.size(r) >= 4)
     finite = F.forall(_points(geom), lambda p: (F.size(p) >= 2) & ~F.isnan(p[0]) & ~F.isnan(p[1])
                       & (F.abs(p[0]) <= 180) & (F.abs(p[1]) <= 90))
     nonzero = F.forall(geom, lambda poly: F.abs(_ring_moments(poly[0])["a"]) > 0)
     return F.struct(closed.alias("closed"), enough.alias("enough_points"), finite.alias("finite"),
-                    nonzero.alias("nonzero_area"), (closed & enough & finite & nonzero).alias("valid"))
+                    nonzero.alias("nonzero_area"), simple.alias("simple"),
+                    (closed & enough & finite & nonzero & simple).alias("valid"))
+
+
+def _crosses_itself(r: Column) -> Column:
+    """Whether two segments of a ring cross properly (each one's ends on either side of the other)."""
+    n = F.size(r) - 1
+
+    def side(a, b, p):
+        return (b[0] - a[0]) * (p[1] - a[1]) - (b[1] - a[1]) * (p[0] - a[0])
+
+    def crosses(i, j):
+        a, b, c, d = r[i], r[i + 1], r[j], r[j + 1]
+        return (side(a, b, c) * side(a, b, d) < 0) & (side(c, d, a) * side(c, d, b) < 0)
+
+    def with_later(i):
+        return F.when(i + 2 < n, F.exists(F.sequence(i + 2, n - 1), lambda j: crosses(i, j))).otherwise(False)
+
+    return F.when(n >= 4, F.exists(F.sequence(F.lit(0), n - 1), with_later)).otherwise(False)
 
 
 def is_valid(geom: Column) -> Column:
@@ -195,8 +212,8 @@ def is_valid(geom: Column) -> Column:
 
 
 def quantise(geom: Column, tol: float = 1e-5) -> Column:
-    """Snap to a ``tol`` grid and drop consecutive repeated points; a ring that would
-    fall below 4 points keeps its original vertices."""
+    """Snap to a ``tol`` grid, drop consecutive repeated points and points on the straight line
+    between their neighbours; a ring that would fall below 4 points keeps its original vertices."""
     digits = round(-math.log10(tol))
     exact = math.isclose(10.0 ** -digits, tol)
 
@@ -208,7 +225,15 @@ def quantise(geom: Column, tol: float = 1e-5) -> Column:
 
         def dedupe(sn):      # ``sn`` is a bound variable: the snapped ring is computed once
             kept = F.filter(sn, lambda p, i: (i == 0) | (p[0] != sn[i - 1][0]) | (p[1] != sn[i - 1][1]))
-            return F.transform(F.array(kept), lambda k: F.when(F.size(k) >= 4, k).otherwise(r))[0]
+            return F.transform(F.transform(F.array(kept), straighten), lambda k: F.when(F.size(k) >= 4, k).otherwise(r))[0]
+
+        def straighten(k):
+            def bends(p, i):
+                a, b = k[i - 1], k[i + 1]
+                off = F.abs((b[0] - a[0]) * (p[1] - a[1]) - (b[1] - a[1]) * (p[0] - a[0]))
+                back = (p[0] - a[0]) * (b[0] - p[0]) + (p[1] - a[1]) * (b[1] - p[1]) < 0
+                return back | (off > 1e-3 * tol * (F.abs(b[0] - a[0]) + F.abs(b[1] - a[1])))
+            return F.filter(k, lambda p, i: F.when((i == 0) | (i == F.size(k) - 1), True).otherwise(bends(p, i)))
         return _let(snapped, dedupe)
     return F.transform(geom, lambda poly: F.transform(poly, ring_fn))
 

@@ -83,3 +83,19 @@ def test_radius_out_of_range_is_an_error(spark):
     from snapledger.operators import explore
     with pytest.raises(ValueError):
         explore.radius(F.lit(0.0), F.lit(0.0), 0.0, 0.0, 50_000)
+
+
+def test_self_crossing_ring_is_invalid(spark):
+    bow = [[[[0.0, 0.0], [2.0, 2.0], [2.0, 0.0], [0.0, 1.0], [0.0, 0.0]]]]
+    concave = [[[[0.0, 0.0], [4.0, 0.0], [4.0, 4.0], [2.0, 1.0], [0.0, 4.0], [0.0, 0.0]]]]
+    holed = [[[[0.0, 0.0], [4.0, 0.0], [4.0, 4.0], [0.0, 4.0], [0.0, 0.0]], [[1.0, 1.0], [2.0, 1.0], [2.0, 2.0], [1.0, 1.0]]]]
+    df = spark.createDataFrame([(bow,), (concave,), (holed,)], f"g {geo.MULTIPOLYGON}")
+    assert [r[0] for r in df.select(geo.is_valid(F.col("g"))).collect()] == [False, True, True]
+
+
+def test_quantise_drops_points_on_a_line(spark):
+    ring = [[0.0, 0.0], [0.5, 0.0], [0.75, 0.0], [1.0, 0.0], [1.0, 0.00003], [1.0, 1.0], [0.0, 0.0]]
+    spike = [[0.0, 0.0], [1.0, 0.0], [0.5, 0.0], [0.5, 1.0], [0.0, 0.0]]
+    df = spark.createDataFrame([([[ring]],), ([[spike]],)], f"g {geo.MULTIPOLYGON}")
+    got = [r[0] for r in df.select(geo.quantise(F.col("g"))).collect()]
+    assert got[0] == [[[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 0.0]]]] and got[1] == [[spike]]
