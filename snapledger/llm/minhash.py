@@ -8,16 +8,18 @@ its smallest member).  Every candidate is confirmed on the full shingle sets.
 Stars alone could miss a link between two members that are both unlike the centre.  Such members
 become centres themselves in further rounds, a bounded number per bucket and round, until none is
 left; members already connected to their bucket's centre are settled.  So every pair that shares a
-bucket is compared, already connected, or ruled out by its sizes.
+bucket is compared, already connected, or ruled out by its sizes or its sketches (one bit per value
+of the signature; a pair at the bound fails with probability 3e-7).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.llm.common import hot_rows, join_groups, materialise, mix, shingle_set
@@ -26,6 +28,7 @@ from snapledger.llm.common import hot_rows, join_groups, materialise, mix, shing
 # similarity of unrelated texts, of which pairs grow with the square of the corpus) with 2e-9.
 BANDS, ROWS = 56, 8
 STARS = 8                      # further centres per bucket in the second round; then 8 times as many each round
+SKETCH = 256                   # bits; at most bands * rows
 BESIDE = 1_000_000             # rows of two or three numbers that a join broadcasts at most, counted first
 
 
@@ -63,9 +66,23 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return h
 
 
+def sketch(sig: np.ndarray) -> np.ndarray:
+    """One bit per value of the signature's first SKETCH bins, as 64-bit words: unequal values agree half the time."""
+    n = np.arange(SKETCH, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return np.packbits((mix(sig[:SKETCH] ^ n) >> np.uint64(63)).astype(np.uint8)).view(np.int64)
+
+
+def _alike(percent: int, a: str, b: str) -> Column:
+    """Whether two sketches (array columns) agree as often as a pair at ``percent`` does, less five standard deviations."""
+    p = (1 + percent / 100) / 2
+    most = math.ceil(SKETCH * (1 - p) + 5 * math.sqrt(SKETCH * p * (1 - p)))
+    return sum((F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(1, SKETCH // 64)),
+               F.bit_count(F.col(a)[0].bitwiseXOR(F.col(b)[0]))) <= most
+
+
 def sign(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, d1, d2, bands): d1, d2 are a 128-bit digest of the whole set."""
+    """(doc_id, n_shingles, d1, d2, bands, sketch): d1, d2 are a 128-bit digest of the whole set."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         probes = _probe_order(bands * rows)
         for b in batches:
@@ -73,16 +90,17 @@ def sign(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS,
             for i, t in zip(b["i"], b["t"]):
                 s = shingle_set(t, words)
                 if len(s):
-                    keys = band_keys(signature(s, bands * rows, probes), bands, rows).astype(np.int64)
+                    sig = signature(s, bands * rows, probes)
+                    keys = band_keys(sig, bands, rows).astype(np.int64)
                     d1 = int(np.bitwise_xor.reduce(mix(s + np.uint64(1))).astype(np.int64))
                     d2 = int(np.add.reduce(mix(s ^ np.uint64(0x5BD1E995))).astype(np.int64))
-                    out.append((i, len(s), d1, d2, keys))
+                    out.append((i, len(s), d1, d2, keys, sketch(sig)))
                 else:
-                    out.append((i, 0, 0, 0, None))
-            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "d1", "d2", "bands"]).astype({"doc_id": "Int64"})
+                    out.append((i, 0, 0, 0, None, None))
+            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "d1", "d2", "bands", "sketch"]).astype({"doc_id": "Int64"})
 
     return docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).mapInPandas(
-        run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
+        run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch array<long>")
 
 
 def _sets(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
@@ -178,18 +196,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     document (each row is returned).  A null id cannot be named as a copy: such a row has a null
     component and is kept.  Extra columns are ignored; empty tables give no rows.
     """
+    assert bands * rows >= SKETCH
     signed = materialise(sign(docs, words, bands, rows, id_col, text_col), "signed")
     live = signed.where("n_shingles > 0 and doc_id is not null")
     # Equal sets collapse first: a group of copies costs one row from here on.
     groups = materialise(live.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_rows"),
-                                                      F.first("n_shingles").alias("n"), F.first("bands").alias("bands")),
-                         "groups")
+                                                      F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
+                                                      F.first("sketch").alias("sketch")), "groups")
     member = groups.select("rep", "n", F.explode("bands").alias("bucket"))
     bucket = materialise(member.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("n_in")).where("n_in > 1"), "buckets")
     shared = join_groups(member, bucket, ["bucket"], "n_in", groups.count() * bands, "inner")
-    size = bucket.select("centre").distinct().join(groups.select(F.col("rep").alias("centre"), F.col("n").alias("n_centre")), "centre")
-    shared = materialise(shared.join(_beside(size, bucket.count()), "centre"), "shared")
-    fits = F.expr(f"100 * least(n, n_centre) >= {percent} * greatest(n, n_centre)")     # sizes alone rule out many pairs
+    known = groups.select("rep", "sketch")
+    shared = shared.join(known, "rep").join(
+        groups.select(F.col("rep").alias("centre"), F.col("n").alias("n_centre"), F.col("sketch").alias("s_centre")), "centre")
+    # sizes and sketches alone rule out most pairs
+    fits = F.expr(f"100 * least(n, n_centre) >= {percent} * greatest(n, n_centre)") & _alike(percent, "sketch", "s_centre")
+    shared = materialise(shared.withColumn("fits", fits).drop("n_centre", "s_centre"), "shared")
+    fits = F.col("fits")
 
     # Sets only of texts that may have a partner; no list of partners is capped.
     asked = materialise(shared.where(fits | (F.col("n_in") > 2)).select(F.col("rep").alias("doc"))
@@ -209,7 +232,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     stars = STARS
     while True:
         named = _labelled(_labelled(shared.where("n_in > 2"), labels, "rep", "own"), labels, "centre", "main")
-        named = materialise(named.select("bucket", "rep", "n", "own", (F.col("own") != F.col("main")).alias("loose")), "named")
+        named = materialise(named.select("bucket", "rep", "n", "sketch", "own", (F.col("own") != F.col("main")).alias("loose")), "named")
         loose = named.where("loose").groupBy("bucket").agg(F.count("*").alias("n_loose"))
         loose = materialise(loose, "loose")
         most = loose.agg(F.max("n_loose")).first()[0] or 0
@@ -218,17 +241,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
         place = F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) / F.lit(float(1 << 20)) * F.col("n_loose")
         turn = (place < stars) | (F.col("n_loose") <= stars)
         centres = (named.where("loose").join(_beside(loose, loose.count()), "bucket").where(turn)
-                   .select("bucket", F.col("rep").alias("r"), F.col("n").alias("nr"), F.col("own").alias("r_own")))
-        pairs = (named.join(centres, "bucket").where("rep <> r and own <> r_own")
-                 .where(100 * F.least("n", "nr") >= percent * F.greatest("n", "nr"))
+                   .select("bucket", F.col("rep").alias("r"), F.col("n").alias("nr"), F.col("sketch").alias("r_sketch"), F.col("own").alias("r_own")))
+        meet = ((F.col("bucket") == F.col("b")) & (F.col("rep") != F.col("r")) & (F.col("own") != F.col("r_own"))
+                & (100 * F.least("n", "nr") >= percent * F.greatest("n", "nr")) & _alike(percent, "sketch", "r_sketch"))
+        pairs = (named.join(centres.withColumnRenamed("bucket", "b"), meet)
                  .select(F.least("rep", "r").alias("a"), F.greatest("rep", "r").alias("b")).distinct())
         new = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         if not new.isEmpty():
             tried = tried.unionByName(new)
             more = materialise(confirm(new, sets, percent), "links")
             if not more.isEmpty():
-                links = links.unionByName(more)
-                labels = components(links)
+                # what is known needs one edge per document from here on
+                old = links if labels is None else labels[0].where("doc <> label").select(F.col("label").alias("a"), F.col("doc").alias("b"))
+                labels = components(old.unionByName(more))
         if most <= stars:                                  # every loose member was a centre
             break
         stars *= 8

@@ -50,7 +50,7 @@ def corpus():
 def test_against_all_pairs(spark, n, percent):
     rows = corpus()
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
-    bands = {"bands": 60, "rows": 3} if percent < 80 else {}
+    bands = {"bands": 90, "rows": 3} if percent < 80 else {}
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(df, n, percent, **bands).collect()}
     assert got == brute(rows, n, percent)
 
@@ -82,3 +82,18 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 300)] + [(500, 400), (450, 500)]
     got = {r["doc"]: r["label"] for r in minhash.components(spark.createDataFrame(edges, "a long, b long"))[0].collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(300)}, 400: 400, 450: 400, 500: 400}
+
+
+def test_sketches_estimate_agreement():
+    a = shingle_set(" ".join(map(str, range(1000))), 2)
+    probes = minhash._probe_order(448)
+    one = minhash.sketch(minhash.signature(a, 448, probes))
+    for keep, low, high in ((900, 0.93, 0.99), (500, 0.68, 0.82), (3, 0.4, 0.62)):
+        two = minhash.sketch(minhash.signature(shingle_set(" ".join(map(str, range(1000 - keep, 1000))), 2), 448, probes))
+        same = 1 - bin(int.from_bytes((one ^ two).tobytes(), "little")).count("1") / 256
+        assert low <= same <= high, (keep, same)
+    for keep in (900, 30):                                  # pairs above the bound pass, short ones too
+        words = [str(i) for i in range(keep)]
+        s1 = minhash.sketch(minhash.signature(shingle_set(" ".join(words), 2), 448, probes))
+        s2 = minhash.sketch(minhash.signature(shingle_set(" ".join(words[: -max(1, keep // 6)]), 2), 448, probes))
+        assert bin(int.from_bytes((s1 ^ s2).tobytes(), "little")).count("1") <= 50
