@@ -53,6 +53,6 @@ def test_percent_usage_wildcard_trap(df):
 def test_disposition_labels(spark):
     d = spark.createDataFrame([("PROPERTY OWNER OF RECORD",), ("ACME LLC",), ("X TRUST",), ("Y TTE",), ("Z",)], "owner_name string")
     got = {r.disposition: r.n for r in names.disposition(d).collect()}
-    assert got == {"placeholder - unclassifiable": 1, "corporate token - rule suffices": 1,
-                   "trust token - rule suffices": 1, "trust abbreviation - rule suffices": 1,
-                   "residual - needs a model": 1}
+    assert got == {"placeholder — unclassifiable": 1, "corporate token — rule suffices": 1,
+                   "trust token — rule suffices": 1, "trust abbreviation — rule suffices": 1,
+                   "residual — needs a model": 1}
