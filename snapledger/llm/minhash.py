@@ -5,11 +5,11 @@ optimal densification (every empty bin borrows from a bin drawn independently fo
 buckets, and star-shaped candidate edges (a bucket of n texts makes n - 1 candidate pairs, each to
 its smallest member).  Every candidate is confirmed on the full shingle sets.
 
-Stars alone could miss a link between two members that are both unlike the centre.  Such members
-become centres themselves in further rounds, a bounded number per bucket and round, until none is
-left; members already connected to their bucket's centre are settled.  So every pair that shares a
+Stars alone could miss a link of a member that is unlike the centre.  Such members meet further
+centres, a bounded number per bucket and round, until they are connected or have met all; members
+already connected to their bucket's centre are settled.  So every pair that shares a
 bucket is compared, already connected, or ruled out by its sizes or its sketches (one bit per value
-of the signature; a pair at the bound fails with probability 3e-7).
+of the signature; a pair at the bound fails with probability 3e-5).
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from snapledger.llm.common import hot_rows, join_groups, materialise, mix, shing
 # A pair at 0.8 shares a bucket with probability 1 - (1 - 0.8^8)^56 > 0.99996, one at 0.05 (chance
 # similarity of unrelated texts, of which pairs grow with the square of the corpus) with 2e-9.
 BANDS, ROWS = 56, 8
-STARS = 8                      # further centres per bucket in the second round; then 8 times as many each round
+STARS = 8                      # centres per bucket in the second round; then 8 times as many each round
 SKETCH = 256                   # bits; at most bands * rows
 BESIDE = 1_000_000             # rows of two or three numbers that a join broadcasts at most, counted first
 
@@ -73,9 +73,9 @@ def sketch(sig: np.ndarray) -> np.ndarray:
 
 
 def _alike(percent: int, a: str, b: str) -> Column:
-    """Whether two sketches (array columns) agree as often as a pair at ``percent`` does, less five standard deviations."""
+    """Whether two sketches (array columns) agree as often as a pair at ``percent`` does, less four standard deviations."""
     p = (1 + percent / 100) / 2
-    most = math.ceil(SKETCH * (1 - p) + 5 * math.sqrt(SKETCH * p * (1 - p)))
+    most = math.ceil(SKETCH * (1 - p) + 4 * math.sqrt(SKETCH * p * (1 - p)))
     return sum((F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(1, SKETCH // 64)),
                F.bit_count(F.col(a)[0].bitwiseXOR(F.col(b)[0]))) <= most
 
@@ -226,26 +226,24 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
         F.col("centre").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
     links = materialise(confirm(tried, sets, percent), "links")
 
-    # What the stars of larger buckets leave unconnected: centres in turn, more of them each round,
-    # until all of a bucket is connected or every such member was a centre.
+    # What the stars of larger buckets leave unconnected meets further centres, more of them each round,
+    # until all of a bucket is connected or every member was a centre.  Any two members in different
+    # components are looked at: at least one of them is not in the component of the bucket's centre.
     labels = components(links) if not links.isEmpty() else None
     stars = STARS
     while True:
         named = _labelled(_labelled(shared.where("n_in > 2"), labels, "rep", "own"), labels, "centre", "main")
-        named = materialise(named.select("bucket", "rep", "n", "sketch", "own", (F.col("own") != F.col("main")).alias("loose")), "named")
-        loose = named.where("loose").groupBy("bucket").agg(F.count("*").alias("n_loose"))
-        loose = materialise(loose, "loose")
-        most = loose.agg(F.max("n_loose")).first()[0] or 0
+        named = materialise(named.select("bucket", "n_in", "rep", "n", "sketch", "own", (F.col("own") != F.col("main")).alias("loose")), "named")
+        loose = named.where("loose")
+        most = loose.agg(F.max("n_in")).first()[0] or 0
         if not most:
             break
-        place = F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) / F.lit(float(1 << 20)) * F.col("n_loose")
-        turn = (place < stars) | (F.col("n_loose") <= stars)
-        centres = (named.where("loose").join(_beside(loose, loose.count()), "bucket").where(turn)
-                   .select("bucket", F.col("rep").alias("r"), F.col("n").alias("nr"), F.col("sketch").alias("r_sketch"), F.col("own").alias("r_own")))
-        meet = ((F.col("bucket") == F.col("b")) & (F.col("rep") != F.col("r")) & (F.col("own") != F.col("r_own"))
+        place = F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) / F.lit(float(1 << 20)) * F.col("n_in")
+        centres = named.where((place < stars) | (F.col("n_in") <= stars)).select(
+            F.col("bucket").alias("b"), F.col("rep").alias("r"), F.col("n").alias("nr"), F.col("sketch").alias("r_sketch"), F.col("own").alias("r_own"))
+        meet = ((F.col("bucket") == F.col("b")) & (F.col("own") != F.col("r_own"))
                 & (100 * F.least("n", "nr") >= percent * F.greatest("n", "nr")) & _alike(percent, "sketch", "r_sketch"))
-        pairs = (named.join(centres.withColumnRenamed("bucket", "b"), meet)
-                 .select(F.least("rep", "r").alias("a"), F.greatest("rep", "r").alias("b")).distinct())
+        pairs = loose.join(centres, meet).select(F.least("rep", "r").alias("a"), F.greatest("rep", "r").alias("b")).distinct()
         new = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         if not new.isEmpty():
             tried = tried.unionByName(new)
@@ -254,7 +252,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
                 # what is known needs one edge per document from here on
                 old = links if labels is None else labels[0].where("doc <> label").select(F.col("label").alias("a"), F.col("doc").alias("b"))
                 labels = components(old.unionByName(more))
-        if most <= stars:                                  # every loose member was a centre
+        if most <= stars:                                  # every member was a centre
             break
         stars *= 8
 
