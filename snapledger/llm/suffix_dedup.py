@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from snapledger.llm.common import materialise, mix, prefix_hash, range_hash, utf8
 
 WINDOW, GRAM = 50, 24
-BLOCK_BYTES = 2 << 20
-PART_BYTES = 16 << 20          # text per owner of anchors
+BLOCK_BYTES = 1 << 20
+PART_BYTES = 8 << 20           # text per owner of anchors
 HOT_BLOCKS = 1024              # blocks from which on an anchor's windows are dealt one by one
 CHUNK = 50_000                 # segments sorted together
 _NO_ID = np.iinfo(np.int64).max
