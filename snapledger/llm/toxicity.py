@@ -36,7 +36,7 @@ THRESHOLD = 0.3
 SPAN = 0.5
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 CANDIDATES = 100_000           # features of toxic documents looked for in clean ones, at most
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 _TOKEN = re.compile(r"[^\W\d_]+")
 O, T = 0, 1
 
@@ -256,15 +256,17 @@ def score(docs: DataFrame, crf: Field, id_col: str = "doc_id", text_col: str = "
     Null and empty texts score as texts without telling tokens: 0.  Whole texts are read.
     """
     keep = keep or []
+    rest = [c for c in keep if c != text_col]                  # the text itself travels once
     src = docs.select(F.col(id_col).cast("long").alias("_i"), F.col(text_col).alias("_t"),
-                      *([F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_keep")] if keep else []))
+                      *([F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_rest")] if rest else []))
+    back = [n for n in src.columns if n != "_t" or text_col in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = Chain(crf)
         known: dict[str, float | None] = {}
         for b in batches:
             scores, spans = [], []
-            for t in b.column("_t").to_pylist():
+            for t in (x for k in range(0, b.num_rows, 256) for x in b.column("_t").slice(k, 256).to_pylist()):
                 if len(known) > CACHE_WORDS:
                     known = {}
                 words = _TOKEN.findall(t.lower()) if t else []
@@ -279,11 +281,11 @@ def score(docs: DataFrame, crf: Field, id_col: str = "doc_id", text_col: str = "
                 scores.append(min(1.0, max(0.0, 1.0 - clean)))
                 bad = {k for k, x in zip(at, m) if x >= SPAN}
                 spans.append([list(p.span()) for k, p in enumerate(_TOKEN.finditer(t)) if k in bad] if bad else [])
-            names = [n for n in b.schema.names if n != "_t"]
-            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in names], pa.array(scores, pa.float64()),
-                                              pa.array(spans, pa.list_(pa.list_(pa.int32())))], names=[*names, "score", "spans"])
+            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in back], pa.array(scores, pa.float64()),
+                                              pa.array(spans, pa.list_(pa.list_(pa.int32())))], names=[*back, "score", "spans"])
 
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema if f.name != "_t")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema if f.name in back)
+    columns = [F.col("_t" if c == text_col else f"_rest.`{c}`").alias(c) for c in keep]
     return src.mapInArrow(run, f"{kinds}, score double, spans array<array<int>>").select(
-        F.col("_i").alias(id_col) if id_col not in keep else F.col("_i").alias("_i"), *[F.col("_keep")[c].alias(c) for c in keep], "score",
+        F.col("_i").alias("_i" if id_col in keep else id_col), *columns, "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "spans")
