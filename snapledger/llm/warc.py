@@ -231,8 +231,8 @@ def record_id(id_col: Column) -> Column:
 
 
 def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0,
-          date: str = "2024-01-01T00:00:00Z") -> None:
-    """One WARC/1.1 record per page.  Line ends in urls become spaces; a null url is ``about:blank``."""
+          date: str = "2024-01-01T00:00:00Z", compression: str = "gzip") -> None:
+    """One WARC/1.1 record per page, in gzip archives unless ``compression`` is ``none``.  Line ends in urls become spaces; a null url is ``about:blank``."""
     marked = with_revisits(pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
                                         F.col(html_col).alias("html")), "page_id", "html", min_bytes)
     own = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
@@ -251,7 +251,7 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
              F.lit("Content-Type: application/http; msgtype=response"),
              F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string"))]
     marked.select(F.concat(F.concat_ws(END, *lines), F.lit(END + END), block).alias("value")).write.option(
-        "lineSep", END + END).text(path)
+        "lineSep", END + END).option("compression", compression).text(path)
 
 
 def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
