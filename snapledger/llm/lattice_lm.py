@@ -41,7 +41,6 @@ FREQUENT = 100_000             # words in the table that every task gets, at mos
 FLUSH_WORDS = 400_000          # words a task counts before it sends them on
 ROUNDS = 2                     # of expectation maximisation
 CACHE = 0.2                    # weight of words the text used before
-MAX_PIECE = 10                 # bytes of the longest piece used
 LONG_WORD = 96                 # words longer than this are handled one by one
 NONE = -1e30
 _TABLE_BITS = 20
@@ -66,7 +65,7 @@ class Pieces:
             if model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.get_score(i) < -1e6:
                 continue
             name = model.id_to_piece(i).replace("▁", " ").encode().lower()
-            if 0 < len(name) <= MAX_PIECE and b" " not in name[1:]:
+            if name and b" " not in name[1:]:
                 rank[name] = min(rank.get(name, math.inf), 2.0 - model.get_score(i))
         names = sorted(rank)
         return cls(names, *_normalised(names, np.array([1.0 / (rank[n] + 10.0) for n in names]), None))
@@ -84,84 +83,115 @@ def _normalised(names: list[bytes], mass: np.ndarray, end: float | None):
 
 
 class _Index:
-    """Finds pieces by hash in one step: slots by the hash's low bits, checked by the whole hash."""
+    """Finds pieces, and what pieces begin with, by hash: slots by the hash's low bits, checked by the whole hash."""
 
     def __init__(self, pieces: Pieces):
         self.logp, self.end = pieces.logp, pieces.end
-        width = max(map(len, pieces.names))
+        lens = np.array([len(n) for n in pieces.names])
+        self.width = width = int(lens.max())
         self.rand = np.random.default_rng(5).integers(1, 2**63, (width, 256), dtype=np.uint64)
-        hashes = np.array([int(self._of(n)) for n in pieces.names], dtype=np.uint64)
-        self.width = width
-        self.slots = np.full((4, 1 << _TABLE_BITS), -1, dtype=np.int32)
-        self.hashes = np.append(hashes, np.uint64(0))
-        for i, h in enumerate(hashes):
-            at = int(h & np.uint64((1 << _TABLE_BITS) - 1))
-            row = next(r for r in range(4) if self.slots[r, at] < 0)
-            self.slots[row, at] = i
-        self.depth = 1 + max(r for r in range(4) if (self.slots[r] >= 0).any())
-
-    def _of(self, name: bytes) -> np.uint64:
-        h = np.uint64(len(name))
-        for k, b in enumerate(name):
-            h = np.uint64((int(h) + int(self.rand[k, b])) & (2**64 - 1))
-        return mix(np.array([h]))[0]
-
-    def lattice(self, mat: np.ndarray) -> np.ndarray:
-        """piece[l - 1, i, w]: the piece that word w (a column of ``mat``) spells at i .. i + l, or -1."""
+        mat = np.frombuffer(b"".join(n.ljust(width, b"\0") for n in pieces.names), dtype=np.uint8).reshape(-1, width)
+        ahead = np.zeros((len(lens), width), dtype=np.uint64)
+        h = np.zeros(len(lens), dtype=np.uint64)
+        for k in range(width):
+            h = h + self.rand[k][mat[:, k]]
+            ahead[:, k] = mix(h + np.uint64(k + 1))
+        keys, node = np.unique(ahead[np.arange(width) < lens[:, None]], return_inverse=True)
+        self.keys = np.append(keys, np.uint64(0))
+        self.piece = np.full(len(keys), -1, dtype=np.int32)               # of a beginning that is a piece itself
+        self.piece[node[np.cumsum(lens) - 1]] = np.arange(len(lens))
+        self.slots: list[np.ndarray] = []
+        rest, at = np.arange(len(keys)), self._slot(keys)
+        while len(rest):
+            row = np.full(1 << _TABLE_BITS, -1, dtype=np.int32)
+            where, first = np.unique(at[rest], return_index=True)
+            row[where] = rest[first]
+            self.slots.append(row)
+            rest = np.delete(rest, first)
+
+    @staticmethod
+    def _slot(key: np.ndarray) -> np.ndarray:
+        return (key & np.uint64((1 << _TABLE_BITS) - 1)).astype(np.int64)
+
+    def _find(self, key: np.ndarray) -> np.ndarray:
+        """The beginnings with these hashes, or -1."""
+        at = self._slot(key)
+        out = self.slots[0][at]
+        rest = np.flatnonzero((out >= 0) & (self.keys[out] != key))
+        for row in self.slots[1:]:
+            out[rest] = row[at[rest]]
+            rest = rest[(out[rest] >= 0) & (self.keys[out[rest]] != key[rest])]
+        out[rest] = -1
+        return out
+
+    def lattice(self, mat: np.ndarray, lens: np.ndarray) -> list[list[tuple[np.ndarray, np.ndarray]]]:
+        """[l - 1][i]: the words (columns of ``mat``) that spell a piece at i .. i + l, and those pieces.
+
+        A place is followed only as long as its bytes begin some piece, so long pieces cost what occurs of them.
+        """
         length, n = mat.shape
-        out = np.full((min(self.width, length), length, n), -1, dtype=np.int32)
-        low = np.uint64((1 << _TABLE_BITS) - 1)
-        h = np.zeros((length, n), dtype=np.uint64)
+        flat = np.ascontiguousarray(mat).ravel()
+        at = np.flatnonzero(np.arange(length)[:, None] < lens)            # byte i of word w is at i * n + w
+        left, h = lens[at % n] - at // n, np.zeros(len(at), dtype=np.uint64)
+        out, rows = [], np.arange(length + 1) * n
         for k in range(min(self.width, length)):
-            h = h[: length - k] + self.rand[k][mat[k:]]
-            key = mix(h + np.uint64(k + 1))
-            at = (key & low).astype(np.int64)
-            for r in range(self.depth):
-                p = self.slots[r][at]
-                hit = (p >= 0) & (self.hashes[p] == key)
-                out[k, : length - k][hit] = p[hit]
+            more = left > k
+            at, left, h = at[more], left[more], h[more]
+            h = h + self.rand[k][flat[at + k * n]]
+            node = self._find(mix(h + np.uint64(k + 1)))
+            more = node >= 0
+            at, left, h = at[more], left[more], h[more]
+            piece = self.piece[node[more]]
+            hit = piece >= 0
+            own, piece = at[hit], piece[hit]
+            cut, words = np.searchsorted(own, rows).tolist(), own % n
+            out.append([(words[a:b], piece[a:b]) for a, b in zip(cut, cut[1:])])
         return out
 
-    def forward(self, mat: np.ndarray, lens: np.ndarray, lattice: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def forward(self, mat: np.ndarray, lens: np.ndarray, lattice: list) -> tuple[np.ndarray, np.ndarray]:
         """alpha[i, w] (log mass of all ways to spell the first i bytes) and the words' log probabilities."""
         length, n = mat.shape
         alpha = np.full((length + 1, n), NONE)
         alpha[0] = 0.0
-        score = np.append(self.logp, NONE)
         for j in range(1, length + 1):
-            ways = [alpha[j - k] + score[lattice[k - 1, j - k]] for k in range(1, min(len(lattice), j) + 1)]
-            alpha[j] = _logsum(ways)
+            ways = []
+            for k in range(1, min(len(lattice), j) + 1):
+                words, piece = lattice[k - 1][j - k]
+                if len(words):
+                    ways.append((words, alpha[j - k][words] + self.logp[piece]))
+            alpha[j] = _logsum(ways, n)
         return alpha, alpha[lens, np.arange(n)] + self.end
 
     def expected(self, mat: np.ndarray, lens: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
         """Expected uses of each piece, and of the end of a word, in ``weight`` copies of the words."""
         length, n = mat.shape
-        lattice = self.lattice(mat)
+        lattice = self.lattice(mat, lens)
         alpha, total = self.forward(mat, lens, lattice)
-        score = np.append(self.logp, NONE)
         beta = np.full((length + 1, n), NONE)
         beta[lens, np.arange(n)] = self.end
-        uses = np.zeros(len(score))
+        used, uses = [], []
         for i in range(length - 1, -1, -1):
             ways = []
             for k in range(1, min(len(lattice), length - i) + 1):
-                piece = lattice[k - 1, i]
-                way = score[piece] + beta[i + k]
-                ways.append(way)
-                use = np.exp(np.minimum(0.0, alpha[i] + way - total)) * weight
-                some = use > 0
-                uses += np.bincount(piece[some] % len(score), weights=use[some], minlength=len(score))
-            got = _logsum(ways)
-            beta[i] = np.where(i < lens, got, beta[i])
-        return uses[:-1], float(weight.sum())
-
-
-def _logsum(ways: list[np.ndarray]) -> np.ndarray:
-    top = np.maximum(np.max(ways, axis=0), NONE)
-    out = np.zeros_like(top)
-    for w in ways:
-        out += np.exp(w - top)
-    return np.where(top <= NONE / 2, NONE, top + np.log(out))
+                words, piece = lattice[k - 1][i]
+                if len(words):
+                    way = self.logp[piece] + beta[i + k][words]
+                    ways.append((words, way))
+                    used.append(piece)
+                    uses.append(np.exp(np.minimum(0.0, alpha[i][words] + way - total[words])) * weight[words])
+            beta[i] = np.where(i < lens, _logsum(ways, n), beta[i])
+        return np.bincount(np.concatenate(used), weights=np.concatenate(uses), minlength=len(self.logp)), float(weight.sum())
+
+
+def _logsum(ways: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
+    top = np.full(n, NONE)
+    for words, way in ways:
+        top[words] = np.maximum(top[words], way)
+    out = np.zeros(n)
+    for words, way in ways:
+        out[words] += np.exp(way - top[words])
+    some = top > NONE / 2
+    return np.where(some, top + np.log(np.where(some, out, 1.0)), NONE)
 
 
 def _batches(words: list[bytes], n: int = 2048) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -182,7 +212,7 @@ def log10_words(words: list[bytes], index: _Index) -> np.ndarray:
     """log10 of the words' probabilities under the subword model."""
     out = np.empty(len(words))
     for some, mat, lens in _batches(words):
-        out[some] = index.forward(mat, lens, index.lattice(mat))[1] / math.log(10)
+        out[some] = index.forward(mat, lens, index.lattice(mat, lens))[1] / math.log(10)
     return out
 
 

@@ -38,6 +38,25 @@ def test_all_segmentations():
     assert np.isfinite(long).all() and long[0] < -3000 and long[1] == pytest.approx(got[0])
 
 
+def test_whole_vocabulary():
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    told = {model.id_to_piece(i).replace("▁", " ").encode().lower() for i in range(model.get_piece_size())
+            if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.get_score(i) < -1e6)}
+    pieces = lm.Pieces.load(PATH)
+    assert {n for n in told if n and b" " not in n[1:]} <= set(pieces.names)
+    assert {b" government", b" information", b" university", b"translation"} <= set(pieces.names)
+    index = pieces.index()
+    long = sorted(pieces.names, key=len)[-300:]
+    words = [n.removeprefix(b" ") for n in long]
+    mat, lens = next(lm._batches(words, len(words)))[1:]
+    found = {pieces.names[p] for row in index.lattice(mat, lens) for _, got in row for p in got}
+    assert set(long) <= found
+    words = [b"government", b"information", b"retranslation", b"universityx"]
+    assert lm.log10_words(words, index) == pytest.approx([by_hand(w, pieces) for w in words], abs=1e-9)
+
+
 def test_weights_are_probabilities_and_training_helps():
     pieces = lm.Pieces.load(PATH)
     start = np.array([n.startswith(b" ") for n in pieces.names])
