@@ -7,7 +7,7 @@ estimate of the inner product.  The error of that estimate is at most
 eps * sqrt((1 - c^2) / (c^2 (D - 1))) but with a probability falling exponentially in eps^2, which
 turns estimates into lower and upper bounds of distances.
 
-Search: (1) per query the k smallest upper bounds give a cutoff; (2) every vector whose lower bound
+Search: (1) per query the k smallest upper bounds of different ids give a cutoff; (2) every vector whose lower bound
 is within the cutoff is reranked by its exact distance.  All rows are indexed and scanned as codes.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.llm.common import materialise
-from snapledger.llm.vectors import CHUNK, QUERY_BLOCK, best, grid, pack, unpack, usable
+from snapledger.llm.vectors import CHUNK, QUERY_BLOCK, best, grid, ids_of, pack, ranked, unpack, usable
 
 EPS = 2.5
 SEED = 11
@@ -66,7 +66,8 @@ def nearest(rows: DataFrame, query: str, k: int = 10, eps: float = EPS, id_col:
     ``query`` is an SQL condition on ``id``; ``score`` is the exact distance on the original vectors;
     ties go to the smaller id.  Null vectors, empty ones, zero ones and ones with null or non-finite
     components take no part; vectors of different length aren't compared.  A query's own row is every
-    row with its id.
+    row with its id.  Rows of one id at the same distance are one neighbour, however often they come; an
+    id with rows at several distances is one per distance.
     """
     good = usable(rows, id_col, vec_col, zero=True)
     chunks = materialise(pack(good, chunk), "vectors")
@@ -103,36 +104,38 @@ def nearest(rows: DataFrame, query: str, k: int = 10, eps: float = EPS, id_col:
             for r in b.itertuples():
                 q_ids, _, _, high = within(r)
                 ids = np.frombuffer(r.ids, dtype=np.int64)
+                order = np.argsort(ids, kind="stable")
+                ids, first = np.unique(ids[order], return_index=True)
+                high = np.minimum.reduceat(high[:, order], first, axis=1)     # an id's smallest bound
                 high[q_ids[:, None] == ids[None, :]] = np.inf
-                low_k = np.partition(high, min(k, len(ids)) - 1, axis=1)[:, :k]
-                yield pd.DataFrame({"dim": r.dim, "q_block": r.q_block, "query_id": np.repeat(q_ids, low_k.shape[1]),
-                                    "at": r.block, "upper": low_k.ravel()})
+                near = np.argpartition(high, min(k, len(ids)) - 1, axis=1)[:, :k]
+                upper = np.take_along_axis(high, near, axis=1).ravel()
+                there = upper < np.inf
+                yield pd.DataFrame({"query_id": np.repeat(q_ids, near.shape[1])[there], "vec_id": ids[near.ravel()][there],
+                                    "upper": upper[there]})
 
     codes_only = grid(chunks.select("dim", "block", "ids").join(coded, ["dim", "block"]), asked)
-    upper = codes_only.mapInPandas(cutoffs, "dim int, q_block long, query_id long, at long, upper double")
-    kth = (best(upper, "query_id", k, F.asc("upper")).groupBy("dim", "q_block", "query_id")
-           .agg(F.when(F.count("*") == k, F.max("upper")).otherwise(float("inf")).alias("upper")))
-    cut = materialise(kth.groupBy("dim", "q_block").agg(F.map_from_entries(F.collect_list(F.struct("query_id", "upper"))).alias("cut")),
-                      "cutoffs")
+    upper = codes_only.mapInPandas(cutoffs, "query_id long, vec_id long, upper double").groupBy("query_id", "vec_id").agg(
+        F.min("upper").alias("upper"))
+    kth = best(upper, "query_id", k, F.asc("upper")).where(F.col("rank") == k).select("query_id", "upper")
+    cut = materialise(ids_of(blocks).join(kth, "query_id").groupBy("dim", "q_block").agg(
+        F.map_from_entries(F.collect_list(F.struct("query_id", "upper"))).alias("cut")), "cutoffs")
 
     def rerank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for r in b.itertuples():
                 q_ids, q, low, _ = within(r)
                 ids, v = unpack(r.ids, r.vectors, r.dim)
-                cut = dict(r.cut)
+                cut = dict(r.cut) if r.cut is not None else {}
                 out = []
                 for i, own in enumerate(q_ids):
-                    at = np.flatnonzero((low[i] <= cut[own]) & (ids != own))
+                    at = np.flatnonzero((low[i] <= cut.get(own, np.inf)) & (ids != own))
                     if len(at):
                         dist = np.sqrt(((v[at] - q[i]) ** 2).sum(axis=1))
-                        near = np.arange(len(at))
-                        if len(at) > k:
-                            near = np.flatnonzero(dist <= np.partition(dist, k - 1)[k - 1])
-                        pick = near[np.lexsort((ids[at[near]], dist[near]))][:k]
+                        pick = ranked(-dist, ids[at], k)
                         out += zip([own] * len(pick), ids[at[pick]], dist[pick])
                 yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    cells = grid(chunks.join(coded, ["dim", "block"]), asked).join(cut, ["dim", "q_block"])
+    cells = grid(chunks.join(coded, ["dim", "block"]), asked).join(cut, ["dim", "q_block"], "left")
     found = cells.mapInPandas(rerank, "query_id long, vec_id long, score double").distinct()
     return best(found, "query_id", k, F.asc("score"), F.asc("vec_id")).select("query_id", "rank", "vec_id", "score")

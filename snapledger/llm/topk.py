@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.llm.common import materialise
-from snapledger.llm.vectors import CHUNK, QUERY_BLOCK, best, grid, pack, unpack, usable
+from snapledger.llm.vectors import CHUNK, QUERY_BLOCK, best, grid, ids_of, pack, ranked, unpack, usable
 
 LISTS = 2
 
@@ -37,14 +37,6 @@ def _local(c: np.ndarray, q: np.ndarray, lists: int) -> list[np.ndarray]:
     return [whole_q[:, p] @ whole_c[:, p].T for p in parts]
 
 
-def _ranked(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k best: score down, id up (all ties at the border are looked at)."""
-    at = np.arange(len(score))
-    if len(score) > k:
-        at = np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k])
-    return at[np.lexsort((ids[at], -score[at]))][:k]
-
-
 def top_k(rows: DataFrame, query: str, k: int = 5, scale: float = 256.0, lists: int = LISTS, id_col: str = "vec_id",
           vec_col: str = "embedding", chunk: int = CHUNK, query_block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): per query the k other rows of largest inner product.
@@ -52,7 +44,8 @@ def top_k(rows: DataFrame, query: str, k: int = 5, scale: float = 256.0, lists:
     Components become floor(scale * x).  ``query`` is an SQL condition on ``id``.  Ties go to the
     smaller id.  Fewer candidates than k: all of them.  Null vectors, empty ones and ones with null
     or non-finite components take no part; vectors of different length aren't compared.  A query's
-    own row is every row with its id (repeated rows too).
+    own row is every row with its id (repeated rows too).  Rows of one id that score the same are one
+    neighbour, however often they come; an id whose rows score differently is one per score.
     """
     ints = usable(rows, id_col, vec_col).select("id", F.transform("v", lambda x: F.floor(x * scale).cast("double")).alias("v"))
     chunks = materialise(pack(ints, chunk), "vectors")
@@ -69,14 +62,14 @@ def top_k(rows: DataFrame, query: str, k: int = 5, scale: float = 256.0, lists:
                 for i, own in enumerate(q_ids):
                     other = np.flatnonzero(ids != own)
                     if len(other):
-                        seen = np.unique(np.concatenate([other[_ranked(x[i, other], ids[other], k)] for x in local]))
-                        out += [(own, ids[j], sum(x[i, j] for x in local), r.dim, r.q_block) for j in seen]
-                yield pd.DataFrame(out, columns=["query_id", "vec_id", "score", "dim", "q_block"])
+                        seen = np.unique(np.concatenate([other[ranked(x[i, other], ids[other], k)] for x in local]))
+                        out += [(own, ids[j], sum(x[i, j] for x in local)) for j in seen]
+                yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    sent = cells.mapInPandas(lists_of, "query_id long, vec_id long, score long, dim int, q_block long").distinct()
-    kth = best(sent, "query_id", k, F.desc("score"), F.asc("vec_id")).where(F.col("rank") == k)
-    cut = materialise(kth.groupBy("dim", "q_block").agg(F.map_from_entries(F.collect_list(F.struct("query_id", "score"))).alias("cut")),
-                      "cutoffs")
+    sent = cells.mapInPandas(lists_of, "query_id long, vec_id long, score long").distinct()
+    kth = best(sent, "query_id", k, F.desc("score"), F.asc("vec_id")).where(F.col("rank") == k).select("query_id", "score")
+    cut = materialise(ids_of(blocks).join(kth, "query_id").groupBy("dim", "q_block").agg(
+        F.map_from_entries(F.collect_list(F.struct("query_id", "score"))).alias("cut")), "cutoffs")
 
     def collect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -97,7 +90,7 @@ def top_k(rows: DataFrame, query: str, k: int = 5, scale: float = 256.0, lists:
                     score = sum(x[i, at] for x in local)              # resolves what the other lists hold
                     if t is not None:
                         at, score = at[score >= t], score[score >= t]
-                    pick = _ranked(score, ids[at], k) if len(at) else at
+                    pick = ranked(score, ids[at], k) if len(at) else at
                     out += zip([own] * len(pick), ids[at[pick]], score[pick])
                 yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"], dtype="int64")
 

@@ -75,6 +75,30 @@ def unpack(ids: bytes, vectors: bytes, dim: int) -> tuple[np.ndarray, np.ndarray
     return np.frombuffer(ids, dtype=np.int64), np.frombuffer(vectors, dtype=np.float64).reshape(-1, dim)
 
 
+def ids_of(blocks: DataFrame) -> DataFrame:
+    """(query_id, dim, q_block): which ids each packed row holds, once each."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for r in b.itertuples():
+                yield pd.DataFrame({"query_id": np.unique(np.frombuffer(r.ids, dtype=np.int64)), "dim": r.dim, "q_block": r.block})
+
+    return blocks.select("dim", "block", "ids").mapInPandas(run, "query_id long, dim int, q_block long")
+
+
+def ranked(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k best: score down, id up (all ties at the border are looked at); equal (score, id) count once."""
+    most = k
+    while True:
+        at = np.arange(len(score))
+        if len(score) > most:
+            at = np.flatnonzero(score >= np.partition(score, len(score) - most)[len(score) - most])
+        at = at[np.lexsort((ids[at], -score[at]))]
+        at = at[np.append(True, (np.diff(score[at]) != 0) | (np.diff(ids[at]) != 0))[: len(at)]]
+        if len(at) >= k or most >= len(score):
+            return at[:k]
+        most *= 8
+
+
 def best(rows: DataFrame, query: str, k: int, *order: Column) -> DataFrame:
     """The first k rows of each query, with their rank from 1."""
     from pyspark.sql import Window

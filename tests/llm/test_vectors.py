@@ -68,6 +68,35 @@ def test_nearest(spark):
     assert rabitq.nearest(rows_of(spark, odd()).where("false"), "id % 50 = 0").count() == 0
 
 
+def repeated():
+    """Ids held by more than k rows, near the queries; queries held by many rows; ids and queries with two vectors."""
+    v = odd()
+    near = [(2001, 2 * v[50][1]), (2002, 1.001 * v[50][1]), (0, v[0][1]), (2003, v[100][1] + 0.001)]
+    return v + near * 40 + [(100, v[3][1]), (4, v[5][1]), (4, v[50][1]), (2002, v[100][1])]
+
+
+def brute_rows(vectors, k, every, zero, score):
+    """The k best different (score, id) over all rows of a query's id."""
+    good, out = clean(vectors, zero), []
+    for q in sorted({i for i, _ in good if i % every == 0}):
+        seen = {(score(a, c), i) for j, a in good if j == q for i, c in good if i != q and len(c) == len(a)}
+        out += [(q, r + 1, i, x) for r, (x, i) in enumerate(sorted(seen)[:k])]
+    return out
+
+
+@pytest.mark.parametrize("chunk,query_block", [(4096, 1024), (64, 3), (2, 1)])
+def test_repeated_rows(spark, chunk, query_block):
+    v = repeated() if chunk > 2 else repeated()[:120] + repeated()[-164:]
+    rows = rows_of(spark, v).repartition(3)
+    got = topk.top_k(rows, "id % 50 = 0", 5, chunk=chunk, query_block=query_block)
+    want = brute_rows(v, 5, 50, True, lambda a, c: -int(np.floor(256 * a).astype(int) @ np.floor(256 * c).astype(int)))
+    assert sorted(map(tuple, got.collect())) == [(q, r, i, -x) for q, r, i, x in want]
+    got = rabitq.nearest(rows, "id % 50 = 0", 5, eps=50.0, chunk=chunk, query_block=query_block)
+    want = brute_rows(v, 5, 50, False, lambda a, c: float(np.sqrt(((c - a) ** 2).sum())))
+    got = sorted(map(tuple, got.collect()))
+    assert [r[:3] for r in got] == [r[:3] for r in want] and [r[3] for r in got] == pytest.approx([r[3] for r in want], abs=1e-12)
+
+
 def test_recall_on_given_vectors(spark):
     rows = table(spark, "/root/testdata/sf0.1", "embeddings")
     got = {}
