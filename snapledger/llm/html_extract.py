@@ -3,8 +3,10 @@
 A page's text is a list of blocks, each with its root-to-leaf path of block tags (with class and id).
 Per path the features are summed over all its blocks: characters outside links, punctuation marks, and
 blocks.  The two ratios (characters per block, punctuation per block) are smoothed over neighbouring
-paths in page order, fused, and thresholded; containers of the paths that pass hold the content, and
-every block directly in such a container belongs to it, so headings and short paragraphs stay.
+paths in page order, fused, and thresholded; how much of the page is on a path doesn't matter, so a short
+section scores like a long one.  Containers of the paths that pass hold the content: the article or main
+element around them, else the container named for content, else the container itself.  Every block in
+such a container belongs to it, so headings, short sections and lists of links stay.
 
 Tags that can't hold main text (menus, forms, scripts, ...) and containers named for boilerplate
 (adverts, notices, comments, ...) never count.
@@ -72,18 +74,21 @@ def _names_boilerplate(names: list[str], inside: bool) -> bool:
 
 
 class _Node:
-    __slots__ = ("tag", "label", "bad", "up", "path", "content")
+    __slots__ = ("tag", "label", "bad", "up", "path", "content", "body")
 
     def __init__(self, tag, label, bad, up, content=False):
         self.tag, self.label, self.bad, self.up, self.content = tag, label, bad, up, content
         self.path = (up.path + "/" if up else "") + label
+        # (kind, path) of the body this is in: the outermost article, else the innermost main, else the outermost content
+        own, around = {"article": 3, "main": 2}.get(tag, 1) if content else 0, up.body if up else (0, "")
+        self.body = (own, self.path) if own > around[0] or own == 2 == around[0] else around
 
 
-def blocks(page: str) -> list[tuple[str, str, bool, int, str]]:
-    """(path, container, boilerplate, characters inside links, text) of every block, in page order."""
+def blocks(page: str) -> list[tuple[str, str, bool, int, str, str]]:
+    """(path, container, boilerplate, characters inside links, text, body or "") of every block, in page order."""
     root = _Node("#", "#", False, None)
     stack = [root]
-    out: list[tuple[str, str, bool, int, str]] = []
+    out: list[tuple[str, str, bool, int, str, str]] = []
     text: list[str] = []
     in_link = [0, 0]                                      # open links, characters in them
 
@@ -93,7 +98,7 @@ def blocks(page: str) -> list[tuple[str, str, bool, int, str]]:
             if clean:
                 top = stack[-1]
                 holder = top.up if top.up and top.tag not in ("div", "section", "article", "main", "body", "td") else top
-                out.append((top.path, holder.path, top.bad, min(in_link[1], len(clean)), clean))
+                out.append((top.path, holder.path, top.bad, min(in_link[1], len(clean)), clean, top.body[1]))
             text.clear()
         in_link[1] = 0
 
@@ -171,7 +176,7 @@ def main_text(page: str | None) -> str:
     if not found:
         return ""
     paths: dict[str, list] = {}
-    for path, _, _, linked, text in found:
+    for path, _, _, linked, text, _ in found:
         p = paths.setdefault(path, [0, 0, 0, 0])
         p[0] += len(text) - linked
         p[1] += len(_PUNCT.findall(text))
@@ -185,12 +190,11 @@ def main_text(page: str | None) -> str:
         wide = np.pad(x, SMOOTH, mode="edge")
         return 0.5 * x + 0.5 * np.convolve(wide, np.ones(2 * SMOOTH + 1) / (2 * SMOOTH + 1), "valid")
 
-    # fused: characters and punctuation per block, weighed by the share of all text on the path
-    share = f[:, 0] / max(1.0, f[:, 0].sum())
-    fused = np.sqrt(smooth(length) * (1 + smooth(marks))) * (1 - linked) * np.sqrt(share)
+    # fused: characters and punctuation per block, less what is linked
+    fused = np.sqrt(smooth(length) * (1 + smooth(marks))) * (1 - linked)
     score = dict(zip(paths, fused))
     bar = THRESHOLD * max(score.values())
-    holders = {holder for path, holder, _, _, _ in found if score[path] >= bar and score[path] > 0}
+    holders = {body or holder for path, holder, _, _, _, body in found if score[path] >= bar and score[path] > 0}
     inside = [h for h in holders if re.search(r"/(?:article|main)(?:[./]|$)", h)]
     holders = set(inside) or holders
     if not holders:
@@ -200,8 +204,8 @@ def main_text(page: str | None) -> str:
         """In a content container, or in a list, quote or table within one."""
         return any(holder == h or holder.startswith(h + "/") for h in holders)
 
-    return "\n".join(text for path, holder, _, linked, text in found
-                     if kept(path, holder) and not (linked >= 0.8 * len(text) and not path.rsplit("/", 1)[-1].startswith(("h", "p"))))
+    return "\n".join(text for path, holder, _, linked, text, body in found
+                     if kept(path, holder) and (body or not (linked >= 0.8 * len(text) and not path.rsplit("/", 1)[-1].startswith(("h", "p")))))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -39,6 +39,26 @@ def test_pages(name, html, want):
     assert main_text(html) == "\n".join(" ".join(w.split()) for w in want)
 
 
+LONG = "".join(f"<p>{i} {P * 8}</p>" for i in range(60))
+
+
+@pytest.mark.parametrize("around", ["article", "main", "div class=post-content", "div"])
+def test_sections_of_unequal_length(around):
+    """Named sections all stay, however long the others are, with headings."""
+    got = main_text(page(NAV + f"<{around}><section id=one><h2>First</h2>{LONG}</section><section id=two><h2>Second</h2><p>{P * 8}</p></section>"
+                         f"<div class=three><h2>Third</h2><p>{P * 8}</p></div></{around.split()[0]}>" + FOOT)).split("\n")
+    assert len(got) == 65
+    assert got[0] == "First" and got[61:] == ["Second", (P * 8).strip(), "Third", (P * 8).strip()]
+
+
+@pytest.mark.parametrize("around", ["article", "main", "div class=post-content"])
+def test_lists_of_links(around):
+    """References and cells that are links are part of the body; lists of links outside are not."""
+    got = main_text(page(f"<ul><li><a href=/x>Elsewhere</a></ul><{around}><p>{P * 8}</p><section id=refs><h2>References</h2><ul><li><a href=/a>A paper</a>"
+                         f"<li><a href=/b>A book</a></ul></section><table><tr><td><a href=/c>Cell</a></table></{around.split()[0]}>"))
+    assert got.split("\n") == [(P * 8).strip(), "References", "A paper", "A book", "Cell"]
+
+
 def test_empty_and_null(spark):
     rows = [(1, "u", None), (2, "u", ""), (3, None, "<html></html>"), (None, "u", page(f"<article><p>{P * 20000}</p></article>")),
             (4, "u", page(f"<article><p>{P}</p></article>")), (4, "u", page(f"<article><p>{P}</p></article>")), (5, "u", "<" * 2000 + "x")]
