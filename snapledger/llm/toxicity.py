@@ -240,7 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, crf_sample: in
             for i, y, t in zip(b["doc"], b["y"], b["t"]):
                 words = _TOKEN.findall(t.lower())
                 got = [(k, [f for f in features(w) if f in wanted]) for k, w in enumerate(words)]
-                got = [(k, fs) for k, fs in got if fs][:64]
+                got = [(k, fs) for k, fs in got if fs]
                 if got:
                     out.append((i, len(words), [k for k, _ in got], [" ".join(fs) for _, fs in got], y))
             yield pd.DataFrame(out, columns=["doc", "n", "at", "fs", "y"])

@@ -51,6 +51,14 @@ def test_held_out_accuracy(spark):
     assert n[0, 1] / n[0, 0] < 0.03
 
 
+def test_long_texts_teach_whole(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(tox, "train", lambda texts, names: seen.extend(texts))
+    df = spark.createDataFrame([(i, "vile " * 150 + "x y z" if i % 2 else "good day") for i in range(80)], "doc_id long, text string")
+    tox.fit(df, df.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic")))
+    assert seen and all([k for k, _, _ in tokens if k < 150] == list(range(150)) for _, tokens in seen)
+
+
 def test_odd_rows(spark):
     crf = tox.Field({"=bad": 6.0}, -2.0, (0.0, 0.0, 0.0))
     rows = [(1, None, "x"), (2, "", "x"), (None, "very Bad.", "x"), (3, "fine " * 100_000 + "bad", "x"), (3, "fine", "x")]
