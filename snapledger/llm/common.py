@@ -98,13 +98,18 @@ def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix((prefix[end] - prefix[start]) * down[start])
 
 
+def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words in a text's bytes."""
+    edge = np.diff(_SPACE[data].view(np.int8), prepend=np.int8(1), append=np.int8(1))
+    return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+
+
 def word_hashes(text) -> np.ndarray:
     """One 64-bit hash per word (as ``lower_words``), in text order."""
     data = np.frombuffer(utf8(text).lower(), dtype=np.uint8)
     if not len(data):
         return np.zeros(0, dtype=np.uint64)
-    edge = np.diff(_SPACE[data].view(np.int8), prepend=np.int8(1), append=np.int8(1))
-    return range_hash(prefix_hash(data), np.flatnonzero(edge == -1), np.flatnonzero(edge == 1))
+    return range_hash(prefix_hash(data), *word_spans(data))
 
 
 def shingle_set(text, n: int) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.llm import html_extract, lattice_lm, minhash, mixing, packing, rabitq, suffix_dedup, topk, toxicity, warc
+from snapledger.llm import html_extract, lattice_lm, license_scan, minhash, mixing, packing, rabitq, suffix_dedup, topk, toxicity, warc
 from snapledger.plans.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,9 @@ def op6_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
     import public_tokenizers
 
     return lattice_lm.score(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@register("op11_license_scan", license_scan.oracle())
+def op11_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Licenses that all documents name or copy."""
+    return license_scan.scan(table(spark, d, "documents"))
