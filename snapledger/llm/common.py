@@ -15,6 +15,8 @@ HOT_LEAST = 64
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+# Letters A-Z to a-z, and every ASCII character but letters and digits to a space.
+_FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -60,6 +62,11 @@ def lower_words(text) -> list[bytes]:
     return utf8(text).lower().split()
 
 
+def folded(text) -> bytes:
+    """UTF-8 of the text, A-Z lower-cased, with a space for each byte of ASCII that is no letter or digit."""
+    return utf8(text).translate(_FOLD)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser that spreads all 64 bits."""
     h = h ^ (h >> np.uint64(33))

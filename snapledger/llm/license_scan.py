@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.llm.common import materialise, mix, prefix_hash, range_hash, utf8, word_spans
+from snapledger.llm.common import folded, materialise, mix, prefix_hash, range_hash, word_spans
 
 GRAM, SLACK, SHARE = 4, 6, 0.8
 MOST_GRAMS = 100_000           # rows of the broadcast table of template grams
@@ -69,17 +69,10 @@ TEMPLATES = (
     ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
 )
 
-# Letters A-Z to a-z, and every ASCII character but letters and digits to a space.
-_FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 # A rearrangement of the bytes: the second hash of a word is the first one of its rearranged bytes.
 _TURNED = np.random.default_rng(20250117).permutation(256).astype(np.uint8)
 
 
-def folded(text) -> bytes:
-    """UTF-8 of the text, A-Z lower-cased, with one space for each character outside the words."""
-    return utf8(text).translate(_FOLD)
-
-
 def _two_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and two 64-bit hashes of the words of folded bytes, a bounded piece at a time."""
     found, at = [], 0

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.llm import html_extract, lattice_lm, license_scan, minhash, mixing, packing, rabitq, suffix_dedup, topk, toxicity, warc
+from snapledger.llm import (
+    bag_search, html_extract, lattice_lm, license_scan, minhash, mixing, packing, prefix_trie, rabitq, suffix_dedup, topk, toxicity, warc,
+)
 from snapledger.plans.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +132,15 @@ def op6_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
 def op11_license_scan(spark: SparkSession, d: str) -> DataFrame:
     """Licenses that all documents name or copy."""
     return license_scan.scan(table(spark, d, "documents"))
+
+
+@register("op12_bag_search", bag_search.ORACLE)
+def op12_bag_search(spark: SparkSession, d: str) -> DataFrame:
+    """The 20 best of all documents for each benchmark item."""
+    return bag_search.search(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@register("op13_prefix_trie", prefix_trie.ORACLE)
+def op13_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    """The trie of all conversations, rebuilt with shared first turns."""
+    return prefix_trie.prefix_trie(table(spark, d, "conversations"))
