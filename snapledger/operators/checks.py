@@ -3,11 +3,17 @@
 A ``Check`` yields a violation count over a named table; it passes when the
 count is <= allowance, otherwise it is 'warn' or 'fail' by severity.  Kinds:
 
-* ``row``   -- a row predicate; all row checks on one table become ``count_if``
-               columns of ONE aggregation (one scan per table, partial aggs).
-* ``agg``   -- an aggregate expression returning the count (also fused).
-* ``frame`` -- a function of the tables returning a one-row, one-column
-               DataFrame (window / group / join / distinct / metadata checks).
+* ``row``    -- a row predicate; all row checks on one table become ``count_if``
+                columns of ONE aggregation (one scan per table, partial aggs).
+* ``agg``    -- an aggregate expression returning the count (also fused), ``count`` one over
+                the row counts of several tables.
+* ``window`` -- a predicate over a key's rows in order; all of a table and key share one window pass.
+* ``set``    -- values outside a catalog; all of a table share one distinct pass.
+* ``pair``   -- a predicate over the rows of two tables with one key; all of a pair share one join,
+                to which each side brings only the values that the predicates name.
+* ``frame``  -- a function of the tables returning a one-row, one-column DataFrame.
+
+Every pass gives one row; their cross join is one row too, and unpivots to the result.
 
 ``run_all`` returns one DataFrame (name, severity, violations, allowance,
 status) in check order; nothing is collected until the caller acts on it.
@@ -16,7 +22,7 @@ status) in check order; nothing is collected until the caller acts on it.
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -32,11 +38,15 @@ class Check:
     name: str
     severity: str                      # 'error' | 'warn'
     table: str | None                  # table the row/agg expression reads
-    kind: str                          # 'row' | 'agg' | 'frame'
-    expr: Column | Callable[[Tables], DataFrame]
+    kind: str                          # 'row' | 'agg' | 'count' | 'window' | 'set' | 'pair' | 'frame'
+    expr: Column | Callable
     allowance: int = 0
     description: str = ""
     sample: Callable[[Tables], DataFrame] | None = field(default=None, repr=False)
+    key: tuple[str, ...] = ()          # of 'window' and 'pair'
+    order: str | None = None           # of 'window'
+    other: str | None = None           # the second table of 'pair' and 'count'
+    values: tuple[dict, dict] = field(default_factory=lambda: ({}, {}), repr=False)   # of 'pair': name -> Column, per side
 
 
 # ----------------------------------------------------------------- generic forms
@@ -119,51 +129,44 @@ def _frame(name, fn, severity="error", allowance=0, description="", sample=None)
     return Check(name, severity, None, "frame", fn, allowance, description, sample)
 
 
+def _over(name, table, key, order, violation, severity="error", allowance=0, description="", sample=None) -> Check:
+    return Check(name, severity, table, "window", violation, allowance, description, sample, tuple(key), order)
+
+
 def unique(name, table, key: Sequence[str], where: Column | None = None, **kw) -> Check:
     """Keys occurring more than once (among ``where`` rows)."""
-    def fn(t):
-        d = t[table] if where is None else t[table].filter(where)
-        return d.groupBy(*key).count().filter("count > 1").agg(F.count(F.lit(1)).alias("v"))
+    there = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
 
     def sample(t):
-        d = t[table] if where is None else t[table].filter(where)
-        return d.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").orderBy(*key)
-    return _frame(name, fn, sample=sample, **kw)
+        return t[table].filter(there).groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").orderBy(*key)
+    # such a key is counted where its second row stands
+    return _over(name, table, key, None, lambda w: there & (F.count_if(there).over(w.rowsBetween(Window.unboundedPreceding, 0)) == 2),
+                 sample=sample, **kw)
 
 
 def intervals_disjoint(name, table, key: Sequence[str], start="valid_from", end="valid_to", **kw) -> Check:
     """Next interval of the key starts before this one ends (or this one is open)."""
-    def fn(t):
-        w = Window.partitionBy(*key).orderBy(start)
-        nxt = F.lead(start).over(w)
-        d = t[table].select(nxt.alias("_next"), F.col(end).alias("_end"))
-        return d.agg(F.count_if(F.col("_next").isNotNull()
-                                & (F.col("_end").isNull() | (F.col("_next") < F.col("_end")))).alias("v"))
-    return _frame(name, fn, **kw)
+    def violation(w):
+        following = F.lead(start).over(w)
+        return following.isNotNull() & (F.col(end).isNull() | (following < F.col(end)))
+    return _over(name, table, key, start, violation, **kw)
 
 
 def no_consecutive_duplicates(name, table, key: Sequence[str], order="valid_from",
                               value="attr_hash", **kw) -> Check:
-    def fn(t):
-        w = Window.partitionBy(*key).orderBy(order)
-        d = t[table].select(F.col(value).alias("_v"), F.lag(value).over(w).alias("_p"))
-        return d.agg(F.count_if(F.col("_v") == F.col("_p")).alias("v"))
-    return _frame(name, fn, **kw)
+    return _over(name, table, key, order, lambda w: F.col(value) == F.lag(value).over(w), **kw)
 
 
-def in_set(name, table, values: Iterable[str], col: Column | Sequence[Column], **kw) -> Check:
+def in_set(name, table, values: Iterable[str], col: Column | Sequence[Column], severity="error", allowance=0, description="") -> Check:
     """Distinct non-NULL values (of one or several columns, unpivoted) outside the catalog."""
     cols = [col] if isinstance(col, Column) else list(col)
     allowed = list(values)
+    outside = [F.when(~c.cast("string").isin(allowed), c.cast("string")) for c in cols]
 
-    def distinct_bad(t):
-        d = t[table]
-        v = d.select(F.explode(F.array(*[c.cast("string") for c in cols])).alias("v")) if len(cols) > 1 \
-            else d.select(cols[0].cast("string").alias("v"))
-        return v.filter(F.col("v").isNotNull() & ~F.col("v").isin(allowed)).distinct()
-
-    return _frame(name, lambda t: distinct_bad(t).agg(F.count(F.lit(1)).alias("v")),
-                  sample=lambda t: distinct_bad(t).orderBy("v"), **kw)
+    def sample(t):
+        v = t[table].select(F.explode(F.array(*outside)).alias("v"))
+        return v.filter(F.col("v").isNotNull()).distinct().orderBy("v")
+    return Check(name, severity, table, "set", lambda: outside, allowance, description, sample)
 
 
 def lookup_complete(name, table, expr: Column, lookup: Callable[[Tables], DataFrame],
@@ -189,21 +192,14 @@ def lookup_hits(name, table, expr: Column, lookup: Callable[[Tables], DataFrame]
     return _frame(name, lambda t: rows(t).agg(F.count(F.lit(1)).alias("v")), **kw)
 
 
-def same_count(name, a: str, b: str, **kw) -> Check:
-    """1 when the two tables differ in row count (two partial counts, one-row cross join)."""
-    def fn(t):
-        ca = t[a].agg(F.count(F.lit(1)).alias("ca"))
-        cb = t[b].agg(F.count(F.lit(1)).alias("cb"))
-        return ca.crossJoin(cb).select(F.when(F.col("ca") != F.col("cb"), 1).otherwise(0).alias("v"))
-    return _frame(name, fn, **kw)
+def same_count(name, a: str, b: str, severity="error", allowance=0, description="") -> Check:
+    """1 when the two tables differ in row count."""
+    return Check(name, severity, a, "count", lambda x, y: F.when(x != y, 1).otherwise(0), allowance, description, other=b)
 
 
-def row_preserving(name, before: str, after: str, **kw) -> Check:
-    def fn(t):
-        ca = t[before].agg(F.count(F.lit(1)).alias("ca"))
-        cb = t[after].agg(F.count(F.lit(1)).alias("cb"))
-        return ca.crossJoin(cb).select(F.abs(F.col("ca") - F.col("cb")).alias("v"))
-    return _frame(name, fn, **kw)
+def row_preserving(name, before: str, after: str, severity="error", allowance=0, description="") -> Check:
+    """By how many rows the two tables differ."""
+    return Check(name, severity, before, "count", lambda x, y: F.abs(x - y), allowance, description, other=after)
 
 
 def no_column(name, table, column: str, **kw) -> Check:
@@ -214,13 +210,14 @@ def no_column(name, table, column: str, **kw) -> Check:
     return _frame(name, fn, **kw)
 
 
-def joined(name, left: str, right: str, key: Sequence[str], violation: Column, **kw) -> Check:
-    """Rows of left JOIN right USING (key) where ``violation`` holds (columns prefixed l_ / r_)."""
-    def fn(t):
-        lft = t[left].select(*key, *[F.col(c).alias("l_" + c) for c in t[left].columns if c not in key])
-        rgt = t[right].select(*key, *[F.col(c).alias("r_" + c) for c in t[right].columns if c not in key])
-        return lft.join(rgt, list(key)).agg(F.count_if(violation).alias("v"))
-    return _frame(name, fn, **kw)
+def joined(name, left: str, right: str, key: Sequence[str], violation: Column, left_values: dict[str, Column], right_values: dict[str, Column],
+           severity="error", allowance=0, description="") -> Check:
+    """Rows of left JOIN right USING (key) where ``violation`` holds.
+
+    ``violation`` is over the names of ``left_values`` and ``right_values``; only those values and the key are shuffled,
+    so a predicate on a wide column (a geometry) is best evaluated on its own side.
+    """
+    return Check(name, severity, left, "pair", violation, allowance, description, None, tuple(key), None, right, (left_values, right_values))
 
 
 def frame(name, fn: Callable[[Tables], DataFrame], **kw) -> Check:
@@ -234,30 +231,61 @@ def status_col(violations: Column, allowance: Column, severity: Column) -> Colum
     return F.when(v <= allowance, "pass").when(severity == "warn", "warn").otherwise("fail")
 
 
+def _fused(tables: Tables, checks: Sequence[Check]) -> DataFrame:
+    """One row with a column ``v<i>`` per check: the cross join of a row for each table, window, set or pair pass."""
+    passes: dict[tuple, list[int]] = {}
+    for i, c in enumerate(checks):
+        passes.setdefault({"row": ("table", c.table), "agg": ("table", c.table), "window": ("window", c.table, c.key), "set": ("set", c.table),
+                           "pair": ("pair", c.table, c.other, c.key)}.get(c.kind, ("own", i)), []).append(i)
+    counted = {t for c in checks if c.kind == "count" for t in (c.table, c.other)}
+    for t in counted:
+        passes.setdefault(("table", t), [])
+    number = {t: n for n, t in enumerate(sorted(counted))}
+    out = []
+    for (kind, *of), members in passes.items():
+        if kind == "table":
+            cols = [(F.count_if(checks[i].expr) if checks[i].kind == "row" else checks[i].expr).cast("bigint").alias(f"v{i}") for i in members]
+            cols += [F.count(F.lit(1)).alias(f"n{number[of[0]]}")] if of[0] in number else []
+            out.append(tables[of[0]].agg(*cols))
+        elif kind == "window":
+            orders = {checks[i].order for i in members} - {None}
+            for order in orders or {None}:
+                w = Window.partitionBy(*of[1]).orderBy(order or of[1][0])
+                own = [i for i in members if checks[i].order == order or (checks[i].order is None and order == min(orders, default=None))]
+                flagged = tables[of[0]].select(*[checks[i].expr(w).alias(f"v{i}") for i in own])
+                out.append(flagged.agg(*[F.count_if(f"v{i}").alias(f"v{i}") for i in own]))
+        elif kind == "set":
+            each = [F.struct(F.lit(i).alias("i"), v.alias("v")) for i in members for v in checks[i].expr()]
+            seen = tables[of[0]].select(F.explode(F.array(*each)).alias("x")).select("x.*").where("v IS NOT NULL").distinct()
+            out.append(seen.agg(*[F.count_if(F.col("i") == i).alias(f"v{i}") for i in members]))
+        elif kind == "pair":
+            sides = []
+            for side, table in enumerate(of[:2]):
+                named: dict[str, Column] = {}
+                for i in members:
+                    for n, v in checks[i].values[side].items():
+                        if n in named and str(named[n]) != str(v):
+                            raise ValueError(f"two checks of {of[0]} and {of[1]} mean different values by {n!r}")
+                        named[n] = v
+                sides.append(tables[table].select(*of[2], *[v.alias(n) for n, v in named.items()]))
+            both = sides[0].join(sides[1], list(of[2]))
+            out.append(both.agg(*[F.count_if(checks[i].expr).alias(f"v{i}") for i in members]))
+        elif checks[members[0]].kind == "frame":
+            df = checks[members[0]].expr(tables)
+            out.append(df.select(F.col(df.columns[0]).cast("bigint").alias(f"v{members[0]}")))
+    one = out[0] if out else None
+    for more in out[1:]:
+        one = one.crossJoin(more)                        # one row each
+    counts = [checks[i].expr(F.col(f"n{number[checks[i].table]}"), F.col(f"n{number[checks[i].other]}")).cast("bigint").alias(f"v{i}")
+              for i in range(len(checks)) if checks[i].kind == "count"]
+    return one.select("*", *counts)
+
+
 def violation_counts(tables: Tables, checks: Sequence[Check]) -> DataFrame:
-    """(name, violations) for every check; row/agg checks fused into one aggregation per table."""
-    spark = next(iter(tables.values())).sparkSession
-    parts: list[DataFrame] = []
-    by_table: dict[str, list[Check]] = {}
-    for c in checks:
-        if c.kind in ("row", "agg"):
-            by_table.setdefault(c.table, []).append(c)
-    for tname, cs in by_table.items():
-        cols = []
-        for i, c in enumerate(cs):
-            e = F.count_if(c.expr) if c.kind == "row" else c.expr
-            cols.append(e.cast("bigint").alias(f"c{i}"))
-        wide = tables[tname].agg(*cols)
-        stack = ", ".join(f"'{c.name}', c{i}" for i, c in enumerate(cs))
-        parts.append(wide.selectExpr(f"stack({len(cs)}, {stack}) AS (name, violations)"))
-    for c in checks:
-        if c.kind == "frame":
-            df = c.expr(tables)
-            parts.append(df.select(F.lit(c.name).alias("name"), F.col(df.columns[0]).cast("bigint").alias("violations")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """(name, violations) for every check; see the kinds above for what shares a pass."""
+    wide = _fused(tables, checks)
+    return wide.select(F.explode(F.array(*[F.struct(F.lit(c.name).alias("name"), F.col(f"v{i}").alias("violations"))
+                                           for i, c in enumerate(checks)])).alias("x")).select("x.*")
 
 
 def run_all(tables: Tables, checks: Sequence[Check], error_only: bool = False) -> DataFrame:
@@ -309,8 +337,7 @@ class ChecksFailed(AssertionError):
 
 def assert_zero(tables: Tables, checks: Sequence[Check]) -> DataFrame:
     """Notebook-style: every listed check must have zero violations; raise otherwise."""
-    res = run_all(tables, [Check(c.name, "error", c.table, c.kind, c.expr, 0, c.description, c.sample)
-                           for c in checks])
+    res = run_all(tables, [replace(c, severity="error", allowance=0) for c in checks])
     bad = res.filter("violations <> 0").collect()
     if bad:
         raise ChecksFailed(f"{len(bad)} check(s) failed: " + ", ".join(f"{r.name}={r.violations}" for r in bad))

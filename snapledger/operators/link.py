@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapledger.operators import stats
-
 from snapledger.functions.text import OWNER_NAME_PLACEHOLDER, norm_address, zip5
+from snapledger.operators import stats
+from snapledger.session import cut_lineage
 
 # --- fixed values ----------------------------------------------------------------
 MUNI_CITIES = ("ANCHORAGE", "EAGLE RIVER", "CHUGIAK", "GIRDWOOD", "JBER", "INDIAN",
@@ -126,7 +126,8 @@ def outcome_of(n_homes: Column, primary_found: Column) -> Column:
 
 def outcomes(portfolios: DataFrame) -> DataFrame:
     """Outcome label per focus home: (outcome, n, median_portfolio)."""
-    d = portfolios.withColumn("outcome", outcome_of(F.col("n_homes"), F.col("primary_found")))
+    # derived once: the counts and the medians both read it
+    d = cut_lineage(portfolios.select(outcome_of(F.col("n_homes"), F.col("primary_found")).alias("outcome"), "total_value"), "outcomes")
     return stats.with_medians(d.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")), d, "outcome",
                               {"median_portfolio": "total_value"})
 

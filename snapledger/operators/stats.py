@@ -11,6 +11,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from snapledger.session import cut_lineage
+
 # --- fixed values ------------------------------------------------------------------
 M2_PER_ACRE = 4046.8564224
 # -----------------------------------------------------------------------------------
@@ -49,44 +51,103 @@ def rate_by(df: DataFrame, groups: Sequence[Column], pred: Column) -> DataFrame:
                                    (F.count_if(pred) / F.count(F.lit(1))).alias("rate"))
 
 
-def exact_median(df: DataFrame, group: str, value: str, name: str, slices: int = 1024) -> DataFrame:
-    """(group, name): the exact median of ``value`` per group, without gathering a group in one task.
+MEDIAN_ROWS = 100_000      # distinct values of a group that one window puts in order
+BORDERS = 63               # quantiles that narrow a larger group in a round
+
+
+def exact_medians(df: DataFrame, group: str, measures: dict[str, str], most: int = MEDIAN_ROWS) -> DataFrame:
+    """(group, *names): the exact median of each (name, value column) per group, without gathering a group in one task.
+
+    All measures come from one pass over ``df``: equal values of a group become one counted row, and the counted
+    rows are written.  A group with more than ``most`` of them is narrowed first, all such groups at once:
+    ``BORDERS`` quantiles of its counted rows cut it into slices of about equally many rows, whatever the
+    distribution, cumulative counts (a few rows a group) tell which slices hold the middle, and only those
+    stay, until they have at most ``most`` rows.
 
-    Equal values become one counted row.  Each group's range is cut into ``slices``; cumulative counts
-    of slices (a few rows) tell which slice holds the middle, and only that slice is put in order.
-    NULL values don't count; a group without values has no row.
+    Whole numbers and decimals are ordered as such, beyond 2^53 too; the result is a double.  NULLs don't count; a
+    measure without values is NULL, and a group without any value has no row.
     """
-    x = F.col(value).cast("double")
-    counts = df.select(group, x.alias("_v")).filter(F.col("_v").isNotNull()).groupBy(group, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    ends = counts.groupBy(F.col(group).alias("_g")).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_total"))
-    at = F.when(F.col("_hi") > F.col("_lo"), F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * slices)).otherwise(0)
-    sliced = counts.join(ends, F.col(group).eqNullSafe(F.col("_g"))).withColumn("_slice", at.cast("int"))
-    low, high = F.floor((F.col("_total") + 1) / 2), F.floor((F.col("_total") + 2) / 2)
-    up_to = Window.partitionBy("_g").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    sums = (sliced.groupBy("_g", "_slice").agg(F.sum("_n").alias("_in"), F.first("_total").alias("_total"))
-            .withColumn("_before", F.coalesce(F.sum("_in").over(up_to), F.lit(0))))
-    middle = sums.filter((F.col("_before") < high) & (F.col("_before") + F.col("_in") >= low)).select(
-        F.col("_g").alias("_m"), F.col("_slice").alias("_s"), "_before")
-    inside = Window.partitionBy("_g", "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (sliced.join(middle, F.col("_g").eqNullSafe(F.col("_m")) & (F.col("_slice") == F.col("_s")))
-              .withColumn("_first", F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0))))
-    holds = lambda rank: (F.col("_first") < rank) & (F.col("_first") + F.col("_n") >= rank)
-    return ranked.groupBy(F.col("_g").alias(group)).agg(
-        ((F.max(F.when(holds(low), F.col("_v"))) + F.max(F.when(holds(high), F.col("_v")))) / 2).alias(name))
+    kinds: dict[str, list[str]] = {}
+    for name, column in measures.items():
+        kind = df.schema[column].dataType.simpleString()
+        kind = "decimal(38,0)" if kind == "bigint" else kind if kind.startswith("decimal") else "double"
+        kinds.setdefault(kind, []).append(name)
+    found = []
+    for kind, names in kinds.items():
+        values = ", ".join(f"{n}, CAST(`{measures[name]}` AS {kind})" for n, name in enumerate(names))
+        rows = df.select(F.col(group).alias("_g"), F.expr(f"stack({len(names)}, {values}) AS (_m, _v)")).where("_v IS NOT NULL")
+        counts = cut_lineage(rows.groupBy("_g", "_m", "_v").agg(F.count(F.lit(1)).alias("_n")), "median-counts")
+        middle = _middles(counts, most)
+        found.append(middle.groupBy("_g").agg(*(F.max(F.when(F.col("_m") == n, F.col("_median"))).alias(name) for n, name in enumerate(names))))
+    out = found[0]
+    for more in found[1:]:
+        more = more.withColumnRenamed("_g", "_h")
+        out = out.join(more, F.col("_g").eqNullSafe(F.col("_h")), "full_outer").withColumn("_g", F.coalesce("_g", "_h")).drop("_h")
+    return out.select(F.col("_g").alias(group), *measures)
+
+
+def exact_median(df: DataFrame, group: str, value: str, name: str, most: int = MEDIAN_ROWS) -> DataFrame:
+    """(group, name): see ``exact_medians``."""
+    return exact_medians(df, group, {name: value}, most)
+
+
+def _same(a: str, b: str) -> Column:
+    return F.col(f"{a}._g").eqNullSafe(F.col(f"{b}._g")) & (F.col(f"{a}._m") == F.col(f"{b}._m"))
+
+
+def _holds(rank: Column, before: str = "_before", n: str = "_n") -> Column:
+    return (F.col(before) < rank) & (F.col(before) + F.col(n) >= rank)
+
+
+def _ranks() -> tuple[Column, Column]:
+    """The places of the lower and the upper middle value."""
+    return F.floor((F.col("_total") + 1) / 2), F.floor((F.col("_total") + 2) / 2)
+
+
+def _middles(counts: DataFrame, most: int) -> DataFrame:
+    """(_g, _m, _median) of counted rows (_g, _m, _v, _n)."""
+    low_rank, high_rank = _ranks()
+    sizes = cut_lineage(counts.groupBy("_g", "_m").agg(F.sum("_n").alias("_total"), F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_lo")), "median-sizes")
+    start = sizes.withColumn("_before", F.lit(0).cast("long"))
+    left = counts
+    # quantiles are doubles: exact values are told by their distance from the least one left
+    exact = dict(counts.dtypes)["_v"] != "double"
+    away = (F.col("a._v") - F.col("b._lo")).cast("double") if exact else F.col("a._v")
+    while not start.where(F.col("_rows") > most).isEmpty():
+        large = start.where(F.col("_rows") > most)
+        wide = left.alias("a").join(large.alias("b"), _same("a", "b")).select("a.*", "b._total", F.col("b._before").alias("_from"), away.alias("_x"))
+        borders = wide.groupBy("_g", "_m").agg(F.percentile_approx("_x", [i / (BORDERS + 1) for i in range(1, BORDERS + 1)]).alias("_borders"))
+        at = F.size(F.filter("_borders", lambda x: x < F.col("_x")))
+        sliced = wide.alias("a").join(borders.alias("b"), _same("a", "b")).select("a.*", at.alias("_slice"))
+        order = Window.partitionBy("_g", "_m").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        sums = (sliced.groupBy("_g", "_m", "_slice").agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_rows"), F.first("_total").alias("_total"),
+                                                       F.first("_from").alias("_from"))
+                .withColumn("_before", F.col("_from") + F.coalesce(F.sum("_n").over(order), F.lit(0))))
+        kept = sums.where((F.col("_before") < high_rank) & (F.col("_before") + F.col("_n") >= low_rank))
+        inner = sliced.alias("a").join(kept.alias("b"), _same("a", "b") & (F.col("a._slice") == F.col("b._slice")), "left_semi").select("_g", "_m", "_v", "_n")
+        small = start.where(F.col("_rows") <= most)
+        rest = left.alias("a").join(small.alias("b"), _same("a", "b"), "left_semi")
+        inner = cut_lineage(inner, "median-slices")
+        least = inner.groupBy("_g", "_m").agg(F.min("_v").alias("_lo"))
+        narrowed = kept.groupBy("_g", "_m").agg(F.first("_total").alias("_total"), F.sum("_rows").alias("_rows"), F.min("_before").alias("_before"))
+        narrowed = narrowed.alias("a").join(least.alias("b"), _same("a", "b")).select("a.*", "b._lo")
+        left, start = rest.unionByName(inner), cut_lineage(small.unionByName(narrowed), "median-sizes")
+    inside = Window.partitionBy("_g", "_m").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (left.alias("a").join(start.alias("b"), _same("a", "b")).select("a.*", "b._total", F.col("b._before").alias("_from"))
+              .withColumn("_before", F.col("_from") + F.coalesce(F.sum("_n").over(inside), F.lit(0))))
+    low, high = (F.max(F.when(_holds(rank), F.col("_v"))).cast("double") for rank in (low_rank, high_rank))
+    return ranked.groupBy("_g", "_m").agg(F.when(low == high, low).otherwise(low / 2 + high / 2).alias("_median"))
 
 
 def with_medians(grouped: DataFrame, df: DataFrame, group: str, measures: dict[str, str]) -> DataFrame:
     """``grouped`` (one row per group) with an exact median per (name, value column); NULL where there are no values."""
-    out = grouped
-    for name, value in measures.items():
-        m = exact_median(df, group, value, name).withColumnRenamed(group, "_group")
-        out = out.join(m, F.col(group).eqNullSafe(F.col("_group")), "left").drop("_group")
-    return out
+    m = exact_medians(df, group, measures).withColumnRenamed(group, "_group")
+    return grouped.join(m, F.col(group).eqNullSafe(F.col("_group")), "left").drop("_group")
 
 
 def summary(df: DataFrame, group: Column, measures: dict[str, Column], count_name: str = "parcels") -> DataFrame:
     """Group card: row count plus exact medians of the given measures.  ``group`` must carry an alias."""
-    rows = df.select(group, *[m.alias(f"_{name}") for name, m in measures.items()])
+    rows = cut_lineage(df.select(group, *[m.alias(f"_{name}") for name, m in measures.items()]), "summary")
     key = rows.columns[0]
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias(count_name))
     return with_medians(counts, rows, key, {name: f"_{name}" for name in measures})

@@ -33,7 +33,12 @@ def _square_corners(lon: str, lat: str, side: float):
 
 
 def _square_area_sql(lon: str, lat: str, side: float = SIDE) -> str:
-    pts = [_albers_sql(x, y) for x, y in _square_corners(lon, lat, side)]
+    return ring_area_sql(_square_corners(lon, lat, side))
+
+
+def ring_area_sql(corners: list[tuple[str, str]]) -> str:
+    """Equal-area m2 of a ring with four corners."""
+    pts = [_albers_sql(f"({x})", f"({y})") for x, y in corners]
     x0, y0 = pts[0]
     rel = [(f"({x} - {x0})", f"({y} - {y0})") for x, y in pts]
     cr1 = f"({rel[1][0]} * {rel[2][1]} - {rel[2][0]} * {rel[1][1]})"

@@ -44,7 +44,8 @@ def cases():
     (ck.no_column("nocol_bad", "current", "name"), 1),
     (ck.lookup_complete("lookup", "current", F.col("cat"), lambda t: t["lookup"]), 2),
     (ck.row_preserving("preserve", "current", "history"), 3),
-    (ck.joined("join", "current", "artifact", ["key"], F.col("l_total") != F.col("r_total")), 0),
+    (ck.joined("join", "current", "artifact", ["key"], F.col("a") != F.col("b"), {"a": F.col("total")}, {"b": F.col("total")}), 0),
+    (ck.joined("join_bad", "current", "artifact", ["key"], F.col("positive"), {"positive": F.col("total") > 0}, {}), 2),
     ]
 
 

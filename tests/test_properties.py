@@ -73,7 +73,7 @@ def test_histogram_shares_sum_to_one(spark, rows):
         assert n == sum(1 for r in rows if r[0] == g)
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(-5, 5), st.floats(-1e6, 1e6))), max_size=40))
 def test_exact_median(spark, rows):
     import statistics
@@ -82,5 +82,27 @@ def test_exact_median(spark, rows):
     df = spark.createDataFrame([(g, None if v is None else float(v)) for g, v in rows], "g string, v double")
     want = {g: statistics.median([float(v) for k, v in rows if k == g and v is not None])
             for g in {k for k, v in rows if v is not None}}
-    got = {r.g: r.m for r in stats.exact_median(df, "g", "v", "m", slices=4).collect()}
+    got = {r.g: r.m for r in stats.exact_median(df, "g", "v", "m", most=3).collect()}
     assert got.keys() == want.keys() and all(abs(got[g] - want[g]) <= 1e-9 * max(1, abs(want[g])) for g in want)
+
+
+def test_exact_medians_of_any_distribution(spark):
+    """An outlier, infinities, whole numbers beyond 2^53, decimals and a hot value, narrowed in several rounds."""
+    import random
+    import statistics
+    from decimal import Decimal
+
+    from snapledger.operators import stats
+    rnd = random.Random(1)
+    rows = [("outlier", float(i % 997), 2 ** 60 + i, Decimal(i)) for i in range(2000)] + [("outlier", 1e300, 1, None)]
+    rows += [("inf", x, None, None) for x in [float("-inf")] * 3 + [float(i) for i in range(500)] + [float("inf")] * 4]
+    rows += [("hot", 7.0 if rnd.random() < 0.7 else rnd.random() * 1e9, rnd.randrange(-5, 5), Decimal(rnd.randrange(9))) for _ in range(1500)]
+    rows += [(None, float(i) ** 3, 5, None) for i in range(301)] + [("none", None, None, None)]
+    df = spark.createDataFrame(rows, "g string, v double, w long, x decimal(20,0)").repartition(5)
+    got = {r.g: r for r in stats.exact_medians(df, "g", {"v_m": "v", "w_m": "w", "x_m": "x"}, most=40).collect()}
+    assert got.keys() == {"outlier", "inf", "hot", None}
+    for g, r in got.items():
+        for name, at in (("v_m", 1), ("w_m", 2), ("x_m", 3)):
+            there = [x[at] for x in rows if x[0] == g and x[at] is not None]
+            want = float(statistics.median_low(there)) / 2 + float(statistics.median_high(there)) / 2 if there else None
+            assert r[name] == want, (g, name, r[name], want)
