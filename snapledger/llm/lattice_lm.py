@@ -216,6 +216,12 @@ def log10_words(words: list[bytes], index: _Index) -> np.ndarray:
     return out
 
 
+def log10_add(log: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """log10(10 ** log + more): ``log`` itself where nothing is added, so no probability is too small."""
+    with np.errstate(divide="ignore", under="ignore"):
+        return np.where(more > 0, np.log10(10.0 ** np.maximum(log, -300.0) + more), log)
+
+
 # ------------------------------------------------------------------------------------ Spark
 def is_held_out(doc: str | None, modulus: int = 7, rest: int = 2) -> bool:
     return doc is None or zlib.crc32(doc.encode()) % modulus == rest
@@ -277,10 +283,12 @@ def train_pieces(words: DataFrame, pieces: Pieces, rounds: int = ROUNDS) -> Piec
 
 def score(docs: DataFrame, path: str, frequent: int = FREQUENT, rounds: int = ROUNDS, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of ``docs``.
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, lattice_score) per row of ``docs``.
 
     Words have A-Z lower-cased; every text ends with one end token.  ``base_score`` is the add-one
-    unigram model of the contract, ``score`` the lattice model, both log10.  A null text is empty (its
+    unigram model of the contract, ``score`` the whole model, ``lattice_score`` the sum over all segmentations of
+    the text's words under the vocabulary's own weights alone, without counts, re-estimation or cache (the text's
+    end as in ``score``); all are log10, and finite whatever the words.  A null text is empty (its
     end alone is scored); rows without an id are scored and never learnt from; repeated rows count as
     often as they come.  Words of any length are scored whole.
     """
@@ -295,19 +303,19 @@ def score(docs: DataFrame, path: str, frequent: int = FREQUENT, rounds: int = RO
     base_total = n_all + v_all + 1
     discount = min(0.9, max(0.1, told["n1"] / max(1, told["n1"] + 2 * told["n2"])))
     spare = discount * told["Vw"] / n_all if n_all and told["Vw"] else 1.0
-    pieces = train_pieces(counted.where(is_word & learnt), Pieces.load(path), rounds)
+    given = Pieces.load(path)
+    pieces = train_pieces(counted.where(is_word & learnt), given, rounds)
 
     def log_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = pieces.index()
+        index, raw = pieces.index(), given.index()
         for b in batches:
             own, c = list(b["word"]), b["c"].to_numpy(dtype=float)
             sub = log10_words(own, index)
             share = np.maximum(0.0, c - discount) / max(1, n_all)
-            with np.errstate(divide="ignore", under="ignore"):
-                lm = np.where(share > 0, np.log10(share + spare * 10.0 ** np.maximum(sub, -300)), sub + math.log10(spare))
-            yield pd.DataFrame({"word": own, "c": b["c"], "n": b["n"], "lm": lm})
+            yield pd.DataFrame({"word": own, "c": b["c"], "n": b["n"], "lm": log10_add(sub + math.log10(spare), share),
+                                "raw": log10_words(own, raw)})
 
-    words = materialise(counted.where(is_word).mapInPandas(log_of, "word binary, c long, n long, lm double"), "words")
+    words = materialise(counted.where(is_word).mapInPandas(log_of, "word binary, c long, n long, lm double, raw double"), "words")
     end = counted.where(~is_word).first()
     c_end = end["c"] if end else 0
     lm_end = math.log10(c_end / n_all) if c_end else math.log10(spare)
@@ -320,21 +328,21 @@ def score(docs: DataFrame, path: str, frequent: int = FREQUENT, rounds: int = RO
         if total + n > frequent:
             break
         total, low = total + n, b
-    top = [] if low is None else words.where(step >= low).select("word", "c", "lm").collect()
+    top = [] if low is None else words.where(step >= low).select("word", "c", "lm", "raw").collect()
     rest = 1 - CACHE
     c_top = np.array([r["c"] for r in top], dtype=float)
     table = spark.sparkContext.broadcast((
         {bytes(r["word"]): k for k, r in enumerate(top)}, np.log10((c_top + 1) / base_total),
-        rest * 10.0 ** np.array([r["lm"] for r in top], dtype=float), c_top > 0))
+        math.log10(rest) + np.array([r["lm"] for r in top], dtype=float), c_top > 0, np.array([r["raw"] for r in top], dtype=float)))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         uid = TaskContext.get().partitionId() << 40
-        place, base_of, share, learnt_of = table.value
+        place, base_of, alone_of, learnt_of, raw_of = table.value
         get = place.get
         for b in batches:
-            out: tuple[list, ...] = tuple([] for _ in range(8))
+            out: tuple[list, ...] = tuple([] for _ in range(9))
 
             def add(*row):
                 for column, value in zip(out, row):
@@ -349,12 +357,13 @@ def score(docs: DataFrame, path: str, frequent: int = FREQUENT, rounds: int = RO
                 base = math.log10((c_end + 1) / base_total) + base_of[own].sum()
                 n_known = int(c_end > 0) + int(learnt_of[own].sum())
                 lm = lm_end          # one factor `rest` too many at the first token, one too few at the end
+                raw = lm_end + raw_of[own].sum()
                 if len(own):         # how often each token's word was used before it
                     order = np.argsort(own, kind="stable")
                     word, j = own[order], at[order]
                     first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
                     before = np.arange(len(word)) - np.repeat(first, np.diff(np.append(first, len(word))))
-                    lm += np.log10(share[word] + CACHE * before / np.maximum(1, j)).sum()
+                    lm += log10_add(alone_of[word], CACHE * before / np.maximum(1, j)).sum()
                 rare: dict[bytes, list | None] = {}
                 for j in np.flatnonzero(ids < 0).tolist():
                     w = words[j]
@@ -365,24 +374,26 @@ def score(docs: DataFrame, path: str, frequent: int = FREQUENT, rounds: int = RO
                     else:
                         seen.append(CACHE * (len(seen) + 1) / j)
                 for w, f in rare.items():
-                    add(uid, None, w, 1 + len(f or ()), None, None, None, f)
-                add(uid, i, None, len(words) + 1, n_known, base, lm, None)
+                    add(uid, None, w, 1 + len(f or ()), None, None, None, f, None)
+                add(uid, i, None, len(words) + 1, n_known, base, lm, None, raw)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
-    kinds = [pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.float64())]
-    names = ["uid", "i", "word", "n", "n_known", "base", "lm", "again"]
+    kinds = [pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.float64()), pa.float64()]
+    names = ["uid", "i", "word", "n", "n_known", "base", "lm", "again", "raw"]
     seen = materialise(src.mapInArrow(
-        look_up, "uid long, i string, word binary, n long, n_known long, base double, lm double, again array<double>"), "lookups")
+        look_up, "uid long, i string, word binary, n long, n_known long, base double, lm double, again array<double>, raw double"), "lookups")
     alone = F.lit(math.log10(rest)) + F.col("lm")
     repeated = F.coalesce(F.aggregate("again", F.lit(0.0), lambda total, f: total + F.log10(F.pow(F.lit(10.0), alone) + f)), F.lit(0.0))
-    rare = seen.where(is_word).select("uid", "word", F.col("n").alias("k"), "again").join(words.select("word", "c", "lm"), "word").groupBy("uid").agg(
+    rare = seen.where(is_word).select("uid", "word", F.col("n").alias("k"), "again").join(
+        words.select("word", "c", "lm", F.col("raw").alias("word_raw")), "word").groupBy("uid").agg(
         F.sum(F.when(learnt, F.col("k")).otherwise(0)).alias("rare_known"),
         F.sum(F.col("k") * F.log10((F.col("c") + 1) / F.lit(base_total))).alias("rare_base"),
-        F.sum(alone + repeated).alias("rare_lm"))
+        F.sum(alone + repeated).alias("rare_lm"), F.sum(F.col("k") * F.col("word_raw")).alias("rare_raw"))
     zero = F.lit(0.0)
     return seen.where(~is_word).join(rare, "uid", "left").select(
         F.col("i").cast("long").alias("doc_id"),
         F.coalesce(F.crc32(F.col("i").cast("binary")) % 7 == 2, F.lit(True)).alias("held_out"),
         F.col("n").alias("n_tokens"), (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(n_all).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_base", zero)).alias("base_score"), (F.col("lm") + F.coalesce("rare_lm", zero)).alias("score"))
+        (F.col("base") + F.coalesce("rare_base", zero)).alias("base_score"), (F.col("lm") + F.coalesce("rare_lm", zero)).alias("score"),
+        (F.col("raw") + F.coalesce("rare_raw", zero)).alias("lattice_score"))

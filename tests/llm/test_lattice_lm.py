@@ -90,6 +90,64 @@ def test_counts_and_base(spark, frequent):
     assert sorted(r["score"] for r in got) == pytest.approx(test_counts_and_base.scores, abs=1e-6)
 
 
+def by_the_rules(rows):
+    """Scores of whole texts, token by token, from the rules of the model."""
+    held = {i: lm.is_held_out(None if i is None else str(i)) for i, _ in rows}
+    train = Counter(w for i, t in rows if not held[i] for w in [*lm.lower_words(t), None])
+    n, words = sum(train.values()), [w for w in train if w is not None]
+    once, twice = (sum(train[w] == k for w in words) for k in (1, 2))
+    d = min(0.9, max(0.1, once / max(1, once + 2 * twice)))
+    spare = d * len(words) / n
+    given = lm.Pieces.load(PATH)
+    pieces, mass = given, None
+    for _ in range(lm.ROUNDS):
+        uses, ends, index = np.zeros(len(given.names)), 0.0, pieces.index()
+        for _, mat, lens in lm._batches(sorted(words)):
+            u, e = index.expected(mat, lens, np.ones(len(lens)))
+            uses, ends = uses + u, ends + e
+        mass = np.full(len(given.names), 0.01) + uses
+        pieces = lm.Pieces(given.names, *lm._normalised(given.names, mass, ends))
+    every = sorted({w for _, t in rows for w in lm.lower_words(t)})
+    sub, raw = (dict(zip(every, lm.log10_words(every, p.index()))) for p in (pieces, given))
+    out = []
+    for i, t in rows:
+        seen, total, marginal = Counter(), 0.0, 0.0
+        tokens = lm.lower_words(t)
+        for j, w in enumerate([*tokens, None]):
+            if w is None:
+                own = math.log10(train[None] / n)
+            else:
+                own = sub[w] + math.log10(spare)
+                if train[w]:
+                    own = math.log10((train[w] - d) / n + spare * 10 ** sub[w])
+                marginal += raw[w]
+            if not tokens:
+                total += own
+            elif j == 0 or not seen[w]:
+                total += own + (math.log10(1 - lm.CACHE) if j else 0.0)
+            else:
+                total += math.log10((1 - lm.CACHE) * 10 ** own + lm.CACHE * seen[w] / j)
+            seen[w] += 1
+        out.append((-1 if i is None else i, round(total, 6), round(marginal + math.log10(train[None] / n), 6)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("frequent", [lm.FREQUENT, 0, 7])
+def test_scores_by_the_rules(spark, frequent):
+    """Words that training never saw, longer than any double's exponent reaches, once and repeated: every score is finite."""
+    url, chinese = "https://example.org/" + "a7" * 110, "".join(chr(0x4E00 + 37 * k) for k in range(64))
+    held = [i for i in range(300, 400) if lm.is_held_out(str(i))]
+    rows = [(i, f"the cat sat on the mat w{i % 11} {'new' if i % 5 else 'old'}") for i in range(40)] + [(200, None), (201, " "), (None, "odd the odd")]
+    rows += [(held[0], f"see {url} the"), (held[1], f"{url} {url} {chinese} {url}"), (held[2], chinese), (held[3], "x" * 5000 + " end")]
+    df = spark.createDataFrame([(i, t, 0.0, "c") for i, t in rows], "doc_id long, text string, lm double, word string").repartition(3)
+    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], round(r["score"], 6), round(r["lattice_score"], 6)) for r in lm.score(df, PATH, frequent=frequent).collect())
+    assert all(math.isfinite(x) for r in got for x in r)
+    want = by_the_rules(rows)
+    assert [r[0] for r in got] == [r[0] for r in want]
+    for a, b in zip(got, want):
+        assert a[1:] == pytest.approx(b[1:], abs=2e-5), (a, b)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert lm.score(df, PATH).count() == 0
