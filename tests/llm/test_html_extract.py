@@ -59,6 +59,43 @@ def test_lists_of_links(around):
     assert got.split("\n") == [(P * 8).strip(), "References", "A paper", "A book", "Cell"]
 
 
+@pytest.mark.parametrize("name", ["social-science", "legal-history", "side-effects", "comment", "social", "menu-history"])
+@pytest.mark.parametrize("tag", ["div", "section"])
+def test_names_do_not_decide_alone(name, tag):
+    """A container that holds the whole text is main text, whatever its name begins with."""
+    got = main_text(page(NAV + f"<{tag} class='{name}'><h1>Head</h1><p>{P * 3}</p><p>{P}</p></{tag}>" + FOOT)).split("\n")
+    assert got == ["Head", (P * 3).strip(), P.strip()]
+
+
+def test_named_sections_of_an_article():
+    """Sections of an article stay by their ratios; those that are boilerplate by name go."""
+    got = main_text(page(f"<article><h1>Drug</h1><p>{P * 3}</p><section class='side-effects'><h2>Effects</h2><p>{P * 2}</p></section>"
+                         f"<section class=legal-history><p>{P * 2}</p></section><section id=comments><p>{P * 9}</p></section>"
+                         f"<div class='share-buttons'>Share, please do it now.</div></article>")).split("\n")
+    assert got == ["Drug", (P * 3).strip(), "Effects", (P * 2).strip(), (P * 2).strip()]
+
+
+def test_forms():
+    """A form round the whole page is a plain container, one beside the text is not."""
+    inner = f"<div><p>{P * 3}</p><p>{P}</p><label>Name, please:</label><input name=a><select><option>One<option>Two</select><button>Send it.</button></div>"
+    assert main_text(page(f"<form action=/x>{NAV}{inner}{FOOT}</form>")).split("\n")[:2] == [(P * 3).strip(), P.strip()]
+    assert main_text(page(f"<form><p>Search for anything, here.</p></form><div><p>{P * 3}</p></div>")) == (P * 3).strip()
+    assert main_text(page(f"<main><form><article><h1>A</h1><p>{P * 3}</p></article></form></main>")) == "A\n" + (P * 3).strip()
+
+
+def test_unclosed_quotes():
+    """A tag whose quote is not closed ends at its >; no markup gets into the text."""
+    got = main_text(page(f"<article><p>{P}</p><p>before <a title=\"x y\" href=\"u>broken</a> after, it.</p><p class='z>{P}</p></article>"))
+    assert "<" not in got and ">" not in got and "href" not in got
+    assert got.split("\n")[0] == P.strip() and "broken" in got
+
+
+def test_articles_that_hold_little():
+    """Teasers marked up as articles do not push out the text beside them."""
+    got = main_text(page(f"<article><p>{P}</p></article><div class=x><p>{P * 4}</p><p>{P * 4}</p></div>"))
+    assert (P * 4).strip() in got
+
+
 def test_empty_and_null(spark):
     rows = [(1, "u", None), (2, "u", ""), (3, None, "<html></html>"), (None, "u", page(f"<article><p>{P * 20000}</p></article>")),
             (4, "u", page(f"<article><p>{P}</p></article>")), (4, "u", page(f"<article><p>{P}</p></article>")), (5, "u", "<" * 2000 + "x")]
