@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -131,5 +135,26 @@ def shingle_set(text, n: int) -> np.ndarray:
     return np.unique(mix(h + np.uint64(n)))
 
 
+def release() -> None:
+    """Gives what this Python worker holds but doesn't use back to the system."""
+    global _pow, _pow_inv
+    _pow, _pow_inv = _pow[:1].copy(), _pow_inv[:1].copy()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):                    # another C library: it keeps its own ways
+        pass
+
+
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for tasks of stages that follow one another: workers live on, what a task used does not."""
+    def go(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+    return go
+
+
 def code_points(name: str) -> Column:
     return F.coalesce(F.length(name), F.lit(0)).cast("long")

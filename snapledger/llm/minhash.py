@@ -2,14 +2,16 @@
 
 Method: one permutation hashing (one hash per shingle, the smallest value of each of ``k`` bins),
 optimal densification (every empty bin borrows from a bin drawn independently for it), banded
-buckets, and star-shaped candidate edges (a bucket of n texts makes n - 1 candidate pairs, each to
-its smallest member).  Every candidate is confirmed on the full shingle sets.
-
-Stars alone could miss a link of a member that is unlike the centre.  Such members meet further
-centres, a bounded number per bucket and round, until they are connected or have met all; members
-already connected to their bucket's centre are settled.  So every pair that shares a
-bucket is compared, already connected, or ruled out by its sizes or its sketches (one bit per value
-of the signature; a pair at the bound fails with probability 3e-5).
+buckets, and star-shaped candidate edges: a bucket of n texts makes n - 1 candidate pairs, each to
+its most central member, the one whose own buckets hold the most.  Copies of a text collapse before
+that.  Every candidate is confirmed on the full shingle sets.
+
+A star can miss a link of a member that is unlike the centre.  Such a member is loose: it is then
+compared with all members of the other components that its buckets hold, on the full sets again,
+inside tasks that hold a bounded part of a component and stream the loose members past it, so no
+pair becomes a row.  So every two texts that share a bucket are linked, in one component already,
+or were compared.  Nothing is ruled out by estimates; what remains is the banding itself: a pair at
+0.8 shares no bucket with probability (1 - 0.8^8)^56 < 4e-5.
 """
 
 from __future__ import annotations
@@ -19,17 +21,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.llm.common import hot_rows, join_groups, materialise, mix, shingle_set
+from snapledger.llm.common import hot_rows, join_groups, materialise, mix, released, shingle_set
 
 # A pair at 0.8 shares a bucket with probability 1 - (1 - 0.8^8)^56 > 0.99996, one at 0.05 (chance
 # similarity of unrelated texts, of which pairs grow with the square of the corpus) with 2e-9.
 BANDS, ROWS = 56, 8
-STARS = 8                      # centres per bucket in the second round; then 8 times as many each round
-SKETCH = 256                   # bits; at most bands * rows
-BESIDE = 1_000_000             # rows of two or three numbers that a join broadcasts at most, counted first
+BESIDE = 1_000_000             # ids that the scan for shingle sets gets by broadcast at most, counted first
+CHUNK = 1 << 20                # shingles of a component that a task holds at a time, on average
 
 
 def _probe_order(k: int) -> np.ndarray:
@@ -66,23 +67,9 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return h
 
 
-def sketch(sig: np.ndarray) -> np.ndarray:
-    """One bit per value of the signature's first SKETCH bins, as 64-bit words: unequal values agree half the time."""
-    n = np.arange(SKETCH, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    return np.packbits((mix(sig[:SKETCH] ^ n) >> np.uint64(63)).astype(np.uint8)).view(np.int64)
-
-
-def _alike(percent: int, a: str, b: str) -> Column:
-    """Whether two sketches (array columns) agree as often as a pair at ``percent`` does, less four standard deviations."""
-    p = (1 + percent / 100) / 2
-    most = math.ceil(SKETCH * (1 - p) + 4 * math.sqrt(SKETCH * p * (1 - p)))
-    return sum((F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(1, SKETCH // 64)),
-               F.bit_count(F.col(a)[0].bitwiseXOR(F.col(b)[0]))) <= most
-
-
 def sign(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, d1, d2, bands, sketch): d1, d2 are a 128-bit digest of the whole set."""
+    """(doc_id, n_shingles, d1, d2, bands): d1, d2 are a 128-bit digest of the whole set."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         probes = _probe_order(bands * rows)
         for b in batches:
@@ -94,22 +81,22 @@ def sign(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS,
                     keys = band_keys(sig, bands, rows).astype(np.int64)
                     d1 = int(np.bitwise_xor.reduce(mix(s + np.uint64(1))).astype(np.int64))
                     d2 = int(np.add.reduce(mix(s ^ np.uint64(0x5BD1E995))).astype(np.int64))
-                    out.append((i, len(s), d1, d2, keys, sketch(sig)))
+                    out.append((i, len(s), d1, d2, keys))
                 else:
-                    out.append((i, 0, 0, 0, None, None))
-            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "d1", "d2", "bands", "sketch"]).astype({"doc_id": "Int64"})
+                    out.append((i, 0, 0, 0, None))
+            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "d1", "d2", "bands"]).astype({"doc_id": "Int64"})
 
     return docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).mapInPandas(
-        run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch array<long>")
+        released(run), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
 
 
-def _sets(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+def _sets(texts: DataFrame, words: int) -> DataFrame:
+    """(doc, shingles) of (doc, t): the set as bytes of its sorted hashes."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield pd.DataFrame({"doc": b["doc"], "shingles": [shingle_set(t, words).tobytes() for t in b["t"]]})
 
-    return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("t")).mapInPandas(
-        run, "doc long, shingles binary")
+    return texts.select("doc", "t").mapInPandas(released(run), "doc long, shingles binary")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -146,16 +133,11 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return (roles.join(sets, "doc").repartition("a", "chunk").sortWithinPartitions("a", "chunk", "role")
-            .mapInPandas(run, "a long, b long"))
-
-
-def _beside(rows: DataFrame, n: int, most: int = BESIDE) -> DataFrame:
-    """``rows`` for a join: broadcast if its counted ``n`` rows are few, else left to a shuffle."""
-    return F.broadcast(rows) if n <= most else rows
+            .mapInPandas(released(run), "a long, b long"))
 
 
-def components(edges: DataFrame) -> tuple[DataFrame, int]:
-    """(doc, label) and its number of rows: the smallest document reachable, for every document with an edge (a, b).
+def components(edges: DataFrame) -> DataFrame:
+    """(doc, label): the smallest document reachable, for every document with an edge (a, b).
 
     Labels spread along edges and jump to their label's label; each round is a written table and
     nothing is gathered.  Many labels meet the edges in joins of shuffled tables, which adaptive
@@ -165,23 +147,73 @@ def components(edges: DataFrame) -> tuple[DataFrame, int]:
         edges.select(F.col("b").alias("u"), F.col("a").alias("v"))).distinct(), "edges")
     labels = materialise(both.groupBy(F.col("u").alias("doc")).agg(F.min("v").alias("m"))
                          .select("doc", F.least("doc", "m").alias("label")), "labels")
-    n = labels.count()
     while True:
-        near = (both.join(_beside(labels.select(F.col("doc").alias("u"), F.col("label").alias("l")), n), "u")
+        near = (both.join(labels.select(F.col("doc").alias("u"), F.col("label").alias("l")), "u")
                 .groupBy(F.col("v").alias("doc")).agg(F.min("l").alias("near")))
         jump = labels.select(F.col("doc").alias("near"), F.col("label").alias("jump"))
-        step = (near.join(_beside(labels, n), "doc").withColumn("near", F.least("label", "near")).join(_beside(jump, n), "near")
+        step = (near.join(labels, "doc").withColumn("near", F.least("label", "near")).join(jump, "near")
                 .select("doc", F.least("near", "jump").alias("label"), F.col("label").alias("old")))
         labels = materialise(step, "labels")
         if labels.where("old <> label").isEmpty():
-            return labels.select("doc", "label"), n
+            return labels.select("doc", "label")
 
 
-def _labelled(rows: DataFrame, labels: tuple[DataFrame, int] | None, doc: str, name: str) -> DataFrame:
-    if labels is None:
-        return rows.withColumn(name, F.col(doc))
-    known = labels[0].select(F.col("doc").alias(doc), F.col("label").alias(name))
-    return rows.join(_beside(known, labels[1]), doc, "left").withColumn(name, F.coalesce(name, doc))
+def _labelled(rows: DataFrame, labels: DataFrame, doc: str, name: str) -> DataFrame:
+    """``rows`` with the label of ``doc`` as ``name``; a document without a label is its own."""
+    known = labels.select(F.col("doc").alias(doc), F.col("label").alias(name))
+    return rows.join(known, doc, "left").withColumn(name, F.coalesce(name, doc))
+
+
+def settle(asks: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the documents of ``asks`` (doc, n, component) and the members (doc, n, component) of those components.
+
+    Members are cut into classes of like size, of which a document meets its own and the two beside
+    it, and classes into chunks of about CHUNK shingles.  A chunk is held in one sorted array; each
+    document asked for counts its shingles there member by member.  One link to a chunk is enough:
+    a component's members are connected already.
+    """
+    step = math.log(100 / percent)
+    of = (F.floor(F.log(F.col("n")) / step) if step > 0 else F.col("n")).cast("long")
+    held = members.withColumn("size", of)
+    chunks = held.groupBy("component", "size").agg(F.ceil(F.sum("n") / CHUNK).alias("chunks"), F.count("*").alias("n_members"))
+    total = members.count()
+    inside = join_groups(held, chunks, ["component", "size"], "n_members", total, "inner").select(
+        "doc", "component", "size", F.pmod(F.xxhash64("doc"), "chunks").alias("chunk"), F.lit(0).alias("role"))
+    near = F.array(of - 1, of, of + 1) if step > 0 else F.array(of)
+    asked = (asks.withColumn("size", F.explode(near)).join(chunks, ["component", "size"])
+             .select("doc", "component", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("role")))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, own, docs, table = None, [], [], None
+        for b in batches:
+            found = []
+            for doc, *at, role, raw in zip(b["doc"], b["component"], b["size"], b["chunk"], b["role"], b["shingles"]):
+                s = np.frombuffer(raw, dtype=np.uint64)
+                if tuple(at) != key:
+                    key, own, docs, table = tuple(at), [], [], None
+                if role == 0:
+                    own.append(s)
+                    docs.append(doc)
+                    continue
+                if not own:                                # a chunk that no member's hash fell into
+                    continue
+                if table is None:
+                    value, who = np.concatenate(own), np.repeat(np.arange(len(own)), [len(x) for x in own])
+                    order = np.argsort(value, kind="stable")
+                    table = value[order], who[order], np.array([len(x) for x in own])
+                value, who, size = table
+                low, high = np.searchsorted(value, s, "left"), np.searchsorted(value, s, "right")
+                n = high - low
+                place = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                both = np.bincount(who[place], minlength=len(size))
+                hit = np.flatnonzero(100 * both >= percent * (len(s) + size - both))
+                if len(hit):
+                    found.append((doc, docs[hit[0]]))
+            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    rows = inside.unionByName(asked).join(sets, "doc")
+    keys = ["component", "size", "chunk"]
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "role").select("doc", *keys, "role", "shingles").mapInPandas(released(run), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
@@ -196,65 +228,47 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     document (each row is returned).  A null id cannot be named as a copy: such a row has a null
     component and is kept.  Extra columns are ignored; empty tables give no rows.
     """
-    assert bands * rows >= SKETCH
     signed = materialise(sign(docs, words, bands, rows, id_col, text_col), "signed")
     live = signed.where("n_shingles > 0 and doc_id is not null")
     # Equal sets collapse first: a group of copies costs one row from here on.
     groups = materialise(live.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_rows"),
-                                                      F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
-                                                      F.first("sketch").alias("sketch")), "groups")
-    member = groups.select("rep", "n", F.explode("bands").alias("bucket"))
-    bucket = materialise(member.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("n_in")).where("n_in > 1"), "buckets")
-    shared = join_groups(member, bucket, ["bucket"], "n_in", groups.count() * bands, "inner")
-    known = groups.select("rep", "sketch")
-    shared = shared.join(known, "rep").join(
-        groups.select(F.col("rep").alias("centre"), F.col("n").alias("n_centre"), F.col("sketch").alias("s_centre")), "centre")
-    # sizes and sketches alone rule out most pairs
-    fits = F.expr(f"100 * least(n, n_centre) >= {percent} * greatest(n, n_centre)") & _alike(percent, "sketch", "s_centre")
-    shared = materialise(shared.withColumn("fits", fits).drop("n_centre", "s_centre"), "shared")
-    fits = F.col("fits")
-
-    # Sets only of texts that may have a partner; no list of partners is capped.
-    asked = materialise(shared.where(fits | (F.col("n_in") > 2)).select(F.col("rep").alias("doc"))
-                        .unionByName(shared.where(fits & (F.col("rep") != F.col("centre"))).select(F.col("centre").alias("doc")))
-                        .distinct(), "asked")
-    texts = docs.withColumn("_doc", F.col(id_col).cast("long")).join(
-        _beside(asked, asked.count()), F.col("_doc") == F.col("doc"), "left_semi")
-    sets = materialise(_sets(texts, words, id_col, text_col), "sets")
-
-    tried = materialise(shared.where(fits & (F.col("rep") != F.col("centre"))).select(
-        F.col("centre").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
-    links = materialise(confirm(tried, sets, percent), "links")
-
-    # What the stars of larger buckets leave unconnected meets further centres, more of them each round,
-    # until all of a bucket is connected or every member was a centre.  Any two members in different
-    # components are looked at: at least one of them is not in the component of the bucket's centre.
-    labels = components(links) if not links.isEmpty() else None
-    stars = STARS
-    while True:
-        named = _labelled(_labelled(shared.where("n_in > 2"), labels, "rep", "own"), labels, "centre", "main")
-        named = materialise(named.select("bucket", "n_in", "rep", "n", "sketch", "own", (F.col("own") != F.col("main")).alias("loose")), "named")
-        loose = named.where("loose")
-        most = loose.agg(F.max("n_in")).first()[0] or 0
-        if not most:
-            break
-        place = F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) / F.lit(float(1 << 20)) * F.col("n_in")
-        centres = named.where((place < stars) | (F.col("n_in") <= stars)).select(
-            F.col("bucket").alias("b"), F.col("rep").alias("r"), F.col("n").alias("nr"), F.col("sketch").alias("r_sketch"), F.col("own").alias("r_own"))
-        meet = ((F.col("bucket") == F.col("b")) & (F.col("own") != F.col("r_own"))
-                & (100 * F.least("n", "nr") >= percent * F.greatest("n", "nr")) & _alike(percent, "sketch", "r_sketch"))
-        pairs = loose.join(centres, meet).select(F.least("rep", "r").alias("a"), F.greatest("rep", "r").alias("b")).distinct()
-        new = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if not new.isEmpty():
-            tried = tried.unionByName(new)
-            more = materialise(confirm(new, sets, percent), "links")
-            if not more.isEmpty():
-                # what is known needs one edge per document from here on
-                old = links if labels is None else labels[0].where("doc <> label").select(F.col("label").alias("a"), F.col("doc").alias("b"))
-                labels = components(old.unionByName(more))
-        if most <= stars:                                  # every member was a centre
-            break
-        stars *= 8
+                                                      F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "groups")
+    member = groups.select("rep", F.explode("bands").alias("bucket"))
+    bucket = materialise(member.groupBy("bucket").agg(F.count("*").alias("n_in")).where("n_in > 1"), "buckets")
+    shared = materialise(join_groups(member, bucket, ["bucket"], "n_in", groups.count() * bands, "inner"), "shared")
+    # the centre of a bucket: the member whose buckets hold the most
+    weight = shared.groupBy("rep").agg(F.sum("n_in").alias("weight"))
+    ranked = materialise(shared.join(weight.join(groups.select("rep", "n"), "rep"), "rep"), "ranked")
+    centre = ranked.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("rep")).alias("least"), F.col("n"))).alias("c"), F.first("n_in").alias("n_in"))
+    centre = centre.select("bucket", "n_in", (-F.col("c.least")).alias("centre"), F.col("c.n").alias("n_centre"))
+    stars = materialise(join_groups(ranked.drop("n_in", "weight"), centre, ["bucket"], "n_in", ranked.count(), "inner"), "stars")
+    fits = F.expr(f"rep <> centre and 100 * least(n, n_centre) >= {percent} * greatest(n, n_centre)")     # sizes alone rule out the others
+
+    asked = materialise(stars.where(fits | (F.col("n_in") > 2)).select(F.col("rep").alias("doc"))
+                        .unionByName(stars.where(fits).select(F.col("centre").alias("doc"))).distinct(), "asked")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("t"))
+    sets = materialise(_sets(texts.join(F.broadcast(asked) if asked.count() <= BESIDE else asked, "doc", "left_semi"), words), "sets")
+    pairs = materialise(stars.where(fits).select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
+    links = materialise(confirm(pairs, sets, percent), "links")
+    labels = components(links)
+
+    # a loose member is not in its centre's component; it asks the other components of its buckets
+    named = _labelled(_labelled(stars.where("n_in > 2").drop("n_centre"), labels, "rep", "own"), labels, "centre", "main")
+    named = materialise(named.select("bucket", "rep", "n", "own", "main"), "named")
+    loose = named.where("own <> main")
+    others = loose.select("bucket", F.col("own").alias("component")).distinct()
+    asks = loose.join(others, "bucket").where("own < component").select(F.col("rep").alias("doc"), "n", "component").unionByName(
+        loose.select(F.col("rep").alias("doc"), "n", F.col("main").alias("component"))).distinct()
+    asks = materialise(asks, "asks")
+    if not asks.isEmpty():
+        wanted = asks.groupBy("component").agg(F.count("*").alias("n_asks"))
+        members = _labelled(groups.select(F.col("rep").alias("doc"), "n"), labels, "doc", "component").join(wanted, "component").drop("n_asks")
+        # only documents with a bucket of three or more, whose sets are at hand
+        members = members.join(sets.select("doc").distinct(), "doc", "left_semi")
+        more = materialise(settle(asks, members, sets, percent), "links")
+        if not more.isEmpty():
+            known = labels.where("doc <> label").select(F.col("label").alias("a"), F.col("doc").alias("b"))
+            labels = components(known.unionByName(more))
 
     found = _labelled(groups, labels, "rep", "component").select("d1", "d2", "component", "n_rows")
     rows_out = join_groups(live.select("doc_id", "n_shingles", "d1", "d2"), found, ["d1", "d2"], "n_rows", live.count(), "left")

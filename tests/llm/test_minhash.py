@@ -80,20 +80,36 @@ def test_words_and_signature():
 
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 300)] + [(500, 400), (450, 500)]
-    got = {r["doc"]: r["label"] for r in minhash.components(spark.createDataFrame(edges, "a long, b long"))[0].collect()}
+    got = {r["doc"]: r["label"] for r in minhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(300)}, 400: 400, 450: 400, 500: 400}
 
 
-def test_sketches_estimate_agreement():
-    a = shingle_set(" ".join(map(str, range(1000))), 2)
-    probes = minhash._probe_order(448)
-    one = minhash.sketch(minhash.signature(a, 448, probes))
-    for keep, low, high in ((900, 0.93, 0.99), (500, 0.68, 0.82), (3, 0.4, 0.62)):
-        two = minhash.sketch(minhash.signature(shingle_set(" ".join(map(str, range(1000 - keep, 1000))), 2), 448, probes))
-        same = 1 - bin(int.from_bytes((one ^ two).tobytes(), "little")).count("1") / 256
-        assert low <= same <= high, (keep, same)
-    for keep in (900, 30):                                  # pairs above the bound pass, short ones too
-        words = [str(i) for i in range(keep)]
-        s1 = minhash.sketch(minhash.signature(shingle_set(" ".join(words), 2), 448, probes))
-        s2 = minhash.sketch(minhash.signature(shingle_set(" ".join(words[: -max(1, keep // 6)]), 2), 448, probes))
-        assert bin(int.from_bytes((s1 ^ s2).tobytes(), "little")).count("1") <= 50
+def test_loose_members_ask_whole_components(spark):
+    """Links that no star makes are found by asking components, in chunks of any size; unlike documents stay apart."""
+    rnd = random.Random(5)
+    base = [f"b{i}" for i in range(60)]
+    texts = {}
+    for i in range(120):                                                # edits of different strength: most pairs are below the bound
+        w = list(base)
+        for _ in range(rnd.randrange(0, 9)):
+            w[rnd.randrange(len(w))] = f"x{rnd.randrange(10**6)}"
+        texts[i] = " ".join(w)
+    rows = list(texts.items())
+    want = {i: c for i, (_, c, _) in brute(rows, 2, 80).items()}
+    df = spark.createDataFrame([(i, t, "clash", 1) for i, t in rows], "doc_id long, text string, doc string, n int").repartition(5)
+    old = minhash.CHUNK
+    for chunk in (100, old):
+        minhash.CHUNK = chunk
+        try:
+            got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(df, 2, 80).collect()}
+        finally:
+            minhash.CHUNK = old
+        assert got == want
+    sets = minhash._sets(df.select(df["doc_id"].alias("doc"), df["text"].alias("t")), 2)
+    n = {i: len(shingle_set(t, 2)) for i, t in rows}
+    asks = spark.createDataFrame([(i, n[i], 7) for i in range(100, 120)], "doc long, n long, component long")
+    members = spark.createDataFrame([(i, n[i], 7) for i in range(100)], "doc long, n long, component long")
+    linked = {r["a"] for r in minhash.settle(asks, members, sets, 80).collect()}
+    alike = lambda a, b: len(set(a) & set(b)) * 100 >= 80 * len(set(a) | set(b))
+    plain = {i: shingle_set(t, 2).tolist() for i, t in rows}
+    assert linked == {i for i in range(100, 120) if any(alike(plain[i], plain[j]) for j in range(100))}
