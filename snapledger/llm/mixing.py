@@ -94,15 +94,14 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), cap: floa
 
 
 def repeat(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """The mix itself, with the columns of ``docs``: each row as often as it is taken.
+    """The mix itself, with the columns of ``docs``: each row, whole, as often as it is taken.
 
-    At most one document of a source is taken in part: of it, the copy that reaches the target ends
-    after that many words.
+    A document that ``mix`` takes in part (one of a source at most) is in with that copy if at least half of it is
+    taken, else without, so a source's words miss its target by half a document at most.  A row without
+    words adds none and stays once.  Repeated rows, rows without an id and columns of any name are kept as they are.
     """
-    mixed = mix(docs, text_col=text_col, carry=True, **options).where("taken > 0")
-    copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
-    each = mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
-    left = F.col("taken") - (F.col("copy") - 1) * F.col("size")
-    words = F.regexp_extract_all(F.col("row")[text_col], F.lit(WORD), F.lit(0))
-    cut = F.when(left >= F.col("size"), F.col("row")[text_col]).otherwise(F.array_join(F.slice(words, F.lit(1), left.cast("int")), " "))
-    return each.withColumn("cut", cut).select(*[F.col("cut").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
+    mixed = mix(docs, text_col=text_col, carry=True, **options)
+    whole = F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size")))                 # taken / size, halves up
+    copies = F.when(F.col("size") == 0, F.lit(1)).otherwise(whole).cast("int")
+    each = mixed.withColumn("copies", copies).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return each.select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.llm.common import materialise, mix, prefix_hash, range_hash, utf8
+from snapledger.llm.common import materialise, mix, prefix_hash, range_hash, released, utf8
 
 WINDOW, GRAM = 50, 24
 BLOCK_BYTES = 1 << 20
@@ -79,7 +79,7 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Da
 
     # ids travel as text: a nullable long would reach pandas as a double
     src = docs.select(F.col(id_col).cast("long").cast("string").alias("i"), F.col(text_col).alias("t"), packed.alias("r"))
-    return src.mapInPandas(run, _BLOCK)
+    return src.mapInPandas(released(run), _BLOCK)
 
 
 class Block:
@@ -311,7 +311,7 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col:
                 out = [(part, row.block, low[at].tobytes(), np.packbits(many[at]).tobytes()) for part, at in b.owners()]
                 yield pd.DataFrame(out, columns=["part", "block", "names", "many"])
 
-    named = blocks.drop("rest").mapInPandas(name, "part long, block long, names binary, many binary")
+    named = blocks.drop("rest").mapInPandas(released(name), "part long, block long, names binary, many binary")
     shared = named.groupBy("part").applyInPandas(lambda k, g: _shared(k, g, hot_blocks), "block long, part long, bits binary")
     flags = materialise(shared.groupBy("block").agg(F.collect_list(F.struct("part", "bits")).alias("flags")), "anchors")
     flagged = blocks.join(flags, "block", "left")
@@ -334,7 +334,7 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col:
                     out.append((own, row.block, len(s), len(raw), press.compress(raw)))
                 yield pd.DataFrame(out, columns=["part", "block", "n", "n_bytes", "segments"])
 
-    sent = flagged.drop("rest").mapInPandas(segment, "part long, block long, n long, n_bytes long, segments binary")
+    sent = flagged.drop("rest").mapInPandas(released(segment), "part long, block long, n long, n_bytes long, segments binary")
     settled = sent.groupBy("part").applyInPandas(lambda k, g: _settle(k, g, window, gram), "block long, part long, masks binary")
     masks = settled.groupBy("block").agg(F.collect_list(F.struct("part", "masks")).alias("masks"))
 
@@ -368,5 +368,5 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col:
                 yield pd.DataFrame(rows, columns=["i", "n_bytes", "n_removed", "n_spans", "kept", "rest"])
 
     out = flagged.join(masks, "block", "left").mapInPandas(
-        cut, f"i string, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}, rest string")
+        released(cut), f"i string, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}, rest string")
     return out.select(F.col("i").cast("long").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept", "rest")

@@ -27,8 +27,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.llm.common import materialise
+from snapledger.llm.common import materialise, released
 
+SLICE = 1024                   # rows that ``clean`` sends back at a time
 SAMPLE = 12_000                # labelled rows for the choice of features, at most
 CRF_SAMPLE = 4_000             # of them for the weights of the field
 MAX_FEATURES = 5_000
@@ -250,42 +251,61 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, crf_sample: in
     return train([(r["n"], [(k, fs.split(" "), r["y"]) for k, fs in zip(r["at"], r["fs"])]) for r in seen], names)
 
 
-def score(docs: DataFrame, crf: Field, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``docs``' id (and the columns in ``keep``) with score, predicted and spans (offsets of toxic tokens).
-
-    Null and empty texts score as texts without telling tokens: 0.  Whole texts are read.
+def _scorer(crf: Field):
+    """Function from a column of texts to their scores and spans, with a bounded table of words."""
+    chain = Chain(crf)
+    known: dict[str, float | None] = {}
+
+    def run(column: pa.Array) -> tuple[list[float], list[list[list[int]]]]:
+        scores, spans = [], []
+        for t in (x for k in range(0, len(column), 256) for x in column.slice(k, 256).to_pylist()):
+            if len(known) > CACHE_WORDS:
+                known.clear()
+            words = _TOKEN.findall(t.lower()) if t else []
+            for w in words:
+                if w not in known:
+                    known[w] = crf.emission(w)
+            at = [k for k, w in enumerate(words) if known[w] is not None]
+            clean = 1.0
+            m = chain.marginals(at, [known[words[k]] for k in at], len(words))
+            for x in m:
+                clean *= 1.0 - x
+            scores.append(min(1.0, max(0.0, 1.0 - clean)))
+            bad = {k for k, x in zip(at, m) if x >= SPAN}
+            spans.append([list(p.span()) for k, p in enumerate(_TOKEN.finditer(t)) if k in bad] if bad else [])
+        return scores, spans
+
+    return run
+
+
+def score(docs: DataFrame, crf: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, score, predicted, spans) per row of ``docs``; spans are the offsets of toxic tokens.
+
+    Null and empty texts score as texts without telling tokens: 0.  Whole texts are read; repeated rows get a row
+    each, rows without an id too; other columns of any name are ignored; an empty table gives no rows.
     """
-    keep = keep or []
-    rest = [c for c in keep if c != text_col]                  # the text itself travels once
-    src = docs.select(F.col(id_col).cast("long").alias("_i"), F.col(text_col).alias("_t"),
-                      *([F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_rest")] if rest else []))
-    back = [n for n in src.columns if n != "_t" or text_col in keep]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tell = _scorer(crf)
+        for b in batches:
+            scores, spans = tell(b.column(1))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array(spans, pa.list_(pa.list_(pa.int32())))],
+                                             names=["i", "score", "spans"])
+
+    src = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
+    return src.mapInArrow(released(run), "i long, score double, spans array<array<int>>").select(
+        F.col("i").alias(id_col), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "spans")
+
+
+def clean(docs: DataFrame, crf: Field, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text the field does not call toxic (score below THRESHOLD)."""
+    at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chain = Chain(crf)
-        known: dict[str, float | None] = {}
+        tell = _scorer(crf)
         for b in batches:
-            scores, spans = [], []
-            for t in (x for k in range(0, b.num_rows, 256) for x in b.column("_t").slice(k, 256).to_pylist()):
-                if len(known) > CACHE_WORDS:
-                    known = {}
-                words = _TOKEN.findall(t.lower()) if t else []
-                for w in words:
-                    if w not in known:
-                        known[w] = crf.emission(w)
-                at = [k for k, w in enumerate(words) if known[w] is not None]
-                clean = 1.0
-                m = chain.marginals(at, [known[words[k]] for k in at], len(words))
-                for x in m:
-                    clean *= 1.0 - x
-                scores.append(min(1.0, max(0.0, 1.0 - clean)))
-                bad = {k for k, x in zip(at, m) if x >= SPAN}
-                spans.append([list(p.span()) for k, p in enumerate(_TOKEN.finditer(t)) if k in bad] if bad else [])
-            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in back], pa.array(scores, pa.float64()),
-                                              pa.array(spans, pa.list_(pa.list_(pa.int32())))], names=[*back, "score", "spans"])
-
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema if f.name in back)
-    columns = [F.col("_t" if c == text_col else f"_rest.`{c}`").alias(c) for c in keep]
-    return src.mapInArrow(run, f"{kinds}, score double, spans array<array<int>>").select(
-        F.col("_i").alias("_i" if id_col in keep else id_col), *columns, "score",
-        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "spans")
+            for k in range(0, b.num_rows, SLICE):
+                part = b.slice(k, SLICE)
+                scores, _ = tell(part.column(at))
+                yield part.filter(pa.array([x < THRESHOLD for x in scores], pa.bool_()))
+
+    return docs.mapInArrow(released(run), docs.schema)

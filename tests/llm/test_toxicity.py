@@ -3,6 +3,8 @@
 import math
 from itertools import product
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,13 +63,19 @@ def test_long_texts_teach_whole(spark, monkeypatch):
 
 def test_odd_rows(spark):
     crf = tox.Field({"=bad": 6.0}, -2.0, (0.0, 0.0, 0.0))
-    rows = [(1, None, "x"), (2, "", "x"), (None, "very Bad.", "x"), (3, "fine " * 100_000 + "bad", "x"), (3, "fine", "x")]
+    rows = [(1, None, "x"), (2, "", "x"), (None, "very Bad.", "x"), (3, "fine " * 100_000 + "bad", "x"), (4, "fine", "x")]
+    texts = {r[0]: r[1] for r in rows}
     df = spark.createDataFrame(rows, "doc_id long, text string, score string").repartition(2)
-    got = tox.score(df, crf, keep=["text", "score"]).toDF("id", "text", "old", "score", "predicted", "spans").collect()
-    assert len(got) == 5 and {r["old"] for r in got} == {"x"}
+    kept = tox.clean(df, crf)
+    assert kept.columns == df.columns and kept.schema == df.schema
+    good = Counter(r["doc_id"] for r in tox.score(df, crf).where("predicted = 0").collect())
+    assert Counter(r["doc_id"] for r in kept.collect()) == good and tox.clean(df.where("false"), crf).count() == 0
+    got = tox.score(df.unionByName(df), crf).collect()
+    assert len(got) == 10 and {r["doc_id"] for r in got} == set(texts)
     for r in got:
-        bad = [r["text"][a:b].lower() for a, b in r["spans"]]
-        assert (r["predicted"] == 1) == ("bad" in (r["text"] or "").lower()) and set(bad) <= {"bad"} and 0 <= r["score"] <= 1
+        text = texts[r["doc_id"]] or ""
+        bad = [text[a:b].lower() for a, b in r["spans"]]
+        assert (r["predicted"] == 1) == ("bad" in text.lower()) and set(bad) <= {"bad"} and 0 <= r["score"] <= 1
         assert r["predicted"] == 0 or bad == ["bad"]
     assert tox.score(df.where("false"), crf).count() == 0
     none = tox.fit(df.where("false"), spark.createDataFrame([], "doc_id long, toxic int"))
