@@ -17,20 +17,26 @@ from snapledger.plans.tables import table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the random field, learnt from this table's labels, does not reject."""
-    crf = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, crf, keep=docs.columns).where("predicted = 0").select(*docs.columns)
+    """Documents that the random field, learnt from this table's labels, does not reject.
+
+    Null and empty texts stay; rows are judged one by one, so repeated rows and rows without an id stay or go by their text.
+    """
+    return toxicity.clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of near copies (5-word shingles, 0.8 or more).
 
-    Repeated rows of an id leave one; rows without an id can't be named as copies and stay.
+    Of several rows of an id one stays, the first by a hash of its text and then of all its columns; rows without an id
+    can't be named as copies and stay.  Null and empty texts are copies of nothing.
     """
     found = minhash.near_duplicates(docs, words=5, percent=80)
-    keep = found.where("kept and doc_id is not null").select("doc_id").distinct()
-    one = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    keep = found.where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct()
+    there = docs.where("doc_id is not null").join(keep, F.col("doc_id") == F.col("_kept"), "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    first = there.groupBy(F.col("doc_id").alias("_id")).agg(F.min_by(row, F.struct(F.xxhash64("text"), F.xxhash64(row))).alias("_row"))
+    one = first.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+    return one.unionByName(docs.where("doc_id is null").select(*docs.columns))
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,13 +51,13 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of sources weighing 1, 2, 3 in turn: documents as often as they are taken."""
+    """The mix of sources weighing 1, 2, 3 in turn: whole documents, as often as they are taken (see ``mixing.repeat``)."""
     out = mixing.repeat(docs)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of at most 2048 ids: one row per piece of a document."""
+    """Token sequences of at most 2048 ids: one row per piece of a document; a null or empty text is its end alone."""
     return packing.pack(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
