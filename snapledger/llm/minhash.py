@@ -235,7 +235,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
                                                       F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "groups")
     member = groups.select("rep", F.explode("bands").alias("bucket"))
     bucket = materialise(member.groupBy("bucket").agg(F.count("*").alias("n_in")).where("n_in > 1"), "buckets")
-    shared = materialise(join_groups(member, bucket, ["bucket"], "n_in", groups.count() * bands, "inner"), "shared")
+    # one row per bucket on the right: adaptive execution splits a bucket that holds very many members
+    shared = materialise(member.join(bucket, "bucket"), "shared")
     # the centre of a bucket: the member whose buckets hold the most
     weight = shared.groupBy("rep").agg(F.sum("n_in").alias("weight"))
     ranked = materialise(shared.join(weight.join(groups.select("rep", "n"), "rep"), "rep"), "ranked")
