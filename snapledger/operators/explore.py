@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from snapledger.functions.values import capped, fmt_dollars, guarded, normalise  # noqa: F401
 from snapledger.operators import geo
+from snapledger.session import cut_lineage
 
 # --- fixed values ------------------------------------------------------------------
 DEFAULT_RADIUS_M, MIN_RADIUS_M, MAX_RADIUS_M, RADIUS_STEP_M = 1500, 100, 10000, 100
@@ -135,9 +136,48 @@ def top_values(df: DataFrame, cols: Sequence[str], k: int = 5) -> DataFrame:
     return counts.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-def page(df: DataFrame, order: Sequence[str], page_no: int, size: int = PAGE_SIZE) -> DataFrame:
-    """Rows [page_no * size, (page_no + 1) * size) in key order (the page *is* the feature)."""
-    return df.orderBy(*order).offset(page_no * size).limit(size)
+def numbered(df: DataFrame, order: Sequence[str], name: str = "nth") -> DataFrame:
+    """``df`` with each row's place (from 0) in the order of the columns, NULLs first; no task holds more than a range of it.
+
+    Rows are range-partitioned and written; each range is numbered on its own and starts where the counts of
+    the ranges before it end (a row per range).
+    """
+    dealt = cut_lineage(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "numbered")
+    own = Window.partitionBy("_range").orderBy(*order)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)                 # over ranges, not rows
+    starts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_in")).withColumn("_start", F.coalesce(F.sum("_in").over(before), F.lit(0)))
+    placed = dealt.withColumn("_own", F.row_number().over(own) - 1).join(F.broadcast(starts.drop("_in")), "_range")
+    return placed.withColumn(name, F.col("_start") + F.col("_own")).drop("_range", "_own", "_start")
+
+
+def page_starts(df: DataFrame, order: Sequence[str], size: int = PAGE_SIZE) -> DataFrame:
+    """(page, *order): the first key of every page, an index to keep beside a table that is read page by page."""
+    return numbered(df.select(*order), order).where(F.col("nth") % size == 0).select((F.col("nth") / size).cast("long").alias("page"), *order)
+
+
+def page(df: DataFrame, order: Sequence[str], page_no: int, size: int = PAGE_SIZE, starts: DataFrame | None = None) -> DataFrame:
+    """Rows [page_no * size, (page_no + 1) * size) in key order (the page *is* the feature), read as one range of keys.
+
+    ``order`` must tell rows apart.  ``starts`` is ``page_starts`` where it is at hand; the range's ends are the keys of
+    this page and the next, so the scan skips what lies outside and nothing is sorted but the page.
+    """
+    starts = page_starts(df, order, size) if starts is None else starts
+    ends = {r["page"]: r for r in starts.where(F.col("page").isin(page_no, page_no + 1)).collect()}          # two rows
+    if page_no not in ends:
+        return df.limit(0)
+
+    def key(row) -> Column:
+        return F.struct(*[F.lit(row[c]).cast(df.schema[c].dataType).alias(c) for c in order])
+
+    first, here = order[0], F.struct(*[F.col(c) for c in order])
+    rows = df.where(here >= key(ends[page_no]))
+    if ends[page_no][first] is not None:
+        rows = rows.where(F.col(first) >= F.lit(ends[page_no][first]))                                       # reaches the scan
+    if page_no + 1 in ends:
+        rows = rows.where(here < key(ends[page_no + 1]))
+        if ends[page_no + 1][first] is not None:
+            rows = rows.where(F.col(first).isNull() | (F.col(first) <= F.lit(ends[page_no + 1][first])))
+    return rows.sort(*order)
 
 
 def map_feed(df: DataFrame, cols: Sequence[str], color: str, geom: str, selection: Column | None = None) -> DataFrame:
@@ -148,13 +188,9 @@ def map_feed(df: DataFrame, cols: Sequence[str], color: str, geom: str, selectio
 
 
 def category_index(df: DataFrame, col: str, palette: int = PALETTE_SIZE) -> DataFrame:
-    """Distinct non-NULL categories in sorted order with a palette slot.
-
-    The window runs over the *distinct* category set (a small domain), not rows.
-    """
-    d = df.select(col).filter(F.col(col).isNotNull()).distinct()
-    rn = F.row_number().over(Window.orderBy(col)) - 1
-    return d.select(col, rn.alias("idx"), F.pmod(rn, F.lit(palette)).alias("palette_slot"))
+    """Distinct non-NULL categories, numbered in sorted order (``numbered``), with a palette slot."""
+    d = numbered(df.select(col).filter(F.col(col).isNotNull()).distinct(), [col], "idx")
+    return d.select(col, F.col("idx").cast("int").alias("idx"), F.pmod("idx", F.lit(palette)).cast("int").alias("palette_slot"))
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:

@@ -175,19 +175,37 @@ def bbox(geom: Column) -> Column:
                     F.array_max(xs).alias("xmax"), F.array_max(ys).alias("ymax"))
 
 
-def validity(geom: Column) -> Column:
-    """struct of reasons and ``valid``: rings closed, >= 4 points, finite coordinates, non-zero area, no
-    ring crossing itself (pairs of a ring's own segments, tested within the row)."""
+def shape(geom: Column) -> Column:
+    """struct of what rings say one by one: closed, enough_points (>= 4), finite, nonzero_area."""
     rings = F.flatten(geom)
-    simple = ~F.exists(rings, _crosses_itself)
-    closed = F.forall(rings, lambda r: (r[0][0] == r[F.size(r) - 1][0]) & (r[0][1] == r[F.size(r) - 1][1]))
-    enough = F.forall(rings, lambda r: F.size(r) >= 4)
-    finite = F.forall(_points(geom), lambda p: (F.size(p) >= 2) & ~F.isnan(p[0]) & ~F.isnan(p[1])
-                      & (F.abs(p[0]) <= 180) & (F.abs(p[1]) <= 90))
-    nonzero = F.forall(geom, lambda poly: F.abs(_ring_moments(poly[0])["a"]) > 0)
-    return F.struct(closed.alias("closed"), enough.alias("enough_points"), finite.alias("finite"),
-                    nonzero.alias("nonzero_area"), simple.alias("simple"),
-                    (closed & enough & finite & nonzero & simple).alias("valid"))
+    return F.struct(
+        F.forall(rings, lambda r: (r[0][0] == r[F.size(r) - 1][0]) & (r[0][1] == r[F.size(r) - 1][1])).alias("closed"),
+        F.forall(rings, lambda r: F.size(r) >= 4).alias("enough_points"),
+        F.forall(_points(geom), lambda p: (F.size(p) >= 2) & ~F.isnan(p[0]) & ~F.isnan(p[1])
+                 & (F.abs(p[0]) <= 180) & (F.abs(p[1]) <= 90)).alias("finite"),
+        F.forall(geom, lambda poly: F.abs(_ring_moments(poly[0])["a"]) > 0).alias("nonzero_area"))
+
+
+def validity(geom: Column) -> Column:
+    """struct of reasons and ``valid``: ``shape``, and ``simple``: no ring crosses itself (pairs of a ring's own
+    segments, tested within the row unless the ring is convex).  For rings against each other and rings of very many
+    points see ``operators.validity``."""
+    parts = shape(geom)
+    simple = ~F.exists(F.flatten(geom), lambda r: ~_convex(r) & _crosses_itself(r))
+    return F.struct(parts["closed"].alias("closed"), parts["enough_points"].alias("enough_points"), parts["finite"].alias("finite"),
+                    parts["nonzero_area"].alias("nonzero_area"), simple.alias("simple"),
+                    (parts["closed"] & parts["enough_points"] & parts["finite"] & parts["nonzero_area"] & simple).alias("valid"))
+
+
+def _convex(r: Column) -> Column:
+    """Whether a ring of four corners turns one way only: such a ring can't cross itself."""
+    def turn(i, j, k):
+        return (r[j][0] - r[i][0]) * (r[k][1] - r[j][1]) - (r[j][1] - r[i][1]) * (r[k][0] - r[j][0])
+    turns = [turn(0, 1, 2), turn(1, 2, 3), turn(2, 3, 0), turn(3, 0, 1)]
+    left, right = turns[0] > 0, turns[0] < 0
+    for t in turns[1:]:
+        left, right = left & (t > 0), right & (t < 0)
+    return F.when(F.size(r) == 5, left | right).otherwise(False)
 
 
 def _crosses_itself(r: Column) -> Column:

@@ -10,8 +10,8 @@ Scale notes
   through untouched and are never shuffled.
 * Every version of a key is produced by the same join row (``explode`` of at
   most two structs), so no second pass over the join and no self-join.
-* ``as_of_join`` is an equi-join on the key with a range residual; a hot key on
-  the fact side is split by AQE skew handling instead of landing in one task.
+* ``as_of_join`` is an equi-join on the key with a range residual, or a last-value
+  scan over ranges of (key, time), in which a hot key fills as many ranges as it needs.
 """
 
 from __future__ import annotations
@@ -207,27 +207,45 @@ def as_of(history: DataFrame, t) -> DataFrame:
 
 
 def as_of_join(facts: DataFrame, history: DataFrame, fact_key: str, fact_ts: str,
-               key: str, how: str = "left", prefix: str = "", salt: int = 1) -> DataFrame:
+               key: str, how: str = "left", prefix: str = "", sliced: bool = False) -> DataFrame:
     """Attach to every fact the version of its key that was valid at the fact's time.
 
-    An equi-join on the key with a range residual (sort-merge, AQE skew splits
-    apply).  With ``salt`` > 1 a hot fact key is spread over ``salt`` tasks
-    explicitly: facts get a salt from a hash of the row, and each version is
-    replicated ``salt`` times -- bounded, since a key has one version per run at
-    most, never per fact.
+    An equi-join on the key with a range residual (sort-merge, AQE skew splits apply).  With ``sliced`` facts and
+    versions are put in order of key and time instead and cut into ranges of that order, so a key with most of the
+    facts, or versions, fills as many ranges as it needs: in each range a fact takes the last version before it, and
+    the key that a range goes on with takes the last version of the ranges before (a row per range).  Facts without key or time
+    match nothing; a history whose versions of a key don't overlap gives the same rows both ways.
     """
     h = history.select([F.col(c).alias(prefix + c) for c in history.columns])
     k, vf, vt = prefix + key, prefix + "valid_from", prefix + "valid_to"
-    if salt > 1:
-        sc = "_salt"
-        facts = facts.withColumn(sc, F.pmod(F.xxhash64(*facts.columns), F.lit(salt)))
-        h = h.withColumn("_hsalt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
-        cond = ((facts[fact_key] == h[k]) & (facts[sc] == h["_hsalt"]) & (h[vf] <= facts[fact_ts])
+    if not sliced:
+        cond = ((facts[fact_key] == h[k]) & (h[vf] <= facts[fact_ts])
                 & (h[vt].isNull() | (h[vt] > facts[fact_ts])))
-        return facts.join(h, cond, how).drop(sc, "_hsalt")
-    cond = ((facts[fact_key] == h[k]) & (h[vf] <= facts[fact_ts])
-            & (h[vt].isNull() | (h[vt] > facts[fact_ts])))
-    return facts.join(h, cond, how)
+        return facts.join(h, cond, how)
+
+    from pyspark.sql import Window
+
+    from snapledger.session import cut_lineage
+
+    version, fact = F.struct(*[F.col(f"`{c}`") for c in h.columns]), F.struct(*[F.col(f"`{c}`") for c in facts.columns])
+    versions = h.where(F.col(k).isNotNull()).select(F.col(k).alias("_k"), F.col(vf).alias("_t"), F.lit(0).alias("_kind"), F.lit(0).cast("long").alias("_tie"),
+                                                    version.alias("_v"))
+    events = facts.select(F.col(fact_key).alias("_k"), F.col(fact_ts).alias("_t"), F.lit(1).alias("_kind"), F.xxhash64(fact).alias("_tie"), fact.alias("_f"))
+    both = versions.unionByName(events, allowMissingColumns=True)
+    dealt = cut_lineage(both.repartitionByRange("_k", "_t", "_kind", "_tie").withColumn("_range", F.spark_partition_id()), "as-of-ranges")
+    sofar = Window.partitionBy("_range", "_k").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    # at most one key of a range began before it: the range's first
+    firsts = dealt.groupBy("_range").agg(F.min("_k").alias("_k"))
+    last = dealt.where("_kind = 0").join(F.broadcast(firsts.select("_k").distinct()), "_k").groupBy("_range", "_k").agg(F.max_by("_v", "_t").alias("_v"))
+    carried = (firsts.alias("a").join(last.alias("b"), (F.col("a._k") == F.col("b._k")) & (F.col("b._range") < F.col("a._range")))
+               .groupBy(F.col("a._range").alias("_range"), F.col("a._k").alias("_k")).agg(F.max_by("b._v", "b._range").alias("_carried")))
+    met = (dealt.withColumn("_last", F.last("_v", ignorenulls=True).over(sofar)).where("_kind = 1")
+           .join(F.broadcast(carried), ["_range", "_k"], "left").withColumn("_last", F.coalesce("_last", "_carried")))
+    valid = F.col("_last")[vf].isNotNull() & F.col("_t").isNotNull() & (F.col("_last")[vt].isNull() | (F.col("_last")[vt] > F.col("_t")))
+    met = met.withColumn("_last", F.when(valid, F.col("_last")))
+    if how == "inner":
+        met = met.where(F.col("_last").isNotNull())
+    return met.select(*[F.col("_f")[c].alias(c) for c in facts.columns], *[F.col("_last")[c].alias(c) for c in h.columns])
 
 
 def timeline(history: DataFrame, key: str | Sequence[str]) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from snapledger.functions.values import plausible_year
 from snapledger.operators import scd2
+from snapledger.session import cut_lineage
 from snapledger.sources.fields import FieldSpec, cast_expr, hashed_columns, read_schema
 
 BROKEN = "_broken_line"
@@ -104,8 +105,7 @@ def collapse(df: DataFrame, key: str, fields: list[FieldSpec], part_col: str | N
         aggs.append(v.alias(f.dst))
     aggs.append(F.count(F.lit(1)).cast("int").alias("feature_count"))
     if geom_col and collect_geometry:
-        # stored geometry needs the parts themselves (few per key in the property source);
-        # use ``geometry_metrics`` when only measures are needed
+        # for keys of few parts; ``dissolve.geometries`` unites them without gathering them, ``geometry_metrics`` only measures
         aggs.append(F.array_sort(F.collect_set(geom_col)).alias("geom_parts"))
     return d.groupBy(F.col(key).alias(key_dst or key)).agg(*aggs)
 
@@ -204,19 +204,29 @@ def clean_years(df: DataFrame, cols: tuple[str, ...], as_of_year: int) -> DataFr
 def stage_snapshot(raw: DataFrame, key_src: str, fields: list[FieldSpec], part_src: str | None,
                    geom_src: str | None, key_dst: str, as_of_year: int,
                    year_cols: tuple[str, ...] = (), observation: Observation | None = None,
-                   geom_text: Callable[[DataFrame], Column] | None = None,
                    casts: Observation | None = None) -> DataFrame:
-    """raw records -> drop unkeyed -> collapse -> clean -> attr_hash.
+    """raw records -> drop unkeyed -> collapse -> union of parts -> clean -> attr_hash.
 
+    With ``geom_src`` the parts' GeoJSON is united (``geom``) and measured (``area_m2``, ``n_parts``, ``parts_overlap``);
+    the hash covers the union's canonical text, so how parts are cut or ordered doesn't count as a change.
     ``observation`` gets the row counts, ``casts`` the number of unreadable values.
     """
+    from snapledger.operators import dissolve, geo
+
     kept = drop_unkeyed(raw, key_src, observation)
     if casts is not None:
         kept = observe_casts(kept, fields, casts)
-    snap = collapse(kept, key_src, fields, part_src, geom_src, key_dst=key_dst)
+    extra = None
+    if geom_src:
+        kept = cut_lineage(kept, "kept")          # read for the attributes and, in two columns, for the parts
+    snap = collapse(kept, key_src, fields, part_src, geom_src, key_dst=key_dst, collect_geometry=False)
+    if geom_src:
+        parts = kept.select(F.col(key_src).alias("_key"), geo.parse_geojson(F.col(geom_src)).alias("geom"))
+        shapes = dissolve.geometries(parts, "_key")
+        snap = snap.join(shapes, F.col(key_dst) == F.col("_key"), "left").drop("_key")
+        snap = snap.withColumn("n_parts", F.coalesce("n_parts", F.lit(0)))
+        extra = F.coalesce(geo.canonical_text(F.col("geom")), F.lit(""))
     if year_cols:
         snap = clean_years(snap, year_cols, as_of_year)
-    extra = geom_text(snap) if geom_text else (
-        F.coalesce(F.to_json("geom_parts"), F.lit("")) if geom_src else None)
     cols = hashed_columns(fields)
     return snap.withColumn("attr_hash", scd2.row_hash(cols, extra))

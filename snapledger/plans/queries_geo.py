@@ -175,10 +175,57 @@ def q_geo_bbox(spark, d):
     return _parcels(spark, d).select("parcel_id", geo.bbox(F.col("geom")).alias("b")).select("parcel_id", "b.*")
 
 
-@register("geo_valid", f"{P} SELECT count(*) AS parcels, count(*) AS valid FROM p")
+# Shapes by their rings' corners, the first corner not repeated: {kind: [polygon: [ring]]}; the last one is written open.
+_SQ = [(0, 0), (10, 0), (10, 10), (0, 10)]
+SHAPES = [
+    [[_SQ]], [[[(0, 0), (10, 10), (10, 0), (0, 10)]]], [[_SQ, [(2, 2), (2, 8), (8, 8), (8, 2)]]], [[_SQ, [(5, 5), (5, 15), (8, 15), (8, 5)]]],
+    [[_SQ, [(12, 2), (12, 8), (18, 8), (18, 2)]]], [[_SQ, [(1, 1), (1, 9), (9, 9), (9, 1)], [(3, 3), (3, 6), (6, 6), (6, 3)]]],
+    [[_SQ], [[(20, 0), (30, 0), (30, 10), (20, 10)]]], [[_SQ], [[(5, 5), (15, 5), (15, 15), (5, 15)]]], [[_SQ], [[(3, 3), (6, 3), (6, 6), (3, 6)]]],
+    [[_SQ, [(1, 1), (1, 9), (9, 9), (9, 1)]], [[(3, 3), (6, 3), (6, 6), (3, 6)]]], [[[(0, 0), (10, 0), (20, 0), (10, 0), (10, 10), (0, 10)]]],
+    [[_SQ, [(2, 5), (5, 8), (10, 5), (5, 2)]]], [[_SQ], [[(10, 2), (20, 2), (20, 8), (10, 8)]]], [[[(0, 0), (10, 0), (5, 5), (10, 10), (0, 10), (5, 5)]]],
+    [[_SQ]],
+]
+
+
+def _shape_edges() -> str:
+    return ", ".join(f"({kind}, {p}, {r}, {i}, {len(ring)}, {ring[i][0]}, {ring[i][1]}, {ring[(i + 1) % len(ring)][0]}, {ring[(i + 1) % len(ring)][1]})"
+                     for kind, polygons in enumerate(SHAPES) for p, rings in enumerate(polygons) for r, ring in enumerate(rings) for i in range(len(ring)))
+
+
+# every pair of edges of a shape, and every corner of a ring against every other ring, in whole numbers
+@register("geo_valid", f"""
+WITH e(kind, p, r, i, n, x1, y1, x2, y2) AS (VALUES {_shape_edges()}),
+pairs AS (SELECT f.kind, f.p = g.p AND f.r = g.r AS one_ring, abs(f.i - g.i) IN (1, f.n - 1) AS neighbours,
+    (f.x2 - f.x1) * (g.y1 - f.y1) - (f.y2 - f.y1) * (g.x1 - f.x1) AS ga, (f.x2 - f.x1) * (g.y2 - f.y1) - (f.y2 - f.y1) * (g.x2 - f.x1) AS gb,
+    (g.x2 - g.x1) * (f.y1 - g.y1) - (g.y2 - g.y1) * (f.x1 - g.x1) AS fa, (g.x2 - g.x1) * (f.y2 - g.y1) - (g.y2 - g.y1) * (f.x2 - g.x1) AS fb,
+    least(greatest(f.x1, f.x2), greatest(g.x1, g.x2)) - greatest(least(f.x1, f.x2), least(g.x1, g.x2)) AS wide,
+    least(greatest(f.y1, f.y2), greatest(g.y1, g.y2)) - greatest(least(f.y1, f.y2), least(g.y1, g.y2)) AS high
+  FROM e f JOIN e g ON f.kind = g.kind AND (f.p, f.r, f.i) < (g.p, g.r, g.i)),
+crossed AS (SELECT DISTINCT kind FROM pairs WHERE (ga * gb < 0 AND fa * fb < 0) OR (ga = 0 AND gb = 0 AND wide >= 0 AND high >= 0 AND wide + high > 0)
+    OR (one_ring AND NOT neighbours AND ga * gb <= 0 AND fa * fb <= 0 AND wide >= 0 AND high >= 0)),
+inside AS (SELECT c.kind, c.p, c.r, c.i, o.p AS op, o.r AS orr, count(*) FILTER ((o.y1 > c.y1 + 0.001) <> (o.y2 > c.y1 + 0.001)
+      AND c.x1 + 0.0013 < (o.x2 - o.x1) * (c.y1 + 0.001 - o.y1) / nullif(CAST(o.y2 - o.y1 AS DOUBLE), 0) + o.x1) % 2 AS odd
+  FROM e c JOIN e o ON o.kind = c.kind AND (o.p, o.r) <> (c.p, c.r) GROUP BY ALL),
+ringed AS (SELECT kind, p, r, op, orr, 2 * sum(odd) > count(*) AS within FROM inside GROUP BY ALL),
+wrong AS (SELECT DISTINCT kind FROM ringed WHERE (r > 0 AND op = p AND orr = 0 AND NOT within) OR (r > 0 AND op = p AND orr > 0 AND within)
+  UNION SELECT a.kind FROM ringed a WHERE a.r = 0 AND a.op <> a.p AND a.orr = 0 AND a.within
+    AND NOT EXISTS (SELECT 1 FROM ringed h WHERE h.kind = a.kind AND h.p = a.p AND h.r = 0 AND h.op = a.op AND h.orr > 0 AND h.within)),
+bad AS (SELECT kind FROM crossed UNION SELECT kind FROM wrong UNION SELECT {len(SHAPES) - 1})
+SELECT o_orderkey, CASE WHEN o_orderkey % 97 <> 0 THEN (o_orderkey % {len(SHAPES)}) NOT IN (SELECT kind FROM bad) END AS valid FROM orders""")
 def q_geo_valid(spark, d):
-    return _parcels(spark, d).agg(F.count(F.lit(1)).alias("parcels"),
-                                  F.count_if(geo.is_valid(F.col("geom"))).alias("valid"))
+    """Shapes of every sort, laid out by order: which are valid.  Rows of an order count once."""
+    from snapledger.operators import validity
+
+    x, y = F.lit(-150.0) + (F.col("o_orderkey") % 500) / 500, F.lit(61.0) + (F.col("o_orderkey") % 301) / 400
+
+    def ring(corners, is_open=False):
+        return F.array(*[F.array(x + a * 2.0 ** -14, y + b * 2.0 ** -14) for a, b in (corners if is_open else [*corners, corners[0]])])
+    geom = F.lit(None)
+    for kind, polygons in enumerate(SHAPES):
+        shape = F.array(*[F.array(*[ring(r, kind == len(SHAPES) - 1) for r in rings]) for rings in polygons])
+        geom = F.when(F.col("o_orderkey") % len(SHAPES) == kind, shape).otherwise(geom)
+    orders = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 97 != 0, geom).alias("geom"))
+    return validity.validity(orders, "o_orderkey").select("o_orderkey", "valid")
 
 
 @register("geo_within", f"""{P}
@@ -232,3 +279,47 @@ def q_current_artifact(spark, d):
         F.round("centroid_lon", 6).alias("centroid_lon"), F.round("centroid_lat", 6).alias("centroid_lat"),
         b["xmin"].alias("q_xmin"), b["ymin"].alias("q_ymin"), b["xmax"].alias("q_xmax"), b["ymax"].alias("q_ymax"),
         F.lit("attr_hash" in art.columns).alias("has_attr_hash"))
+
+
+# --------------------------------------------------------------- union of parts
+# An order is a rectangle of its customer, in micro-degrees: some share borders, overlap, lie in each other or apart.
+RECTANGLES_SQL = """
+SELECT o_custkey AS customer, -150000000 + (o_custkey % 400) * 5000 + (o_orderkey % 5) * 60 AS x, 61000000 + (o_custkey % 7) * 5000 + (o_orderkey % 3) * 60 AS y,
+       CASE WHEN o_orderkey % 4 < 2 THEN 60 ELSE 90 END AS w, CASE WHEN o_orderkey % 2 = 0 THEN 60 ELSE 30 END AS h
+FROM {orders}"""
+
+
+@register("geo_collect", f"""
+WITH r AS (SELECT DISTINCT * FROM ({RECTANGLES_SQL.format(orders="orders")})),
+xs AS (SELECT customer, x AS edge FROM r UNION SELECT customer, x + w FROM r),
+ys AS (SELECT customer, y AS edge FROM r UNION SELECT customer, y + h FROM r),
+gx AS (SELECT customer, edge AS x0, lead(edge) OVER (PARTITION BY customer ORDER BY edge) AS x1 FROM xs),
+gy AS (SELECT customer, edge AS y0, lead(edge) OVER (PARTITION BY customer ORDER BY edge) AS y1 FROM ys),
+cells AS (SELECT gx.customer, x0, x1, y0, y1, EXISTS (SELECT 1 FROM r WHERE r.customer = gx.customer AND r.x <= x0 AND r.x + r.w >= x1
+            AND r.y <= y0 AND r.y + r.h >= y1) AS inside
+          FROM gx JOIN gy ON gx.customer = gy.customer WHERE x1 IS NOT NULL AND y1 IS NOT NULL),
+sides AS (SELECT *, coalesce(lag(inside) OVER (PARTITION BY customer, y0 ORDER BY x0), false) AS west,
+            coalesce(lead(inside) OVER (PARTITION BY customer, y0 ORDER BY x0), false) AS east,
+            coalesce(lag(inside) OVER (PARTITION BY customer, x0 ORDER BY y0), false) AS south,
+            coalesce(lead(inside) OVER (PARTITION BY customer, x0 ORDER BY y0), false) AS north FROM cells),
+sums AS (SELECT customer, sum((x1 - x0) * (y1 - y0)) AS area, sum((y1 - y0) * (CAST(NOT west AS INTEGER) + CAST(NOT east AS INTEGER))
+            + (x1 - x0) * (CAST(NOT south AS INTEGER) + CAST(NOT north AS INTEGER))) AS border FROM sides WHERE inside GROUP BY customer)
+SELECT customer, (SELECT count(*) FROM r WHERE r.customer = sums.customer) AS n_parts, CAST(area AS BIGINT) AS area, CAST(border AS BIGINT) AS border,
+       EXISTS (SELECT 1 FROM r a JOIN r b ON a.customer = b.customer AND (a.x, a.y, a.w, a.h) <> (b.x, b.y, b.w, b.h)
+               AND a.x < b.x + b.w AND b.x < a.x + a.w AND a.y < b.y + b.h AND b.y < a.y + a.h WHERE a.customer = sums.customer) AS parts_overlap
+FROM sums""")
+def q_geo_collect(spark, d):
+    """Union of each customer's rectangles: area and length of the border, in micro-degrees, from the stitched polygons."""
+    from snapledger.operators import dissolve
+
+    r = spark.sql(RECTANGLES_SQL, orders=table(spark, d, "orders"))
+    x, y, x1, y1 = (F.expr(e) / 1e6 for e in ("x", "y", "x + w", "y + h"))
+    ring = F.array(F.array(x, y), F.array(x1, y), F.array(x1, y1), F.array(x, y1), F.array(x, y))
+    polygons, told = dissolve.dissolve(r.select("customer", F.array(F.array(ring)).alias("geom")), "customer")
+
+    def length(ring):
+        return F.aggregate(F.sequence(F.lit(1), F.size(ring) - 1), F.lit(0.0), lambda total, i: total + F.abs(ring[i][0] - ring[i - 1][0]) + F.abs(ring[i][1] - ring[i - 1][1]))
+    each = polygons.select("customer", geo.planar_area(F.array(F.col("polygon"))).alias("area"),
+                           F.aggregate(F.transform("polygon", length), F.lit(0.0), lambda a, b: a + b).alias("border"))
+    sums = each.groupBy("customer").agg(F.round(F.sum("area") * 1e12).cast("bigint").alias("area"), F.round(F.sum("border") * 1e6).cast("bigint").alias("border"))
+    return sums.join(told, "customer").select("customer", "n_parts", "area", "border", "parts_overlap")

@@ -99,8 +99,8 @@ FROM lineitem l LEFT JOIN hist h
 def q_scd2_as_of_join(spark, d):
     facts = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     h = ob.history(spark, d).select("order_key", "shipped_lines", "valid_from", "valid_to", "is_current")
-    # salted: a hot order on the fact side is spread over 4 tasks (versions replicated 4x)
-    j = scd2.as_of_join(facts, h, "l_orderkey", "l_shipdate", "order_key", prefix="v_", salt=4)
+    # ranges of (order, time): a hot order on the fact side fills as many as it needs
+    j = scd2.as_of_join(facts, h, "l_orderkey", "l_shipdate", "order_key", prefix="v_", sliced=True)
     return j.select("l_orderkey", "l_linenumber", "l_shipdate", "v_valid_from", "v_shipped_lines",
                     "v_is_current")
 

@@ -57,19 +57,24 @@ def ingest(spark: SparkSession, root: str, ledger_path: str, raw_path: str, sour
     seen, unread = counts.get, casts.get["bad_casts"] or 0
     replay = ts in publish.applied_runs(spark, root)
     before = _open_rows(spark, root, snap)
-    status = cut_lineage(scd2.merge_counts(scd2.classify(before, snap, source.key)), "counts")
+    status = cut_lineage(scd2.classify(before, snap, source.key), "status")        # one join: counts, gates and merge read it
+    counted = cut_lineage(scd2.merge_counts(status), "counts")
+    sizes = counted.first()
 
     def record(outcome: str) -> None:
-        row = store.ledger_row(status, store.run_id(ts), ts, publish.canonical_ts(finished_at or ts), outcome, server_count=server_count,
-                               source_features=seen["source_features"], archive_bytes=store.size_bytes(snap))
+        # a refused run merged nothing; the archive is what the table's pointer names
+        row = store.ledger_row(counted if outcome == "success" else counted.select(*[
+            (F.col(c) if c == "distinct_keys" else F.lit(0).cast("long")).alias(c) for c in counted.columns]), store.run_id(ts), ts,
+            publish.canonical_ts(finished_at or ts), outcome, server_count=server_count, source_features=seen["source_features"],
+            archive_bytes=publish.archive_bytes(spark, root))
         store.record_run(row, ledger_path)
 
     try:
         if not replay:
             gates.assert_parsed(seen["broken_lines"], unread, limits.bad_casts)
             gates.assert_complete(seen["source_features"], server_count, limits.complete)
-            gates.assert_not_shrunk(before.count(), snap.count(), limits.shrink, limits.allow_shrink)
-        version, changed = publish.merge_and_commit(spark, root, snap, ts, source.key, raw_path=raw_path, keep_raw=keep_raw)
+            gates.assert_not_shrunk(sizes["changed"] + sizes["retired"] + sizes["unchanged"], sizes["distinct_keys"], limits.shrink, limits.allow_shrink)
+        version, changed = publish.merge_and_commit(spark, root, snap, ts, source.key, raw_path=raw_path, keep_raw=keep_raw, status=status)
     except gates.GateError:
         record("refused")
         raise

@@ -2,9 +2,9 @@
 
 Layout under a table root::
 
-    data/<uuid>/            immutable Parquet directories (written once)
-    commits/<N>.json        pointer: {"open": "data/<uuid>", "closed": ["data/<uuid>", ...], "parent": N-1,
-                            "run_ts": last run, "runs": {run time: digest of its snapshot}}
+    data/<uuid>/            immutable Parquet directories (written once), a merge's open rows by hash bucket of the key
+    commits/<N>.json        pointer: {"open": {bucket: "data/<uuid>/..."} or "data/<uuid>", "closed": ["data/<uuid>", ...],
+                            "parent": N-1, "run_ts": last run, "runs": {run time: digest of its snapshot}}
 
 A version is visible once its pointer exists.  A pointer is written aside, whole,
 and then renamed to its name *without overwriting*: a crash in between leaves only
@@ -16,24 +16,28 @@ A pointer that can't be read (left by an older writer's crash) counts as not the
 
 Every applied run is recorded with a digest of its snapshot.  The same run again is
 a no-op; a run time that is not after the last one, or the same time with other
-rows, raises ``GateError``: no snapshot is dropped in silence.  A merge rewrites only the open
-rows and *appends* the rows it closed as a new closed directory, so no job ever
-reads and overwrites the same path.
+rows, raises ``GateError``: no snapshot is dropped in silence.  A merge compares keys and hashes
+first; only the buckets that hold a new, changed or retired key are read whole, joined and written again,
+the pointer keeps naming the folders of the others.  The rows it closed are *appended* as a new closed
+directory, so no job ever reads and overwrites the same path.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from datetime import datetime
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapledger.operators import checks as ck
 from snapledger.operators import geo, scd2
 
 
+BUCKETS = 64               # of a table's open rows, fixed when it is created; see ``merge_and_commit``
+
+
 class StaleBaseline(RuntimeError):
     """Someone else committed since the baseline this writer started from."""
 
@@ -110,9 +114,25 @@ def _create_pointer(spark: SparkSession, root: str, version: int, text: str) ->
 def read_version(spark: SparkSession, root: str, version: int, part: str = "all") -> DataFrame:
     """History at a version: open rows, closed rows, or both."""
     ptr = read_pointer(spark, root, version)
-    base = root.rstrip("/")
-    dirs = ([ptr["open"]] if part in ("all", "open") else []) + (ptr["closed"] if part in ("all", "closed") else [])
-    return spark.read.parquet(*[f"{base}/{d}" for d in dirs])
+    dirs = (_open_dirs(ptr) if part in ("all", "open") else []) + (ptr["closed"] if part in ("all", "closed") else [])
+    return _read(spark, root, dirs)
+
+
+def _read(spark: SparkSession, root: str, dirs: list[str]) -> DataFrame:
+    """Folders that the pointer names, at any depth; what their names say (open, bucket) is no column."""
+    return spark.read.option("recursiveFileLookup", True).parquet(*[f"{root.rstrip('/')}/{d}" for d in dirs])
+
+
+def _open_dirs(ptr: dict, buckets: list[int] | None = None) -> list[str]:
+    """Folders of a version's open rows: all, or those of some buckets."""
+    held = ptr["open"]
+    if isinstance(held, str):
+        return [held]
+    return sorted(d for b, d in held.items() if buckets is None or (b != "none" and int(b) in buckets))
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
 
 
 def _write(df: DataFrame, root: str, key: str | None) -> str:
@@ -150,47 +170,45 @@ def _drop(spark: SparkSession, root: str, rel: str) -> None:
     fs.delete(p, True)
 
 
-def commit_versions(spark: SparkSession, root: str, versions: DataFrame, baseline: int | None,
-                    key: str | None = None, run_ts: str | None = None, digest: str | None = None) -> int:
-    """One write job for a merge's output: open and newly closed rows land in two
-    sub-directories of a fresh data directory (partitioned on a copy of ``is_current``)."""
-    prev = read_pointer(spark, root, baseline) if baseline is not None else {"closed": []}
-    if latest_version(spark, root) != baseline:
-        raise StaleBaseline(f"baseline {baseline} is stale")
-    rel = _write_versions(versions, root, key)
-    return _publish_pointer(spark, root, rel, prev, baseline, run_ts, digest)
-
-
-def _write_versions(versions: DataFrame, root: str, key: str | None) -> str:
-    """One write job: open and newly closed rows in two sub-directories of a fresh data directory.
+def _write_versions(versions: DataFrame, root: str, key: str | None, buckets: int = 1) -> tuple[str, dict[str, str]]:
+    """One write job: closed rows, and open rows by bucket, in sub-directories of a fresh data directory.
 
-    The merge output is already hash-partitioned on the key (full-outer join), so
-    sorting within partitions gives key-sorted row groups without another shuffle
-    or a range-sampling pass (which would recompute the join).
+    Returns that directory and the folder of each bucket that holds open rows.  A bucket goes through one task,
+    its rows in order of the key.
     """
     spark = versions.sparkSession
     rel = f"data/{uuid.uuid4().hex}"
     base = f"{root.rstrip('/')}/{rel}"
-    out = versions.withColumn("_open", F.col("is_current"))
+    out = versions.withColumn("_open", F.col("is_current")).withColumn("_bucket", bucket_of(key, buckets) if key else F.lit(0))
     if key:
-        out = out.sortWithinPartitions("_open", key)     # the partitioned writer needs _open first
-    out.write.mode("errorifexists").partitionBy("_open").parquet(base)
-    if not _exists(spark, f"{base}/_open=true"):       # every key retired: an empty open part
-        versions.limit(0).write.parquet(f"{base}/_open=true")
-    return rel
+        out = out.repartition("_bucket").sortWithinPartitions("_open", "_bucket", key)       # the partitioned writer needs its columns first
+    out.write.mode("errorifexists").partitionBy("_open", "_bucket").parquet(base)
+    fs, p, jvm = _fs(spark, f"{base}/_open=true")
+    held = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return rel, {n.removeprefix("_bucket="): f"{rel}/_open=true/{n}" for n in sorted(held) if n.startswith("_bucket=")}
 
 
-def _publish_pointer(spark: SparkSession, root: str, rel: str | None, prev: dict, baseline: int | None,
-                     run_ts: str | None, digest: str | None = None) -> int:
-    """Publish version baseline + 1; without ``rel`` the data of the baseline stays (a run that changed nothing)."""
-    closed = list(prev["closed"])
-    if rel and _exists(spark, f"{root.rstrip('/')}/{rel}/_open=false"):
-        closed.append(f"{rel}/_open=false")
+def _publish_pointer(spark: SparkSession, root: str, written: tuple[str, dict[str, str]] | None, prev: dict, baseline: int | None, run_ts: str | None,
+                     digest: str | None = None, buckets: int = 1, touched: list[int] | None = None, empty: DataFrame | None = None) -> int:
+    """Publish version baseline + 1; without ``written`` the data of the baseline stays (a run that changed nothing).
+
+    ``touched`` are the buckets that were written again; all, if None.
+    """
+    closed, held = list(prev["closed"]), prev.get("open")
+    rel = written[0] if written else None
+    if written:
+        if _exists(spark, f"{root.rstrip('/')}/{rel}/_open=false"):
+            closed.append(f"{rel}/_open=false")
+        kept = held if isinstance(held, dict) and touched is not None else {}
+        held = {b: d for b, d in kept.items() if b != "none" and int(b) not in touched} | written[1]
+        if not held and empty is not None:                  # every key retired: an empty open part keeps the columns
+            empty.write.parquet(f"{root.rstrip('/')}/{rel}/_open=none")
+            held = {"none": f"{rel}/_open=none"}
     version = 0 if baseline is None else baseline + 1
     runs = dict(prev.get("runs", {}))
     if run_ts is not None:
         runs[run_ts] = digest
-    ptr = json.dumps({"open": f"{rel}/_open=true" if rel else prev["open"], "closed": closed, "parent": baseline,
+    ptr = json.dumps({"open": held, "closed": closed, "parent": baseline, "buckets": buckets,
                       "run_ts": run_ts if run_ts is not None else prev.get("run_ts"), "runs": runs})
     if not _create_pointer(spark, root, version, ptr):
         if rel:
@@ -200,11 +218,13 @@ def _publish_pointer(spark: SparkSession, root: str, rel: str | None, prev: dict
 
 
 def canonical_ts(ts: str) -> str:
-    """'YYYY-MM-DD HH:MM:SS[.ffffff]' of a run time, so that run times compare as text."""
+    """'YYYY-MM-DD HH:MM:SS[.ffffff]' of a run time in UTC, so that run times compare as text; one without an offset is UTC."""
     try:
         at = datetime.fromisoformat(ts)
     except ValueError:
         at = datetime.strptime(ts, "%Y-%m-%d %H:%M:%S" if ":" in ts else "%Y-%m-%d")
+    if at.tzinfo is not None:
+        at = at.astimezone(timezone.utc)
     return at.replace(tzinfo=None).isoformat(sep=" ")
 
 
@@ -227,6 +247,18 @@ def checkout(spark: SparkSession, root: str) -> tuple[DataFrame | None, int | No
     return (None, None) if v is None else (read_version(spark, root, v), v)
 
 
+def archive_bytes(spark: SparkSession, root: str) -> int:
+    """Size of the files of the latest version, open and closed; 0 without one."""
+    v = latest_version(spark, root)
+    if v is None:
+        return 0
+    ptr, total = read_pointer(spark, root, v), 0
+    for d in [*_open_dirs(ptr), *ptr["closed"]]:
+        fs, p, _ = _fs(spark, f"{root.rstrip('/')}/{d}")
+        total += fs.getContentSummary(p).getLength()
+    return total
+
+
 def retire_raw(spark: SparkSession, raw_path: str | None, keep_raw: bool) -> None:
     """Delete a run's raw input directory -- only ever called after its commit succeeded."""
     if raw_path and not keep_raw:
@@ -237,24 +269,23 @@ def retire_raw(spark: SparkSession, raw_path: str | None, keep_raw: bool) -> Non
 
 def merge_and_commit(spark: SparkSession, root: str, snapshot: DataFrame, ts: str, key: str,
                      create: bool = True, raw_path: str | None = None,
-                     keep_raw: bool = True) -> tuple[int, bool]:
-    """SCD2-merge ``snapshot`` at run time ``ts`` into the table at ``root``: (version, changed)."""
-    result = _merge_and_commit(spark, root, snapshot, ts, key, create)
+                     keep_raw: bool = True, buckets: int = BUCKETS, status: DataFrame | None = None) -> tuple[int, bool]:
+    """SCD2-merge ``snapshot`` at run time ``ts`` into the table at ``root``: (version, changed).
+
+    With ``keep_raw=False`` the raw input directory ``raw_path`` is deleted after the
+    run is safely in the table (committed, or found to be a no-op); never before.
+    ``buckets`` counts for a new table only: as many as files of a fair size hold its open rows.
+    ``status`` is ``scd2.classify`` of the open rows and the snapshot where the caller has it (written) already.
+    """
+    result = _merge_and_commit(spark, root, snapshot, ts, key, create, buckets, status)
     retire_raw(spark, raw_path, keep_raw)
     return result
 
 
 def _merge_and_commit(spark: SparkSession, root: str, snapshot: DataFrame, ts: str, key: str,
-                      create: bool) -> tuple[int, bool]:
-    """SCD2-merge a snapshot into the table at ``root``; returns (version, changed).
-
-    With ``keep_raw=False`` the raw input directory ``raw_path`` is deleted after the
-    run is safely in the table (committed, or found to be a no-op); never before.
-
-    Reads only the open rows of the baseline.  An all-unchanged snapshot is found by
-    comparing keys and hashes alone: it writes no data, only a pointer that records the
-    run.  A failure before the pointer leaves the previous version as the visible one.
-    """
+                      create: bool, buckets: int, status: DataFrame | None) -> tuple[int, bool]:
+    """Keys and hashes are compared once; the buckets of the keys that changed are merged and written, a failure
+    before the pointer leaves the previous version as the visible one."""
     from snapledger.operators import gates
 
     ts = canonical_ts(ts)
@@ -264,7 +295,8 @@ def _merge_and_commit(spark: SparkSession, root: str, snapshot: DataFrame, ts: s
         if not create:
             raise FileNotFoundError(root)
         versions = scd2.merge_versions(scd2.empty_history(snapshot), snapshot, ts, key)
-        return commit_versions(spark, root, versions, None, key, ts, digest), True
+        written = _write_versions(versions, root, key, buckets)
+        return _publish_pointer(spark, root, written, {"closed": []}, None, ts, digest, buckets, empty=scd2.empty_history(snapshot)), True
     prev = read_pointer(spark, root, v)
     runs = prev.get("runs", {})
     if ts in runs and runs[ts] in (None, digest):
@@ -278,11 +310,21 @@ def _merge_and_commit(spark: SparkSession, root: str, snapshot: DataFrame, ts: s
     gates.assert_ts_after(open_hist, ts)
     if latest_version(spark, root) != v:
         raise StaleBaseline(f"baseline {v} is stale")
-    status = scd2.classify(open_hist.select(key, "attr_hash"), snapshot.select(key, "attr_hash"), key)
-    if status.where(F.col("status") != "unchanged").isEmpty():
-        return _publish_pointer(spark, root, None, prev, v, ts, digest), False
+    if status is None:
+        status = scd2.classify(open_hist.select(key, "attr_hash"), snapshot.select(key, "attr_hash"), key)
+    whole = isinstance(prev["open"], str)                    # written by ``commit_version``: bucketed from now on
+    n = buckets if whole else prev["buckets"]
+    changed = status.where(F.col("status") != "unchanged")
+    touched = sorted(r["_b"] for r in changed.select(bucket_of(key, n).alias("_b")).distinct().collect())      # at most n numbers
+    if not touched:
+        return _publish_pointer(spark, root, None, prev, v, ts, digest, prev.get("buckets", 1)), False
+    if not whole and len(touched) < n:
+        dirs = _open_dirs(prev, touched)
+        open_hist = _read(spark, root, dirs) if dirs else open_hist.limit(0)
+        snapshot = snapshot.where(bucket_of(key, n).isin(touched))
     versions = scd2.merge_versions(open_hist, snapshot, ts, key)
-    return _publish_pointer(spark, root, _write_versions(versions, root, key), prev, v, ts, digest), True
+    written = _write_versions(versions, root, key, n)
+    return _publish_pointer(spark, root, written, prev, v, ts, digest, n, None if whole else touched, scd2.empty_history(snapshot)), True
 
 
 def build_current_artifact(current: DataFrame, key: str, geom: str | None = "geom",

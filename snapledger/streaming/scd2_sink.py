@@ -10,8 +10,9 @@ announced snapshot that the table lacks in run-time order through
 The file source hands manifests out by modification time, which says nothing about run
 times.  So a micro-batch only wakes the sink: it looks at *all* manifests in the folder
 and merges those not in the table yet, oldest run first.  A manifest that comes after a
-later run was merged raises instead of being lost.  Manifests are written aside and
-renamed, so a running stream never sees half of one.
+later run was merged, or a second one of a run with other rows, can't be merged any more: it is set aside as a row
+of ``refused`` and the stream goes on, so one late snapshot neither stops the others nor is lost.  Manifests are
+written aside and renamed, so a running stream never sees half of one.
 
 The table pointer records the applied runs, so a micro-batch replayed after a failure
 commits nothing: the sink is idempotent and exactly-once in effect.
@@ -22,13 +23,15 @@ a processing-time trigger makes it continuous.
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from snapledger.operators.gates import GateError
 from snapledger.sources import publish
 
 MANIFEST_SCHEMA = "run_ts string, path string"
+REFUSED = "_refused"           # sub-folder of the manifests, which the stream doesn't read
 
 
 def announce(spark: SparkSession, manifest_dir: str, run_ts: str, snapshot_path: str) -> None:
@@ -54,12 +57,26 @@ def merge_batch(manifest_dir: str, table_root: str, key: str, drop: tuple[str, .
         there = spark.read.schema(MANIFEST_SCHEMA).json(manifest_dir).unionByName(batch.select("run_ts", "path")).distinct()
         done = publish.applied_runs(spark, table_root)
         todo = sorted((publish.canonical_ts(m.run_ts), m.path) for m in there.collect())
+        aside = {(publish.canonical_ts(m.run_ts), m.path) for m in refused(spark, manifest_dir).collect()}
         for ts, path in todo:
-            if ts not in done:
-                publish.merge_and_commit(spark, table_root, spark.read.parquet(path).drop(*drop), ts, key)
+            if ts not in done and (ts, path) not in aside:
+                try:
+                    publish.merge_and_commit(spark, table_root, spark.read.parquet(path).drop(*drop), ts, key)
+                except GateError as why:
+                    text = json.dumps({"run_ts": ts, "path": path, "status": "refused", "reason": str(why)}) + "\n"
+                    name = ts.replace(" ", "T").replace(":", "")
+                    publish.create_whole(spark, f"{manifest_dir.rstrip('/')}/{REFUSED}/{name}-{uuid.uuid4().hex[:8]}.json", text)
     return fn
 
 
+def refused(spark: SparkSession, manifest_dir: str) -> DataFrame:
+    """(run_ts, path, status, reason) of the manifests that came too late to be merged."""
+    folder = f"{manifest_dir.rstrip('/')}/{REFUSED}"
+    schema = MANIFEST_SCHEMA + ", status string, reason string"
+    fs, p, _ = publish._fs(spark, folder)
+    return spark.read.schema(schema).json(folder) if fs.exists(p) else spark.createDataFrame([], schema)
+
+
 def run(spark: SparkSession, manifest_dir: str, table_root: str, key: str, checkpoint_location: str,
         drop: tuple[str, ...] = (), available_now: bool = True, max_files_per_trigger: int | None = None):
     """Start (and with ``available_now`` wait for) the streaming merge; returns the query."""

@@ -40,6 +40,33 @@ def test_merge_commit_checkout_and_noop(spark, tmp_path):
     assert len(ptr["closed"]) == 1 and publish.read_version(spark, root, 1, "closed").count() == 1
 
 
+def test_merge_touches_only_buckets_that_changed(spark, tmp_path):
+    """Folders of buckets without a changed key stay as they are; history is that of plain merges, also when all keys go."""
+    root = str(tmp_path / "buckets")
+    rows = [(f"k{i}", i) for i in range(200)]
+    runs = [rows, [(k, v + (k == "k7")) for k, v in rows if k != "k9"] + [("new", 1)], rows[:3], [], rows[:2]]
+    plain = scd2.empty_history(snap(spark, rows))
+    for i, r in enumerate(runs):
+        s, ts = snap(spark, r or rows).where("true" if r else "false"), f"2024-0{i + 1}-01 00:00:00"
+        publish.merge_and_commit(spark, root, s, ts, "key", buckets=16)
+        plain = scd2.merge(plain, s, ts, "key")
+        plain = spark.createDataFrame(plain.collect(), plain.schema)
+        cols = ["key", "v", "valid_from", "valid_to", "is_current"]
+        got = publish.checkout(spark, root)[0]
+        assert sorted(map(tuple, got.select(cols).collect()), key=str) == sorted(map(tuple, plain.select(cols).collect()), key=str)
+    one, two = (publish.read_pointer(spark, root, v)["open"] for v in (0, 1))
+    touched = {str(r["b"]) for r in spark.createDataFrame([("k7",), ("k9",), ("new",)], "key string").select(publish.bucket_of("key", 16).alias("b")).collect()}
+    assert len(one) == 16 and {b for b in one if two.get(b) != one[b]} == touched and len(touched) == 3
+    written = {d for _, ds, _ in os.walk(f"{root}/{next(iter(two[b] for b in touched)).split('/_open')[0]}/_open=true") for d in ds}
+    assert written == {f"_bucket={b}" for b in touched}
+    assert publish.read_pointer(spark, root, 3)["open"].keys() == {"none"} and publish.archive_bytes(spark, root) > 0
+
+
+def test_run_times_are_utc():
+    assert publish.canonical_ts("2024-01-01T00:00:00+09:00") == "2023-12-31 15:00:00"
+    assert publish.canonical_ts("2024-01-01T00:00:00+00:00") == publish.canonical_ts("2024-01-01 00:00:00") == "2024-01-01 00:00:00"
+
+
 def test_concurrent_writers_one_wins(spark, tmp_path):
     root = str(tmp_path / "race")
     s = snap(spark, [("a", 1)])

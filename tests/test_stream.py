@@ -2,8 +2,6 @@
 
 import os
 
-import pytest
-
 from snapledger.operators import scd2
 from snapledger.sources import publish
 from snapledger.streaming import scd2_sink
@@ -51,9 +49,14 @@ def test_manifests_out_of_order(spark, tmp_path):
     cols = ["key", "v", "attr_hash", "valid_from", "valid_to", "is_current"]
     streamed = publish.checkout(spark, root)[0]
     assert sorted(map(tuple, streamed.select(cols).collect())) == sorted(map(tuple, h.select(cols).collect()))
-    # a manifest that comes after a later run was merged is an error, not a loss
-    late = str(tmp_path / "in" / "late")
+    # a manifest that comes after a later run was merged is set aside, not lost, and does not stop the stream
+    late, next_ = str(tmp_path / "in" / "late"), str(tmp_path / "in" / "next")
     _snap(spark, [("q", 1)]).write.parquet(late)
     scd2_sink.announce(spark, man, "2024-02-15 00:00:00", late)
-    with pytest.raises(Exception, match="late snapshot"):
+    _snap(spark, [("a", 6)]).write.parquet(next_)
+    scd2_sink.announce(spark, man, "2024-04-01 00:00:00", next_)
+    for _ in range(2):                                                   # a restart meets it again
         scd2_sink.run(spark, man, root, "key", str(tmp_path / "cp"), max_files_per_trigger=1)
+        assert [(r.run_ts, r.status) for r in scd2_sink.refused(spark, man).collect()] == [("2024-02-15 00:00:00", "refused")]
+    last = publish.checkout(spark, root)[0].where("is_current").collect()
+    assert [(r.key, r.v) for r in last] == [("a", 6)]
