@@ -8,13 +8,16 @@ Reading (format ``warc``): the driver only lists files and plans one partition p
 are parsed first, and the block of a record that fails a filter, or whose payload isn't asked for
 (option ``payload`` = ``false``), is passed over without being decoded.
 
-Options: ``payload`` (``true``), ``headers`` (comma list of further headers to return).
+Options: ``payload`` (``true``; ``digest`` reads payloads but returns only their length and digest, both told from
+the bytes that were read), ``headers`` (comma list of further headers to return).
 Plain and gzip archives (``.gz``, one member per record or one for all) are read.
 """
 
 from __future__ import annotations
 
+import base64
 import gzip
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,11 +26,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull, StringStartsWith
 
-from snapledger.llm.common import join_groups
+from snapledger.llm.common import join_groups, materialise
 from snapledger.session import scratch_path
 
 SCHEMA = ("record_id string, record_type string, target_uri string, date string, payload_digest string, "
-          "content_length long, headers map<string,string>, payload binary")
+          "content_length long, headers map<string,string>, payload binary, read_bytes long, read_digest string")
 FIELDS = {"record_type": "warc-type", "record_id": "warc-record-id", "target_uri": "warc-target-uri", "date": "warc-date",
           "payload_digest": "warc-payload-digest"}
 BATCH_BYTES = 8 << 20
@@ -46,7 +49,7 @@ class OneFile(InputPartition):
 class WarcReader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"]
-        self.payload = options.get("payload", "true").lower() == "true"
+        self.payload = options.get("payload", "true").lower()
         self.wanted = [x.strip().lower() for x in options.get("headers", "").split(",") if x.strip()]
         self.tests: list[tuple[str, str, object]] = []
 
@@ -84,10 +87,13 @@ class WarcReader(DataSourceReader):
             for headers, length, take in records(stream):
                 if not all(_holds(headers.get(h), how, value) for h, how, value in self.tests):
                     continue
-                payload = http_body(take(), headers) if self.payload else None
+                payload = http_body(take(), headers) if self.payload != "false" else None
+                told = (None, None) if payload is None else (len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode())
+                if self.payload == "digest":
+                    payload = None
                 kept = headers if not self.wanted else {h: headers[h] for h in self.wanted if h in headers}
                 rows.append((headers.get("warc-record-id"), headers.get("warc-type"), headers.get("warc-target-uri"),
-                             headers.get("warc-date"), headers.get("warc-payload-digest"), length, list(kept.items()), payload))
+                             headers.get("warc-date"), headers.get("warc-payload-digest"), length, list(kept.items()), payload, *told))
                 size += 1000 + len(payload or b"")
                 if size > BATCH_BYTES:
                     yield _batch(rows)
@@ -97,7 +103,7 @@ class WarcReader(DataSourceReader):
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string()] * 5 + [pa.int64(), pa.map_(pa.string(), pa.string()), pa.binary()]
+    kinds = [pa.string()] * 5 + [pa.int64(), pa.map_(pa.string(), pa.string()), pa.binary(), pa.int64(), pa.string()]
     names = [c.split()[0] for c in SCHEMA.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
@@ -182,16 +188,16 @@ class WarcSource(DataSource):
         return WarcReader(self.options)
 
 
-def read(spark: SparkSession, path: str, payload: bool = True, headers: str = "") -> DataFrame:
+def read(spark: SparkSession, path: str, payload: bool | str = True, headers: str = "") -> DataFrame:
+    """Records of the archives at ``path``; ``payload`` is True, False or ``"digest"`` (see above)."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
     return spark.read.format("warc").option("payload", str(payload).lower()).option("headers", headers).load(path)
 
 
 # ------------------------------------------------------------------------------------ writing
-def base32_sha1(data: Column) -> Column:
-    """Bare upper-case base32 of the SHA-1, from its 40 hex digits: 5 digits make 4 letters."""
-    digits = F.sha1(data)
+def base32(digits: Column) -> Column:
+    """Bare upper-case base32 of 40 hex digits: 5 digits make 4 letters."""
     letters = F.lit(ALPHABET)
     out = []
     for i in range(8):
@@ -209,18 +215,19 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", html_col: str = "ht
     """
     there = (pages.withColumn("payload", F.coalesce(html_col, F.lit("")))
              .withColumn("payload_bytes", F.octet_length("payload").cast("long"))
-             .withColumn("payload_digest", base32_sha1(F.encode("payload", "UTF-8"))))
+             .withColumn("_sha1", F.sha1(F.encode("payload", "UTF-8"))))
     can = (F.col("payload_bytes") >= min_bytes) & F.col(id_col).isNotNull()
-    few = there.where(can).select(F.col(id_col).alias("_id"), "payload_digest", "payload_bytes")
-    same = (few.groupBy("payload_digest", "payload_bytes").agg(F.max("_id").alias("_last"), F.count("*").alias("_n"))
+    few = there.where(can).select(F.col(id_col).alias("_id"), "_sha1", "payload_bytes")
+    same = (few.groupBy("_sha1", "payload_bytes").agg(F.max("_id").alias("_last"), F.count("*").alias("_n"))
             .where("_n > 1"))
     total = pages.count()
-    found = join_groups(there.where(can), same, ["payload_digest", "payload_bytes"], "_n", total, "left")
+    found = join_groups(there.where(can), same, ["_sha1", "payload_bytes"], "_n", total, "left")
     rest = there.where(~can | F.col(id_col).isNull()).withColumn("_last", F.lit(None).cast("long")).withColumn("_n", F.lit(None).cast("long"))
     revisit = F.col("_last").isNotNull() & (F.col("_last") != F.col(id_col))
     return (found.unionByName(rest)
             .withColumn("record_type", F.when(revisit, "revisit").otherwise("response"))
-            .withColumn("refers_to", F.when(revisit, F.col("_last"))).drop("_last", "_n"))
+            .withColumn("refers_to", F.when(revisit, F.col("_last"))).withColumn("payload_digest", base32(F.col("_sha1")))
+            .drop("_last", "_n", "_sha1"))
 
 
 def record_id(id_col: Column) -> Column:
@@ -236,12 +243,14 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
     marked = with_revisits(pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
                                         F.col(html_col).alias("html")), "page_id", "html", min_bytes)
     own = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
+    # a page without an id gets a record id of its own: nothing refers to it
+    named = F.coalesce(F.col("page_id").cast("string"), F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string")))
     is_revisit = F.col("record_type") == "revisit"
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
                     F.col("payload_bytes").cast("string"), F.lit("\r\n\r\n"))
     block = F.when(is_revisit, http).otherwise(F.concat(http, F.col("payload")))
     lines = [F.lit("WARC/1.1"), F.concat(F.lit("WARC-Type: "), "record_type"),
-             F.concat(F.lit("WARC-Record-ID: "), record_id(own)), F.lit(f"WARC-Date: {date}"),
+             F.concat(F.lit("WARC-Record-ID: "), record_id(named)), F.lit(f"WARC-Date: {date}"),
              F.concat(F.lit("WARC-Target-URI: "), F.coalesce(F.regexp_replace("url", r"[\r\n]+", " "), F.lit("about:blank"))),
              F.concat(F.lit("WARC-Payload-Digest: sha1:"), "payload_digest"),
              F.concat(F.lit("X-Page-ID: "), own), F.concat(F.lit("X-Payload-Length: "), F.col("payload_bytes").cast("string")),
@@ -255,14 +264,25 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
 
 
 def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of archives written from ``pages``."""
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of archives written from ``pages`` and read again.
+
+    Length and digest of a response are told from the payload that was read, not from its headers; a revisit has those of
+    the record that its WARC-Refers-To names.  A null html is an empty payload; pages without an id, repeated rows and empty
+    tables as in ``with_revisits``; extra columns are ignored.  A revisit whose record is not there has no digest.
+    """
     spark = pages.sparkSession
     path = scratch_path(spark, "llm-warc")
     write(pages, path, min_bytes=min_bytes)
-    header = lambda name: F.col("headers")[name]
-    got = read(spark, path, payload=False, headers="x-page-id,x-payload-length,x-refers-to-page-id")
-    return got.where(F.col("record_type").isin("response", "revisit")).select(
-        F.expr("try_cast(headers['x-page-id'] as bigint)").alias("page_id"),
-        header("x-payload-length").cast("long").alias("payload_bytes"),
-        F.regexp_replace("payload_digest", "^sha1:", "").alias("payload_digest"), "record_type",
-        header("x-refers-to-page-id").cast("long").alias("refers_to"))
+    page_id = F.expr("try_cast(headers['x-page-id'] as bigint)").alias("page_id")
+    responses = materialise(read(spark, path, payload="digest", headers="x-page-id").where("record_type = 'response'").select(
+        page_id, "record_id", "read_bytes", "read_digest"), "warc-responses")
+    revisits = read(spark, path, payload=False, headers="x-page-id,warc-refers-to").where("record_type = 'revisit'").select(
+        page_id, F.col("headers")["warc-refers-to"].alias("record_id"))
+    revisits = materialise(revisits, "warc-revisits")
+    asked = revisits.groupBy("record_id").agg(F.count("*").alias("n_asked"))
+    one = responses.groupBy("record_id").agg(F.max("page_id").alias("refers_to"), F.max("read_bytes").alias("payload_bytes"),
+                                             F.max("read_digest").alias("payload_digest"))       # a page given twice has equal records
+    told = join_groups(revisits, asked.join(one, "record_id", "left"), ["record_id"], "n_asked", revisits.count(), "left")
+    return responses.select("page_id", F.col("read_bytes").alias("payload_bytes"), F.col("read_digest").alias("payload_digest"),
+                            F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to")).unionByName(
+        told.select("page_id", "payload_bytes", "payload_digest", F.lit("revisit").alias("record_type"), "refers_to"))

@@ -43,6 +43,23 @@ def test_payloads_come_back_whole(spark, tmp_path):
     assert all(bytes(r["payload"]) == b"" for r in revisits)
 
 
+def test_digests_are_those_of_what_was_read(spark, tmp_path):
+    """A block that was damaged after writing shows: digest and length come from the bytes read, not from headers."""
+    path = tmp_path / "w"
+    warc.write(pages(spark), str(path), compression="none")
+    for f in path.glob("part-*"):
+        f.write_bytes(f.read_bytes().replace(b"bigbig", b"pigbig", 1))
+    (path / "._SUCCESS.crc").unlink(missing_ok=True)
+    for f in path.glob(".part-*.crc"):
+        f.unlink()
+    rows = {r["headers"].get("x-page-id"): r for r in warc.read(spark, str(path), payload="digest").where("record_type = 'response'").collect()}
+    assert all(r["payload"] is None for r in rows.values())
+    assert rows["7"]["read_digest"] == sha("pig" + "big" * 199_999) and rows["7"]["payload_digest"] == "sha1:" + sha("big" * 200_000)
+    assert rows["9"]["read_digest"] == sha("<p>same</p>") and rows["9"]["read_bytes"] == 11
+    ids = [r["record_id"] for r in warc.read(spark, str(path), payload=False).collect()]
+    assert len(set(ids)) == len(PAGES)
+
+
 def test_pushdown(spark, tmp_path):
     path = str(tmp_path / "w")
     warc.write(pages(spark), path)
