@@ -331,6 +331,22 @@ def report(tables: Tables, checks: Sequence[Check], error_only: bool = False) ->
     return out
 
 
+def totals(results: DataFrame) -> DataFrame:
+    """(status, checks): how many checks of a suite's results ended so, each status with a row."""
+    every = results.sparkSession.createDataFrame([("pass",), ("warn",), ("fail",)], "status string")
+    n = results.groupBy("status").agg(F.count(F.lit(1)).alias("checks"))
+    return F.broadcast(every).join(n, "status", "left").select("status", F.coalesce("checks", F.lit(0).cast("long")).alias("checks"))
+
+
+def audit(tables: Tables, checks: Sequence[Check]) -> tuple[list[dict], dict[str, int], int]:
+    """Outcomes that did not pass (with samples), totals by status, and an exit code: 1 if any check failed."""
+    outcomes = report(tables, checks)
+    total = {"pass": 0, "warn": 0, "fail": 0}
+    for o in outcomes:
+        total[o["status"]] += 1
+    return [o for o in outcomes if o["status"] != "pass"], total, int(total["fail"] > 0)
+
+
 class ChecksFailed(AssertionError):
     pass
 

@@ -132,6 +132,17 @@ def outcomes(portfolios: DataFrame) -> DataFrame:
                               {"median_portfolio": "total_value"})
 
 
+def cards(trail: DataFrame, portfolios: DataFrame) -> DataFrame:
+    """(card, value): share of tax bills that go to an exempt home, portfolios with a primary home, those of three homes
+    or more, and the median value of the former."""
+    found = cut_lineage(portfolios.where("primary_found").select("n_homes", "total_value", F.lit(1).alias("all")), "verified")
+    one = trail.agg(F.coalesce(F.sum(F.when(F.col("mail_goes_to") == "An exempt muni home", F.col("n"))) / F.sum("n"), F.lit(0.0)).alias("exempt_share"))
+    counts = found.agg(F.count(F.lit(1)).cast("double").alias("verified_2nd_plus"), F.count_if(F.col("n_homes") >= 3).cast("double").alias("third_plus"))
+    median = stats.exact_median(found, "all", "total_value", "median_portfolio").agg(F.max("median_portfolio").alias("median_portfolio"))
+    wide = one.crossJoin(counts).crossJoin(median)                          # one row each
+    return wide.select(F.explode(F.array(*[F.struct(F.lit(c).alias("card"), F.col(c).alias("value")) for c in wide.columns])).alias("c")).select("c.*")
+
+
 def top_portfolios(lk: DataFrame, where: Column, k: int = 20) -> DataFrame:
     """Owners of focus homes ranked by total muni value over their strict-link parcels.
 

@@ -65,6 +65,12 @@ def truncation(df: DataFrame) -> DataFrame:
                    & F.col("owner_line_3").isNull()).alias("truncated_unrecoverably"))
 
 
+def truncation_examples(df: DataFrame, col: str = "owner_name", k: int = 12) -> DataFrame:
+    """The first ``k`` names, by name, that end at the cap and go on nowhere (repeated names count as often as they come)."""
+    cut = (F.length("owner_line_1") == OWNER_LINE_LENGTH) & F.col("owner_line_2").isNull() & F.col("owner_line_3").isNull()
+    return df.filter(cut).select(col).orderBy(col).limit(k)
+
+
 def structure_checks() -> list[ck.Check]:
     joined = F.trim(F.concat(F.col("owner_line_1"), F.lit(" "), F.coalesce(F.col("owner_line_2"), F.lit("")),
                              F.lit(" "), F.coalesce(F.col("owner_line_3"), F.lit(""))))
@@ -112,6 +118,16 @@ def not_names(df: DataFrame, col: str = "owner_name") -> DataFrame:
         "'trust abbreviated, TRUST token absent', c) AS (trap, parcels)")
 
 
+def traps(abstained: DataFrame, col: str = "owner_name") -> DataFrame:
+    """(trap, ambiguous_parcels, example): ``not_names`` over the rows without a label, with the first name of each trap."""
+    n = F.col(col)
+    found = {"placeholder, no owner on file": n == OWNER_NAME_PLACEHOLDER, "backslash for hyphen or slash": n.contains("\\"),
+             "trust abbreviated, TRUST token absent": n.rlike(re2(TRUST_ABBREVIATION_PATTERN)) & ~n.contains(TRUST_NAME_TOKEN)}
+    wide = abstained.agg(*[F.struct(F.lit(trap).alias("trap"), F.count_if(hit).alias("ambiguous_parcels"), F.min(F.when(hit, n)).alias("example")).alias(f"t{i}")
+                           for i, (trap, hit) in enumerate(found.items())])
+    return wide.select(F.explode(F.array(*wide.columns)).alias("t")).select("t.*")
+
+
 def disposition_of(name: Column) -> Column:
     # the five labels are fixed values
     return (F.when(name == OWNER_NAME_PLACEHOLDER, "placeholder — unclassifiable")
