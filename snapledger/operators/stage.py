@@ -36,11 +36,11 @@ def read_features(spark: SparkSession, path: str, fields: list[FieldSpec], key_s
             .json(path))
 
 
-def flatten_feature_collection(spark: SparkSession, path: str) -> DataFrame:
-    """GeoJSON FeatureCollection files -> one row per feature: properties spread + geometry JSON text."""
-    raw = spark.read.option("multiLine", True).json(path)
-    f = raw.select(F.explode("features").alias("f"))
-    return f.select("f.properties.*", F.to_json("f.geometry").alias("__geometry"))
+def flatten_feature_collection(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """GeoJSON FeatureCollection files -> one row per feature: properties as text + geometry JSON text (``sources.collections``)."""
+    from snapledger.sources import collections
+
+    return collections.flatten(spark, path, columns)
 
 
 def drop_unkeyed(df: DataFrame, key: str, observation: Observation | None = None) -> DataFrame:

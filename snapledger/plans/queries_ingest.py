@@ -125,3 +125,24 @@ def q_stage_snapshot(spark, d):
     counts = Observation()
     snap = stage.stage_snapshot(read, "Customer", PARTS, "Part", "__geometry", "customer", 2026, ("year_built",), counts)
     return snap.select("customer", "priority", "year_built", "price", "feature_count", F.round("area_m2", 3).alias("area_m2"), "n_parts", "parts_overlap")
+
+
+# ----------------------------------------------------------------------------- one collection in one file
+@register("feature_collection", """
+SELECT CAST(o_orderkey AS VARCHAR) AS order_key, CASE WHEN o_orderkey % 5 <> 0 THEN '{"' || o_orderpriority || '}\\' END AS note,
+       CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey % 90 END AS lat FROM orders""")
+def q_feature_collection(spark, d):
+    """Every order as a feature of one GeoJSON collection in one file, read back by byte ranges."""
+    from snapledger.sources import collections
+
+    path = scratch_path(spark, "collection")
+    note = F.when(F.col("o_orderkey") % 5 != 0, F.concat(F.lit('{"'), "o_orderpriority", F.lit("}\\")))
+    place = F.when(F.col("o_orderkey") % 7 != 0, F.struct(F.lit("Point").alias("type"), F.array(F.lit(0), F.col("o_orderkey") % 90).alias("coordinates")))
+    feature = F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(F.col("o_orderkey").alias("key"), note.alias("note")).alias("properties"),
+                                 place.alias("geometry")))
+    head = spark.createDataFrame([('{"type": "FeatureCollection", "name": "{ orders", "features": [',)], "value string")
+    tail = spark.createDataFrame([('{"type": "End"}]}',)], "value string")
+    lines = head.unionAll(table(spark, d, "orders").select(F.concat(feature, F.lit(",")).alias("value"))).unionAll(tail)
+    lines.coalesce(1).write.text(path)                     # a file as a source would send it
+    got = collections.flatten(spark, path, ["key", "note"])
+    return got.select(F.col("key").alias("order_key"), "note", F.get_json_object("__geometry", "$.coordinates[1]").cast("bigint").alias("lat"))

@@ -20,6 +20,35 @@ def test_flatten_feature_collection(spark, tmp_path):
     assert rows["P2"]["__geometry"] is None
 
 
+def test_one_collection_is_many_tasks(spark, tmp_path):
+    """Byte ranges of one file, with braces and quotes in strings, escapes, nested properties and members around the features."""
+    odd = ['a{b', 'a}b"', '{"type": "Feature"}', "\\", '\\"{', "é{ü}", "line\nbreak {", "", "}}}{{{"]
+    feats = [{"type": "Feature", "id": i, "properties": {"Parcel_ID": f"P{i}", "Note": odd[i % len(odd)], "More": {"deep": {"x": [i, "{"]}} if i % 5 == 0 else None},
+              "geometry": None if i % 7 == 0 else {"type": "Polygon", "coordinates": [[[i, 0], [1, 0], [1, 1], [i, 0]]]}} for i in range(400)]
+    fc = {"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "EPSG:4326 {"}}, "features": feats, "tail": {"type": "note"}}
+    (tmp_path / "one.json").write_text(json.dumps(fc, ensure_ascii=False))
+    (tmp_path / "pretty.json").write_text(json.dumps({"type": "FeatureCollection", "features": feats[:9]}, indent=2))
+    (tmp_path / "none.json").write_text(json.dumps({"features": [], "type": "FeatureCollection"}))
+    from snapledger.sources import collections
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for size in ("2000", "400", "100000000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            tasks = spark.read.option("lineSep", "{").text(str(tmp_path / "one.json")).rdd.getNumPartitions()
+            got = [json.loads(r.value) for r in collections.features(spark, str(tmp_path / "one.json")).orderBy("nth").collect()]
+            more = collections.features(spark, str(tmp_path)).count()
+        finally:
+            for k, v in old.items():
+                spark.conf.set(k, v)
+        assert (tasks > 20 or size == "100000000") and more == 409
+        assert got == feats
+    rows = {r.Parcel_ID: r for r in stage.flatten_feature_collection(spark, str(tmp_path / "one.json"), ["Parcel_ID", "Note", "Absent"]).collect()}
+    assert {k: r.Note for k, r in rows.items()} == {f["properties"]["Parcel_ID"]: f["properties"]["Note"] for f in feats}
+    assert {r.Absent for r in rows.values()} == {None} and rows["P7"]["__geometry"] is None
+    assert json.loads(rows["P8"]["__geometry"]) == feats[8]["geometry"]
+
+
 def test_views_sql_json_and_describe(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v long")
     store.register_views({"snapledger_t": df})
