@@ -144,14 +144,14 @@ def _write(df: DataFrame, root: str, key: str | None) -> str:
 
 
 def commit_version(spark: SparkSession, root: str, open_rows: DataFrame, closed_rows: DataFrame | None,
-                   baseline: int | None, key: str | None = None, run_ts: str | None = None) -> int:
-    """Write the new open part (+ newly closed rows) and publish version baseline+1 atomically."""
+                   baseline: int | None, key: str | None = None, run_ts: str | None = None, closed_all: bool = False) -> int:
+    """Write the new open part (+ newly closed rows; all closed rows if ``closed_all``) and publish version baseline+1 atomically."""
     prev = read_pointer(spark, root, baseline) if baseline is not None else {"closed": []}
     latest = latest_version(spark, root)
     if latest != baseline:
         raise StaleBaseline(f"baseline {baseline} is stale; latest is {latest}")
     open_dir = _write(open_rows, root, key)
-    closed = list(prev["closed"])
+    closed = [] if closed_all else list(prev["closed"])
     if closed_rows is not None:
         closed.append(_write(closed_rows, root, key))
     version = 0 if baseline is None else baseline + 1
