@@ -29,7 +29,7 @@ from snapledger.llm.common import hot_rows, join_groups, materialise, mix, relea
 # A pair at 0.8 shares a bucket with probability 1 - (1 - 0.8^8)^56 > 0.99996, one at 0.05 (chance
 # similarity of unrelated texts, of which pairs grow with the square of the corpus) with 2e-9.
 BANDS, ROWS = 56, 8
-BESIDE = 1_000_000             # ids that the scan for shingle sets gets by broadcast at most, counted first
+BESIDE = 100_000               # ids that the scan for shingle sets gets by broadcast at most, counted first; more are joined by a shuffle
 CHUNK = 1 << 20                # shingles of a component that a task holds at a time, on average
 
 
