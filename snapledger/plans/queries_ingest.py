@@ -28,7 +28,9 @@ def _ingested(spark, d) -> tuple[str, str]:
     for i, (snap, ts) in enumerate(zip(ob.snapshots(spark, d), ob.RUN_TIMES), start=1):
         src = {"orderKey": ob.KEY} | {f.src: f.dst for f in ORDER_SOURCE.fields}
         raw = f"{base}/raw/{i}"
-        snap.select(F.to_json(F.struct(*[F.col(c).cast("string").alias(n) for n, c in src.items()]))).write.text(raw)
+        lines = snap.select(F.to_json(F.struct(*[F.col(c).cast("string").alias(n) for n, c in src.items()])).alias("value"))
+        unkeyed = spark.createDataFrame([('{"custKey": "1", "priority": "a record without a key"}',)], "value string")
+        lines.unionByName(unkeyed).write.text(raw)
         n = spark.read.text(raw).count()
         ingest.ingest(spark, root, ledger, raw, ORDER_SOURCE, ts, server_count=n, finished_at=ts[:11] + "01:00:00",
                       limits=ingest.Limits(allow_shrink=True))
@@ -47,7 +49,7 @@ def _ledger_sql() -> str:
     for i, t in enumerate(ob.RUN_TIMES, start=1):
         opened = f"(SELECT * FROM hist WHERE valid_from < TIMESTAMP '{t}' AND (valid_to IS NULL OR valid_to >= TIMESTAMP '{t}'))"
         rows.append(f"""SELECT '{store.run_id(t)}' AS run_id, TIMESTAMP '{t}' AS started_at, TIMESTAMP '{t[:11]}01:00:00' AS finished_at,
-          'success' AS status, (SELECT count(*) FROM b{i}) AS server_count, (SELECT count(*) FROM b{i}) AS source_features,
+          'success' AS status, (SELECT count(*) + 1 FROM b{i}) AS server_count, (SELECT count(*) + 1 FROM b{i}) AS source_features,
           (SELECT count(*) FROM b{i}) AS distinct_parcels,
           (SELECT count(*) FROM b{i} WHERE order_key NOT IN (SELECT order_key FROM {opened})) AS new_parcels,
           (SELECT count(*) FROM b{i} s JOIN {opened} o USING (order_key) WHERE s.attr_hash <> o.attr_hash) AS changed_parcels,
