@@ -179,8 +179,9 @@ def settle(asks: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -
     total = members.count()
     inside = join_groups(held, chunks, ["component", "size"], "n_members", total, "inner").select(
         "doc", "component", "size", F.pmod(F.xxhash64("doc"), "chunks").alias("chunk"), F.lit(0).alias("role"))
-    near = F.array(of - 1, of, of + 1) if step > 0 else F.array(of)
-    asked = (asks.withColumn("size", F.explode(near)).join(chunks, ["component", "size"])
+    # only classes that a component has: a component has few, most have one
+    near = F.abs(F.col("own") - F.col("size")) <= (1 if step > 0 else 0)
+    asked = (asks.withColumn("own", of).join(chunks, "component").where(near)
              .select("doc", "component", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("role")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
