@@ -175,6 +175,22 @@ def q_geo_bbox(spark, d):
     return _parcels(spark, d).select("parcel_id", geo.bbox(F.col("geom")).alias("b")).select("parcel_id", "b.*")
 
 
+# a square's corners by key: in order, crossed, on one line, or with an open end
+@register("geo_valid", f"""{P}, k AS (SELECT CAST(parcel_id AS BIGINT) AS k FROM p),
+told AS (SELECT k % 100 = 11 AS none, k % 10 = 3 AS crossed, k % 50 = 9 AS flat, k % 10 = 7 AS open FROM k)
+SELECT count(*) AS parcels, count(*) FILTER (none) AS without, count(*) FILTER (NOT none AND NOT (crossed OR flat OR open)) AS valid,
+       count(*) FILTER (NOT none AND crossed) AS crossed, count(*) FILTER (NOT none AND open) AS open FROM told""")
+def q_geo_valid(spark, d):
+    """Validity row by row: which parcels' rings are sound, and why the others are not."""
+    p = _parcels(spark, d).select(F.col("parcel_id").cast("bigint").alias("k"), "geom")
+    r = F.col("geom")[0][0]
+    crossed, flat, opened = F.array(r[0], r[2], r[1], r[3], r[0]), F.array(r[0], r[1], r[0], r[1], r[0]), F.array(r[0], r[1], r[2], r[3], r[1])
+    ring = F.when(F.col("k") % 10 == 3, crossed).when(F.col("k") % 50 == 9, flat).when(F.col("k") % 10 == 7, opened).otherwise(r)
+    v = p.select(F.when(F.col("k") % 100 != 11, geo.validity(F.array(F.array(ring)))).alias("v"))
+    return v.agg(F.count(F.lit(1)).alias("parcels"), F.count_if(F.col("v").isNull()).alias("without"), F.count_if("v.valid").alias("valid"),
+                 F.count_if(~F.col("v.simple")).alias("crossed"), F.count_if(~F.col("v.closed")).alias("open"))
+
+
 # Shapes by their rings' corners, the first corner not repeated: {kind: [polygon: [ring]]}; the last one is written open.
 _SQ = [(0, 0), (10, 0), (10, 10), (0, 10)]
 SHAPES = [
@@ -193,7 +209,7 @@ def _shape_edges() -> str:
 
 
 # every pair of edges of a shape, and every corner of a ring against every other ring, in whole numbers
-@register("geo_valid", f"""
+@register("geo_validity", f"""
 WITH e(kind, p, r, i, n, x1, y1, x2, y2) AS (VALUES {_shape_edges()}),
 pairs AS (SELECT f.kind, f.p = g.p AND f.r = g.r AS one_ring, abs(f.i - g.i) IN (1, f.n - 1) AS neighbours,
     (f.x2 - f.x1) * (g.y1 - f.y1) - (f.y2 - f.y1) * (g.x1 - f.x1) AS ga, (f.x2 - f.x1) * (g.y2 - f.y1) - (f.y2 - f.y1) * (g.x2 - f.x1) AS gb,
@@ -212,7 +228,7 @@ wrong AS (SELECT DISTINCT kind FROM ringed WHERE (r > 0 AND op = p AND orr = 0 A
     AND NOT EXISTS (SELECT 1 FROM ringed h WHERE h.kind = a.kind AND h.p = a.p AND h.r = 0 AND h.op = a.op AND h.orr > 0 AND h.within)),
 bad AS (SELECT kind FROM crossed UNION SELECT kind FROM wrong UNION SELECT {len(SHAPES) - 1})
 SELECT o_orderkey, CASE WHEN o_orderkey % 97 <> 0 THEN (o_orderkey % {len(SHAPES)}) NOT IN (SELECT kind FROM bad) END AS valid FROM orders""")
-def q_geo_valid(spark, d):
+def q_geo_validity(spark, d):
     """Shapes of every sort, laid out by order: which are valid.  Rows of an order count once."""
     from snapledger.operators import validity
 
