@@ -1,9 +1,9 @@
 """Validity of whole tables of geometries, as joins over edges.
 
 ``geo.validity`` judges what a row can tell by itself: closed rings, enough points, finite coordinates, some area.  Whether
-rings cross or touch where they must not is a question about pairs of edges; here each edge is filed under cells of
-its own size and meets only edges whose boxes meet its own (``dissolve.meeting``), so a ring of n points costs about n
-and no row, task or group holds pairs that are far apart.
+rings cross or touch where they must not is a question about pairs of edges.  A geometry of few points (``SMALL``) forms them inside
+its row, without a shuffle.  Of larger ones each edge is filed under cells of its own size and meets only edges whose boxes meet
+its own (``dissolve.meeting``), so a ring of n points costs about n and no row, task or group holds pairs that are far apart.
 """
 
 from __future__ import annotations
@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.operators import dissolve, geo
-from snapledger.session import cut_lineage
+from snapledger.session import cut_lineage, deal
 
 ASIDE = 1e-9               # how far inside a ring, in degrees, its test point lies
+SMALL = 200                # points of a geometry that is judged in its row; pairs inside a row grow with the square
 
 
 def _edges(rows: DataFrame) -> DataFrame:
@@ -90,6 +91,71 @@ def misplaced(rows: DataFrame) -> DataFrame:
     return out.unionByName(nested).unionByName(over.select("k", F.lit("polygons overlap").alias("reason"))).distinct()
 
 
+# ----------------------------------------------------------------------------- geometries of few points, in their row
+def _edges_within(geom: Column) -> Column:
+    """``_edges`` of one geometry, with their levels."""
+    def of_ring(ring, p, r):
+        def edge(b, i):
+            a = ring[i]
+            x0, y0, x1, y1 = F.least(a[0], b[0]), F.least(a[1], b[1]), F.greatest(a[0], b[0]), F.greatest(a[1], b[1])
+            return F.struct(p.alias("p"), r.alias("r"), i.alias("i"), (F.size(ring) - 1).alias("n"), a[0].alias("ax"), a[1].alias("ay"), b[0].alias("bx"), b[1].alias("by"),
+                            x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1"), dissolve._level_of(x0, y0, x1, y1).alias("level"))
+        return F.transform(F.slice(ring, 2, F.size(ring) - 1), edge)
+    each = F.flatten(F.transform(geom, lambda polygon, p: F.flatten(F.transform(polygon, lambda ring, r: of_ring(ring, p, r)))))
+    return F.filter(each, lambda e: (e["ax"] != e["bx"]) | (e["ay"] != e["by"]))
+
+
+def _crossings_within(geom: Column) -> Column:
+    """The reasons of ``crossings`` for one geometry."""
+    def side(e, o, end):
+        return (e["bx"] - e["ax"]) * (o[f"{end}y"] - e["ay"]) - (e["by"] - e["ay"]) * (o[f"{end}x"] - e["ax"])
+
+    def between(e, o, end):
+        along = (o[f"{end}x"] - e["ax"]) * (e["bx"] - e["ax"]) + (o[f"{end}y"] - e["ay"]) * (e["by"] - e["ay"])
+        return (along > 0) & (along < F.pow(e["bx"] - e["ax"], 2) + F.pow(e["by"] - e["ay"], 2))
+
+    def why(f, g):
+        def told(d):
+            same = lambda a, b: (f[f"{a}x"] == g[f"{b}x"]) & (f[f"{a}y"] == g[f"{b}y"])
+            equal = (same("a", "a") & same("b", "b")) | (same("a", "b") & same("b", "a"))
+            onto = ((d["ga"] == 0) & between(f, g, "a")) | ((d["gb"] == 0) & between(f, g, "b")) | (
+                (d["fa"] == 0) & between(g, f, "a")) | ((d["fb"] == 0) & between(g, f, "b"))
+            touching = onto | same("a", "a") | same("a", "b") | same("b", "a") | same("b", "b")
+            one_ring = (f["p"] == g["p"]) & (f["r"] == g["r"])
+            gap = F.abs(f["i"] - g["i"])
+            return (F.when((d["ga"] * d["gb"] < 0) & (d["fa"] * d["fb"] < 0), "rings cross").when((d["ga"] == 0) & (d["gb"] == 0) & (equal | onto), "rings share a border")
+                    .when(one_ring & (gap != 1) & (gap != f["n"] - 1) & touching, "a ring touches itself"))
+        return geo._let(F.struct(*[side(e, o, end).alias(s + end) for s, e, o in (("g", f, g), ("f", g, f)) for end in "ab"]), told)
+
+    def pairs(edges):
+        def met(f):
+            near = F.filter(edges, lambda g: (f["level"] <= g["level"]) & dissolve._near(f, g) & ((f["i"] != g["i"]) | (f["r"] != g["r"]) | (f["p"] != g["p"])))
+            return F.transform(near, lambda g: why(f, g))
+        return F.flatten(F.transform(edges, met))
+    return geo._let(_edges_within(geom), pairs)
+
+
+def _misplaced_within(geom: Column) -> Column:
+    """The reasons of ``misplaced`` for one geometry."""
+    def point(ring):
+        a, b = ring[0], ring[1]
+
+        def beside(m):
+            return F.when(m["long"] > 0, F.struct(((a[0] + b[0]) / 2 - m["left"] * ASIDE * (b[1] - a[1]) / m["long"]).alias("x"),
+                                                  ((a[1] + b[1]) / 2 + m["left"] * ASIDE * (b[0] - a[0]) / m["long"]).alias("y")))
+        return F.when(F.size(ring) >= 4, geo._let(F.struct(F.hypot(b[0] - a[0], b[1] - a[1]).alias("long"), F.signum(geo.ring_area(ring)).alias("left")), beside))
+
+    def why(at, polygon, p, r):
+        covers = lambda rings: dissolve._covers(rings, at["x"], at["y"])
+        nested = F.size(F.filter(polygon, lambda ring, o: (o > 0) & (o != r) & covers(F.array(ring)))) > 0
+        over = F.size(F.filter(geom, lambda other, o: (o != p) & covers(F.array(other[0])) & covers(other))) > 0
+        return F.array(F.when(at.isNotNull() & (r > 0) & ~covers(F.array(polygon[0])), "a hole lies outside its shell"),
+                       F.when(at.isNotNull() & (r > 0) & nested, "a hole lies in a hole"), F.when(at.isNotNull() & (r == 0) & over, "polygons overlap"))
+    each = F.flatten(F.transform(geom, lambda polygon, p: F.flatten(F.transform(polygon, lambda ring, r: geo._let(point(ring), lambda at: why(at, polygon, p, r))))))
+    several = (F.size(geom) > 1) | F.exists(geom, lambda polygon: F.size(polygon) > 1)
+    return F.when(several, each).otherwise(F.array().cast("array<string>"))
+
+
 def validity(df: DataFrame, key: str, geom: str = "geom") -> DataFrame:
     """(key, valid, reason) of every row of ``df``: valid as simple features are, the first reason by name if not; NULL for no geometry.
 
@@ -98,11 +164,21 @@ def validity(df: DataFrame, key: str, geom: str = "geom") -> DataFrame:
     not in each other's inside.  Rings may touch others in single points.
     """
     rows = cut_lineage(df.select(F.col(key).alias("k"), F.col(geom).alias("geom")), "valid-rows")
+    # rows that share a key are judged together, as ever, by joins
+    points = F.aggregate("geom", F.lit(0), lambda n, polygon: n + F.aggregate(polygon, F.lit(0), lambda m, ring: m + F.size(ring)))
+    apart = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max(points).alias("points")).where((F.col("k").isNotNull()) & ((F.col("n") > 1) | (F.col("points") > SMALL)))
+    apart = cut_lineage(apart.select("k"), "valid-apart")
     own = geo.shape(F.col("geom"))
-    plain = rows.select("k", F.when(F.col("geom").isNull(), None).when(~own["closed"], "a ring is open").when(~own["enough_points"], "a ring has too few points")
-                        .when(~own["finite"], "a coordinate is not finite").when(~own["nonzero_area"], "a ring has no area").alias("own"),
-                        F.col("geom").isNull().alias("none"))
-    sound = rows.join(plain.where("own IS NULL AND NOT none").select("k"), "k", "left_semi")
-    bad = crossings(sound).unionByName(misplaced(sound)).groupBy("k").agg(F.min("reason").alias("reason"))
-    told = plain.join(bad, "k", "left").withColumn("reason", F.coalesce("own", "reason"))
+    plain = (F.when(F.col("geom").isNull(), None).when(~own["closed"], "a ring is open").when(~own["enough_points"], "a ring has too few points")
+             .when(~own["finite"], "a coordinate is not finite").when(~own["nonzero_area"], "a ring has no area"))
+    reasons = F.array_min(F.concat(_crossings_within(F.col("geom")), _misplaced_within(F.col("geom"))))
+    few, told = rows, None
+    if not apart.isEmpty():
+        few, some = rows.join(apart, "k", "left_anti"), rows.join(apart, "k", "left_semi")
+        told = some.select("k", plain.alias("own"), F.col("geom").isNull().alias("none"))
+        sound = some.join(told.where("own IS NULL AND NOT none").select("k"), "k", "left_semi")
+        bad = crossings(sound).unionByName(misplaced(sound)).groupBy("k").agg(F.min("reason").alias("reason"))
+        told = told.join(bad, "k", "left").withColumn("reason", F.coalesce("own", "reason"))
+    judged = deal(few).select("k", F.col("geom").isNull().alias("none"), F.coalesce(plain, F.when(F.col("geom").isNotNull() & F.col("k").isNotNull(), reasons)).alias("reason"))
+    told = judged if told is None else judged.unionByName(told.select("k", "none", "reason"))
     return told.select(F.col("k").alias(key), F.when(~F.col("none"), F.col("reason").isNull()).alias("valid"), "reason")

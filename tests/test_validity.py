@@ -42,5 +42,31 @@ def test_reasons(spark):
     assert by_row == {"square": True, "star": True, "bow tie": False, "open": False, "line": False}
 
 
+def _judged(spark, rnd):
+    def box(x, y, w, h, back=False):
+        c = [(x, y), (x + w, y), (x + w, y + h), (x, y + h)]
+        return closed(c[::-1] if back else c)
+    rows = []
+    for k in range(200):
+        geom = []
+        for _ in range(rnd.randint(1, 2)):
+            shell = box(*(rnd.randint(0, 4) for _ in "xy"), *(rnd.randint(2, 8) for _ in "wh"))
+            if rnd.random() < 0.2:
+                shell[2] = [float(rnd.randint(0, 8)), float(rnd.randint(0, 8))]
+            geom.append([shell, *[box(*(rnd.randint(0, 6) for _ in "xy"), *(rnd.randint(1, 3) for _ in "wh"), True) for _ in range(rnd.choice([0, 0, 1, 2]))]])
+        rows += [(k, geom)] * (2 if k % 50 == 7 else 1)
+    return validity.validity(spark.createDataFrame(rows, f"key long, geom {geo.MULTIPOLYGON}").repartition(4), "key")
+
+
+def test_rows_and_joins_agree(spark, monkeypatch):
+    """Geometries of few points, judged in their rows, get the reasons that joins give them; only the others are joined."""
+    joined, crossings = [], validity.crossings
+    monkeypatch.setattr(validity, "crossings", lambda rows: joined.append(rows.count()) or crossings(rows))
+    within = sorted(map(str, _judged(spark, random.Random(3)).collect()))
+    assert sum(joined) <= 8                                          # keys that come twice
+    monkeypatch.setattr(validity, "SMALL", 0)
+    assert sorted(map(str, _judged(spark, random.Random(3)).collect())) == within and sum(joined) > 100
+
+
 def test_sql(spark):
     assert {r[0] for r in compare(spark, "/root/testdata/sf0.001", ["geo_valid", "geo_validity"]).values()} == {"match"}
