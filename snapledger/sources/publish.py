@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapledger.operators import checks as ck
-from snapledger.operators import geo, scd2
+from snapledger.operators import geo, rings, scd2
 
 
 BUCKETS = 64               # of a table's open rows, fixed when it is created; see ``merge_and_commit``
@@ -333,10 +333,10 @@ def build_current_artifact(current: DataFrame, key: str, geom: str | None = "geo
     df = current.drop("attr_hash")
     if geom:
         # the centroid struct is one column, split afterwards: evaluated once per row
-        df = (df.withColumn("_centroid", geo.centroid(F.col(geom)))
+        df = (df.withColumn("_told", rings.told(F.col(geom))).withColumn("_centroid", rings.centroid(F.col("_told"), F.col(geom)))
               .withColumn(geom, geo.quantise(F.col(geom), tolerance))
               .withColumn("centroid_lon", F.col("_centroid.lon"))
-              .withColumn("centroid_lat", F.col("_centroid.lat")).drop("_centroid"))
+              .withColumn("centroid_lat", F.col("_centroid.lat")).drop("_told", "_centroid"))
     return df
 
 
